@@ -5,20 +5,50 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sessile.llm import pii, quality_classifier
+from sessile.llm.host_rules import quality_rules
+from sessile.llm.mixing import mixed_report
 from sessile.llm.near_dedup import near_duplicates
+from sessile.llm.storage import materialize
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    stats = materialize(docs.select("doc_id", quality_classifier.statistics(F.col("text")).alias("stats")), "stats")
+    model = quality_classifier.fit_on_labels(stats, _table(spark, sf_dir, "labels"))
+    held_out = quality_classifier.fold(F.col("doc_id")) == 0
+    scored = stats.select("doc_id", held_out.alias("held_out"), quality_classifier.scored(F.col("stats"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_pii(_table(spark, sf_dir, "documents")))
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed_report(_table(spark, sf_dir, "documents"))
+
+
+def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_table(spark, sf_dir, "documents")).drop("host")
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
+        op2_quality_classifier,
+        op4_pii,
+        op7_source_mixing,
+        op9_host_rules,
         op10_minhash_near_dedup,
     ]
     return {f.__name__: f for f in found}
