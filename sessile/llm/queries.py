@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessile.llm import pii, quality_classifier
 from sessile.llm.host_rules import quality_rules
+from sessile.llm.line_dedup import dedup_lines
 from sessile.llm.mixing import mixed_report
 from sessile.llm.near_dedup import near_duplicates
+from sessile.llm.packing import Packing, pack_documents
 from sessile.llm.storage import materialize
 
 
@@ -18,6 +21,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def packing_params() -> Packing:
+    """The installed byte-level vocabulary, sequences of 1024."""
+    return Packing(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: lines, dropped lines and their numbers, length and hash of the text that stays."""
+    docs = _table(spark, sf_dir, "documents")
+    n_lines = F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long")
+    out = dedup_lines(docs.select("doc_id", "text", n_lines.alias("n_lines")))
+    numbers = F.array_join(F.sort_array("dropped_lines"), ",")
+    return out.select("doc_id", "n_lines", F.size("dropped_lines").cast("long").alias("n_dropped"), numbers.alias("dropped"), F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("kept_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     stats = materialize(docs.select("doc_id", quality_classifier.statistics(F.col("text")).alias("stats")), "stats")
@@ -31,6 +48,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(_table(spark, sf_dir, "documents")))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), packing_params())
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_report(_table(spark, sf_dir, "documents"))
 
@@ -45,8 +66,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
+        op1_line_dedup,
         op2_quality_classifier,
         op4_pii,
+        op6_best_fit_packing,
         op7_source_mixing,
         op9_host_rules,
         op10_minhash_near_dedup,
