@@ -3,19 +3,55 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sessile.llm import quality_classifier
+from sessile.llm.line_dedup import dedup_lines
+from sessile.llm.mixing import mix_documents
 from sessile.llm.near_dedup import drop_near_duplicates
+from sessile.llm.packing import pack_documents
+from sessile.llm.queries import packing_params
 from sessile.llm.storage import materialize
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go.  It learns from the labelled documents of this stage's input."""
+    stats = materialize(docs.select("doc_id", quality_classifier.statistics(F.col("text")).alias("stats")), "stats")
+    model = quality_classifier.fit_on_labels(stats, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_classifier.classify(docs, model).filter("quality_kept").select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Recurring lines go; so does a document of which no word is left, as each of its lines stays elsewhere."""
+    left = dedup_lines(docs)
+    gone = (F.size("dropped_lines") > 0) & ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    return left.filter(~gone).select(*docs.columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     return drop_near_duplicates(docs)
 
 
-STAGES = [("near_dedup", near_dedup)]
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's target asks for, in training order."""
+    return mix_documents(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each piece of a document, with its place in a sequence."""
+    return pack_documents(docs, packing_params())
+
+
+STAGES = [
+    ("quality_classifier", quality),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("mixing", mixing),
+    ("packing", packing),
+]
 
-#: A quality model and a tokenizer can't be written in SQL.
+#: The classifier and the tokenizer can't be written in SQL; tests/llm holds the stages against plain versions.
 ORACLE_SQL = None
 
 
