@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from sessile.llm import pii, quality_classifier
 from sessile.llm.host_rules import quality_rules
+from sessile.llm.html_text import extract_text
 from sessile.llm.line_dedup import dedup_lines
+from sessile.llm.lm_scoring import score_documents
 from sessile.llm.mixing import mixed_report
 from sessile.llm.near_dedup import near_duplicates
 from sessile.llm.packing import Packing, pack_documents
 from sessile.llm.storage import materialize
+from sessile.llm.topk_search import scaled, top_k
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,10 +47,19 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(_table(spark, sf_dir, "documents")))
 
 
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", scaled(F.col("embedding")).alias("vector"))
+    return top_k(vectors, F.col("vec_id") % 20 == 0)
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), packing_params())
 
@@ -56,6 +68,12 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_report(_table(spark, sf_dir, "documents"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = extract_text(_table(spark, sf_dir, "pages"))
+    n_lines = F.when(F.col("text") == "", 0).otherwise(F.size(F.split("text", "\n", -1)))
+    return text.select("page_id", F.length("text").cast("long").alias("n_chars"), n_lines.cast("long").alias("n_lines"), "text")
+
+
 def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents")).drop("host")
 
@@ -68,14 +86,36 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_line_dedup,
         op2_quality_classifier,
+        op3_lm_scoring,
         op4_pii,
+        op5_topk_search,
         op6_best_fit_packing,
         op7_source_mixing,
+        op8_html_text,
         op9_host_rules,
         op10_minhash_near_dedup,
     ]
     return {f.__name__: f for f in found}
 
 
+OP5_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT)) AS vector
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    CAST(list_sum(list_transform(range(1, len(q.vector) + 1), lambda i: q.vector[i] * c.vector[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.vector) = len(c.vector)
+  WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_topk_search": OP5_SQL}
