@@ -231,12 +231,13 @@ def layout(node: Node) -> list[str]:
     out = _Lines()
 
     def walk(parent: Node, keep: bool) -> None:
-        number = 0
+        number, shut = 0, parent.tag == "details" and "open" not in parent.attrs
         for x in parent.children:
             if isinstance(x, str):
-                out.text(x, keep)
+                if not shut:
+                    out.text(x, keep)
                 continue
-            if not _visible(x) or (parent.tag == "details" and "open" not in parent.attrs and x.tag != "summary"):
+            if not _visible(x) or (shut and x.tag != "summary"):
                 continue
             if x.tag == "br":
                 out.end(keep=True)

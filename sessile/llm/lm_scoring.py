@@ -127,7 +127,7 @@ def _score(cfg: Backoff, buckets: int, n_corpus: int):
         context = np.r_[0, c1[:-1]][: len(c1)]
         pair = c2 / np.maximum(context, 1)
         score = np.log(np.where(c2 > 0, pair, np.where(first, single, cfg.factor * single)))
-        add = lambda x: np.bincount(doc, weights=x, minlength=len(n))
+        add = lambda x: np.bincount(doc, weights=x, minlength=len(n)).astype(float)
         total = add(score)
         return pa.table(
             {
