@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 SPACE = r"[\x20\x09-\x0D]+"
 _BINS = 2000
+#: Number of statistics of a text.
+N_STATISTICS = 13
 _LOW, _HIGH = -0.5, 1.5
 
 
@@ -130,7 +132,7 @@ def fit(labelled: DataFrame, params: QualityParams = QualityParams()) -> Quality
     labelled = labelled.filter("label is not null and stats is not null")
     rng = np.random.default_rng(params.seed)
     width = labelled.selectExpr("max(size(stats)) n", "min(int(calibrate)) a", "max(int(calibrate)) b").first()
-    n, mixed = width["n"] or 1, width["a"] != width["b"]
+    n, mixed = width["n"] or N_STATISTICS, width["a"] != width["b"]
     moments = labelled.agg(*[f(F.col("stats")[k]).alias(f"{f.__name__}{k}") for k in range(n) for f in (F.avg, F.stddev_pop)]).first()
     mean = np.array([moments[f"avg{k}"] or 0.0 for k in range(n)])
     scale = np.array([moments[f"stddev_pop{k}"] or 1.0 for k in range(n)])
