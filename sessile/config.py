@@ -23,6 +23,8 @@ class Settings:
     drop_width: int = 300
     width_growth: float = 1.13
     crop_margin: int = 15
+    #: Black rows below a levelled frame, which measurements leave out.
+    bottom_rows: int = 5
     upscale: int = 3
     frame_width: int = 1248
     mask_low: int = 30

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,10 +17,13 @@ def measured(frames: DataFrame, low: int, high: int, n: int, margin: int, cfg: S
 
     ``frames`` has run_id, frame_no, width, height, px and the left bound x1.
     """
-    points = edges.edge_points(frames, low, high)
+    # Six aggregates read the points, which are small; the frames behind them are not.
+    points = edges.edge_points(frames, low, high).persist(StorageLevel.MEMORY_AND_DISK)
     found = fit.contact_angles(points, n).join(centers.horizontal_center(points, margin), FRAME).join(centers.vertical_center(points, margin), FRAME).join(fit.middle_line(points).drop("slope"), FRAME)
     rows = frames.select(*FRAME, "x1").join(found, FRAME, "left")
     error = F.when(F.col("left_point").isNull() & F.col("h_center").isNull(), "NoEdge").when(F.col("adv").isNull() | F.col("rec").isNull(), "NoContactLine")
+    # The centre counts from the frame's left end, not the crop's.
+    rows = rows.withColumn("h_center", F.col("h_center") + cfg.upscale * F.col("x1"))
     return kinematics.to_cm(rows, cfg).withColumn("error_class", error)
 
 
@@ -56,9 +60,12 @@ def analysed(raw: DataFrame, cfg: Settings = Settings(), margin: int = 4) -> Dat
     bound = detect.adaptive_bounds(profiled, "vv", cfg.steep, cfg.steep_wide, cfg.drop_width, cfg.width_growth)
     clear = detect.edge_guard(raw).filter("clear").drop("clear")
     key_type = dict(raw.dtypes)["frame_no"]
-    crops = clear.join(bound.withColumn("frame_no", F.col("frame_no").cast(key_type)), FRAME).filter("endpoint < beginning")
+    crops = clear.join(bound.select("run_id", F.col("frame_no").cast(key_type).alias("frame_no"), "endpoint", "beginning"), FRAME).filter("endpoint < beginning")
+    height = F.col("height") - cfg.bottom_rows
     x1, x2 = F.greatest(F.lit(0), F.col("endpoint") - cfg.crop_margin), F.least(F.col("width"), F.col("beginning") + cfg.crop_margin)
-    rows = F.transform(F.sequence(F.lit(0), F.col("height") - 1), lambda y: F.transform(F.slice("px", y * F.col("width") + x1 + 1, x2 - x1), lambda v: 255 - v))
-    crops = crops.select(*FRAME, "height", (x2 - x1).alias("width"), F.flatten(rows).alias("px"), x1.alias("x1"))
+    rows = F.transform(F.sequence(F.lit(0), height - 1), lambda y: F.transform(F.slice("px", y * F.col("width") + x1 + 1, x2 - x1), lambda v: 255 - v))
+    # Under new names first: within a lambda, the name of an alias beside it would win over the column's.
+    crops = crops.select(*FRAME, height.alias("_height"), (x2 - x1).alias("_width"), F.flatten(rows).alias("_px"), x1.alias("_x1"))
+    crops = crops.select(*FRAME, *[F.col(f"_{c}").alias(c) for c in ("height", "width", "px", "x1")])
     done = measured(images.upscaled(crops, cfg.upscale), cfg.mask_low, 255, 64 * cfg.upscale, margin, cfg)
     return kinematics.kinematics(done.filter("error_class is null"), ["frame_no"], cfg.fps_experiment, index=F.col("frame_no"))
