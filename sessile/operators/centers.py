@@ -1,4 +1,7 @@
-"""Horizontal and vertical centres of a drop from its edge points, as gaps and islands."""
+"""Horizontal and vertical centres of a drop from its edge points, as gaps and islands.
+
+Points are dealt by frame once; every window and aggregate below keeps to that.
+"""
 
 from __future__ import annotations
 
@@ -8,36 +11,40 @@ from pyspark.sql import functions as F
 FRAME = ["run_id", "frame_no"]
 
 
-def _extreme(points: DataFrame, line: str, value: str, start: str, beyond: int, name: str) -> DataFrame:
-    """Per line of a frame, where the values that follow without a hole from its ``start`` ("max" or "min") end.
+def _sides(points: DataFrame) -> DataFrame:
+    """Points by frame, with ``left``: whether i is at most the mean i of the top row."""
+    frame = Window.partitionBy(*FRAME)
+    dealt = points.select(*FRAME, "i", "j").repartition(*FRAME).withColumn("top", F.max("j").over(frame))
+    mid = F.floor(F.avg(F.when(F.col("j") == F.col("top"), F.col("i"))).over(frame))
+    return dealt.withColumn("left", F.col("i") <= mid).drop("top")
+
+
+def _extremes(points: DataFrame, part: list[str], line: str, value: str, down: Column, beyond: Column, carry: list[str]) -> DataFrame:
+    """Of each line in each part, where the values that follow without a hole end: column ``end``.
 
-    Distinct values ranked from the start meet the first hole t at the least
-    rank k whose value isn't start -+ k.  A hole gives t + beyond, none the
-    start itself.
+    They start at the greatest value and go down, or at the least and go up.
+    Distinct values ranked from the start meet the first hole at the least rank
+    k whose value isn't k away from the start; a hole gives its value plus
+    ``beyond``, none the start itself.
     """
-    down = start == "max"
-    distinct = points.select(*FRAME, line, value).distinct()
-    rank = F.row_number().over(Window.partitionBy(*FRAME, line).orderBy(F.desc(value) if down else F.asc(value))) - 1
-    first = (F.max if down else F.min)(value).over(Window.partitionBy(*FRAME, line))
-    due = F.col("first") - F.col("k") if down else F.col("first") + F.col("k")
-    ranked = distinct.withColumns({"k": rank, "first": first})
-    hole = F.min(F.when(F.col(value) != due, F.struct(F.col("k"), due.alias("t"))))["t"]
-    return ranked.groupBy(*FRAME, line).agg(F.coalesce(hole + beyond, F.first("first")).cast("double").alias(name))
-
-
-def _weighted(rows: DataFrame, a: Column, b: Column, name: str) -> DataFrame:
-    weight = F.abs(a - b)
+    key = [*FRAME, *part, line]
+    order = Window.partitionBy(*key).orderBy(F.when(down, -F.col(value)).otherwise(F.col(value)))
+    distinct = points.groupBy(*key, value).agg(*[F.first(c).alias(c) for c in carry])
+    ranked = distinct.withColumns({"k": F.row_number().over(order) - 1, "start": F.first(value).over(order)})
+    due = F.when(down, F.col("start") - F.col("k")).otherwise(F.col("start") + F.col("k"))
+    hole = F.min(F.when(F.col(value) != due, F.col("k")))
+    out = ranked.groupBy(*key).agg(hole.alias("k"), F.first("start").alias("start"), *[F.first(c).alias(c) for c in carry])
+    at = F.when(down, F.col("start") - F.col("k")).otherwise(F.col("start") + F.col("k"))
+    return out.withColumn("end", F.coalesce(at + beyond, F.col("start")).cast("double")).drop("k", "start")
+
+
+def _weighted(rows: DataFrame, a: Column, b: Column, use: Column, name: str) -> DataFrame:
+    """Mean of the middles of a and b, weighted by their distance, of the rows to ``use``; 0 without any weight."""
+    weight = F.when(use, F.abs(a - b))
     total = F.sum(weight)
     return rows.groupBy(*FRAME).agg(F.when(total > 0, F.sum(weight * (a + b) / 2) / total).otherwise(0.0).alias(name))
 
 
-def _sides(points: DataFrame) -> DataFrame:
-    """Points with ``left``: whether i is at most the mean i of the top row."""
-    top = points.groupBy(*FRAME).agg(F.max("j").alias("top"))
-    mid = points.join(top, FRAME).filter("j = top").groupBy(*FRAME).agg(F.floor(F.avg("i")).alias("mid"))
-    return points.join(mid, FRAME).withColumn("left", F.col("i") <= F.col("mid"))
-
-
 def horizontal_center(points: DataFrame, margin: int = 4) -> DataFrame:
     """``run_id, frame_no, h_center``: mean of the middles of the rows, weighted by their widths; 0 without any.
 
@@ -45,13 +52,11 @@ def horizontal_center(points: DataFrame, margin: int = 4) -> DataFrame:
     extreme starts at the row's greatest i of that side and a hole gives the
     position before it; a right one mirrors that.
     """
-    sided = _sides(points)
-    frames = points.select(*FRAME).distinct()
-    last = sided.filter("left").groupBy(*FRAME).agg((F.max("j") - margin).alias("last"))
-    left = _extreme(sided.filter("left"), "j", "i", "max", -1, "l")
-    right = _extreme(sided.filter("not left"), "j", "i", "min", 1, "r")
-    rows = left.join(right, [*FRAME, "j"]).join(last, FRAME).filter("j >= 0 and j <= last")
-    return frames.join(_weighted(rows, F.col("r"), F.col("l"), "h_center"), FRAME, "left").na.fill(0.0, ["h_center"])
+    left = F.col("left")
+    sided = _sides(points).withColumn("last", F.max(F.when(left, F.col("j"))).over(Window.partitionBy(*FRAME)) - margin)
+    ends = _extremes(sided, ["left"], "j", "i", left, F.when(left, -1).otherwise(1), ["last"])
+    rows = ends.groupBy(*FRAME, "j").agg(F.max(F.when(left, F.col("end"))).alias("l"), F.max(F.when(~left, F.col("end"))).alias("r"), F.first("last").alias("last"))
+    return _weighted(rows, F.col("r"), F.col("l"), F.col("l").isNotNull() & F.col("r").isNotNull() & F.col("j").between(F.lit(0), F.col("last")), "h_center")
 
 
 def vertical_center(points: DataFrame, margin: int = 4) -> DataFrame:
@@ -61,32 +66,18 @@ def vertical_center(points: DataFrame, margin: int = 4) -> DataFrame:
     Columns below the overhang lie between both parts, the others between the
     upper part and the ground.
     """
-    sided = _sides(points)
-    outer = sided.groupBy(*FRAME).agg(F.min(F.when(F.col("left"), F.col("i"))).alias("il"), F.max(F.when(~F.col("left"), F.col("i"))).alias("ir"))
-    at = sided.join(outer, FRAME).filter("(left and i = il) or (not left and i = ir)")
-    turn = at.groupBy(*FRAME, "left").agg(F.floor(F.avg("j")).alias("m"))
-    parts = sided.join(turn, [*FRAME, "left"]).withColumn("up", F.col("j") > F.col("m"))
-    pick = lambda left, up: parts.filter((F.col("left") == left) & (F.col("up") == up))
-    ends = parts.groupBy(*FRAME).agg(
-        *[f(F.when((F.col("left") == left) & (F.col("up") == up), F.col("i"))).alias(f"{f.__name__}_{'l' if left else 'r'}{'u' if up else 'd'}") for f in (F.min, F.max) for left in (True, False) for up in (True, False)]
-    )
-
-    def columns(left: bool) -> DataFrame:
-        above = _extreme(pick(left, True), "i", "j", "min", -1, "above")
-        below = _extreme(pick(left, False), "i", "j", "max", 1, "below")
-        return above.join(below, [*FRAME, "i"], "left").join(ends, FRAME)
-
-    i = F.col("i")
-    left, right = columns(True), columns(False)
-    ranges = [
-        (left.filter("below is not null").filter((i >= F.col("min_ld") + margin) & (i < F.col("max_ld"))), F.col("below")),
-        (left.filter((i >= F.col("max_ld")) & (i < F.col("max_lu"))), F.lit(0.0)),
-        (right.filter("below is not null").filter((i >= F.col("min_rd")) & (i < F.col("max_rd") - margin)), F.col("below")),
-        (right.filter((i >= F.col("min_ru")) & (i < F.col("min_rd"))), F.lit(0.0)),
-    ]
-    rows = None
-    for part, under in ranges:
-        part = part.select(*FRAME, F.col("above").alias("a"), under.alias("b"))
-        rows = part if rows is None else rows.unionByName(part)
-    frames = points.select(*FRAME).distinct()
-    return frames.join(_weighted(rows, F.col("a"), F.col("b"), "v_center"), FRAME, "left").na.fill(0.0, ["v_center"])
+    left, up, i = F.col("left"), F.col("up"), F.col("i")
+    side, frame = Window.partitionBy(*FRAME, "left"), Window.partitionBy(*FRAME)
+    sided = _sides(points).withColumn("outer", F.when(left, F.min("i").over(side)).otherwise(F.max("i").over(side)))
+    turn = F.floor(F.avg(F.when(i == F.col("outer"), F.col("j"))).over(side))
+    parts = sided.withColumn("up", F.col("j") > turn).drop("outer")
+    limits = {
+        f"{f.__name__}_{side_}{part_}": f(F.when((left if side_ == "l" else ~left) & (up if part_ == "u" else ~up), i)).over(frame)
+        for f, side_, part_ in ((F.min, "l", "d"), (F.max, "l", "d"), (F.max, "l", "u"), (F.min, "r", "d"), (F.max, "r", "d"), (F.min, "r", "u"))
+    }
+    ends = _extremes(parts.withColumns(limits), ["left", "up"], "i", "j", ~up, F.when(up, -1).otherwise(1), list(limits))
+    rows = ends.groupBy(*FRAME, "left", "i").agg(F.max(F.when(up, F.col("end"))).alias("above"), F.max(F.when(~up, F.col("end"))).alias("below"), *[F.first(c).alias(c) for c in limits])
+    between = F.when(left, (i >= F.col("min_ld") + margin) & (i < F.col("max_ld"))).otherwise((i >= F.col("min_rd")) & (i < F.col("max_rd") - margin)) & F.col("below").isNotNull()
+    ground = F.when(left, (i >= F.col("max_ld")) & (i < F.col("max_lu"))).otherwise((i >= F.col("min_ru")) & (i < F.col("min_rd")))
+    under = F.when(between, F.col("below")).when(ground, 0.0)
+    return _weighted(rows, F.col("above"), under, F.col("above").isNotNull() & under.isNotNull(), "v_center")
