@@ -206,9 +206,11 @@ def near_duplicates(docs: DataFrame, cfg: NearDedup = NearDedup()) -> DataFrame:
     nodes = sets.select("node", F.size("elements").alias("n"), "wide", F.col("node").alias("comp"))
 
     def labelled(links: DataFrame) -> DataFrame:
-        """The nodes that share a bucket, with their component by the links so far."""
-        found = nodes.drop("comp").join(components(links), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        return materialize(found, "nodes")
+        """The nodes that share a bucket, their components merged by new links: only components that links join are relabelled."""
+        a, b = (nodes.select(F.col("node").alias(c), F.col("comp").alias(f"comp_{c}")) for c in "ab")
+        between = links.join(a, "a").join(b, "b").filter("comp_a <> comp_b").select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")).distinct()
+        merged = components(between).select(F.col("node").alias("comp"), F.col("comp").alias("into"))
+        return materialize(nodes.join(merged, "comp", "left").withColumn("comp", F.coalesce("into", "comp")).drop("into"), "nodes")
 
     def side(df: DataFrame, name: str) -> DataFrame:
         return df.select(*[F.col(c).alias(name if c == "node" else c if c == "slot" else f"{name}_{c}") for c in df.columns])
@@ -231,14 +233,12 @@ def near_duplicates(docs: DataFrame, cfg: NearDedup = NearDedup()) -> DataFrame:
     # First every node against the least representative that it meets.
     first = slots.filter("rep <> node").groupBy(F.col("node").alias("x")).agg(F.min("rep").alias("y"))
     tested = materialize(checked(first), "pairs")
-    links = materialize(_confirmed(tested, sets, cfg), "links")
-    nodes = labelled(links)
+    nodes = labelled(materialize(_confirmed(tested, sets, cfg), "links"))
 
     # Then, where components differ: against the representatives of all its buckets.
     star = slots.filter("rep <> node").select(F.col("rep").alias("x"), F.col("node").alias("y")).distinct()
     more = materialize(checked(star).join(tested, ["a", "b"], "left_anti"), "pairs")
-    links, tested = links.union(materialize(_confirmed(more, sets, cfg), "links")), tested.union(more)
-    nodes = labelled(links)
+    nodes, tested = labelled(materialize(_confirmed(more, sets, cfg), "links")), tested.union(more)
 
     # Last, across the components of a bucket: all pairs but those within the most frequent component.
     member = slots.select("slot", "node").join(nodes, "node")
@@ -253,8 +253,7 @@ def near_duplicates(docs: DataFrame, cfg: NearDedup = NearDedup()) -> DataFrame:
     once = F.array_min(F.array_intersect("x_slots", "y_slots")) == F.col("slot")
     cross = side(member.filter("not major"), "x").join(side(member, "y"), "slot").filter((F.col("y_major") | (F.col("x") < F.col("y"))) & alike() & once)
     last = materialize(pairs_of(cross).join(tested, ["a", "b"], "left_anti"), "pairs")
-    links = links.union(materialize(_confirmed(last, sets, cfg), "links"))
-    nodes = labelled(links)
+    nodes = labelled(materialize(_confirmed(last, sets, cfg), "links"))
 
     of_class = classes.select(*key, "node", "first_id").join(nodes.select("node", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = materialize(of_class.groupBy("comp").agg(F.min("first_id").alias("component_id")), "least")
