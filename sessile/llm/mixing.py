@@ -119,8 +119,9 @@ def mixed_report(docs: DataFrame, cfg: Mix = Mix()) -> DataFrame:
     plan = plan_mix(docs, cfg)
     share = F.when(F.col("target") > 0, F.least(F.col("place") / F.col("target"), F.lit(1.0))).otherwise(F.lit(0.0))
     first = F.when(F.col("taken") > 0, position(share, F.col("slope")))
-    out = plan.withColumn("first_position", first)
-    return out.select("doc_id", "size", "source_size", "target", "taken", "first_position").orderBy(F.col("first_position").asc_nulls_last())
+    # The place orders, and deals out, those that are never read.
+    out = plan.withColumn("first_position", first).orderBy(F.col("first_position").asc_nulls_last(), "place", "doc_id")
+    return out.select("doc_id", "size", "source_size", "target", "taken", "first_position")
 
 
 def mix_documents(docs: DataFrame, cfg: Mix = Mix()) -> DataFrame:
