@@ -71,10 +71,12 @@ def recurring_lines(docs: DataFrame, cfg: LineDedup = LineDedup()) -> DataFrame:
     general = (F.col("size") >= cfg.least_tokens) & (F.col("constants") >= cfg.constant * F.col("size"))
     # A line without any word but numbers is no template.
     templates = shape.filter("words * 2 >= size").select("leaf", "body", F.when(general, F.struct(F.lit(1).alias("kind"), F.col("shape"))).otherwise(F.struct(F.lit(0).alias("kind"), F.col("body").alias("shape"))).alias("template"))
+    # Written, so that Spark can split the lines of a frequent template where they meet it.
+    templates = materialize(templates, "templates")
     placed = lines.select("leaf", "body", "__id", "__hash", "line_no").join(templates, ["leaf", "body"]).select("leaf", "template", "__id", "__hash", "line_no")
     placed = materialize(placed, "placed")
     recurring = placed.groupBy("leaf", "template").agg(F.count_distinct(doc).alias("docs"), F.min(F.struct("__id", "__hash", "line_no")).alias("first"))
-    recurring = recurring.filter(F.col("docs") >= cfg.min_docs).select("leaf", "template", "first")
+    recurring = materialize(recurring.filter(F.col("docs") >= cfg.min_docs).select("leaf", "template", "first"), "recurring")
     hits = placed.join(recurring, ["leaf", "template"]).filter(~F.struct("__id", "__hash", "line_no").eqNullSafe(F.col("first")))
     return hits.select("__id", "__hash", "line_no")
 
