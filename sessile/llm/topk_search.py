@@ -24,12 +24,13 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class TopK:
-    """Number of results, segments of each level, queries and candidates of a block."""
+    """Number of results, segments of each level, queries and candidates of a block, queries bounded at a time."""
 
     k: int = 20
     levels: tuple[int, ...] = (1, 4, 16)
     query_block: int = 2048
     candidate_block: int = 8192
+    chunk: int = 128
 
 
 def scaled(embedding: Column) -> Column:
@@ -49,19 +50,29 @@ def signature(vectors: np.ndarray, segments: int) -> np.ndarray:
 def search_block(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, cfg: TopK) -> list[tuple[int, np.ndarray, np.ndarray]]:
     """For each query the ids and scores of its best candidates in this block, best first."""
     of_q, of_c = ([signature(v, s) for s in cfg.levels] for v in (q, c))
+    coarse, fine = range(len(cfg.levels) - 1), len(cfg.levels) - 1
     out = []
-    for i, own in enumerate(q_ids):
-        alive = np.flatnonzero(c_ids != own)
-        if len(alive) > cfg.k:
-            bound = of_c[1 % len(of_c)][alive] @ of_q[1 % len(of_q)][i]
-            best = alive[np.argpartition(bound, -cfg.k)[-cfg.k :]]
-            # Of integers; half a unit is far more than what rounding adds to a bound.
-            least = np.min(c[best] @ q[i]) - 0.5 - 1e-9 * np.abs(bound).max()
-            for mine, theirs in zip(of_q, of_c, strict=True):
-                alive = alive[theirs[alive] @ mine[i] >= least]
-        scores = c[alive] @ q[i]
-        order = np.lexsort((c_ids[alive], -scores))[: cfg.k]
-        out.append((own, c_ids[alive][order], scores[order]))
+    for a in range(0, len(q), cfg.chunk):
+        rows = slice(a, a + cfg.chunk)
+        bounds = [of_q[k][rows] @ of_c[k].T for k in coarse or [fine]]
+        other = c_ids[None, :] != q_ids[rows, None]
+        alive = other.copy()
+        if len(c) > cfg.k + 1:
+            # A first k-th score, from the candidates that the finest of these bounds puts first.
+            guess = np.where(other, bounds[-1], -np.inf)
+            best = np.argpartition(guess, -cfg.k, axis=1)[:, -cfg.k :]
+            first = np.where(np.take_along_axis(other, best, axis=1), np.einsum("qkd,qd->qk", c[best], q[rows]), np.iinfo(np.int64).min // 2)
+            # Scores are integers; half a unit is far more than what rounding adds to a bound.
+            least = first.min(axis=1) - 0.5 - 1e-9 * np.abs(bounds[-1]).max(axis=1)
+            for bound in bounds:
+                alive &= bound >= least[:, None]
+        for i, mask in enumerate(alive):
+            at = np.flatnonzero(mask)
+            if len(at) > cfg.k and len(c) > cfg.k + 1:
+                at = at[of_c[fine][at] @ of_q[fine][a + i] >= least[i]]
+            scores = c[at] @ q[a + i]
+            order = np.lexsort((c_ids[at], -scores))[: cfg.k]
+            out.append((q_ids[a + i], c_ids[at][order], scores[order]))
     return out
 
 
