@@ -29,7 +29,7 @@ class Backoff:
 
     factor: float = 0.4
     leave_out: bool = True
-    block_chars: int = 16_000_000
+    block_chars: int = 8_000_000
 
 
 def _ngrams(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -50,15 +50,19 @@ def _ngrams(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return words, pairs, doc, n
 
 
+def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return ((hashes >> np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
+
+
 def _keys(words: np.ndarray, pairs: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct n-grams of a block in the order of (bucket, hash), their counts and buckets.
 
     The lowest bit of a hash tells words (0) from bigrams (1).
     """
     both, n = np.unique(np.concatenate([words & ~np.uint64(1), pairs[pairs > 0]]), return_counts=True)
-    bucket = (both >> np.uint64(1)) % np.uint64(buckets)
+    bucket = _bucket(both, buckets)
     order = np.argsort(bucket, kind="stable")
-    return both[order], n[order], bucket[order].astype(np.int64)
+    return both[order], n[order], bucket[order]
 
 
 def _ask(buckets: int):
@@ -92,35 +96,29 @@ def _answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     return pa.table({"block": table["block"], "bucket": table["bucket"], "totals": pa.array([x.astype("<u8").tobytes() for x in found], pa.binary())})
 
 
-def _own(values: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """How often each entry's value stands in the entry's document."""
-    order = np.lexsort((values, doc))
-    v, d = values[order], doc[order]
-    new = np.r_[True, (v[1:] != v[:-1]) | (d[1:] != d[:-1])][: len(v)]
-    run = np.cumsum(new) - 1
-    out = np.empty(len(v), dtype=np.int64)
-    out[order] = np.bincount(run)[run] if len(v) else 0
-    return out
+def _own(gram: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
+    """How often each entry's n-gram stands in the entry's document."""
+    _, at, n = np.unique(gram * docs + doc, return_inverse=True, return_counts=True)
+    return n[at]
 
 
 def _score(cfg: Backoff, buckets: int, n_corpus: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         words, pairs, doc, n = _ngrams(docs)
-        hashes, _, _ = _keys(words, pairs, buckets)
+        first = pairs == 0
+        hashes, at = np.unique(np.concatenate([words & ~np.uint64(1), pairs[~first]]), return_inverse=True)
         order = np.argsort(answers["bucket"].to_numpy())
         totals = answers["totals"].to_pylist()
-        totals = np.frombuffer(b"".join(totals[i] for i in order), dtype="<u8").astype(np.int64)
-        by_hash = np.argsort(hashes)
-        known, totals = hashes[by_hash], totals[by_hash]
+        # Answers come in the order of (bucket, hash).
+        counts = np.empty(len(hashes), dtype=np.int64)
+        counts[np.argsort(_bucket(hashes, buckets), kind="stable")] = np.frombuffer(b"".join(totals[i] for i in order), dtype="<u8")
 
-        def counted(keys: np.ndarray) -> np.ndarray:
-            found = totals[np.searchsorted(known, keys)] if len(keys) else np.empty(0, dtype=np.int64)
-            return found - _own(keys, doc) if cfg.leave_out else found
+        def counted(gram: np.ndarray, doc: np.ndarray) -> np.ndarray:
+            return counts[gram] - _own(gram, doc, len(n)) if cfg.leave_out else counts[gram]
 
-        c1 = counted(words & ~np.uint64(1))
-        first = pairs == 0
-        keys = np.where(first, words & ~np.uint64(1), pairs)
-        c2 = np.where(first, 0, counted(keys))
+        c1 = counted(at[: len(words)], doc)
+        c2 = np.zeros_like(c1)
+        c2[~first] = counted(at[len(words) :], doc[~first])
         rest = np.maximum(1, n_corpus - n[doc] * cfg.leave_out).astype(float)
         # A word that nothing else holds counts as one more word, a level down.
         single = np.where(c1 > 0, c1 / rest, cfg.factor / (rest + 1))
