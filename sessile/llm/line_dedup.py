@@ -5,7 +5,9 @@ are variable from the start.  Within a leaf, a token that few documents have at
 its position generalises to a variable field, and what stays constant is the
 line's template.  Position counts are sums, so a leaf grows no state that one
 task has to hold, and the outcome doesn't depend on the order of the lines.
-Templates that enough documents share are dropped but for their first line.
+Templates that enough documents share are dropped but for their first line;
+long ones from two documents on.  Lines that are mostly numbers have no
+template and recur as they stand.
 """
 
 from __future__ import annotations
@@ -26,12 +28,18 @@ class LineDedup:
     """Depth in tokens, documents that make a template recur, constant share of a template.
 
     Lines of fewer than ``least_tokens`` tokens generalise their digits only.
+    Lines of ``long_tokens`` tokens recur from ``long_docs`` documents on; a
+    token takes ``min_docs`` documents to be constant all the same.  With
+    ``numbers``, lines of less than half words recur by their unmasked text.
     """
 
     depth: int = 3
     min_docs: int = 5
     constant: float = 0.75
     least_tokens: int = 6
+    long_tokens: int = 50
+    long_docs: int = 2
+    numbers: bool = True
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -40,43 +48,48 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _lines(docs: DataFrame, cfg: LineDedup) -> DataFrame:
-    """Lines with a word: key, line number, masked tokens joined by a blank, leaf and body hash."""
+    """Lines with a word: key, line number, masked tokens joined by a blank, leaf, hashes of masked and unmasked tokens, tokens, words."""
     lines = docs.select("__id", "__hash", F.posexplode(F.split(F.col("text").cast("string"), "\n", -1)).alias("line_no", "line"))
     lines = lines.filter(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
     line = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", VARIABLE)).otherwise(F.col("line"))
-    lines = lines.withColumn("tokens", F.filter(F.split(line, SPACE, -1), lambda t: t != ""))
+    tokens = lambda c: F.filter(F.split(c, SPACE, -1), lambda t: t != "")
+    lines = lines.withColumns({"tokens": tokens(line), "exact": F.xxhash64(tokens(F.col("line")))})
     leaf = F.xxhash64(F.size("tokens"), F.slice("tokens", 1, cfg.depth))
-    return lines.select("__id", "__hash", "line_no", leaf.alias("leaf"), F.xxhash64("tokens").alias("body"), F.array_join("tokens", " ").alias("masked"))
+    words = F.size("tokens") - F.size(F.filter("tokens", lambda t: t == VARIABLE))
+    return lines.select("__id", "__hash", "line_no", leaf.alias("leaf"), F.xxhash64("tokens").alias("body"), "exact", F.size("tokens").alias("size"), words.alias("words"), F.array_join("tokens", " ").alias("masked"))
 
 
 def recurring_lines(docs: DataFrame, cfg: LineDedup = LineDedup()) -> DataFrame:
     """``(__id, __hash, line_no)`` of every line to drop; ``docs`` has been through ``_keyed``."""
     doc = F.struct("__id", "__hash")
     lines = _lines(docs, cfg)
+    enough = (F.col("docs") >= cfg.min_docs) | ((F.col("size") >= cfg.long_tokens) & (F.col("docs") >= cfg.long_docs))
     # Leaves that few documents reach hold no recurring template.
-    leaves = lines.select("leaf", "__id", "__hash").groupBy("leaf").agg(F.count_distinct(doc).alias("docs")).filter(F.col("docs") >= cfg.min_docs)
-    leaves = materialize(leaves.select("leaf"), "leaves")
+    leaves = lines.select("leaf", "size", "__id", "__hash").groupBy("leaf").agg(F.count_distinct(doc).alias("docs"), F.first("size").alias("size")).filter(enough)
+    leaves = materialize(leaves.select("leaf", (F.col("docs") >= cfg.min_docs).alias("deep")), "leaves")
     lines = materialize(lines.join(leaves, "leaf"), "lines")
 
-    bodies = lines.groupBy("leaf", "body").agg(F.count_distinct(doc).alias("docs"), F.first("masked").alias("masked"))
+    bodies = lines.filter("deep").groupBy("leaf", "body").agg(F.count_distinct(doc).alias("docs"), F.first("masked").alias("masked"))
     tokens = materialize(bodies.select("leaf", "body", "docs", F.posexplode(F.split("masked", " ", -1)).alias("at", "token")), "tokens")
     common = tokens.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("n")).filter((F.col("n") >= cfg.min_docs) & (F.col("token") != VARIABLE))
     tokens = tokens.join(common.select("leaf", "at", "token", F.lit(True).alias("constant")), ["leaf", "at", "token"], "left")
     shape = tokens.groupBy("leaf", "body").agg(
         F.bit_xor(F.xxhash64("at", F.when(F.col("constant"), F.col("token")))).alias("shape"),
         F.count("constant").alias("constants"),
-        F.sum((F.col("token") != VARIABLE).cast("int")).alias("words"),
         F.count("*").alias("size"),
     )
     general = (F.col("size") >= cfg.least_tokens) & (F.col("constants") >= cfg.constant * F.col("size"))
-    # A line without any word but numbers is no template.
-    templates = shape.filter("words * 2 >= size").select("leaf", "body", F.when(general, F.struct(F.lit(1).alias("kind"), F.col("shape"))).otherwise(F.struct(F.lit(0).alias("kind"), F.col("body").alias("shape"))).alias("template"))
     # Written, so that Spark can split the lines of a frequent template where they meet it.
-    templates = materialize(templates, "templates")
-    placed = lines.select("leaf", "body", "__id", "__hash", "line_no").join(templates, ["leaf", "body"]).select("leaf", "template", "__id", "__hash", "line_no")
+    templates = materialize(shape.filter(general).select("leaf", "body", "shape"), "templates")
+    kind = lambda n, c: F.struct(F.lit(n).alias("kind"), F.col(c).alias("shape"))
+    # A line without any word but numbers is no template.
+    own = F.when(F.col("words") * 2 >= F.col("size"), F.when(F.col("shape").isNotNull(), kind(1, "shape")).otherwise(kind(0, "body")))
+    own = own.when(F.lit(cfg.numbers), kind(2, "exact"))
+    placed = lines.select("leaf", "body", "exact", "size", "words", "__id", "__hash", "line_no").join(templates, ["leaf", "body"], "left")
+    placed = placed.select("leaf", own.alias("template"), "exact", "size", "__id", "__hash", "line_no").filter("template is not null")
     placed = materialize(placed, "placed")
-    recurring = placed.groupBy("leaf", "template").agg(F.count_distinct(doc).alias("docs"), F.min(F.struct("__id", "__hash", "line_no")).alias("first"))
-    recurring = materialize(recurring.filter(F.col("docs") >= cfg.min_docs).select("leaf", "template", "first"), "recurring")
+    recurring = placed.groupBy("leaf", "template").agg(F.count_distinct(doc).alias("docs"), F.first("size").alias("size"), F.min(F.struct("__id", "__hash", "line_no")).alias("first"))
+    recurring = materialize(recurring.filter(enough).select("leaf", "template", "first"), "recurring")
     hits = placed.join(recurring, ["leaf", "template"]).filter(~F.struct("__id", "__hash", "line_no").eqNullSafe(F.col("first")))
     return hits.select("__id", "__hash", "line_no")
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sessile.llm import oracles, pii, quality_classifier
 from sessile.llm.host_rules import quality_rules
 from sessile.llm.html_text import extract_text
-from sessile.llm.line_dedup import dedup_lines
+from sessile.llm.line_dedup import LineDedup, dedup_lines
 from sessile.llm.lm_scoring import score_documents
 from sessile.llm.mixing import mixed_report
 from sessile.llm.near_dedup import near_duplicates
@@ -30,10 +30,13 @@ def packing_params() -> Packing:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: lines, dropped lines and their numbers, length and hash of the text that stays."""
+    """Per document: lines, dropped lines and their numbers, length and hash of the text that stays.
+
+    The SQL states 5 documents for every line and leaves out lines that are mostly numbers.
+    """
     docs = _table(spark, sf_dir, "documents")
     n_lines = F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long")
-    out = dedup_lines(docs.select("doc_id", "text", n_lines.alias("n_lines")))
+    out = dedup_lines(docs.select("doc_id", "text", n_lines.alias("n_lines")), LineDedup(long_docs=LineDedup().min_docs, numbers=False))
     numbers = F.array_join(F.sort_array("dropped_lines"), ",")
     return out.select("doc_id", "n_lines", F.size("dropped_lines").cast("long").alias("n_dropped"), numbers.alias("dropped"), F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("kept_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 

@@ -102,3 +102,45 @@ def test_mixed_corpus_has_the_words_that_were_taken(spark, sf, odd_docs):
         for r in report:
             taken[r.doc_id] += r.taken
         assert +words == +taken
+
+
+def plain_lines(rows, cfg=LineDedup()):
+    """Dropped lines ``(doc, line_no)`` of rows with distinct ids, and whether the line that stays has the same words."""
+    lines = [(d, n, tuple(x.encode().split())) for d, t in rows for n, x in enumerate((t or "").split("\n")) if x.encode().split()]
+    mask = lambda w: tuple(b"<*>" if re.search(rb"[0-9]", x) else x for x in w)
+    leaf = lambda m: (len(m), m[: cfg.depth])
+    leaves, bodies, common, found = {}, {}, Counter(), {}
+    for d, _, w in lines:
+        leaves.setdefault(leaf(mask(w)), set()).add(d)
+        bodies.setdefault(mask(w), set()).add(d)
+    for m, docs in bodies.items():
+        for i, x in enumerate(m):
+            common[leaf(m), i, x] += len(docs) * (x != b"<*>" and len(leaves[leaf(m)]) >= cfg.min_docs)
+    for d, n, w in lines:
+        m = mask(w)
+        shape = tuple(x if common[leaf(m), i, x] >= cfg.min_docs else None for i, x in enumerate(m))
+        if sum(x != b"<*>" for x in m) * 2 < len(m):
+            key = ("as it is", w) if cfg.numbers else None
+        else:
+            key = ("general", leaf(m), shape) if len(m) >= cfg.least_tokens and sum(x is not None for x in shape) >= cfg.constant * len(m) else ("masked", m)
+        found.setdefault(key, []).append((d, n, w))
+    out = {}
+    for key, same in found.items():
+        docs = len({d for d, _, _ in same})
+        if key and (docs >= cfg.min_docs or docs >= cfg.long_docs and len(same[0][2]) >= cfg.long_tokens):
+            first = min(same)[2]
+            out |= {(d, n): w == first for d, n, w in sorted(same)[1:]}
+    return out
+
+
+def test_long_lines_recur_from_two_documents_and_numbers_as_they_stand(spark):
+    long, short = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)), "a short line that stands in two documents"
+    docs = [(i, f"{long}\n{short}") for i in (1, 2)] + [(10 + i, f"own {chr(97 + i) * 4}\n1 22 333 total\n{i} 22 333 total") for i in range(6)]
+    got = {r.doc_id: sorted(r.dropped_lines) for r in dedup_lines(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
+    assert got == {1: [], 2: [0], 10: [], 11: [1, 2], **{10 + i: [1] for i in range(2, 6)}}
+
+
+def test_all_lines_match_a_plain_version(spark, sf):
+    df = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    got = {(r.doc_id, n) for r in dedup_lines(df).collect() for n in r.dropped_lines}
+    assert got == set(plain_lines([(r.doc_id, r.text) for r in df.collect()])) and got
