@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessile.llm import quality_classifier
-from sessile.llm.line_dedup import dedup_lines
+from sessile.llm.line_dedup import drop_lines
 from sessile.llm.mixing import mix_documents
 from sessile.llm.near_dedup import drop_near_duplicates
 from sessile.llm.packing import pack_documents
@@ -22,10 +22,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Recurring lines go; so does a document of which no word is left, as each of its lines stays elsewhere."""
-    left = dedup_lines(docs)
-    gone = (F.size("dropped_lines") > 0) & ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    return left.filter(~gone).select(*docs.columns)
+    """Recurring lines go; so does a document of which no word is left, if each of its lines stays elsewhere word for word."""
+    return drop_lines(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

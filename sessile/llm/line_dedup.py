@@ -60,7 +60,7 @@ def _lines(docs: DataFrame, cfg: LineDedup) -> DataFrame:
 
 
 def recurring_lines(docs: DataFrame, cfg: LineDedup = LineDedup()) -> DataFrame:
-    """``(__id, __hash, line_no)`` of every line to drop; ``docs`` has been through ``_keyed``."""
+    """``(__id, __hash, line_no, copy)`` of every line to drop, ``copy`` if the line that stays has the same words; ``docs`` has been through ``_keyed``."""
     doc = F.struct("__id", "__hash")
     lines = _lines(docs, cfg)
     enough = (F.col("docs") >= cfg.min_docs) | ((F.col("size") >= cfg.long_tokens) & (F.col("docs") >= cfg.long_docs))
@@ -88,10 +88,23 @@ def recurring_lines(docs: DataFrame, cfg: LineDedup = LineDedup()) -> DataFrame:
     placed = lines.select("leaf", "body", "exact", "size", "words", "__id", "__hash", "line_no").join(templates, ["leaf", "body"], "left")
     placed = placed.select("leaf", own.alias("template"), "exact", "size", "__id", "__hash", "line_no").filter("template is not null")
     placed = materialize(placed, "placed")
-    recurring = placed.groupBy("leaf", "template").agg(F.count_distinct(doc).alias("docs"), F.first("size").alias("size"), F.min(F.struct("__id", "__hash", "line_no")).alias("first"))
+    recurring = placed.groupBy("leaf", "template").agg(F.count_distinct(doc).alias("docs"), F.first("size").alias("size"), F.min(F.struct("__id", "__hash", "line_no", F.col("exact").alias("stays"))).alias("first"))
     recurring = materialize(recurring.filter(enough).select("leaf", "template", "first"), "recurring")
-    hits = placed.join(recurring, ["leaf", "template"]).filter(~F.struct("__id", "__hash", "line_no").eqNullSafe(F.col("first")))
-    return hits.select("__id", "__hash", "line_no")
+    hits = placed.join(recurring, ["leaf", "template"]).filter(~F.struct("__id", "__hash", "line_no").eqNullSafe(F.struct("first.__id", "first.__hash", "first.line_no")))
+    return hits.select("__id", "__hash", "line_no", (F.col("exact") == F.col("first.stays")).alias("copy"))
+
+
+def _without_lines(docs: DataFrame, cfg: LineDedup) -> DataFrame:
+    """``docs`` with ``__left`` (the text without its recurring lines), ``__dropped`` and ``__copies`` (each dropped line stays elsewhere word for word)."""
+    keyed = _keyed(docs)
+    key = ["__key", "__hash"]
+    gone = recurring_lines(keyed, cfg).select(F.coalesce(F.col("__id").cast("string"), F.lit("")).alias("__key"), "__hash", "line_no", "copy")
+    gone = gone.groupBy(*key).agg(F.collect_set("line_no").alias("__dropped"), F.bool_and("copy").alias("__copies"))
+    out = keyed.withColumn("__key", F.coalesce(F.col("__id").cast("string"), F.lit(""))).join(gone, key, "left")
+    lines = F.split(F.col("text").cast("string"), "\n", -1)
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__dropped"))
+    text = F.transform(F.array(lines), lambda x: F.array_join(F.transform(stay, lambda i: F.get(x, i)), "\n"))[0]
+    return out.withColumn("__left", F.when(F.col("__dropped").isNull(), F.col("text")).otherwise(text))
 
 
 def dedup_lines(docs: DataFrame, cfg: LineDedup = LineDedup()) -> DataFrame:
@@ -101,14 +114,18 @@ def dedup_lines(docs: DataFrame, cfg: LineDedup = LineDedup()) -> DataFrame:
     are one document.  A null text stays null and a wordless one as it is;
     lines without a word are never dropped.  Other columns are kept.
     """
-    keyed = _keyed(docs)
-    key = ["__key", "__hash"]
-    gone = recurring_lines(keyed, cfg).select(F.coalesce(F.col("__id").cast("string"), F.lit("")).alias("__key"), "__hash", "line_no")
-    gone = gone.groupBy(*key).agg(F.collect_set("line_no").alias("dropped_lines"))
-    out = keyed.withColumn("__key", F.coalesce(F.col("__id").cast("string"), F.lit(""))).drop("dropped_lines").join(gone, key, "left")
-    lines = F.split(F.col("text").cast("string"), "\n", -1)
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("dropped_lines"))
-    text = F.transform(F.array(lines), lambda x: F.array_join(F.transform(stay, lambda i: F.get(x, i)), "\n"))[0]
-    out = out.withColumn("text", F.when(F.col("dropped_lines").isNull(), F.col("text")).otherwise(text))
-    out = out.withColumn("dropped_lines", F.coalesce("dropped_lines", F.expr("cast(array() as array<int>)")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns if c != "dropped_lines"], "dropped_lines")
+    out = _without_lines(docs, cfg)
+    columns = [F.col("__left").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns if c != "dropped_lines"]
+    return out.select(*columns, F.coalesce("__dropped", F.expr("cast(array() as array<int>)")).alias("dropped_lines"))
+
+
+def drop_lines(docs: DataFrame, cfg: LineDedup = LineDedup()) -> DataFrame:
+    """``docs`` without recurring lines and without the documents that these leave no word of.
+
+    Such a document goes only if each of its lines equals, word for word, a
+    line that stays; otherwise it keeps its whole text.
+    """
+    out = _without_lines(docs, cfg)
+    emptied = F.col("__dropped").isNotNull() & ~F.coalesce(F.col("__left"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    out = out.filter(~(emptied & F.col("__copies")))
+    return out.select(*[F.when(emptied, F.col("text")).otherwise(F.col("__left")).alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
