@@ -13,11 +13,10 @@ Hot groups.  Documents with equal sets are one class from the start.  In a
 bucket of a band, a member is first held against one representative; only
 members of buckets that still hold several components are compared further,
 across components.  So a bucket of m copies costs m comparisons, and no link
-between documents that share a bucket is lost.  Two bits of each of 2048 further
-coordinates tell unlike pairs apart before their sets are read: at similarity
-0.75 a pair differs in 384 coordinates on average, with a standard deviation of
-17.7, and pairs that differ in more than 455 are left out (one in 30,000 at
-0.75, far fewer above).
+between documents that share a bucket is lost.  A map of 4096 bits, of which
+every element of a set sets one, bounds what two sets can share before they are
+read: each bit that only one of them has stands for an element that the other
+lacks.  The bound leaves out no pair that is similar enough.
 """
 
 from __future__ import annotations
@@ -38,22 +37,21 @@ from sessile.llm.words import WordHashes, chunks, hashed_words, mix, texts_of
 class NearDedup:
     """Parameters: words of a shingle, per cent of similarity, coordinates, coordinates of a band.
 
-    With 288 coordinates in bands of 6, a pair at similarity 0.75 shares no
-    bucket with probability (1 - 0.75**6)**48 < 1e-4, one at 0.3 shares one
-    with probability 0.035.
+    With 378 coordinates in bands of 6, a pair at similarity 0.75 shares no
+    bucket with probability (1 - 0.75**6)**63 < 4.4e-6, one at 0.3 shares one
+    with probability 0.045.
     """
 
     shingle: int = 5
     percent: int = 75
-    bins: int = 288
+    bins: int = 378
     band: int = 6
-    wide: int = 2048
-    wide_apart: int = 455
+    map_bits: int = 4096
 
 
 _SKETCH = "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>"
-#: A node's set, and two bits of each coordinate of its wide sketch.
-_SETS = "node long, elements array<long>, wide array<long>"
+#: A node's set, and the map of bits that its elements set.
+_SETS = "node long, elements array<long>, bits array<long>"
 
 
 def shingle_sets(texts: list[bytes], size: int, known: WordHashes) -> tuple[np.ndarray, np.ndarray]:
@@ -96,6 +94,13 @@ def sketches(elements: np.ndarray, lengths: np.ndarray, bins: int) -> np.ndarray
     return out
 
 
+def bit_maps(elements: np.ndarray, lengths: np.ndarray, bits: int) -> np.ndarray:
+    """One row of ``bits`` bits, packed, for each set: an element sets one bit."""
+    found = np.zeros((len(lengths), bits), dtype=bool)
+    found[np.repeat(np.arange(len(lengths)), lengths), (mix(elements) % np.uint64(bits)).astype(np.int64)] = True
+    return np.packbits(found, axis=1).view(np.int64)
+
+
 def _reduce(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Sum modulo 2**64 of each run of ``values``."""
     total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(values, dtype=np.uint64)])
@@ -140,11 +145,9 @@ def _full_sets(cfg: NearDedup):
                     same = (_reduce(mix(elements), lengths).view(np.int64) == part["fp1"].to_numpy()) & (lengths == part["n_shingles"].to_numpy())
                     offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
                     sets = pa.ListArray.from_arrays(offsets, pa.array(elements.view(np.int64)))
-                    low = sketches(elements, lengths, cfg.wide)
-                    low = np.stack([low & np.uint64(2), low & np.uint64(1)], axis=2).reshape(len(lengths), -1).astype(bool)
-                    packed = np.packbits(low, axis=1).view(np.int64)
-                    wide = pa.ListArray.from_arrays(pa.array(np.arange(len(packed) + 1, dtype=np.int32) * packed.shape[1]), pa.array(packed.reshape(-1)))
-                    out = pa.RecordBatch.from_arrays([part["node"], sets, wide], names=["node", "elements", "wide"])
+                    packed = bit_maps(elements, lengths, cfg.map_bits)
+                    maps = pa.ListArray.from_arrays(pa.array(np.arange(len(packed) + 1, dtype=np.int32) * packed.shape[1]), pa.array(packed.reshape(-1)))
+                    out = pa.RecordBatch.from_arrays([part["node"], sets, maps], names=["node", "elements", "bits"])
                     yield out.filter(pa.array(same))
 
     return run
@@ -203,7 +206,7 @@ def near_duplicates(docs: DataFrame, cfg: NearDedup = NearDedup()) -> DataFrame:
     sets = docs.join(needed, docs.doc_id.eqNullSafe(needed.first_id)).select("node", "fp1", "n_shingles", "text")
     sets = materialize(sets.mapInArrow(_full_sets(cfg), _SETS).dropDuplicates(["node"]), "sets")
 
-    nodes = sets.select("node", F.size("elements").alias("n"), "wide", F.col("node").alias("comp"))
+    nodes = sets.select("node", F.size("elements").alias("n"), "bits", F.col("node").alias("comp"))
 
     def labelled(links: DataFrame) -> DataFrame:
         """The nodes that share a bucket, their components merged by new links: only components that links join are relabelled."""
@@ -216,13 +219,13 @@ def near_duplicates(docs: DataFrame, cfg: NearDedup = NearDedup()) -> DataFrame:
         return df.select(*[F.col(c).alias(name if c == "node" else c if c == "slot" else f"{name}_{c}") for c in df.columns])
 
     def alike() -> Column:
-        def differing(a: Column, b: Column) -> Column:
-            d = a.bitwiseXOR(b)
-            return F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+        def lacking(a: str, b: str) -> Column:
+            """Elements of ``a`` that ``b`` lacks, at least."""
+            return F.aggregate(F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda s, n: s + n)
 
-        apart = F.aggregate(F.zip_with("x_wide", "y_wide", differing), F.lit(0), lambda s, n: s + n)
         x, y = F.col("x_n"), F.col("y_n")
-        return (F.col("x_comp") != F.col("y_comp")) & (100 * F.least(x, y) >= cfg.percent * F.greatest(x, y)) & (apart <= cfg.wide_apart)
+        most = F.least(x - lacking("x_bits", "y_bits"), y - lacking("y_bits", "x_bits"))
+        return (F.col("x_comp") != F.col("y_comp")) & (100 * F.least(x, y) >= cfg.percent * F.greatest(x, y)) & (100 * most >= cfg.percent * (x + y - most))
 
     def pairs_of(found: DataFrame) -> DataFrame:
         return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()

@@ -79,3 +79,26 @@ def test_sketch_fills_and_estimates(size):
     assert (s != np.uint64(2**64 - 1)).all()
     if size >= 50:
         assert abs((s[0] == s[1]).mean() - 1 / 3) < 0.12
+
+
+def test_bands_miss_no_more_than_the_first_ones():
+    cfg = NearDedup()
+    for percent in range(75, 100):
+        s = percent / 100
+        assert (1 - s**cfg.band) ** (cfg.bins // cfg.band) <= (1 - s**4) ** 32
+
+
+@pytest.mark.parametrize("bits", [64, 4096])
+def test_bit_maps_never_hide_what_is_shared(bits):
+    import numpy as np
+
+    from sessile.llm.near_dedup import bit_maps
+
+    rng = random.Random(bits)
+    for size in (1, 30, 400, 5000):
+        both = np.array([rng.getrandbits(64) for _ in range(size + size // 7)], dtype=np.uint64)
+        a, b = both[:size], both[size // 7 :]
+        with np.errstate(over="ignore"):
+            x, y = bit_maps(np.concatenate([a, b]), np.array([len(a), len(b)]), bits)
+        lacking = lambda p, q: sum(int(v).bit_count() for v in (p & ~q).view(np.uint64))
+        assert min(len(a) - lacking(x, y), len(b) - lacking(y, x)) >= len(np.intersect1d(a, b))
