@@ -1,4 +1,4 @@
-"""Stupid-backoff scores of documents under the bigram counts of the whole corpus.
+"""Stupid-backoff scores of documents under the n-gram counts of the whole corpus.
 
 Texts are dealt into blocks of some megabytes by hash.  A block asks for the
 corpus counts of its distinct n-grams, dealt by n-gram hash into buckets; a
@@ -25,16 +25,20 @@ from sessile.llm.words import WordHashes, chunks, hashed_words, mix, texts_of
 @dataclass(frozen=True)
 class Backoff:
     """Backoff factor, whether a document's own n-grams are left out of the counts it is scored by, characters
-    of a block."""
+    of a block, words of the longest n-grams."""
 
     factor: float = 0.4
     leave_out: bool = True
     block_chars: int = 8_000_000
+    order: int = 2
 
 
-def _ngrams(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the words of a block, of the bigrams ending at each word (0 at a text's first), number of the
-    document of each word, words of each document."""
+def _ngrams(table: pa.Table, order: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Of a block: hashes of the n-grams ending at each word, by length from 1, number of the document of each
+    word, its place there, words of each document.
+
+    Where a text has fewer words before, the hash of the longer n-gram means nothing (see ``_keys``).
+    """
     known, flats, counts = WordHashes(), [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
     for batch in table.to_batches():
         for part in chunks(batch, "text"):
@@ -43,32 +47,37 @@ def _ngrams(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
             counts.append(n)
     words, n = np.concatenate(flats), np.concatenate(counts)
     doc = np.repeat(np.arange(len(n)), n)
-    pairs = np.zeros_like(words)
+    place = np.arange(len(words)) - np.repeat(np.cumsum(n) - n, n)
+    grams = [words]
     with np.errstate(over="ignore"):
-        pairs[1:] = mix(words[:-1] * np.uint64(0x9E3779B97F4A7C15) + words[1:]) | np.uint64(1)
-        pairs[np.r_[True, doc[1:] != doc[:-1]][: len(words)]] = 0
-    return words, pairs, doc, n
+        for k in range(2, order + 1):
+            longer = np.zeros_like(words)
+            longer[1:] = mix(grams[-1][:-1] * np.uint64(0x9E3779B97F4A7C15) + words[1:] + np.uint64(k))
+            grams.append(longer)
+    return grams, doc, place, n
 
 
 def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _keys(words: np.ndarray, pairs: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct n-grams of a block in the order of (bucket, hash), their counts and buckets.
+def _all(grams: list[np.ndarray], place: np.ndarray) -> np.ndarray:
+    """The n-grams of a block that lie within a text, one length after another."""
+    return np.concatenate([g[place >= k] for k, g in enumerate(grams)])
 
-    The lowest bit of a hash tells words (0) from bigrams (1).
-    """
-    both, n = np.unique(np.concatenate([words & ~np.uint64(1), pairs[pairs > 0]]), return_counts=True)
-    bucket = _bucket(both, buckets)
-    order = np.argsort(bucket, kind="stable")
-    return both[order], n[order], bucket[order]
+
+def _keys(found: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct n-grams in the order of (bucket, hash), their counts and buckets."""
+    distinct, n = np.unique(found, return_counts=True)
+    bucket = _bucket(distinct, buckets)
+    by = np.argsort(bucket, kind="stable")
+    return distinct[by], n[by], bucket[by]
 
 
-def _ask(buckets: int):
+def _ask(buckets: int, order: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        words, pairs, _, _ = _ngrams(table)
-        hashes, n, bucket = _keys(words, pairs, buckets)
+        grams, _, place, _ = _ngrams(table, order)
+        hashes, n, bucket = _keys(_all(grams, place), buckets)
         starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]][: len(bucket)])
         ends = np.r_[starts[1:], len(bucket)] if len(starts) else starts
         return pa.table(
@@ -104,9 +113,8 @@ def _own(gram: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
 
 def _score(cfg: Backoff, buckets: int, n_corpus: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        words, pairs, doc, n = _ngrams(docs)
-        first = pairs == 0
-        hashes, at = np.unique(np.concatenate([words & ~np.uint64(1), pairs[~first]]), return_inverse=True)
+        grams, doc, place, n = _ngrams(docs, cfg.order)
+        hashes, at = np.unique(_all(grams, place), return_inverse=True)
         order = np.argsort(answers["bucket"].to_numpy())
         totals = answers["totals"].to_pylist()
         # Answers come in the order of (bucket, hash).
@@ -116,22 +124,26 @@ def _score(cfg: Backoff, buckets: int, n_corpus: int):
         def counted(gram: np.ndarray, doc: np.ndarray) -> np.ndarray:
             return counts[gram] - _own(gram, doc, len(n)) if cfg.leave_out else counts[gram]
 
-        c1 = counted(at[: len(words)], doc)
-        c2 = np.zeros_like(c1)
-        c2[~first] = counted(at[len(words) :], doc[~first])
         rest = np.maximum(1, n_corpus - n[doc] * cfg.leave_out).astype(float)
         # A word that nothing else holds counts as one more word, a level down.
-        single = np.where(c1 > 0, c1 / rest, cfg.factor / (rest + 1))
-        context = np.r_[0, c1[:-1]][: len(c1)]
-        pair = c2 / np.maximum(context, 1)
-        score = np.log(np.where(c2 > 0, pair, np.where(first, single, cfg.factor * single)))
+        context = counted(at[: len(doc)], doc)
+        score, pairs_found, start = np.where(context > 0, context / rest, cfg.factor / (rest + 1)), np.zeros(len(doc)), len(doc)
+        for k in range(1, cfg.order):
+            within = place >= k
+            end = start + int(within.sum())
+            c = np.zeros(len(doc), dtype=np.int64)
+            c[within] = counted(at[start:end], doc[within])
+            before = np.r_[0, context[:-1]][: len(context)]
+            score = np.where(c > 0, c / np.maximum(before, 1), np.where(within, cfg.factor * score, score))
+            pairs_found = (c > 0) if k == 1 else pairs_found
+            context, start = c, end
         add = lambda x: np.bincount(doc, weights=x, minlength=len(n)).astype(float)
-        total = add(score)
+        total = add(np.log(score))
         return pa.table(
             {
                 "doc_id": docs["doc_id"],
                 "n_words": pa.array(n),
-                "n_bigrams_found": pa.array(add(c2 > 0).astype(np.int64)),
+                "n_bigrams_found": pa.array(add(pairs_found).astype(np.int64)),
                 "log_score": pa.array(total),
                 "mean_log_score": pa.array(total / np.maximum(n, 1), mask=n == 0),
             }
@@ -143,9 +155,10 @@ def _score(cfg: Backoff, buckets: int, n_corpus: int):
 def score_documents(docs: DataFrame, cfg: Backoff = Backoff()) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_bigrams_found, log_score, mean_log_score.
 
-    Words are lower-cased (A to Z).  S(w | v) is count(v w) / count(v) where
-    the corpus holds v w, else ``factor`` times S(w); S(w) is count(w) / N, or
-    factor / (N + 1) where the corpus lacks w; a text's first word has S(w).
+    Words are lower-cased (A to Z).  v are the ``order - 1`` words before w, or
+    as many as the text has.  S(w | v) is count(v w) / count(v) where the corpus
+    holds v w, else ``factor`` times S(w | v without its first word); S(w) is
+    count(w) / N, or factor / (N + 1) where the corpus lacks w.
     With ``leave_out``, counts and N are those of all other rows.  A null or
     wordless text has score 0 and no mean.  Repeated rows are rows of their
     own; columns but doc_id and text are left out; an empty table gives no rows.
@@ -154,7 +167,7 @@ def score_documents(docs: DataFrame, cfg: Backoff = Backoff()) -> DataFrame:
     size = docs.agg(F.sum(F.length("text")).alias("chars"), F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))).alias("words")).first()
     blocks = max(1, -(-(size["chars"] or 0) // cfg.block_chars))
     docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)))
-    asked = docs.groupBy("block").applyInArrow(_ask(blocks), "bucket long, block long, hashes binary, counts binary")
+    asked = docs.groupBy("block").applyInArrow(_ask(blocks, cfg.order), "bucket long, block long, hashes binary, counts binary")
     answers = asked.groupBy("bucket").applyInArrow(_answer, "block long, bucket long, totals binary")
     schema = "doc_id long, n_words long, n_bigrams_found long, log_score double, mean_log_score double"
     return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(cfg, blocks, size["words"] or 0), schema)

@@ -12,7 +12,7 @@ from sessile.llm import oracles, pii, quality_classifier
 from sessile.llm.host_rules import quality_rules
 from sessile.llm.html_text import extract_text
 from sessile.llm.line_dedup import LineDedup, dedup_lines
-from sessile.llm.lm_scoring import score_documents
+from sessile.llm.lm_scoring import Backoff, score_documents
 from sessile.llm.mixing import mixed_report
 from sessile.llm.near_dedup import near_duplicates
 from sessile.llm.packing import Packing, pack_documents
@@ -51,7 +51,7 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_documents(_table(spark, sf_dir, "documents"))
+    return score_documents(_table(spark, sf_dir, "documents"), Backoff(order=3))
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -89,3 +89,34 @@ def test_signatures_bound_the_inner_product():
         bound = signature(a, n) @ signature(b, n).T
         assert (bound >= a @ b.T - 1e-6).all() and (last is None or bound.sum() <= last + 1e-6)
         last = bound.sum()
+
+
+def brute_scores_of_order(rows, order, leave_out, factor=0.4):
+    words = [(t or "").encode().lower().split() for _, t in rows]
+    grams = lambda w: Counter(tuple(w[i : i + k]) for k in range(1, order + 1) for i in range(len(w) - k + 1))
+    every, out = Counter(), []
+    for w in words:
+        every.update(grams(w))
+    total = sum(map(len, words))
+    for (doc_id, _), w in zip(rows, words, strict=True):
+        own, score = grams(w) if leave_out else Counter(), 0.0
+        n = max(1, total - len(w) * leave_out)
+        for i in range(len(w)):
+            one, weight = every[(w[i],)] - own[(w[i],)], 1.0
+            s = one / n if one else factor / (n + 1)
+            for k in range(min(order, i + 1), 1, -1):
+                g = tuple(w[i - k + 1 : i + 1])
+                if every[g] > own[g]:
+                    s = (every[g] - own[g]) / max(1, every[g[:-1]] - own[g[:-1]])
+                    break
+                weight *= factor
+            score += math.log(weight * s)
+        out.append((str(doc_id), len(w), round(score, 5)))
+    return sorted(out)
+
+
+def test_backoff_of_higher_orders(spark, sf, odd_docs):
+    for df, order, leave_out in ((spark.read.parquet(f"{sf}/documents.parquet"), 3, True), (odd_docs, 4, True), (odd_docs, 3, False)):
+        rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+        got = score_documents(df, Backoff(block_chars=50_000, order=order, leave_out=leave_out)).collect()
+        assert sorted((str(r.doc_id), r.n_words, round(r.log_score, 5)) for r in got) == brute_scores_of_order(rows, order, leave_out)
