@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sessile.llm import quality_classifier
 from sessile.llm.line_dedup import drop_lines
-from sessile.llm.mixing import mix_documents
+from sessile.llm.mixing import Mix, mix_documents
 from sessile.llm.near_dedup import drop_near_duplicates
 from sessile.llm.packing import pack_documents
 from sessile.llm.queries import packing_params
@@ -32,8 +32,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their source's target asks for, in training order."""
-    return mix_documents(docs)
+    """Documents as often as their source's target asks for, in training order; none is cut."""
+    return mix_documents(docs, Mix(whole=True))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

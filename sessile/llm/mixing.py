@@ -28,12 +28,15 @@ class Mix:
 
     Source number k has weight ``weights[k % len(weights)]`` and at time t the
     share ``1 + slopes[k % len(slopes)] * (2 t - 1)`` of its mean weight.
+    With ``whole``, the document in which a target ends is read to its end or
+    not at all, whichever is nearer to the target.
     """
 
     weights: tuple[float, ...] = (1.0, 2.0, 3.0)
     most: float = 3.0
     slopes: tuple[float, ...] = field(default=(-0.5, 0.0, 0.5))
     bucket_docs: int = 4096
+    whole: bool = False
 
 
 def _cycled(values: tuple[float, ...], k: Column) -> Column:
@@ -76,8 +79,8 @@ def plan_mix(docs: DataFrame, cfg: Mix = Mix(), keys: list[str] | None = None) -
 
     ``place`` is the number of words before the document in its source's
     order.  The mix reads that order round and round and stops at the rounded
-    target, so ``taken`` sums up to it and is at most ``most`` (rounded up)
-    times the size.  Null texts have no words and are never taken; a null
+    target, so ``taken`` sums up to it (with ``cfg.whole``, to within half of
+    the last document) and is at most ``most`` (rounded up) times the size.  Null texts have no words and are never taken; a null
     source is a source; rows with the same id, source and size are
     interchangeable.  An empty table, or one without words, takes nothing.
     """
@@ -101,7 +104,10 @@ def plan_mix(docs: DataFrame, cfg: Mix = Mix(), keys: list[str] | None = None) -
     goal = F.round("target").cast("long")
     rounds = F.when(F.col("source_size") > 0, F.floor(goal / F.col("source_size"))).otherwise(F.lit(0))
     rest = goal - rounds * F.col("source_size")
-    taken = rounds * F.col("size") + F.least(F.col("size"), F.greatest(F.lit(0), rest - F.col("place")))
+    due = F.least(F.col("size"), F.greatest(F.lit(0), rest - F.col("place")))
+    if cfg.whole:
+        due = F.when(2 * due >= F.col("size"), F.col("size")).otherwise(F.lit(0))
+    taken = rounds * F.col("size") + due
     return rows.withColumn("taken", taken.cast("long")).select("doc_id", *keys, "size", "source", "source_size", "target", "taken", "place", "slope")
 
 
@@ -129,7 +135,7 @@ def mix_documents(docs: DataFrame, cfg: Mix = Mix()) -> DataFrame:
 
     Columns are those of ``docs``.  Where a source's target ends within a
     document, that last reading is cut after the words still due (one document
-    of each source at most).
+    of each source at most), unless ``cfg.whole``, which cuts none.
     """
     columns = docs.columns
     # Rows are told apart by all of their columns; equal rows become one, which is read for all of them.

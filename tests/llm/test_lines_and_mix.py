@@ -144,3 +144,22 @@ def test_all_lines_match_a_plain_version(spark, sf):
     df = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     got = {(r.doc_id, n) for r in dedup_lines(df).collect() for n in r.dropped_lines}
     assert got == set(plain_lines([(r.doc_id, r.text) for r in df.collect()])) and got
+
+
+def test_whole_documents_are_mixed(spark, sf, odd_docs):
+    count = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    small = spark.createDataFrame([(i, "a b\n\nc  " * n, s) for i, (n, s) in enumerate([(5, "a"), (500, "b"), (300, "b"), (1, "c"), (40, None), (0, "d")])], "doc_id long, text string, source string")
+    for df in (spark.read.parquet(f"{sf}/documents.parquet"), small, odd_docs):
+        rows = df.select("doc_id", "text", "source").collect()
+        sizes, largest, taken = Counter({r.source: 0 for r in rows}), Counter(), Counter()
+        for r in rows:
+            sizes[r.source] += count(r.text)
+            largest[r.source] = max(largest[r.source], count(r.text))
+        read = Counter((r.doc_id, r.text, r.source) for r in mix_documents(df, Mix(bucket_docs=16, whole=True)).select("doc_id", "text", "source").collect())
+        assert set(read) <= {(r.doc_id, r.text, r.source) for r in rows}
+        given = Counter((r.doc_id, r.text, r.source) for r in rows)
+        assert all(n <= 3 * given[k] for k, n in read.items())
+        for (_, text, source), n in read.items():
+            taken[source] += n * count(text)
+        target = expected_targets(sizes)
+        assert all(abs(taken[s] - target[s]) <= largest[s] / 2 + 0.51 for s in target)
