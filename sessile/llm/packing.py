@@ -1,11 +1,13 @@
 """Packing token sequences by bounded-space online best-fit.
 
 Documents become tokens and are cut into pieces that fit a sequence.  A task
-packs the pieces that reach it, in the order of a hash: a piece goes to the
+packs the pieces that reach it, one after another from the longest to the
+shortest, which leaves the fewest sequences part empty: a piece goes to the
 open bin that it leaves the least space in, found in a bitset keyed by free
 space.  The number of open bins is fixed; to open another one, the fullest
-closes.  Pieces without their tokens are a few dozen bytes, so a task packs
-those of very many documents and the few bins that it ends with hardly count.
+closes.  Pieces are dealt out evenly, whatever they hold, and without their
+tokens are a few dozen bytes, so a task packs very many of them and the few
+bins that it ends with hardly count.
 """
 
 from __future__ import annotations
@@ -23,13 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from sessile.llm.storage import materialize
 from sessile.llm.words import chunks
 
 
 @dataclass(frozen=True)
 class Packing:
     """Vocabulary: the JSON of ``tokenizers`` and the same one as ranks, with its pattern; end id, sequence
-    length, open bins of a task, documents of a task."""
+    length, open bins of a task, pieces of a task, blanks or letters in a row from which the ranks form isn't used."""
 
     json_path: str
     ranks_path: str
@@ -37,14 +40,17 @@ class Packing:
     end_id: int = 2
     length: int = 1024
     open_bins: int = 1024
-    task_docs: int = 200_000
+    task_pieces: int = 400_000
+    long_run: int = 2_000
 
 
 class Encoder:
     """Ids as ``tokenizers`` gives them.
 
     The same vocabulary read as ranks gives the same ids several times as
-    fast; texts that hold a special token's string go to ``tokenizers``.
+    fast.  Texts that hold a special token's string go to ``tokenizers``, and
+    so do those with long runs of blanks or of other characters, which the
+    pattern of the ranks form takes a stack frame a character for.
     """
 
     def __init__(self, cfg: Packing) -> None:
@@ -53,9 +59,17 @@ class Encoder:
         self.fast = tiktoken.Encoding("ranks", pat_str=cfg.pattern, mergeable_ranks=ranks, special_tokens={})
         self.exact = Tokenizer.from_file(cfg.json_path)
         self.special = [t.content for t in self.exact.get_added_tokens_decoder().values()]
+        self.long_run = cfg.long_run
+
+    def _has_long_run(self, text: str) -> bool:
+        if len(text) < self.long_run:
+            return False
+        sizes = [len(w) for w in text.split()]
+        # Blanks beyond one between two words; a run of them is no longer than that.
+        return max(sizes, default=0) >= self.long_run or len(text) - sum(sizes) - len(sizes) + 1 >= self.long_run
 
     def __call__(self, text: str) -> list[int]:
-        if any(s in text for s in self.special):
+        if self._has_long_run(text) or any(s in text for s in self.special):
             return self.exact.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)
 
@@ -136,19 +150,24 @@ def _packed(cfg: Packing):
     return run
 
 
-def pack(pieces: DataFrame, cfg: Packing, n_docs: int) -> DataFrame:
+def pack(pieces: DataFrame, cfg: Packing) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``; no sequence is longer than ``length``.
 
-    Pieces are dealt by hash and ordered by hash within a task, so that a task
-    that runs again gives the same bins.
+    ``pieces`` is a written table, which is dealt out row by row, so that equal
+    rows don't meet in one task and a task that runs again gives the same bins.
     """
     key = ["doc_id", "piece", "ids_crc32"]
-    tasks = max(1, -(-n_docs // cfg.task_docs))
-    dealt = pieces.repartition(tasks, *key).sortWithinPartitions(F.xxhash64(*key), *key)
+    tasks = max(1, -(-pieces.count() // cfg.task_pieces))
+    dealt = pieces.repartition(tasks).sortWithinPartitions(F.desc("length"), F.xxhash64(*key), *key)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
     return dealt.mapInArrow(_packed(cfg), schema)
 
 
 def pack_documents(docs: DataFrame, cfg: Packing, with_ids: bool = False) -> DataFrame:
-    """Every piece of ``docs`` with its place; an empty table gives no rows."""
-    return pack(tokenized_pieces(docs, cfg, with_ids), cfg, docs.count())
+    """Every piece of every row of ``docs`` with its place.
+
+    Reads doc_id and text alone.  A null or empty text is the end id alone; a
+    null id stays null; rows that repeat an id or a text are packed each for
+    itself; an empty table gives no rows.
+    """
+    return pack(materialize(tokenized_pieces(docs, cfg, with_ids), "pieces"), cfg)
