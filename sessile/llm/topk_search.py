@@ -1,19 +1,25 @@
 """Exact top-k by inner product, pruned with segment statistics from coarse to fine.
 
-A vector is cut into 1, 4 and 16 segments.  With a segment's mean m and
-deviation s in both vectors, their inner product over its n components is at
-most n (m m' + s s'), so sums over segments bound the score from above (and the
-distance from below), the tighter the finer.  A query takes a first k-th score
-from the candidates with the best bounds, drops what a level's bound excludes,
-and computes exact integer scores for the survivors of the last level.
-
-Queries and candidates meet as blocks of fixed size: block g of the queries and
-block p of the candidates in the task of (g, p).  Every task gives at most k
-rows a query.
+Vectors are first turned by an orthogonal basis of decreasing variance, which
+leaves inner products as they are.  A level cuts the turned vectors into
+segments of about equal variance, so that few components that vary much, or
+many that vary little, share one.  With a segment's mean m and deviation s in
+both vectors, their inner product over its n components is at most
+n (m m' + s s'); sums over segments bound the score from above (and the distance
+from below), the tighter the finer.  A level looks at what the former left.
+Survivors of the last level get exact integer scores.
+
+Vectors lie in cells by the signs of their leading components, and a cell in
+blocks of fixed size.  A query first searches its own cell, which gives it a
+k-th score; then it goes to those cells alone whose extremes allow more, and
+takes that score along as the least to reach.  Cells are at most 256, so their
+extremes have a fixed size, as has the basis.  Every task meets a block of
+queries with a block of candidates and gives at most k rows a query.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,13 +27,18 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sessile.llm.storage import materialize
+
 
 @dataclass(frozen=True)
 class TopK:
-    """Number of results, segments of each level, queries and candidates of a block, queries bounded at a time."""
+    """Number of results, segments of each level as a share of the components, candidates (times ``k``) that a level
+    scores for a k-th score, most sign bits of a cell, queries and candidates of a block, queries bounded at a time."""
 
     k: int = 20
-    levels: tuple[int, ...] = (1, 4, 16)
+    levels: tuple[float, ...] = (1 / 8, 1 / 2, 3 / 4, 7 / 8)
+    probes: int = 3
+    cell_bits: int = 8
     query_block: int = 2048
     candidate_block: int = 8192
     chunk: int = 128
@@ -40,56 +51,192 @@ def scaled(embedding: Column) -> Column:
     return F.when(~bad, F.transform(values, lambda x: F.floor(x * 64).cast("long")))
 
 
-def signature(vectors: np.ndarray, segments: int) -> np.ndarray:
+def cuts(variance: np.ndarray, segments: int) -> np.ndarray:
+    """First components of segments of about equal variance; every segment has one component at least."""
+    n = len(variance)
+    segments = max(1, min(segments, n))
+    share = np.cumsum(variance) / max(float(variance.sum()), 1e-300)
+    starts = np.searchsorted(share, np.arange(segments) / segments, side="right")
+    # Strictly rising, with room for those that follow.
+    for i in range(1, segments):
+        starts[i] = max(starts[i], starts[i - 1] + 1)
+    return np.minimum(np.r_[0, starts[1:]], n - segments + np.arange(segments)).astype(int)
+
+
+def signature(vectors: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Means and deviations by segment, each times the root of its length: inner products of these are bounds."""
-    parts = [p for p in np.array_split(vectors.astype(float), segments, axis=1) if p.shape[1]]
-    stats = [(p.mean(axis=1) * np.sqrt(p.shape[1]), p.std(axis=1) * np.sqrt(p.shape[1])) for p in parts]
-    return np.stack([x for pair in stats for x in pair], axis=1) if stats else np.zeros((len(vectors), 1))
+    if not vectors.shape[1]:
+        return np.zeros((len(vectors), 2))
+    size = np.diff(np.r_[starts, vectors.shape[1]])
+    mean = np.add.reduceat(vectors, starts, axis=1) / size
+    square = np.add.reduceat((vectors - np.repeat(mean, size, axis=1)) ** 2, starts, axis=1)
+    return np.hstack([mean * np.sqrt(size), np.sqrt(square)])
+
+
+class Index:
+    """What all tasks share: the basis, the segments of each level, the cells and their extremes. Its size is fixed."""
+
+    def __init__(self, basis: np.ndarray, variance: np.ndarray, cfg: TopK, bits: int) -> None:
+        n = len(variance)
+        self.basis, self.levels = basis, [cuts(variance, round(n * share)) for share in cfg.levels] if n else [np.zeros(1, int)]
+        self.bits = min(bits, n)
+        self.low = self.high = np.empty((0, 0))
+        self.cells = np.empty(0, np.int64)
+
+    def turned(self, vectors: np.ndarray) -> np.ndarray:
+        return vectors.astype(float) @ self.basis
 
+    def cell_of(self, turned: np.ndarray) -> np.ndarray:
+        return ((turned[:, : self.bits] > 0) << np.arange(self.bits)).sum(axis=1)
 
-def search_block(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, cfg: TopK) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query the ids and scores of its best candidates in this block, best first."""
-    of_q, of_c = ([signature(v, s) for s in cfg.levels] for v in (q, c))
-    coarse, fine = range(len(cfg.levels) - 1), len(cfg.levels) - 1
-    out = []
+    def bounds_of_cells(self, turned: np.ndarray) -> np.ndarray:
+        """Most that each query can score in each cell, from the least and greatest statistics of the cell's vectors."""
+        q = signature(turned, self.levels[0])
+        return np.maximum(q[:, None, :] * self.low[None], q[:, None, :] * self.high[None]).sum(axis=2)
+
+
+def search_block(q_ids: np.ndarray, q: np.ndarray, least: np.ndarray, c_ids: np.ndarray, c: np.ndarray, index: Index, cfg: TopK) -> tuple[list[tuple[int, np.ndarray, np.ndarray]], np.ndarray]:
+    """For each query the ids and scores of its best candidates in this block, of those that score ``least`` or
+    more; best first.  Also the numbers of pairs that each level, and at first all of them, left."""
+    turned_q, turned_c = index.turned(q), index.turned(c)
+    of_q, of_c = ([signature(v, s) for s in index.levels] for v in (turned_q, turned_c))
+    # Scores are integers; half a unit is far more than what rounding adds to a bound.
+    slack = 0.5 + 1e-9 * float(np.linalg.norm(q, axis=1).max(initial=0)) * float(np.linalg.norm(c, axis=1).max(initial=0))
+    out, left = [], np.zeros(len(index.levels) + 1, dtype=np.int64)
+    least, probe = least.astype(float).copy(), cfg.probes * cfg.k
     for a in range(0, len(q), cfg.chunk):
-        rows = slice(a, a + cfg.chunk)
-        bounds = [of_q[k][rows] @ of_c[k].T for k in coarse or [fine]]
-        other = c_ids[None, :] != q_ids[rows, None]
-        alive = other.copy()
-        if len(c) > cfg.k + 1:
-            # A first k-th score, from the candidates that the finest of these bounds puts first.
-            guess = np.where(other, bounds[-1], -np.inf)
-            best = np.argpartition(guess, -cfg.k, axis=1)[:, -cfg.k :]
-            first = np.where(np.take_along_axis(other, best, axis=1), np.einsum("qkd,qd->qk", c[best], q[rows]), np.iinfo(np.int64).min // 2)
-            # Scores are integers; half a unit is far more than what rounding adds to a bound.
-            least = first.min(axis=1) - 0.5 - 1e-9 * np.abs(bounds[-1]).max(axis=1)
-            for bound in bounds:
-                alive &= bound >= least[:, None]
-        for i, mask in enumerate(alive):
-            at = np.flatnonzero(mask)
-            if len(at) > cfg.k and len(c) > cfg.k + 1:
-                at = at[of_c[fine][at] @ of_q[fine][a + i] >= least[i]]
-            scores = c[at] @ q[a + i]
+        rows = np.arange(a, min(a + cfg.chunk, len(q)))
+        alive = c_ids[None, :] != q_ids[rows, None]
+        left[0] += alive.sum()
+        dense = True
+        for level, starts in enumerate(index.levels):
+            means = max(1, len(starts))
+            if dense:
+                guess = of_q[level][rows, :means] @ of_c[level][:, :means].T
+                if len(c) > probe:
+                    # A k-th score, from the candidates that the means alone put first.
+                    best = np.argpartition(np.where(alive, guess, -np.inf), -probe, axis=1)[:, -probe:]
+                    exact = np.einsum("qkd,qd->qk", c[best], q[rows]).astype(float)
+                    exact = np.where(np.take_along_axis(alive, best, axis=1), exact, -np.inf)
+                    least[rows] = np.maximum(least[rows], np.partition(exact, -cfg.k, axis=1)[:, -cfg.k])
+                alive &= guess + of_q[level][rows, means:] @ of_c[level][:, means:].T >= least[rows, None] - slack
+                dense = alive.mean() > 0.25
+            else:
+                for i, row in enumerate(rows):
+                    at = np.flatnonzero(alive[i])
+                    alive[i, at[of_c[level][at] @ of_q[level][row] < least[row] - slack]] = False
+            left[level + 1] += alive.sum()
+        for i, row in enumerate(rows):
+            at = np.flatnonzero(alive[i])
+            scores = c[at] @ q[row]
+            keep = scores >= least[row]
+            at, scores = at[keep], scores[keep]
             order = np.lexsort((c_ids[at], -scores))[: cfg.k]
-            out.append((q_ids[a + i], c_ids[at][order], scores[order]))
-    return out
+            out.append((q_ids[row], c_ids[at][order], scores[order]))
+    return out, left
 
 
-def _search(cfg: TopK):
+def _search(index: Index, size: int, cfg: TopK):
     def run(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for size, q in queries.groupby(queries["vector"].map(len)):
-            c = candidates[candidates["vector"].map(len) == size]
-            if len(c):
-                stack = lambda d: np.stack(d["vector"].to_numpy()).astype(np.int64).reshape(len(d), size)
-                rows += search_block(q["vec_id"].to_numpy(), stack(q), c["vec_id"].to_numpy(), stack(c), cfg)
-        ids = [np.concatenate(x) if rows else np.empty(0, np.int64) for x in (([[o] * len(v) for o, v, _ in rows]), [v for _, v, _ in rows], [s for *_, s in rows])]
-        return pd.DataFrame({"query_id": ids[0].astype(np.int64), "vec_id": ids[1], "score": ids[2]})
+        none = pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0, np.int64)})
+        if queries.empty or candidates.empty:
+            return none
+        stack = lambda v: np.stack(v.to_numpy()).astype(np.int64).reshape(len(v), size)
+        rows, _ = search_block(queries["vec_id"].to_numpy(), stack(queries["vector"]), queries["least"].to_numpy(), candidates["c_id"].to_numpy(), stack(candidates["c_vector"]), index, cfg)
+        parts = [np.concatenate(x) for x in ([np.full(len(v), o) for o, v, _ in rows], [v for _, v, _ in rows], [s for *_, s in rows])]
+        return pd.DataFrame(dict(zip(none.columns, parts, strict=True)), dtype=np.int64)
+
+    return run
+
+
+def _moments(size: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((size + 1, size + 1))
+        for pdf in batches:
+            if len(pdf):
+                x = np.hstack([np.ones((len(pdf), 1)), np.stack(pdf["vector"].to_numpy()).astype(float).reshape(len(pdf), size)])
+                total += x.T @ x
+        yield pd.DataFrame({"i": np.arange(size + 1), "part": list(total)})
 
     return run
 
 
+def _extremes(index: Index, size: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                turned = index.turned(np.stack(pdf["vector"].to_numpy()).reshape(len(pdf), size))
+                stats = pd.DataFrame(signature(turned, index.levels[0])).groupby(index.cell_of(turned))
+                low, high = stats.min(), stats.max()
+                yield pd.DataFrame({"cell": low.index.to_numpy(np.int32), "n": stats.size().to_numpy(np.int64), "low": list(low.to_numpy()), "high": list(high.to_numpy())})
+
+    return run
+
+
+def _added(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"i": pdf["i"].iloc[:1], "part": [np.sum(np.stack(pdf["part"].to_numpy()), axis=0)]})
+
+
+def _widest(pdf: pd.DataFrame) -> pd.DataFrame:
+    low, high = np.min(np.stack(pdf["low"].to_numpy()), axis=0), np.max(np.stack(pdf["high"].to_numpy()), axis=0)
+    return pd.DataFrame({"cell": pdf["cell"].iloc[:1], "n": [int(pdf["n"].sum())], "low": [low], "high": [high]})
+
+
+def _fit(rows: DataFrame, size: int, n: int, cfg: TopK) -> tuple[Index, dict[int, int]]:
+    """The index over all ``rows`` and the number of vectors of each cell; partitions add up what reaches the driver."""
+    parts = rows.select("vector").mapInPandas(_moments(size), "i int, part array<double>").groupBy("i").applyInPandas(_added, "i int, part array<double>").orderBy("i").collect()
+    sums = np.array([r["part"] for r in parts]).reshape(size + 1, size + 1)
+    mean = sums[0, 1:] / max(n, 1)
+    variance, basis = np.linalg.eigh(sums[1:, 1:] / max(n, 1) - np.outer(mean, mean)) if size else (np.empty(0), np.empty((0, 0)))
+    bits = min(cfg.cell_bits, max(0, int(np.log2(max(1, n / cfg.candidate_block)))))
+    index = Index(basis[:, ::-1], np.maximum(variance[::-1], 0), cfg, bits)
+    shape = "cell int, n long, low array<double>, high array<double>"
+    cells = rows.select("vector").mapInPandas(_extremes(index, size), shape).groupBy("cell").applyInPandas(_widest, shape).orderBy("cell").collect()
+    index.cells = np.array([r["cell"] for r in cells], np.int64)
+    index.low, index.high = (np.array([r[c] for r in cells]) for c in ("low", "high"))
+    return index, {r["cell"]: -(-r["n"] // cfg.candidate_block) for r in cells}
+
+
+def _top_k(rows: DataFrame, size: int, n: int, n_queries: int, cfg: TopK) -> DataFrame:
+    """``top_k`` of the ``n`` vectors of one length, ``n_queries`` of them queries."""
+    index, blocks = _fit(rows, size, n, cfg)
+    place = lambda count: F.pmod(F.xxhash64("vec_id"), count).cast("int")
+    of = lambda v: np.stack(v.to_numpy()).reshape(len(v), size)
+    cell = F.pandas_udf(lambda v: pd.Series(index.cell_of(index.turned(of(v))) if len(v) else [], dtype="int32"), "int")
+    n_blocks = F.element_at(F.create_map(*[F.lit(x) for pair in blocks.items() for x in pair]), F.col("cell"))
+    rows = materialize(rows.withColumn("cell", cell("vector")), "vectors")
+    candidates = rows.select(F.col("vec_id").alias("c_id"), F.col("vector").alias("c_vector"), F.col("cell").alias("c_cell"), place(n_blocks).alias("c_p"))
+    queries = rows.filter("is_query")
+    groups = F.lit(max(1, -(-n_queries // cfg.query_block)))
+
+    def searched(asked: DataFrame) -> DataFrame:
+        """Results of the queries in their cells' blocks."""
+        asked = asked.withColumn("p", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
+        pairs = asked.select("vec_id", "vector", "least", "cell", "p", place(groups).alias("g"))
+        every = pairs.select(F.col("cell").alias("of_cell"), F.col("p").alias("of_p"), F.col("g").alias("of_g")).distinct()
+        dealt = candidates.join(every, (F.col("c_cell") == F.col("of_cell")) & (F.col("c_p") == F.col("of_p"))).select("c_id", "c_vector", "of_cell", "of_p", "of_g")
+        found = pairs.groupBy("cell", "p", "g").cogroup(dealt.groupBy("of_cell", "of_p", "of_g"))
+        return found.applyInPandas(_search(index, size, cfg), "query_id long, vec_id long, score long")
+
+    own = materialize(searched(queries.withColumn("least", F.lit(float("-inf")))), "own")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    reached = own.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") == cfg.k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("least"))
+
+    def further(vector: pd.Series, cell: pd.Series, least: pd.Series) -> pd.Series:
+        if not len(vector):
+            return pd.Series([], dtype=object)
+        turned = index.turned(of(vector))
+        slack = 0.5 + 1e-9 * np.abs(index.bounds_of_cells(turned)).max(axis=1)
+        allowed = (index.bounds_of_cells(turned) >= (least.to_numpy() - slack)[:, None]) & (index.cells[None, :] != cell.to_numpy()[:, None])
+        return pd.Series([index.cells[a].astype(np.int32) for a in allowed])
+
+    if len(blocks) == 1:
+        return own
+    asked = queries.join(reached, "vec_id", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
+    asked = asked.withColumn("cell", F.explode(F.pandas_udf(further, "array<int>")("vector", "cell", "least")))
+    return own.unionByName(searched(asked))
+
+
 def top_k(vectors: DataFrame, is_query: Column, cfg: TopK = TopK()) -> DataFrame:
     """``query_id, rank, vec_id, score`` of each query's ``k`` best among all other vectors.
 
@@ -97,15 +244,17 @@ def top_k(vectors: DataFrame, is_query: Column, cfg: TopK = TopK()) -> DataFrame
     marks the queries.  Rows with a null id or vector take no part, rows that
     repeat id and vector count once, vectors of another length than the
     query's are no candidates, and neither is the query's own id.  Equal scores
-    go to the smaller id.
+    go to the smaller id.  An empty table gives no rows.  Vectors of each
+    length are searched for themselves; lengths are few.
     """
-    rows = vectors.filter("vec_id is not null and vector is not null").select(F.col("vec_id").cast("long").alias("vec_id"), "vector", is_query.alias("is_query")).distinct()
-    n = rows.agg(F.count("*").alias("all"), F.count_if("is_query").alias("queries")).first()
-    p, g = max(1, -(-n["all"] // cfg.candidate_block)), max(1, -(-n["queries"] // cfg.query_block))
-    place = lambda size: F.pmod(F.xxhash64("vec_id"), F.lit(size)).cast("int")
-    every = lambda size: F.explode(F.sequence(F.lit(0), F.lit(size - 1)))
-    candidates = rows.select("vec_id", "vector", place(p).alias("p"), every(g).alias("g"))
-    queries = rows.filter("is_query").select("vec_id", "vector", every(p).alias("p"), place(g).alias("g"))
-    found = queries.groupBy("p", "g").cogroup(candidates.groupBy("p", "g")).applyInPandas(_search(cfg), "query_id long, vec_id long, score long")
+    rows = vectors.filter("vec_id is not null and vector is not null").select(F.col("vec_id").cast("long").alias("vec_id"), "vector", F.coalesce(is_query, F.lit(False)).alias("is_query")).distinct()
+    rows = materialize(rows, "all")
+    lengths = rows.groupBy(F.size("vector").alias("size")).agg(F.count("*").alias("n"), F.count_if("is_query").alias("asked")).filter("asked > 0").collect()
+    found = None
+    for r in lengths:
+        part = _top_k(rows.filter(F.size("vector") == r["size"]), r["size"], r["n"], r["asked"], cfg)
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = rows.select(F.col("vec_id").alias("query_id"), "vec_id", F.lit(0).cast("long").alias("score")).filter(F.lit(False))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= cfg.k).select("query_id", "rank", "vec_id", "score")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sessile.llm import quality_classifier as qc
 from sessile.llm.lm_scoring import Backoff, score_documents
 from sessile.llm.queries import op2_quality_classifier
-from sessile.llm.topk_search import TopK, scaled, signature, top_k
+from sessile.llm.topk_search import Index, TopK, cuts, scaled, search_block, signature, top_k
 
 
 def test_held_out_accuracy(spark):
@@ -86,9 +86,51 @@ def test_signatures_bound_the_inner_product():
     a, b = rng.integers(-60, 60, size=(50, 64)), rng.integers(-60, 60, size=(60, 64))
     last = None
     for n in (1, 4, 16, 64):
-        bound = signature(a, n) @ signature(b, n).T
+        starts = cuts(np.ones(64), n)
+        bound = signature(a, starts) @ signature(b, starts).T
         assert (bound >= a @ b.T - 1e-6).all() and (last is None or bound.sum() <= last + 1e-6)
         last = bound.sum()
+    assert np.allclose(last, (a @ b.T).sum())
+
+
+def test_segments_have_equal_variance():
+    assert list(cuts(np.ones(8), 4)) == [0, 2, 4, 6] and list(cuts(np.ones(3), 9)) == [0, 1, 2]
+    assert list(cuts(np.array([8.0, 4.0, 2.0, 1.0, 1.0]), 2)) == [0, 1]
+    for n in (1, 2, 7, 30):
+        starts = cuts(np.exp(-np.arange(30.0)), n)
+        assert len(starts) == n and starts[0] == 0 and (np.diff(starts) > 0).all() and starts[-1] < 30
+
+
+def test_search_goes_through_its_bounds():
+    """Most pairs end at a level, also among vectors without any structure; cells that can't hold a result are left out."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(3000, 64))
+    x = np.floor(64 * x / np.linalg.norm(x, axis=1)[:, None]).astype(np.int64)
+    variance, basis = np.linalg.eigh(np.cov(x.T.astype(float)))
+    index, ids = Index(basis[:, ::-1], variance[::-1], TopK(), 0), np.arange(3000)
+    found, left = search_block(ids[:100], x[:100], np.full(100, -np.inf), ids, x, index, TopK())
+    assert left[-1] < 0.2 * left[0] and (np.diff(left) <= 0).all()
+    for q, at, scores in found:
+        exact = x @ x[q]
+        order = [c for c in np.lexsort((ids, -exact)) if c != q][:20]
+        assert list(at) == order and list(scores) == list(exact[order])
+    none, _ = search_block(ids[:5], x[:5], np.full(5, 1e9), ids, x, index, TopK())
+    assert all(len(at) == 0 for _, at, _ in none)
+
+
+def test_top_k_over_cells(spark):
+    """Clusters far apart: several cells, a hot one, a query whose cell has fewer than k vectors."""
+    rng = np.random.default_rng(5)
+    centres = 40 * rng.normal(size=(6, 10))
+    x = np.floor(np.vstack([centres[i % 5] + rng.normal(size=10) for i in range(300)] + [centres[5] + rng.normal(size=(3, 10))] + [centres[0] + rng.normal(size=(300, 10))])).astype(int)
+    df = spark.createDataFrame([(i, [int(v) for v in row], i) for i, row in enumerate(x)], "vec_id long, vector array<long>, cell int")
+    cfg = TopK(k=5, query_block=16, candidate_block=32)
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in top_k(df, (F.col("vec_id") % 20 == 0) | (F.col("vec_id") == 301), cfg).collect())
+    expected = []
+    for q in [*range(0, len(x), 20), 301]:
+        scores = sorted((-int(x[q] @ x[c]), c) for c in range(len(x)) if c != q)[:5]
+        expected += [(q, k + 1, c, -s) for k, (s, c) in enumerate(scores)]
+    assert got == sorted(expected)
 
 
 def brute_scores_of_order(rows, order, leave_out, factor=0.4):
