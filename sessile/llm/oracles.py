@@ -56,7 +56,15 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
-HOST_RULES = r"""
+#: Rules of op9 in their order.
+_RULES = ("few_words", "repeats", "symbols", "dup_lines", "word_length")
+
+
+def _each(text: str, between: str) -> str:
+    return between.join(text.replace("{r}", r) for r in _RULES)
+
+
+HOST_RULES = rf"""
 WITH d AS (
   SELECT doc_id, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
@@ -67,26 +75,35 @@ WITH d AS (
   SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words) AS n FROM win) WHERE n > 1
 ), cover AS (
   SELECT doc_id, sum(least(8, coalesce(next - i, 8))) AS n FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS next FROM twice) GROUP BY doc_id
-), r AS (
+), f AS (
   SELECT d.doc_id, source, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(length(array_to_string(w, '')), 0) AS BIGINT) AS word_chars,
     CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(cover.n, 0) AS BIGINT) AS n_repeat_words
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(cover.n, 0) AS BIGINT) AS n_repeat_words, len(lines) AS n_lines
   FROM d LEFT JOIN cover USING (doc_id)
 ), b AS (
-  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM r
+  SELECT *, n_words < 20 AS few_words, 100 * n_repeat_words > 30 * n_words AS repeats, 100 * n_symbols > 10 * n_words AS symbols,
+    100 * n_dup_lines > 30 * n_lines AS dup_lines, word_chars < 3 * n_words OR word_chars > 10 * n_words AS word_length
+  FROM f
 ), h AS (
-  SELECT source, count(*) AS docs, CAST(sum(base_failed::INT) AS DOUBLE) AS failures FROM b GROUP BY source
+  SELECT source, count(*) AS docs, {_each("CAST(sum({r}::INT) AS DOUBLE) AS {r}", ", ")} FROM b GROUP BY source
 ), o AS (
-  SELECT sum(failures) / sum(docs) AS m, avg((failures / docs) * (failures / docs)) AS square, avg(failures / docs) AS first, avg(1.0::DOUBLE / docs) AS noise FROM h
+  SELECT avg(1.0::DOUBLE / docs) AS noise, {_each("sum({r}) / sum(docs) AS m_{r}, avg({r} / docs * {r} / docs) AS square_{r}, avg({r} / docs) AS first_{r}", ", ")} FROM h
 ), s AS (
-  SELECT m, m * (1 - m) AS spread, square - first * first - m * (1 - m) * noise AS signal FROM o
+  SELECT *, {_each("m_{r} * (1 - m_{r}) AS spread_{r}, square_{r} - first_{r} * first_{r} - m_{r} * (1 - m_{r}) * noise AS signal_{r}", ", ")} FROM o
 ), p AS (
-  SELECT m, CASE WHEN signal > 0 AND spread > 0 THEN least(1000.0::DOUBLE, greatest(1.0::DOUBLE, spread / signal - 1)) ELSE 1000.0::DOUBLE END AS strength FROM s
+  SELECT *, {_each("CASE WHEN signal_{r} > 0 AND spread_{r} > 0 THEN least(1000.0::DOUBLE, greatest(1.0::DOUBLE, spread_{r} / signal_{r} - 1)) ELSE 1000.0::DOUBLE END AS strength_{r}", ", ")} FROM s
+), q AS (
+  SELECT source, docs, {_each("m_{r}, strength_{r}, ({r} + m_{r} * strength_{r}) / (docs + strength_{r}) AS rate_{r}", ", ")} FROM h, p
+), z AS (
+  SELECT *, {_each("sqrt(rate_{r} * (1 - rate_{r}) / (docs + strength_{r} + 1)) AS sd_{r}", ", ")} FROM q
 ), v AS (
-  SELECT source, docs AS host_docs, (failures + m * strength) / (docs + strength) AS rate FROM h, p
+  SELECT source, docs AS host_docs, greatest({_each("rate_{r}", ", ")}) AS rate, {_each("rate_{r} - 2 * sd_{r} > 3 * m_{r} AND rate_{r} > 0.2", " OR ")} AS host_failed,
+    list_filter([{_each("CASE WHEN rate_{r} - m_{r} > sd_{r} THEN '{r}' END", ", ")}], lambda x: x IS NOT NULL) AS stands_out
+  FROM z
 )
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, host_docs, round(rate, 6) AS host_rate, rate > 0.5 AS host_failed,
-  NOT base_failed AND rate <= 0.5 AS kept
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, few_words OR repeats AS base_failed, host_docs, round(rate, 6) AS host_rate, host_failed,
+  array_to_string(list_filter([{_each("CASE WHEN {r} THEN '{r}' END", ", ")}], lambda x: x IS NOT NULL), ',') AS failed_rules, array_to_string(stands_out, ',') AS host_stands_out,
+  NOT (few_words OR repeats OR host_failed OR {_each("({r} AND list_contains(stands_out, '{r}'))", " OR ")}) AS kept
 FROM b JOIN v ON b.source IS NOT DISTINCT FROM v.source
 """
 

@@ -5,7 +5,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from sessile.llm import pii
-from sessile.llm.host_rules import HostRules, host_verdicts, quality_rules
+from sessile.llm.host_rules import RULES, HostRules, host_verdicts, quality_rules
 
 BASE = [
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
@@ -97,12 +97,44 @@ def test_rules_match_a_plain_count(spark, odd_docs, sf):
         assert sorted(got) == expected
 
 
+def plain_verdicts(rows, cfg=HostRules()):
+    """``{host: (rates, failed, stands out)}`` of rows (host, {rule: failed})."""
+    docs = Counter(h for h, _ in rows)
+    out = {h: ([], [], []) for h in docs}
+    for r in RULES:
+        bad = Counter(h for h, f in rows if f[r])
+        rates = [bad[h] / n for h, n in docs.items()]
+        m, v = sum(bad.values()) / len(rows), sum(x * x for x in rates) / len(rates) - (sum(rates) / len(rates)) ** 2
+        signal = v - m * (1 - m) * sum(1 / n for n in docs.values()) / len(docs)
+        strength = min(cfg.most_strength, max(1, m * (1 - m) / signal - 1)) if signal > 0 and 0 < m < 1 else cfg.most_strength
+        for h, n in docs.items():
+            rate = (bad[h] + m * strength) / (n + strength)
+            sd = (rate * (1 - rate) / (n + strength + 1)) ** 0.5
+            out[h][0].append(rate)
+            out[h][1].append(rate - cfg.sure * sd > cfg.worst * m and rate > cfg.least_rate)
+            out[h][2].extend([r] if rate - m > cfg.doubt * sd else [])
+    return {h: (max(a), any(b), c) for h, (a, b, c) in out.items()}
+
+
 def test_host_verdicts(spark, no_docs):
-    rows = [(i, f"h{i % 4}", i % 4 == 3 and i < 380) for i in range(400)] + [(1000, "tiny", True), (1001, None, False)]
-    df = spark.createDataFrame(rows, "doc_id long, host string, base_failed boolean")
-    v = {r.host: r for r in host_verdicts(df, HostRules()).collect()}
-    assert v["h3"].host_failed and not v["h0"].host_failed and v["h3"].host_rate < 0.95
-    assert v["tiny"].host_rate < 1 and not v[None].host_failed
+    flags = lambda **f: {r: False for r in RULES} | f
+    rows = [(f"h{i % 40}", flags(symbols=i % 40 == 3 and i % 3 > 0, few_words=i % 19 == 0, dup_lines=i % 40 == 7 and i % 7 == 0)) for i in range(4000)]
+    rows += [("tiny", flags(symbols=True)), (None, flags())]
+    df = spark.createDataFrame([(h, *(f[r] for r in RULES)) for h, f in rows], "host string, " + ", ".join(f"{r} boolean" for r in RULES))
+    got = {r.host: (round(r.host_rate, 9), r.host_failed, list(r.stands_out)) for r in host_verdicts(df).collect()}
+    assert got == {h: (round(a, 9), b, c) for h, (a, b, c) in plain_verdicts(rows).items()}
+    assert got["h3"][1:] == (True, ["symbols"]) and got["h7"][1] is False and "dup_lines" in got["h7"][2] and got["h0"][1:] == (False, []) and not got["tiny"][1]
     out = quality_rules(no_docs)
     assert out.collect() == [] and "kept" in out.columns
     assert host_verdicts(df.filter(F.lit(False))).collect() == []
+
+
+def test_verdicts_reach_documents(spark):
+    good = " ".join(f"word{chr(97 + i)}" for i in range(25))
+    rows = [(1000 * h + i, f"{good} # $ %" if h == 2 and i % 3 else f"{good} {i} # $ %" if h == 1 and i % 8 == 0 or i == 77 else good + f" {i}", f"h{h}") for h in range(9) for i in range(100)]
+    rows += [(9999, "# # #", "h5")]
+    got = {r.doc_id: r for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert not any(got[2000 + i].kept for i in range(100)) and got[2000].host_failed, "a host far worse than the corpus"
+    assert all(got[1000 + i].kept == (i % 8 > 0 and i != 77) for i in range(100)) and "symbols" in got[1000].host_stands_out, "only those that fail where the host stands out"
+    assert got[77].kept and got[77].failed_rules == "symbols", "elsewhere the same failure stays"
+    assert not got[9999].kept and got[9999].base_failed
