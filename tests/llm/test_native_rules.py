@@ -67,13 +67,52 @@ def test_added_kinds_and_context(spark):
     spans = [s.split(":") for s in got[9].spans.split(",")]
     text = HARD[9]
     assert [text[int(a) : int(b)] for k, a, b in spans if k == "iban"] == ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"]
-    assert got[10].spans == "ssn:7:18"  # the other one has no context
+    assert got[10].spans == "ssn:7:18"  # the other one is called a part
     assert "phone:" in got[3].scored_spans and got[3].scored_spans.endswith(":1.0")
 
 
+WORDS = [
+    ("SSN 078-05-1120, 078-05-1121", "ssn:4:15:0.6,ssn:17:28:0.6"),
+    ("078-05-1120 is my ssn", "ssn:0:11:0.6"),
+    ("078-05-1120 is my dog, " + "x" * 40 + " ssn", ""),
+    ("order ssn 078-05-1120", ""),
+    ("card numbers: 4111111111111111 5500000000000004", "card:14:47:0.0"),
+    ("cards: 4111111111111111, 5500000000000004", "card:7:23:1.0,card:25:41:1.0"),
+    ("order number 4111111111111111 shipped", "card:13:29:0.4"),
+    ("4111111111111111 was my visa", "card:0:16:1.0"),
+    ('token = "f3ef4d6b2755a36d7d9c25bd72c4d5f67e061fda" x', "secret:9:49:0.6"),
+    ("commit f3ef4d6b2755a36d7d9c25bd72c4d5f67e061fda", ""),
+    ("the password is aB3dE6gH9jK2mN5pQ8rS ok", "secret:16:36:0.6"),
+    ("token aaaaaaaaaaaaaaaaaaaaaaaaa1 and 11111111111111111111111", ""),
+    ("key words/like/this/path/with/1/number/2/or/3", ""),
+]
+
+
+def test_words_on_both_sides_move_scores(spark):
+    texts = [t for t, _ in WORDS]
+    got = {r.doc_id: r.scored_spans for r in pii.digest(pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))).collect()}
+    wanted = {i: w for i, (_, w) in enumerate(WORDS)}
+    wanted[4] = ""  # both numbers are one match of the base pattern, which has too many digits
+    assert got == wanted
+
+
+def test_many_matches_take_linear_time(spark):
+    import time
+
+    cards = "4111 1111 1111 1111, " * 30_000 + "a@b.cd 10.0.0.1 +49 30 1234567 | " * 20_000
+    spark.createDataFrame([(0, "1 2")], "doc_id long, text string").transform(pii.find_pii).collect()
+    start = time.perf_counter()
+    row = pii.digest(pii.find_pii(spark.createDataFrame([(0, cards)], "doc_id long, text string"))).first()
+    assert (row.n_card, row.n_email, row.n_ip, row.n_phone) == (30_000, 20_000, 20_000, 20_000)
+    assert row.base_sha256 == hashlib.sha256(",".join(base_spans(cards)).encode()).hexdigest()
+    assert time.perf_counter() - start < 30
+
+
 def test_masking(spark, odd_docs, no_docs):
-    docs = spark.createDataFrame([(0, "to a@b.cd at 10.0.0.1!", 7)], "doc_id long, text string, t int")
-    assert pii.mask_pii(docs).first() == (0, "to [email] at [ip]!", 7)
+    texts = ["to a@b.cd at 10.0.0.1!", 'token = "f3ef4d6b2755a36d7d9c25bd72c4d5f67e061fda"; x@y.z', "+4111111111111111", "1.2.3.4, 999.1.1.1, 5.6.7.8"]
+    docs = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)], "doc_id long, text string, t int")
+    left = [tuple(r) for r in pii.mask_pii(docs).orderBy("doc_id").collect()]
+    assert left == [(0, "to [email] at [ip]!", 7), (1, 'token = "[secret]"; [email]', 7), (2, "+[card]", 7), (3, "[ip], 999.1.1.1, [ip]", 7)]
     assert pii.mask_pii(odd_docs).count() == odd_docs.count() and pii.mask_pii(odd_docs).filter("doc_id = 3").first().text is None
     assert pii.find_pii(no_docs).collect() == []
 
