@@ -1,54 +1,5 @@
-"""Intermediate tables in the folder that all executors share."""
+"""The library's intermediate tables, for the operators of this folder."""
 
-from __future__ import annotations
+from sessile.storage import discard, materialize, shared_dir
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names.
-
-    Only a session on one machine (master ``local``) that lacks the setting, as
-    in tests, gets a folder of its own; on a cluster that is an error, as
-    executors would each write to a disk that the others can't read.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError(f"spark.checkpoint.dir has to name a folder that all executors share (master {master})")
-        found = "file://" + tempfile.mkdtemp(prefix="sessile-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
-def _file_system(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back.
-
-    It cuts the lineage as ``checkpoint()`` does, but computes ``df`` once and
-    survives lost executors.  The files go with ``discard``, at the latest when
-    the driver's JVM ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    place, files = _file_system(spark, path)
-    files.deleteOnExit(place)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.written_to = path
-    return out
-
-
-def discard(*tables: DataFrame) -> None:
-    """Delete the files of materialized tables that nothing will read again."""
-    for table in tables:
-        place, files = _file_system(table.sparkSession, table.written_to)
-        files.delete(place, True)
+__all__ = ["discard", "materialize", "shared_dir"]
