@@ -23,6 +23,21 @@ class Settings:
     drop_width: int = 300
     width_growth: float = 1.13
     crop_margin: int = 15
+    #: Mean of the lowest row from which a run shows its surface there.
+    surface_bright: float = 100.0
+    #: Frame of a run whose surface gives the angle, share of rows it is looked for in, rows kept above the surface.
+    angle_frame: int = 3
+    surface_share: float = 0.3
+    surface_margin: int = 10
+    angle_trials: int = 5000
+    height_trials: int = 1000
+    #: Chunks of the two prunings, limits of the trimming.
+    skips: tuple[int, ...] = (40, 5)
+    trim_right: int = 1200
+    trim_left: int = 40
+    #: How far columns are shrunk for the detector and for the final bounds.
+    detector_scale: int = 5
+    profile_scale: int = 1
     #: Black rows below a levelled frame, which measurements leave out.
     bottom_rows: int = 5
     upscale: int = 3

@@ -14,30 +14,6 @@ def bind(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def steps(profile: Column, steep: Column | float) -> Column:
-    """Positions i from 10 on, up to 10 from the end, at which the profile jumps by more than ``steep``."""
-    n = F.size(profile)
-    inside = F.when(n >= 22, F.sequence(F.lit(10), n - 10)).otherwise(F.expr("cast(array() as array<int>)"))
-    return F.filter(inside, lambda i: F.abs(F.get(profile, i) - F.get(profile, i - 1)) > steep)
-
-
-def left_step(profile: Column, steep: Column | float) -> Column:
-    """Position before the first jump (at 10 to n - 11), null if there is none."""
-    n = F.size(profile)
-    return bind(F.filter(steps(profile, steep), lambda i: i <= n - 11), lambda s: F.get(s, F.lit(0)) - 1)
-
-
-def right_step(profile: Column, steep: Column | float) -> Column:
-    """Position of the last jump (at 11 to n - 10), null if there is none."""
-    return bind(F.filter(steps(profile, steep), lambda i: i >= 11), lambda s: F.get(s, F.size(s) - 1))
-
-
-def normalized(profile: Column) -> Column:
-    """A profile divided by its mean; of zeros where the mean is 0."""
-    total = F.aggregate(profile, F.lit(0.0), lambda a, v: a + v)
-    return bind(total / F.size(profile), lambda m: F.transform(profile, lambda v: F.when(m == 0, 0.0).otherwise(v / m)))
-
-
 def stretched(profile: Column, n: int) -> Column:
     """Each element ``n div size`` times, cut at ``n``."""
     times = F.greatest(F.lit(0), F.floor(F.lit(n) / F.greatest(F.size(profile), F.lit(1)))).cast("int")
@@ -71,11 +47,3 @@ def fit_window(angle: Column, ratio: float = 1.0) -> Column:
 
 def luma(red: Column, green: Column, blue: Column) -> Column:
     return F.floor(0.299 * red + 0.587 * green + 0.114 * blue + 0.5).cast("int")
-
-
-def cropped(pixels: Column, x1: Column, x2: Column, margin: int) -> Column:
-    """Inverted pixels from ``x1 - margin`` up to ``x2 + margin``, clamped to the row; null unless x1 < x2."""
-    start = F.greatest(F.lit(0), x1 - margin)
-    stop = F.least(F.size(pixels), x2 + margin)
-    cut = F.transform(F.slice(pixels, (start + 1).cast("int"), F.greatest(F.lit(0), stop - start).cast("int")), lambda v: 255 - v)
-    return F.when(x1 < x2, cut)

@@ -18,12 +18,32 @@ def ellipse(size: int) -> np.ndarray:
 
 
 def _shifted(image: np.ndarray, mask: np.ndarray, fill: int, best) -> np.ndarray:
-    ry, rx = mask.shape[0] // 2, mask.shape[1] // 2
+    """Best of the pixels under a mask around each place.
+
+    The padded frame is one run of pixels, in which a step to the right is a
+    shift by one and a step down one by its width.  Rows of a mask without
+    holes take the best of ``n`` neighbours, which the next longer row goes on
+    from.
+    """
+    (h, w), ry, rx = image.shape, mask.shape[0] // 2, mask.shape[1] // 2
     padded = np.pad(image, ((ry, mask.shape[0] - 1 - ry), (rx, mask.shape[1] - 1 - rx)), constant_values=fill)
-    out = np.full_like(image, fill)
-    for dy, dx in zip(*np.nonzero(mask), strict=True):
-        best(out, padded[dy : dy + image.shape[0], dx : dx + image.shape[1]], out=out)
-    return out
+    wide, flat = padded.shape[1], padded.ravel()
+    out, size = np.full((h, wide), fill, dtype=image.dtype), (h - 1) * wide + w
+    todo = []
+    for dy, row in enumerate(mask):
+        at = np.flatnonzero(row)
+        if len(at) and at[-1] - at[0] + 1 == len(at):
+            todo.append((len(at), dy * wide + int(at[0])))
+        else:
+            todo += [(1, dy * wide + int(dx)) for dx in at]
+    result, reach = out.ravel(), 1
+    for n, start in sorted(todo):
+        while reach < n:
+            step = min(reach, n - reach)
+            flat = best(flat[:-step], flat[step:])
+            reach += step
+        best(result[:size], flat[start : start + size], out=result[:size])
+    return np.ascontiguousarray(out[:, :w])
 
 
 def dilate(image: np.ndarray, mask: np.ndarray) -> np.ndarray:
@@ -61,11 +81,21 @@ def threshold(image: np.ndarray, value: int, most: int = 255, inverse: bool = Fa
 def min_max(image: np.ndarray) -> np.ndarray:
     """Pixels stretched to 0..1; zeros where all are equal."""
     low, high = int(image.min()), int(image.max())
-    return (image - low) / (high - low) if high > low else np.zeros(image.shape)
+    return (image - float(low)) / (high - low) if high > low else np.zeros(image.shape)
+
+
+def _centre(image: np.ndarray, times: int, axis: int) -> tuple[np.ndarray, int]:
+    """What a linear resize to 1 / ``times`` sees along an axis, as a sum of the second number of pixels."""
+    pick = lambda k: image[k::times] if axis == 0 else image[:, k::times]
+    return (pick(times // 2), 1) if times % 2 else (pick(times // 2 - 1) + pick(times // 2), 2)
 
 
 def resized(image: np.ndarray, height: int, width: int) -> np.ndarray:
     """Linear resize with pixel centres aligned, rounded half up."""
+    if height and width and image.shape[0] % height == 0 and image.shape[1] % width == 0:
+        rows, n = _centre(image.astype(np.uint16), image.shape[0] // height, 0)
+        both, m = _centre(rows, image.shape[1] // width, 1)
+        return ((2 * both + n * m) // (2 * n * m)).astype(np.uint8)
 
     def axis(old: int, new: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         at = np.clip((np.arange(new) + 0.5) * old / new - 0.5, 0, old - 1)
@@ -79,58 +109,194 @@ def resized(image: np.ndarray, height: int, width: int) -> np.ndarray:
     return np.floor(rows[:, x0] * (1 - fx) + rows[:, x1] * fx + 0.5).astype(np.uint8)
 
 
+def cubic(image: np.ndarray, height: int, width: int, sharp: float = -0.75) -> np.ndarray:
+    """Cubic resize with pixel centres aligned; borders repeat, results are rounded half up and clipped."""
+
+    def axis(a: np.ndarray, new: int) -> np.ndarray:
+        old = a.shape[0]
+        at = (np.arange(new) + 0.5) * old / new - 0.5
+        low = np.floor(at).astype(int)
+        out = 0.0
+        for k in range(-1, 3):
+            d = np.abs(at - low - k)
+            near = (sharp + 2) * d**3 - (sharp + 3) * d**2 + 1
+            far = sharp * (d**3 - 5 * d**2 + 8 * d - 4)
+            out = out + np.where(d <= 1, near, np.where(d < 2, far, 0.0))[:, None] * a[np.clip(low + k, 0, old - 1)]
+        return out
+
+    both = axis(axis(image.astype(float), height).T, width).T
+    return np.clip(np.floor(both + 0.5), 0, 255).astype(np.uint8)
+
+
+def pad_top(image: np.ndarray, least: int = 130) -> np.ndarray:
+    """White rows on top up to a least height."""
+    return np.pad(image, ((max(0, least - image.shape[0]), 0), (0, 0)), constant_values=255)
+
+
+# Weights of ITU-R BT.601 luma and chroma.
+LUMA = np.array([0.299, 0.587, 0.114])
+CR, CB = 0.713, 0.564
+
+
+def luma_chroma(rgb: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Y, Cr and Cb (around 128) of an image of three channels."""
+    r, g, b = (rgb[..., k].astype(float) for k in range(3))
+    y = LUMA[0] * r + LUMA[1] * g + LUMA[2] * b
+    parts = y, (r - y) * CR + 128, (b - y) * CB + 128
+    return tuple(np.clip(np.floor(p + 0.5), 0, 255).astype(np.uint8) for p in parts)
+
+
+def from_luma_chroma(y: np.ndarray, cr: np.ndarray, cb: np.ndarray) -> np.ndarray:
+    """The image of three channels of Y, Cr and Cb."""
+    y, cr, cb = (x.astype(float) for x in (y, cr - 128.0, cb - 128.0))
+    rgb = np.stack([y + 1.403 * cr, y - 0.714 * cr - 0.344 * cb, y + 1.773 * cb], axis=-1)
+    return np.clip(np.floor(rgb + 0.5), 0, 255).astype(np.uint8)
+
+
+def profiles(image: np.ndarray, sx: int = 1, sy: int = 2, mask: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the columns of the shrunken frame divided by their mean, as it is and closed; zeros where the mean is 0."""
+    small = resized(image, image.shape[0] // sy, image.shape[1] // sx) if (sx, sy) != (1, 1) else image
+
+    def sums(a: np.ndarray) -> np.ndarray:
+        v = a.sum(axis=0, dtype=np.int64).astype(float)
+        return v / v.mean() if v.any() else v
+
+    return sums(small), sums(small if mask is None else close(small, mask))
+
+
+def jumps(rows: np.ndarray, steep: float) -> np.ndarray:
+    """Whether each place but the first of each row differs by more than ``steep`` from the one before."""
+    return np.abs(np.diff(rows, axis=1)) > steep
+
+
+def first_jump(rows: np.ndarray, steep: float) -> np.ndarray:
+    """Place before the first jump at 10 to n - 11 of each row; -1 without one."""
+    n = rows.shape[1]
+    inside = jumps(rows, steep)[:, 9 : max(9, n - 11)]
+    return np.where(inside.any(axis=1), 9 + inside.argmax(axis=1), -1) if inside.shape[1] else np.full(len(rows), -1)
+
+
+def last_jump(rows: np.ndarray, steep: float) -> np.ndarray:
+    """Place of the last jump at 11 to n - 10 of each row; -1 without one."""
+    n = rows.shape[1]
+    inside = jumps(rows, steep)[:, 10 : max(10, n - 10)]
+    return np.where(inside.any(axis=1), 10 + inside.shape[1] - inside[:, ::-1].argmax(axis=1), -1) if inside.shape[1] else np.full(len(rows), -1)
+
+
+def region_mean(image: np.ndarray, rows: tuple[int, int], columns: tuple[int, int]) -> float | None:
+    """Mean of rows and columns a to b (from 0, negative from the end, b exclusive); None if there are none."""
+    (r0, r1), (c0, c1) = [[min(n, max(0, v + n if v < 0 else v)) for v in pair] for pair, n in ((rows, image.shape[0]), (columns, image.shape[1]))]
+    part = image[r0:r1, c0:c1]
+    return float(part.mean()) if part.size else None
+
+
+def outline(image: np.ndarray, low: int, high: int = 255) -> tuple[np.ndarray, np.ndarray]:
+    """``i`` and ``j`` (counted upward) of the left and rightmost pixel in (low, high] of each row and the topmost of each column."""
+    h, w = image.shape
+    hit = (image > low) & (image <= high)
+    y, x = np.flatnonzero(hit.any(axis=1)), np.flatnonzero(hit.any(axis=0))
+    left, right, top = hit[y].argmax(axis=1), w - 1 - hit[y][:, ::-1].argmax(axis=1), hit[:, x].argmax(axis=0)
+    code = np.unique(np.concatenate([left, right, x]) * h + h - 1 - np.concatenate([y, y, top]))
+    return code // h, code % h
+
+
+def greedy_path(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Order of points from the lowest (ties: leftmost), each time to the nearest one left (ties: lower, then more to the left)."""
+    by = np.lexsort((i, j))
+    xy = np.stack([i[by], j[by]], axis=1).astype(float)
+    left, at, order = np.ones(len(xy), dtype=bool), 0, []
+    for _ in range(len(xy)):
+        order.append(at)
+        left[at] = False
+        at = int(np.where(left, ((xy - xy[at]) ** 2).sum(axis=1), np.inf).argmin())
+    return by[np.array(order, dtype=int)]
+
+
+def bottom_row(image: np.ndarray, every: int = 50, least: int = 2) -> int:
+    """Above the lowest row whose sampled columns sum to more than ``least``, down to row 1; else 0."""
+    found = np.flatnonzero(image[1:, ::every].sum(axis=1, dtype=np.int64) > least)
+    return int(found[-1]) if len(found) else 0
+
+
+def unified(image: np.ndarray, target: int, bottom: int, pad_bottom: int = 5) -> np.ndarray:
+    """The rows above ``bottom`` but the last, white on top up to ``target - 1`` rows, black below."""
+    keep = image[: max(0, bottom - 1)]
+    return np.pad(np.pad(keep, ((max(0, target - 1 - len(keep)), 0), (0, 0)), constant_values=255), ((0, pad_bottom), (0, 0)))
+
+
+def surface_height(image: np.ndarray, seed: int, above: int = 10, residual: float = 2.0, trials: int = 1000) -> int | None:
+    """``above`` rows over the middle of the line through the edges of a frame; None without one."""
+    y, x = np.nonzero(edges(image))
+    line = ransac_line(y.astype(float), x.astype(float), seed, residual, trials)
+    if line is None:
+        return None
+    ends = line[1] + line[0] * float(x.min()), line[1] + line[0] * float(x.max())
+    return int((ends[0] + ends[1]) // 2) - above
+
+
 def rotated(image: np.ndarray, degrees: float, center: tuple[float, float]) -> np.ndarray:
     """Rotation about (x, y), counter-clockwise for positive angles, bilinear."""
-    t = np.deg2rad(degrees)
-    y, x = np.mgrid[: image.shape[0], : image.shape[1]].astype(float)
-    dx, dy = x - center[0], y - center[1]
-    sx, sy = center[0] + np.cos(t) * dx - np.sin(t) * dy, center[1] + np.sin(t) * dx + np.cos(t) * dy
-    padded = np.pad(image.astype(float), 1, constant_values=255)
-    sx, sy = np.clip(sx + 1, 0, image.shape[1] + 0.999), np.clip(sy + 1, 0, image.shape[0] + 0.999)
-    x0, y0 = sx.astype(int), sy.astype(int)
-    fx, fy = sx - x0, sy - y0
-    out = (padded[y0, x0] * (1 - fx) + padded[y0, x0 + 1] * fx) * (1 - fy) + (padded[y0 + 1, x0] * (1 - fx) + padded[y0 + 1, x0 + 1] * fx) * fy
-    return np.floor(out + 0.5).astype(np.uint8)
+    t, (h, w) = np.deg2rad(degrees), image.shape
+    dx, dy = np.arange(w) - center[0], (np.arange(h) - center[1])[:, None]
+    padded = np.pad(image, 1, constant_values=255).ravel()
+    sx = np.clip(center[0] + np.cos(t) * dx - np.sin(t) * dy + 1, 0, w + 0.999)
+    sy = np.clip(center[1] + np.sin(t) * dx + np.cos(t) * dy + 1, 0, h + 0.999)
+    x0, y0 = sx.astype(np.int32), sy.astype(np.int32)
+    fx, fy, at = sx - x0, sy - y0, y0 * np.int32(w + 2) + x0
+    top = padded[at] * (1 - fx) + padded[at + 1] * fx
+    low = padded[at + (w + 2)] * (1 - fx) + padded[at + (w + 3)] * fx
+    return (top + (low - top) * fy + 0.5).astype(np.uint8)
 
 
 def edges(image: np.ndarray, low: float = 50, high: float = 150) -> np.ndarray:
     """Thin edges: gradient maxima above ``low`` that are connected to one above ``high``."""
-    p = np.pad(image.astype(float), 1, mode="edge")
+    p = np.pad(image.astype(np.int32), 1, mode="edge")
     d = lambda dy, dx: p[1 + dy : p.shape[0] - 1 + dy, 1 + dx : p.shape[1] - 1 + dx]
     gx = (d(-1, 1) + 2 * d(0, 1) + d(1, 1)) - (d(-1, -1) + 2 * d(0, -1) + d(1, -1))
     gy = (d(1, -1) + 2 * d(1, 0) + d(1, 1)) - (d(-1, -1) + 2 * d(-1, 0) + d(-1, 1))
     size = np.abs(gx) + np.abs(gy)
     q = np.pad(size, 1)
-    n = lambda dy, dx: q[1 + dy : q.shape[0] - 1 + dy, 1 + dx : q.shape[1] - 1 + dx]
-    sector = np.round(np.arctan2(gy, gx) / (np.pi / 4)).astype(int) % 4
-    peak = np.zeros(size.shape, dtype=bool)
-    for k, (dy, dx) in enumerate([(0, 1), (1, 1), (1, 0), (1, -1)]):
-        peak |= (sector == k) & (size > n(-dy, -dx)) & (size >= n(dy, dx))
-    weak = peak & (size > low)
+    # Only gradients that are steep enough get a direction.
+    y, x = np.nonzero(size > low)
+    here = size[y, x]
+    sector = np.round(np.arctan2(gy[y, x], gx[y, x]) / (np.pi / 4)).astype(int) % 4
+    dy, dx = np.array([0, 1, 1, 1])[sector], np.array([1, 1, 0, -1])[sector]
+    peak = (here > q[y + 1 - dy, x + 1 - dx]) & (here >= q[y + 1 + dy, x + 1 + dx])
+    weak = np.zeros(size.shape, dtype=bool)
+    weak[y[peak], x[peak]] = True
     label = components(weak)
     return weak & np.isin(label, np.unique(label[weak & (size > high)]))
 
 
 def components(mask: np.ndarray) -> np.ndarray:
-    """Labels from 1 of the 8-connected parts of a mask, 0 outside."""
-    label = np.where(mask, np.arange(1, mask.size + 1).reshape(mask.shape), 0)
-    while True:
-        p = np.pad(label, 1)
-        best = np.max([p[1 + dy : p.shape[0] - 1 + dy, 1 + dx : p.shape[1] - 1 + dx] for dy in (-1, 0, 1) for dx in (-1, 0, 1)], axis=0)
-        best = np.where(mask, best, 0)
-        # The label is a position, whose own label may already be further.
-        best = np.where(mask, np.r_[0, best.ravel()][best], 0)
-        if np.array_equal(best, label):
-            return label
-        label = best
+    """Labels from 1 of the 8-connected parts of a mask, 0 outside: the place of a part's last pixel."""
+    h, w = mask.shape
+    at = np.flatnonzero(mask)
+    place = np.full((h + 1, w + 2), -1)
+    place[:h, 1 : w + 1][mask] = np.arange(len(at))
+    y, x = at // w, at % w + 1
+    pairs = [(np.flatnonzero(n >= 0), n[n >= 0]) for n in (place[y, x + 1], place[y + 1, x - 1], place[y + 1, x], place[y + 1, x + 1])]
+    a, b = (np.concatenate(p) for p in zip(*pairs, strict=True))
+    label = np.arange(len(at))
+    while len(a):
+        low, high = np.minimum(label[a], label[b]), np.maximum(label[a], label[b])
+        open_ = low != high
+        a, b = a[open_], b[open_]
+        np.maximum.at(label, low[open_], high[open_])
+        while (label[label] != label).any():
+            label = label[label]
+    out = np.zeros(h * w, dtype=np.int64)
+    out[at] = at[label] + 1
+    return out.reshape(h, w)
 
 
 def largest_component(mask: np.ndarray, least: int = 1) -> np.ndarray:
     """The largest part of a mask of at least ``least`` pixels (ties: the lowest); nothing if there is none."""
-    labels, sizes = np.unique(components(mask)[mask], return_counts=True)
+    found = components(mask)
+    labels, sizes = np.unique(found[mask], return_counts=True)
     if not len(sizes) or sizes.max() < least:
         return np.zeros_like(mask)
-    return components(mask) == labels[len(sizes) - 1 - sizes[::-1].argmax()]
+    return found == labels[len(sizes) - 1 - sizes[::-1].argmax()]
 
 
 def ransac_line(y: np.ndarray, x: np.ndarray, seed: int, residual: float = 1.0, trials: int = 500) -> tuple[float, float] | None:
@@ -144,8 +310,15 @@ def ransac_line(y: np.ndarray, x: np.ndarray, seed: int, residual: float = 1.0,
         pairs = np.array([[int(x.argmin()), int(x.argmax())]])
     slope = (y[pairs[:, 1]] - y[pairs[:, 0]]) / (x[pairs[:, 1]] - x[pairs[:, 0]])
     shift = y[pairs[:, 0]] - slope * x[pairs[:, 0]]
-    near = np.abs(y[None, :] - slope[:, None] * x[None, :] - shift[:, None]) <= residual
-    inside = near[near.sum(axis=1).argmax()]
+    # Some lines at a time, until a better one would have shown up all but surely.
+    best, inside = -1, np.zeros(len(x), dtype=bool)
+    for k in range(0, len(slope), 50):
+        near = np.abs(y[None, :] - slope[k : k + 50, None] * x[None, :] - shift[k : k + 50, None]) <= residual
+        count = near.sum(axis=1)
+        if count.max() > best:
+            best, inside = int(count.max()), near[count.argmax()]
+        if (k + 50) * -np.log1p(-min(0.999999, (best / len(x)) ** 2)) > np.log(1e9):
+            break
     if len(np.unique(x[inside])) < 2:
         return float(slope[0]), float(shift[0])
     fit = np.polyfit(x[inside], y[inside], 1)

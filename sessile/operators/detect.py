@@ -2,72 +2,235 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from typing import Protocol
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessile.functions.columns import bind, left_step, right_step
+from sessile.functions import kernels
+from sessile.operators.arrow import KEY, on_arrays, pixels, with_kernel
+
+
+def column_profile(frames: DataFrame, sx: int = 1, sy: int = 1, mask: np.ndarray | None = None) -> DataFrame:
+    """Frames without their pixels, with ``vv`` and ``vv_mor``: sums of the columns of the shrunken frame divided by their mean, as it is and closed with ``mask``."""
+
+    def kernel(a: np.ndarray) -> tuple:
+        return kernels.profiles(a, sx, sy, mask)
+
+    return with_kernel(frames, kernel, "vv array<double>, vv_mor array<double>", keep=[c for c in frames.columns if c not in ("vv", "vv_mor", "px")])
+
+
+def closed_profile(frames: DataFrame, sx: int = 1, sy: int = 1, mask: np.ndarray | None = None) -> DataFrame:
+    """Adds ``vv`` of frames that are shrunk, then closed, then summed: the detector with one profile."""
+    return column_profile(frames, sx, sy, mask).withColumn("vv", F.col("vv_mor")).drop("vv_mor")
 
 
-def region_mean(px: Column, width: Column, height: Column, rows: tuple[int, int], columns: tuple[int, int]) -> Column:
-    """Mean of the pixels of rows and columns a to b (from 0, negative from the end, b exclusive); null if there are none."""
+def left_step(profile: Column, steep: float) -> Column:
+    """Place before the first jump by more than ``steep`` (at 10 to n - 11) of an array, null if there is none."""
+    return on_arrays(lambda rows: kernels.first_jump(rows, steep), profile)
 
-    def at(v: int, size: Column) -> Column:
-        return F.greatest(F.lit(0), F.least(size, size + v if v < 0 else F.lit(v)))
 
-    (r0, r1), (c0, c1) = [tuple(at(v, s) for v in pair) for pair, s in ((rows, height), (columns, width))]
-    inside = F.filter(F.transform(px, lambda v, i: F.when((F.floor(i / width) >= r0) & (F.floor(i / width) < r1) & (i % width >= c0) & (i % width < c1), v)), lambda v: v.isNotNull())
-    return bind(inside, lambda a: F.when(F.size(a) > 0, F.aggregate(a, F.lit(0).cast("long"), lambda s, v: s + v) / F.size(a)))
+def right_step(profile: Column, steep: float) -> Column:
+    """Place of the last jump (at 11 to n - 10), null if there is none."""
+    return on_arrays(lambda rows: kernels.last_jump(rows, steep), profile)
 
 
-def column_profile(frames: DataFrame) -> DataFrame:
-    """Adds ``vv``: sums of the pixel columns divided by their mean, from pixels row by row."""
-    sums = F.transform(F.sequence(F.lit(0), F.col("width") - 1), lambda x: F.aggregate(F.sequence(F.lit(0), F.col("height") - 1), F.lit(0.0), lambda s, y: s + F.get(F.col("px"), y * F.col("width") + x)))
-    mean = lambda a: F.aggregate(a, F.lit(0.0), lambda s, v: s + v) / F.size(a)
-    return frames.withColumn("vv", bind(sums, lambda a: F.transform(a, lambda v: F.when(mean(a) == 0, 0.0).otherwise(v / mean(a)))))
+def steps(frames: DataFrame, left: str, right: str, steep: float, steep_wide: float, scale: int = 1) -> DataFrame:
+    """Adds ``near`` and ``far`` (left steps of array ``left``, the latter steeper) and ``end`` (right step of ``right``), in pixels."""
+    found = {"near": left_step(F.col(left), steep), "far": left_step(F.col(left), steep_wide), "end": right_step(F.col(right), steep)}
+    return frames.withColumns({c: v * scale for c, v in found.items()})
 
 
-def bounds(profile: Column, steep: Column | float) -> Column:
-    """``endpoint`` (left) and ``beginning`` (right) of a profile; either is null where there is no step."""
-    return F.struct(left_step(profile, steep).alias("endpoint"), right_step(profile, steep).alias("beginning"))
+def frame_steps(frames: DataFrame, steep: float = 0.0025, steep_wide: float = 0.005, sx: int = 1, sy: int = 2, size: int = 13, close_first: bool = True) -> DataFrame:
+    """``run_id, frame_no, near, far, end`` of every frame, from pixels to integers in one kernel.
+
+    The frame is closed, shrunk and summed; the left steps come from the
+    profile of the frame closed once more, the right one from the profile
+    before that.
+    """
+    mask = kernels.ellipse(size)
+
+    def kernel(a: np.ndarray) -> tuple:
+        vv, mor = (v[None] for v in kernels.profiles(kernels.close(a, mask) if close_first else a, sx, sy, mask))
+        found = kernels.first_jump(mor, steep), kernels.first_jump(mor, steep_wide), kernels.last_jump(vv, steep)
+        return tuple(None if v[0] < 0 else int(v[0]) * sx for v in found)
+
+    return with_kernel(frames, kernel, "near int, far int, end int", keep=KEY)
 
 
-def guarded_bounds(left: Column, right: Column, steep: float, steep_wide: float, width: Column | int, scale: int = 1) -> Column:
-    """Bounds with the left step taken again, steeper, where the drop seems wider than ``width``."""
-    near, far, end = left_step(left, steep) * scale, left_step(left, steep_wide) * scale, right_step(right, steep) * scale
+def guarded(width: Column | int) -> Column:
+    """``endpoint`` (left) and ``beginning`` (right) of ``near``, ``far`` and ``end``: the steeper left step where the drop seems wider than ``width``."""
+    near, far, end = F.col("near"), F.col("far"), F.col("end")
     return F.struct(F.when(end - near > width, far).otherwise(near).alias("endpoint"), end.alias("beginning"))
 
 
-def adaptive_bounds(frames: DataFrame, profile: str, steep: float, steep_wide: float, width: int, growth: float) -> DataFrame:
-    """``run_id, frame_no, endpoint, beginning, width``: bounds with the width guard carried from frame to frame.
+class Guards:
+    """What a stretch of frames makes of the width guard it starts with.
+
+    Starting guards fall into intervals ``[low, next low)``; those of one
+    interval leave the same guard, or are left as they are (None).  One frame
+    has two intervals at most, and stretches compose.
+    """
+
+    def __init__(self) -> None:
+        self.lows: list[float] = [-np.inf]
+        self.leaves: list[int | None] = [None]
+
+    def then(self, limit: float | None, wide: int | None, narrow: int | None) -> None:
+        """A frame whose width ``limit`` exceeds the guard leaves ``wide``, else ``narrow``; None leaves the guard."""
+        if limit is None:
+            return
+        lows: list[float] = []
+        leaves: list[int | None] = []
+
+        def add(low: float, value: int | None) -> None:
+            if not leaves or leaves[-1] != value:
+                lows.append(low)
+                leaves.append(value)
+
+        for k, (low, value) in enumerate(zip(self.lows, self.leaves, strict=True)):
+            if value is None:
+                high = self.lows[k + 1] if k + 1 < len(self.lows) else np.inf
+                if low < limit:
+                    add(low, wide)
+                if limit < high:
+                    add(max(low, limit), narrow)
+            else:
+                new = wide if limit > value else narrow
+                add(low, value if new is None else new)
+        self.lows, self.leaves = lows, leaves
+
+    def after(self, guard: int) -> int:
+        value = self.leaves[int(np.searchsorted(self.lows, guard, side="right")) - 1]
+        return guard if value is None else value
+
+
+def _frame(near: float, far: float, end: float, growth: float) -> tuple[float | None, int | None, int | None]:
+    grown = lambda at: None if np.isnan(at) or np.isnan(end) else int(np.floor(growth * (end - at)))
+    # Without a width the first step counts, whatever the guard.
+    return (None if grown(near) is None else end - near), grown(far), grown(near)
+
+
+def _sorted(pdf: pd.DataFrame) -> tuple[np.ndarray, pd.DataFrame]:
+    pdf = pdf.sort_values("frame_no", kind="stable")
+    return pdf[["near", "far", "end"]].astype(float).to_numpy(), pdf
+
+
+def _composed(growth: float):
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        out = Guards()
+        for near, far, end in _sorted(pdf)[0]:
+            out.then(*_frame(near, far, end, growth))
+        return pd.DataFrame({"run_id": [key[0]], "chunk": [key[1]], "lows": [out.lows], "leaves": [[np.nan if v is None else float(v) for v in out.leaves]]})
+
+    return run
+
+
+def _starts(width: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf, now, out = pdf.sort_values("chunk"), width, []
+        for lows, leaves in zip(pdf["lows"], pdf["leaves"], strict=True):
+            out.append(now)
+            stretch = Guards()
+            stretch.lows, stretch.leaves = list(lows), [None if np.isnan(v) else int(v) for v in leaves]
+            now = stretch.after(now)
+        return pd.DataFrame({"of_run": pdf["run_id"], "of_chunk": pdf["chunk"], "start": np.array(out, dtype=np.int32)})
 
-    Both left candidates and the right step of a frame are found in parallel;
-    the fold over a run, in order, then sees four integers of each frame.  The
-    guard of the next frame is ``growth`` times this one's width.  Frames
-    without bounds pass the guard on.
+    return run
+
+
+def fold_widths(steps_: np.ndarray, start: int, growth: float) -> tuple[list[float], list[int], int]:
+    """Left bounds and guards of frames (rows near, far, end; NaN for none) in order, and the guard after them."""
+    now, endpoints, widths = start, [], []
+    for near, far, end in steps_:
+        endpoint = far if end - near > now else near
+        endpoints.append(endpoint)
+        widths.append(now)
+        grown = growth * (end - endpoint)
+        if grown == grown:
+            now = int(np.floor(grown))
+    return endpoints, widths, now
+
+
+def _folded(growth: float, frame_type: str):
+    def run(frames: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
+        values, frames = _sorted(frames)
+        endpoints, widths, _ = fold_widths(values, int(start["start"].iloc[0]) if len(start) else 0, growth)
+        whole = lambda v: pd.Series(v, dtype=float).round().astype("Int32")
+        return pd.DataFrame({"run_id": frames["run_id"].to_numpy(), "frame_no": frames["frame_no"].to_numpy(), "endpoint": whole(endpoints), "beginning": whole(values[:, 2]), "width": np.array(widths, dtype=np.int32)})
+
+    return run
+
+
+def carried_bounds(found: DataFrame, width: int = 300, growth: float = 1.13, chunk: int = 4096) -> DataFrame:
+    """``run_id, frame_no, endpoint, beginning, width`` of frames with ``near``, ``far`` and ``end``: the width guard goes from frame to frame.
+
+    The guard of the next frame is ``growth`` times this one's width.  Frames
+    without bounds pass the guard on.  A run is cut into stretches of ``chunk``
+    frame numbers.  What a stretch makes of any starting guard is a short list
+    of intervals; those of a run give each stretch its start, and all stretches
+    then fold on their own.  No task holds more than ``chunk`` frames, or than
+    one short row for each of a run's stretches.
     """
-    found = frames.select("run_id", "frame_no", left_step(F.col(profile), steep).alias("near"), left_step(F.col(profile), steep_wide).alias("far"), right_step(F.col(profile), steep).alias("end"))
-    runs = found.groupBy("run_id").agg(F.sort_array(F.collect_list(F.struct("frame_no", "near", "far", "end"))).alias("frames"))
-    zero = F.struct(F.lit(width).alias("width"), F.expr("cast(array() as array<struct<frame_no:bigint,endpoint:int,beginning:int,width:int>>)").alias("out"))
+    types = dict(found.dtypes)
+    run_type, frame_type = types["run_id"], types["frame_no"]
+    found = found.select(*KEY, *[F.col(c).cast("double").alias(c) for c in ("near", "far", "end")], F.floor(F.col("frame_no") / chunk).cast("long").alias("chunk"))
+    maps = found.groupBy("run_id", "chunk").applyInPandas(_composed(growth), f"run_id {run_type}, chunk long, lows array<double>, leaves array<double>")
+    starts = maps.groupBy("run_id").applyInPandas(_starts(width), f"of_run {run_type}, of_chunk long, start int")
+    folded = found.groupBy("run_id", "chunk").cogroup(starts.groupBy("of_run", "of_chunk"))
+    return folded.applyInPandas(_folded(growth, frame_type), f"run_id {run_type}, frame_no {frame_type}, endpoint int, beginning int, width int")
+
+
+def adaptive_bounds(frames: DataFrame, profile: str, steep: float, steep_wide: float, width: int, growth: float, right: str | None = None, scale: int = 1) -> DataFrame:
+    """``carried_bounds`` of the steps of arrays: left ones of ``profile``, right ones of ``right`` (the same one if none is named)."""
+    return carried_bounds(steps(frames, profile, right or profile, steep, steep_wide, scale), width, growth)
+
+
+def edge_guard(frames: DataFrame, rows: tuple[int, int] = (-25, -5), left: tuple[int, int] = (0, 40), right: tuple[int, int] = (-40, -1), least: float = 20.0, keep: list[str] | None = None) -> DataFrame:
+    """Adds ``clear``: neither border region is dark, that is, the drop touches no border. A region without pixels isn't dark."""
+
+    def kernel(a: np.ndarray) -> tuple:
+        means = [kernels.region_mean(a, rows, c) for c in (left, right)]
+        return (all(m is None or m >= least for m in means),)
+
+    return with_kernel(frames, kernel, "clear boolean", keep=keep)
 
-    def step(acc: Column, f: Column) -> Column:
-        endpoint = F.when(f["end"] - f["near"] > acc["width"], f["far"]).otherwise(f["near"])
-        new = F.coalesce(F.floor(F.lit(growth) * (f["end"] - endpoint)).cast("int"), acc["width"])
-        row = F.struct(f["frame_no"].cast("long").alias("frame_no"), endpoint.alias("endpoint"), f["end"].alias("beginning"), acc["width"].alias("width"))
-        return F.struct(new.alias("width"), F.array_append(acc["out"], row).alias("out"))
 
-    return runs.select("run_id", F.inline(F.aggregate("frames", zero, step, lambda a: a["out"])))
+class Detector(Protocol):
+    """What finds drops in a frame; made once for each task."""
 
+    def detect(self, image: np.ndarray) -> list[tuple[float, float, float, float, float]]:
+        """Boxes x1, y1, x2, y2 and their confidence."""
 
-def edge_guard(frames: DataFrame, rows: tuple[int, int] = (-25, -5), left: tuple[int, int] = (0, 40), right: tuple[int, int] = (-40, -1), least: float = 20.0) -> DataFrame:
-    """Adds ``clear``: neither border region is dark, that is, the drop touches no border."""
-    means = [F.coalesce(region_mean(F.col("px"), F.col("width"), F.col("height"), rows, c), F.lit(255.0)) for c in (left, right)]
-    return frames.withColumn("clear", (means[0] >= least) & (means[1] >= least))
 
+def boxes(frames: DataFrame, make: Callable[[], Detector]) -> DataFrame:
+    """``run_id, frame_no, x1, y1, x2, y2, conf``: a row for each box that the detector of ``make`` finds."""
+    names = ["x1", "y1", "x2", "y2", "conf"]
 
-def best_box(boxes: DataFrame, least: float = 0.8, key: tuple[str, ...] = ("run_id", "frame_no")) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        detector = make()
+        for batch in batches:
+            found = []
+            for p, h, w in zip(*(batch[c].to_pylist() for c in ("px", "height", "width")), strict=True):
+                a = pixels(p, h, w)
+                found.append([] if a is None else list(detector.detect(a)))
+            at = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+            values = np.array([b for f in found for b in f], dtype=float).reshape(-1, 5)
+            yield pa.RecordBatch.from_arrays([*(batch[c].take(at) for c in KEY), *(pa.array(values[:, k]) for k in range(5))], names=[*KEY, *names])
+
+    types = dict(frames.dtypes)
+    shape = ", ".join([*(f"{c} {types[c]}" for c in KEY), *(f"{n} double" for n in names)])
+    return frames.select(*KEY, "px", "height", "width").mapInArrow(run, shape)
+
+
+def best_box(found: DataFrame, least: float = 0.8, key: tuple[str, ...] = ("run_id", "frame_no")) -> DataFrame:
     """Of each frame the box of most confidence (ties: leftmost), of those that have enough."""
     top = F.max_by(F.struct("x1", "x2", "conf"), F.struct(F.col("conf"), -F.col("x1"), -F.col("x2")))
-    return boxes.filter(F.col("conf") >= least).groupBy(*key).agg(top.alias("box")).select(*key, "box.x1", "box.x2", "box.conf")
+    return found.filter(F.col("conf") >= least).groupBy(*key).agg(top.alias("box")).select(*key, "box.x1", "box.x2", "box.conf")
 
 
 def fused(model: DataFrame, sums: DataFrame, clear: DataFrame, key: tuple[str, ...] = ("run_id", "frame_no")) -> DataFrame:
@@ -79,10 +242,52 @@ def fused(model: DataFrame, sums: DataFrame, clear: DataFrame, key: tuple[str, .
     return both.select(*key, F.coalesce("m1", "s1").alias("x1"), F.greatest("m2", "s2").alias("x2"), found.alias("found"))
 
 
+def found_drops(frames: DataFrame, make: Callable[[], Detector] | None = None, conf: float = 0.8, width: int = 300, sx: int = 5, steep: float = 0.0025, steep_wide: float = 0.005) -> DataFrame:
+    """``run_id, frame_no, x1, x2, found`` of every frame: profile bounds, the boxes of a model if there is one, and the edge guard."""
+    own = frame_steps(frames, steep, steep_wide, sx, close_first=False).select(*KEY, guarded(width).alias("b"))
+    sums = own.select(*KEY, F.col("b.endpoint").alias("x1"), F.col("b.beginning").alias("x2")).filter("x1 is not null and x2 is not null")
+    clear = edge_guard(frames, keep=KEY)
+    if make is None:
+        model = sums.select(*KEY, F.lit(None).cast("int").alias("x1"), F.lit(None).cast("int").alias("x2")).filter(F.lit(False))
+    else:
+        model = best_box(boxes(frames, make), conf).select(*KEY, F.col("x1").cast("int").alias("x1"), F.col("x2").cast("int").alias("x2"))
+    return fused(model, sums, clear)
+
+
+def _before(frames: DataFrame) -> DataFrame:
+    """Frames with the pixels ``before`` of the run's previous one. Only keys are windowed; pixels are joined by them."""
+    order = Window.partitionBy("run_id").orderBy("frame_no")
+    keys = frames.select(*KEY).withColumn("_last", F.lag("frame_no").over(order)).filter("_last is not null")
+    old = frames.select(F.col("run_id").alias("_run"), F.col("frame_no").alias("_no"), F.col("px").alias("before"))
+    return frames.join(keys, KEY).join(old, (F.col("run_id") == F.col("_run")) & (F.col("_last") == F.col("_no"))).drop("_run", "_no", "_last")
+
+
 def difference_box(frames: DataFrame, threshold: int = 30) -> DataFrame:
     """``run_id, frame_no, changed, x1, x2, y1, y2``: bounding box of what differs from the run's previous frame; null without one."""
-    before = F.lag("px").over(Window.partitionBy("run_id").orderBy("frame_no"))
-    moved = F.filter(F.transform(F.zip_with("px", "before", lambda a, b: F.abs(a - b)), lambda d, i: F.when(d > threshold, i)), lambda i: i.isNotNull())
-    out = frames.withColumn("before", before).filter("before is not null").withColumn("at", moved)
-    xs, ys = (F.transform("at", f) for f in (lambda i: (i % F.col("width")).cast("int"), lambda i: F.floor(i / F.col("width")).cast("int")))
-    return out.select("run_id", "frame_no", F.size("at").alias("changed"), F.array_min(xs).alias("x1"), F.array_max(xs).alias("x2"), F.array_min(ys).alias("y1"), F.array_max(ys).alias("y2"))
+
+    def kernel(a: np.ndarray, old: bytes) -> tuple | None:
+        b = pixels(old, *a.shape)
+        if b is None:
+            return None
+        apart = np.maximum(a, b) - np.minimum(a, b) > threshold
+        xs, ys = np.flatnonzero(apart.any(axis=0)), np.flatnonzero(apart.any(axis=1))
+        return (int(apart.sum()), *([int(xs[0]), int(xs[-1]), int(ys[0]), int(ys[-1])] if len(xs) else [None] * 4))
+
+    names = ["changed", "x1", "x2", "y1", "y2"]
+    return with_kernel(_before(frames), kernel, ", ".join(f"{n} int" for n in names), "before", keep=KEY)
+
+
+def largest_change(frames: DataFrame, threshold: int = 30, least: int = 500, size: int = 5) -> DataFrame:
+    """``run_id, frame_no, x1, x2`` of the largest part that differs from the run's previous frame, opened and dilated twice; null without one."""
+    mask = np.ones((size, size), dtype=bool)
+
+    def kernel(a: np.ndarray, old: bytes) -> tuple | None:
+        b = pixels(old, *a.shape)
+        if b is None:
+            return None
+        moved = kernels.opened(kernels.threshold(np.maximum(a, b) - np.minimum(a, b), threshold), mask)
+        part = kernels.largest_component(kernels.dilate(kernels.dilate(moved, mask), mask) > 0, least)
+        at = np.flatnonzero(part.any(axis=0))
+        return (int(at[0]), int(at[-1])) if len(at) else None
+
+    return with_kernel(_before(frames), kernel, "x1 int, x2 int", "before", keep=KEY)

@@ -4,28 +4,19 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sessile.functions import kernels
+from sessile.operators.arrow import rows_of
+
 
 def edge_points(frames: DataFrame, low: int = 40, high: int = 255) -> DataFrame:
     """``run_id, frame_no, i, j``: per row the left and rightmost pixel in (low, high], per column the topmost; j counts upward.
 
-    The search runs within a frame's array; only edge points become rows.
+    The search runs within a frame; only edge points become rows.
     """
-    w, h, px = F.col("width"), F.col("height"), F.col("px")
-    hit = lambda x, y: (F.get(px, y * w + x) > low) & (F.get(px, y * w + x) <= high)
-    point = lambda x, y: F.struct(x.cast("int").alias("i"), (h - 1 - y).cast("int").alias("j"))
-    xs, ys = F.sequence(F.lit(0), w - 1), F.sequence(F.lit(0), h - 1)
-
-    def row(y: Column) -> Column:
-        found = F.filter(xs, lambda x: hit(x, y))
-        return F.filter(F.array(F.array_min(found), F.array_max(found)), lambda x: x.isNotNull())
-
-    by_row = F.flatten(F.transform(ys, lambda y: F.transform(row(y), lambda x: point(x, y))))
-    top = F.transform(xs, lambda x: F.struct(x.alias("x"), F.array_min(F.filter(ys, lambda y: hit(x, y))).alias("y")))
-    by_column = F.transform(F.filter(top, lambda t: t["y"].isNotNull()), lambda t: point(t["x"], t["y"]))
-    return frames.select("run_id", "frame_no", F.inline(F.array_distinct(F.concat(by_row, by_column))))
+    return rows_of(frames, lambda a: kernels.outline(a, low, high), "i int, j int")
 
 
 def nearest(points: DataFrame, n: int, side: str) -> DataFrame:
@@ -46,14 +37,7 @@ def by_distance(points: DataFrame, ox: int = 0, oy: int = 0) -> DataFrame:
 
 
 def _path(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values(["j", "i"], ignore_index=True)
-    xy = pdf[["i", "j"]].to_numpy(float)
-    left, at, order = np.ones(len(xy), dtype=bool), 0, []
-    for _ in range(len(xy)):
-        order.append(at)
-        left[at] = False
-        d2 = np.where(left, ((xy - xy[at]) ** 2).sum(axis=1), np.inf)
-        at = int(d2.argmin())
+    order = kernels.greedy_path(pdf["i"].to_numpy(), pdf["j"].to_numpy())
     return pdf.iloc[order].assign(ord=np.arange(len(pdf), dtype=np.int32))[["run_id", "frame_no", "ord", "i", "j"]]
 
 
@@ -65,3 +49,24 @@ def nearest_path(points: DataFrame) -> DataFrame:
     types = dict(points.dtypes)
     schema = f"run_id {types['run_id']}, frame_no {types['frame_no']}, ord int, i int, j int"
     return points.select("run_id", "frame_no", "i", "j").groupBy("run_id", "frame_no").applyInPandas(_path, schema)
+
+
+def ordered_edges(frames: DataFrame, margin: int = 9, low: int = 10, size: int = 5) -> DataFrame:
+    """``run_id, frame_no, ord, x, y``: the edge of the drop between ``endpoint`` and ``beginning`` in path order, in places of the whole frame.
+
+    The frame's last row is left out, the rest is cut ``margin`` pixels beyond
+    the bounds, closed and inverted.  ``y`` counts upward from 1.  Frames
+    without bounds have no points.
+    """
+    mask = kernels.ellipse(size)
+
+    def kernel(a: np.ndarray, left: int | None, right: int | None) -> tuple[np.ndarray, ...]:
+        none = np.empty(0)
+        if left is None or right is None or left >= right or a.shape[0] < 2:
+            return none, none, none
+        start = max(0, left - margin)
+        i, j = kernels.outline(255 - kernels.close(a[:-1, start : right + margin], mask), low)
+        order = kernels.greedy_path(i, j)
+        return np.arange(len(order)), i[order] + float(start), j[order] + 1.0
+
+    return rows_of(frames, kernel, "ord int, x double, y double", "endpoint", "beginning")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessile.functions.columns import advancing_angle, middle_angle, receding_angle
@@ -102,6 +104,67 @@ def lookup_bounds(frames: DataFrame, detections: DataFrame, key: list[str]) -> D
     return frames.join(once, key, "left").select(*frames.columns, "_d.endpoint", "_d.beginning", F.col("_d").isNull().alias("missing"))
 
 
-def first_per_frame(df: DataFrame, order: list[Column]) -> DataFrame:
-    """The first row of each frame in an order."""
-    return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*FRAME).orderBy(*order))).filter("_rn = 1").drop("_rn")
+#: Up to which angle a fit takes how many points, of what degree.
+WINDOWS = ((60.0, 60, 2), (105.0, 85, 2), (135.0, 125, 3), (None, 145, 4))
+
+
+@dataclass(frozen=True)
+class TwoPass:
+    """Points and degree of the first fit on the left and on the right, and those of the second by the first angle
+    (up to an angle, points, degree); the last window has no limit."""
+
+    left: tuple[int, int] = (64, 3)
+    right: tuple[int, int] = (65, 2)
+    windows: tuple[tuple[float | None, int, int], ...] = WINDOWS
+
+
+def sampled_fit(x: np.ndarray, y: np.ndarray, degree: int, n: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """``n`` places over the range of x and the polynomial there; None for too few distinct x."""
+    if len(np.unique(x)) <= degree or n < 2:
+        return None
+    shift, span = x.mean(), max(x.max() - x.min(), 1e-12)
+    xs = np.linspace(x.min(), x.max(), n)
+    return xs, np.polyval(np.polyfit((x - shift) / span, y, degree), (xs - shift) / span)
+
+
+def _near(i: np.ndarray, j: np.ndarray, left: bool, n: int) -> tuple[np.ndarray, np.ndarray]:
+    d = (i - (i.min() if left else i.max())) ** 2 + j**2
+    at = np.lexsort((j, i, d))[:n]
+    return i[at], j[at]
+
+
+def contact(i: np.ndarray, j: np.ndarray, left: bool, points: int, degree: int) -> tuple[float, float] | None:
+    """Angle and place at one contact: i as a function of j near it, by the first two samples of the fit."""
+    near_i, near_j = _near(i, j, left, points)
+    fit = sampled_fit(near_j, near_i, degree, points)
+    if fit is None:
+        return None
+    js, is_ = fit
+    turn = float(np.degrees(np.arctan((is_[1] - is_[0]) / (js[1] - js[0]))))
+    return (90 - turn if left else 90 + turn), float(is_[0])
+
+
+def measure(i: np.ndarray, j: np.ndarray, cfg: TwoPass = TwoPass()) -> list[float]:
+    """adv, rec, left_point, right_point: the first pass chooses the second one's points and degree by its angle; NaN where a fit fails."""
+    out = []
+    for left, (points, degree) in ((True, cfg.left), (False, cfg.right)):
+        rough = contact(i, j, left, points, degree) if len(i) else None
+        final = None
+        if rough is not None:
+            points, degree = next((p, d) for limit, p, d in cfg.windows if limit is None or rough[0] <= limit)
+            final = contact(i, j, left, points, degree)
+        out.append(final or (np.nan, np.nan))
+    return [out[0][0], out[1][0], out[0][1], out[1][1]]
+
+
+def two_pass(points: DataFrame, cfg: TwoPass = TwoPass()) -> DataFrame:
+    """``run_id, frame_no, adv, rec, left_point, right_point``: angles and contact points of two passes of fits; null where a fit fails."""
+    names = ["adv", "rec", "left_point", "right_point"]
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = measure(pdf["i"].to_numpy(float), pdf["j"].to_numpy(float), cfg)
+        return pdf[FRAME].iloc[:1].assign(**{n: [None if np.isnan(v) else v] for n, v in zip(names, found, strict=True)})
+
+    types = dict(points.dtypes)
+    schema = ", ".join([*(f"{c} {types[c]}" for c in FRAME), *(f"{n} double" for n in names)])
+    return points.select(*FRAME, "i", "j").groupBy(*FRAME).applyInPandas(run, schema)

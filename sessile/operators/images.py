@@ -1,4 +1,4 @@
-"""Kernels over tables of frames: Arrow batches in, Arrow batches out, one frame at a time in memory."""
+"""Whole-frame stages: morphology, masks, enlarging, levelling, crops, decoding."""
 
 from __future__ import annotations
 
@@ -7,29 +7,26 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessile.functions import kernels
+from sessile.operators.arrow import KEY, with_kernel
 
+PIXELS = "px binary, height int, width int"
 
-def map_pixels(frames: DataFrame, kernel: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """Frames with ``kernel`` applied to ``px``; a kernel of another shape changes width and height, too.
 
-    A row whose pixels don't fill its frame gets null pixels.
-    """
+def packed(a: np.ndarray) -> tuple[bytes, int, int]:
+    """A frame as the columns ``px``, ``height``, ``width``."""
+    return np.ascontiguousarray(a, dtype=np.uint8).tobytes(), a.shape[0], a.shape[1]
 
-    def one(px: np.ndarray | None, h: int, w: int) -> dict:
-        if px is None or len(px) != h * w or not len(px):
-            return {"px": None, "height": h, "width": w}
-        out = kernel(np.asarray(px, dtype=np.uint8).reshape(h, w))
-        return {"px": out.ravel().astype(np.int32), "height": out.shape[0], "width": out.shape[1]}
 
-    def run(px: pd.Series, height: pd.Series, width: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([one(p, int(h), int(w)) for p, h, w in zip(px, height, width, strict=True)], columns=["px", "height", "width"])
+def map_pixels(frames: DataFrame, kernel: Callable[..., np.ndarray], *arguments: str) -> DataFrame:
+    """Frames with ``kernel`` applied to their pixels; a kernel of another shape changes width and height, too.
 
-    new = F.pandas_udf(run, "px array<int>, height int, width int")(F.col("px"), F.col("height"), F.col("width"))
-    return frames.withColumn("_new", new).withColumns({c: F.col(f"_new.{c}") for c in ("px", "height", "width")}).drop("_new")
+    A row whose pixels don't fill its frame gets null pixels and sizes.
+    """
+    return with_kernel(frames, lambda a, *more: packed(kernel(a, *more)), PIXELS, *arguments)
 
 
 def closed(frames: DataFrame, size: int, shape: str = "ellipse") -> DataFrame:
@@ -37,13 +34,18 @@ def closed(frames: DataFrame, size: int, shape: str = "ellipse") -> DataFrame:
     return map_pixels(frames, lambda a: kernels.close(a, mask))
 
 
+def padded_top(frames: DataFrame, least: int = 130) -> DataFrame:
+    """Frames of at least ``least`` rows: white ones come on top."""
+    return map_pixels(frames, lambda a: kernels.pad_top(a, least))
+
+
 def reflection_mask(frames: DataFrame, dark: int = 10, level: int = 100) -> DataFrame:
     """White where the largest dark part of the opened frame isn't, black in it."""
     mask = np.ones((5, 5), dtype=bool)
 
     def kernel(a: np.ndarray) -> np.ndarray:
         part = kernels.largest_component(kernels.threshold(kernels.opened(a, mask), dark, 250, inverse=True) > level)
-        return np.where(part, 0, 255).astype(np.uint8)
+        return np.where(part, 0, 255)
 
     return map_pixels(frames, kernel)
 
@@ -53,73 +55,89 @@ def boundary_mask(frames: DataFrame, level: int = 100) -> DataFrame:
 
     def kernel(a: np.ndarray) -> np.ndarray:
         part = kernels.largest_component(kernels.threshold(kernels.blur(255 - a), 255 - level) > 0)
-        return np.where(part, 0, a).astype(np.uint8)
+        return np.where(part, 0, a)
 
     return map_pixels(frames, kernel)
 
 
-def largest_change(frames: DataFrame, before: str, threshold: int = 30, least: int = 500) -> DataFrame:
-    """Adds ``x1, x2`` of the largest part that differs from the array ``before``, opened and dilated twice; null without one."""
-    mask = np.ones((5, 5), dtype=bool)
+#: What enlarges a frame of pixels in 0..1; made once for each task.
+Model = Callable[[np.ndarray], np.ndarray]
+
+
+class _Once:
+    """The result of ``make``, made where it is first used and never sent along."""
+
+    def __init__(self, make: Callable[[], Model]) -> None:
+        self.make, self.made = make, None
+
+    def __getstate__(self) -> dict:
+        return {"make": self.make, "made": None}
 
-    def one(px: np.ndarray, old: np.ndarray | None, h: int, w: int) -> tuple[int | None, int | None]:
-        if old is None:
-            return None, None
-        apart = np.abs(np.asarray(px, int) - np.asarray(old, int)).astype(np.uint8).reshape(h, w)
-        moved = kernels.opened(kernels.threshold(apart, threshold), mask)
-        part = kernels.largest_component(kernels.dilate(kernels.dilate(moved, mask), mask) > 0, least)
-        at = np.flatnonzero(part.any(axis=0))
-        return (int(at[0]), int(at[-1])) if len(at) else (None, None)
+    def __call__(self, image: np.ndarray) -> np.ndarray:
+        if self.made is None:
+            self.made = self.make()
+        return self.made(image)
 
-    def run(px: pd.Series, old: pd.Series, height: pd.Series, width: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([one(*x) for x in zip(px, old, height, width, strict=True)], columns=["x1", "x2"]).astype("Int64")
 
-    found = F.pandas_udf(run, "x1 int, x2 int")(F.col("px"), F.col(before), F.col("height"), F.col("width"))
-    return frames.withColumn("_box", found).withColumns({"x1": F.col("_box.x1"), "x2": F.col("_box.x2")}).drop("_box")
+def enlarged(image: np.ndarray, model: Model, smooth: bool = True) -> np.ndarray:
+    """A gray frame stretched to 0..1, enlarged by ``model``, brought back to 0..255, smoothed and closed."""
+    out = np.clip(model(kernels.min_max(image)) * 255.0, 0, 255).astype(np.uint8)
+    return kernels.close(kernels.blur(out), kernels.ellipse(5)) if smooth else out
 
 
-def upscaled(frames: DataFrame, times: int = 3) -> DataFrame:
-    """Frames enlarged, smoothed and closed. Linear interpolation stands in for a network whose weights aren't public;
-    ``sr_model`` says so."""
-    mask = kernels.ellipse(5)
-    out = map_pixels(frames, lambda a: kernels.close(kernels.blur(kernels.resized(a, a.shape[0] * times, a.shape[1] * times)), mask))
-    return out.withColumn("sr_model", F.lit("linear"))
+def enlarged_colour(rgb: np.ndarray, model: Model) -> np.ndarray:
+    """The gray frame of a coloured one: luma by ``model``, chroma by cubic interpolation, together, then as ``enlarged``."""
+    y, cr, cb = kernels.luma_chroma(rgb)
+    bright = enlarged(y, model, smooth=False)
+    both = kernels.from_luma_chroma(bright, *(kernels.cubic(c, *bright.shape) for c in (cr, cb)))
+    gray = np.floor(both.astype(float) @ kernels.LUMA + 0.5).astype(np.uint8)
+    return kernels.close(kernels.blur(gray), kernels.ellipse(5))
 
 
-def surface_line(frames: DataFrame, share: float = 0.3, residual: float = 1.0) -> DataFrame:
+def linear(times: int = 3) -> Model:
+    """Linear interpolation, which stands in for a network whose weights aren't public."""
+    return lambda image: kernels.resized(np.floor(image * 255 + 0.5).astype(np.uint8), image.shape[0] * times, image.shape[1] * times) / 255.0
+
+
+def upscaled(frames: DataFrame, times: int = 3, make: Callable[[], Model] | None = None, name: str = "network") -> DataFrame:
+    """Frames enlarged ``times``, smoothed and closed; ``sr_model`` names the model of ``make``, or "linear" without one."""
+    model = _Once(make or (lambda: linear(times)))
+    return map_pixels(frames, lambda a: enlarged(a, model)).withColumn("sr_model", F.lit("linear" if make is None else name))
+
+
+def _seed(*key: str) -> F.Column:
+    return F.concat_ws("/", *(key or KEY))
+
+
+def surface_line(frames: DataFrame, share: float = 0.3, residual: float = 1.0, trials: int = 5000, drop: tuple[str, ...] = ()) -> DataFrame:
     """Adds ``angle`` (degrees) and ``line_y`` of the surface, from a line through the edges of the lowest ``share`` of rows.
 
     The random search is seeded by run and frame, so it repeats. Null where
-    there are no edges.
+    there are no edges. Columns of ``drop`` don't come along.
     """
 
-    def one(seed: str, px: np.ndarray, h: int, w: int) -> tuple[float | None, float | None]:
-        a = np.asarray(px, dtype=np.uint8).reshape(h, w)
-        top = int(h * (1 - share))
+    def kernel(a: np.ndarray, seed: str) -> tuple | None:
+        top = int(a.shape[0] * (1 - share))
         y, x = np.nonzero(kernels.edges(kernels.blur(a[top:], 5)))
-        line = kernels.ransac_line(y.astype(float), x.astype(float), zlib.crc32(seed.encode()), residual)
-        if line is None:
-            return None, None
-        return float(np.degrees(np.arctan(line[0]))), float(top + line[1] + line[0] * (x.min() + x.max()) / 2)
+        line = kernels.ransac_line(y.astype(float), x.astype(float), zlib.crc32(seed.encode()), residual, trials)
+        return None if line is None else (float(np.degrees(np.arctan(line[0]))), float(top + line[1] + line[0] * (x.min() + x.max()) / 2))
 
-    def run(seed: pd.Series, px: pd.Series, height: pd.Series, width: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([one(*x) for x in zip(seed, px, height, width, strict=True)], columns=["angle", "line_y"], dtype=float)
+    return with_kernel(frames, kernel, "angle double, line_y double", _seed(), keep=[c for c in frames.columns if c not in ("angle", "line_y", *drop)])
 
-    found = F.pandas_udf(run, "angle double, line_y double")(F.concat_ws("/", "run_id", "frame_no"), F.col("px"), F.col("height"), F.col("width"))
-    return frames.withColumn("_line", found).withColumns({"angle": F.col("_line.angle"), "line_y": F.col("_line.line_y")}).drop("_line")
 
+def line_heights(frames: DataFrame, above: int = 10, residual: float = 2.0, trials: int = 1000) -> DataFrame:
+    """``run_id, frame_no, line_height`` of the surface in frames turned by ``angle`` about their middle, ``above`` rows over the line."""
 
-def levelled(frames: DataFrame) -> DataFrame:
-    """Frames turned by their column ``angle`` about their middle, so that the surface lies flat."""
+    def kernel(a: np.ndarray, angle: float, seed: str) -> tuple:
+        turned = kernels.rotated(a, 0.0 if angle is None or angle != angle else angle, (a.shape[1] // 2, a.shape[0] // 2))
+        return (kernels.surface_height(turned, zlib.crc32(seed.encode()), above, residual, trials),)
 
-    def one(px: np.ndarray, h: int, w: int, angle: float) -> np.ndarray:
-        a = np.asarray(px, dtype=np.uint8).reshape(h, w)
-        return kernels.rotated(a, 0.0 if np.isnan(angle) else angle, (w / 2, h / 2)).ravel().astype(np.int32)
+    return with_kernel(frames, kernel, "line_height int", "angle", _seed(), keep=KEY)
 
-    def run(px: pd.Series, height: pd.Series, width: pd.Series, angle: pd.Series) -> pd.Series:
-        return pd.Series([one(*x) for x in zip(px, height, width, angle.astype(float), strict=True)])
 
-    return frames.withColumn("px", F.pandas_udf(run, "array<int>")(F.col("px"), F.col("height"), F.col("width"), F.col("angle")))
+def levelled(frames: DataFrame) -> DataFrame:
+    """Frames turned by their column ``angle`` about their middle, so that the surface lies flat."""
+    return map_pixels(frames, lambda a, angle: kernels.rotated(a, 0.0 if angle is None or angle != angle else angle, (a.shape[1] / 2, a.shape[0] / 2)), "angle")
 
 
 def run_baseline(heights: DataFrame, margin: int = 10) -> DataFrame:
@@ -128,36 +146,66 @@ def run_baseline(heights: DataFrame, margin: int = 10) -> DataFrame:
     return heights.join(base, "run_id").withColumn("cut", F.col("baseline") + margin)
 
 
+def standing(frames: DataFrame, margin: int = 10, every: int = 50, least: int = 2) -> DataFrame:
+    """Frames turned by ``angle`` about (middle, ``baseline`` + margin), black from there on, the drop standing on five black rows.
+
+    A frame of a run without ``baseline`` stays as it is but for the black rows.
+    """
+
+    def kernel(a: np.ndarray, angle: float, baseline: float) -> np.ndarray:
+        if angle == angle and angle is not None and baseline == baseline and baseline is not None:
+            cut = max(0, int(baseline) + margin)
+            a = kernels.rotated(a, angle, (a.shape[1] // 2, cut)).copy()
+            a[cut:] = 0
+        return kernels.unified(a, a.shape[0], kernels.bottom_row(a, every, least))
+
+    return map_pixels(frames, kernel, "angle", "baseline")
+
+
 def bottom_row(frames: DataFrame, every: int = 50, least: int = 2) -> DataFrame:
     """``run_id, frame_no, bottom``: above the lowest row whose sampled columns sum to more than ``least`` (down to row 1, else 0)."""
-    w, px = F.col("width"), F.col("px")
-    total = lambda y: F.aggregate(F.sequence(F.lit(0), w - 1, F.lit(every)), F.lit(0).cast("long"), lambda s, x: s + F.get(px, y * w + x))
-    rows = F.filter(F.sequence(F.lit(1), F.col("height") - 1), lambda y: total(y) > least)
-    return frames.select("run_id", "frame_no", (F.coalesce(F.array_max(rows), F.lit(1)) - 1).alias("bottom"))
+    return with_kernel(frames, lambda a: (kernels.bottom_row(a, every, least),), "bottom int", keep=KEY)
+
+
+def unified(frames: DataFrame, target: int, pad_bottom: int = 5) -> DataFrame:
+    """Frames cut above ``bottom``, padded white on top to ``target - 1`` rows and black below."""
+    return map_pixels(frames, lambda a, bottom: kernels.unified(a, target, int(bottom), pad_bottom), "bottom")
+
+
+def cropped(frames: DataFrame, margin: int = 15, bottom_rows: int = 0) -> DataFrame:
+    """Frames cut to ``margin`` pixels beyond ``endpoint`` and ``beginning``, clamped to the frame, inverted; adds their left end ``x1``.
+
+    The lowest ``bottom_rows`` are left out.  Pixels are null where the bounds
+    aren't in order.
+    """
+
+    def kernel(a: np.ndarray, left: float, right: float) -> tuple | None:
+        if left is None or right is None or not left < right:
+            return None
+        start = max(0, int(left) - margin)
+        cut = 255 - a[: a.shape[0] - bottom_rows, start : max(0, int(right) + margin)]
+        return (*packed(cut), start) if cut.size else None
+
+    return with_kernel(frames, kernel, f"{PIXELS}, x1 int", "endpoint", "beginning")
 
 
-def unified(frames: DataFrame, target: Column, pad_bottom: int = 5) -> DataFrame:
-    """Frames cut above ``bottom``, padded white on top to ``target`` rows and black below."""
-    w = F.col("width")
-    keep = F.slice("px", F.lit(1), (F.greatest(F.lit(0), F.col("bottom") - 1) * w).cast("int"))
-    top = F.array_repeat(F.lit(255), F.greatest(F.lit(0), target - F.greatest(F.lit(0), F.col("bottom") - 1)).cast("int") * w)
-    out = F.concat(top, keep, F.array_repeat(F.lit(0), pad_bottom * w))
-    return frames.withColumn("px", out).withColumn("height", (F.size("px") / w).cast("int"))
+def totals(frames: DataFrame) -> DataFrame:
+    """Frames without their pixels, with how many there are, ``pixels``, and their ``total``."""
+    return with_kernel(frames, lambda a: (int(a.size), float(a.sum(dtype=np.int64))), "pixels int, total double", keep=[c for c in frames.columns if c != "px"])
 
 
 def decoded(images: DataFrame) -> DataFrame:
     """Gray frames from rows of Spark's image source: origin, height, width, px. Three channels become luma; bad files are left out."""
 
-    def one(data: bytes, n: int) -> np.ndarray:
-        a = np.frombuffer(data, dtype=np.uint8)
+    def one(data: bytes, n: int) -> bytes:
         if n == 1:
-            return a.astype(np.int32)
-        bgr = a.reshape(-1, n)[:, :3].astype(float)
-        return np.floor(bgr @ np.array([0.114, 0.587, 0.299]) + 0.5).astype(np.int32)
+            return data
+        bgr = np.frombuffer(data, dtype=np.uint8).reshape(-1, n)[:, :3].astype(float)
+        return np.floor(bgr @ kernels.LUMA[::-1] + 0.5).astype(np.uint8).tobytes()
 
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for data, n in batches:
             yield pd.Series([one(d, int(c)) for d, c in zip(data, n, strict=True)])
 
     good = images.filter("image.height > 0")
-    return good.select("image.origin", "image.height", "image.width", F.pandas_udf(run, "array<int>")(F.col("image.data"), F.col("image.nChannels")).alias("px"))
+    return good.select("image.origin", "image.height", "image.width", F.pandas_udf(run, "binary")(F.col("image.data"), F.col("image.nChannels")).alias("px"))

@@ -1,44 +1,74 @@
-"""Dropping frames without a drop: by chunks, coarse to fine, and at both ends of a run."""
+"""Dropping frames without a drop: by chunks, coarse to fine, and at both ends of a run.
+
+Only keys and places go through windows; frames are kept by a semi-join with
+the keys that stay.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _placed(keys: DataFrame, skip: int, order: list[str]) -> DataFrame:
+    """Keys with their place ``_n`` in the run, from 0, and its chunk."""
+    numbered = keys.withColumn("_n", F.row_number().over(Window.partitionBy("run_id").orderBy(*order)) - 1)
+    return numbered.withColumn("_chunk", F.floor(F.col("_n") / skip))
+
+
+def _kept(placed: DataFrame, skip: int) -> DataFrame:
+    """Keys of the chunks that have a hit, or are partial."""
+    chunk = Window.partitionBy("run_id", "_chunk")
+    ends = F.max(F.coalesce(F.col("_found"), F.lit(False)) & at_ends(skip, F.col("_n"))).over(chunk)
+    return placed.withColumns({"_hit": ends, "_size": F.count("*").over(chunk)}).filter((F.col("_size") < skip) | F.col("_hit"))
+
+
+def at_ends(skip: int, place: Column) -> Column:
+    """Whether a detector has to see the frame at a place of the run."""
+    return (place % skip).isin(0, skip - 1)
+
+
 def prune_chunks(frames: DataFrame, skip: int, order: list[str], found: str = "found") -> DataFrame:
     """Frames but those of chunks of ``skip`` whose first and last frame have no drop; a last, partial chunk stays.
 
-    Only ``run_id`` and ``order`` columns are windowed; positions count the
-    frames that are still there.
+    Places count the frames that are still there; ``run_id`` and ``order`` name a frame.
     """
-    by_run = Window.partitionBy("run_id").orderBy(*order)
-    numbered = frames.withColumn("_n", F.row_number().over(by_run) - 1).withColumn("_chunk", F.floor(F.col("_n") / skip))
-    chunk = Window.partitionBy("run_id", "_chunk")
-    ends = F.max(F.col(found) & (F.col("_n") % skip).isin(0, skip - 1)).over(chunk)
-    return numbered.withColumns({"_hit": ends, "_size": F.count("*").over(chunk)}).filter((F.col("_size") < skip) | F.col("_hit")).drop("_n", "_chunk", "_hit", "_size")
+    keys = frames.select("run_id", *order, F.col(found).alias("_found"))
+    kept = _kept(_placed(keys, skip, order), skip).select("run_id", *order)
+    return frames.join(kept, ["run_id", *order], "left_semi")
 
 
 def coarse_to_fine(frames: DataFrame, skips: tuple[int, ...], order: list[str], found: str = "found") -> DataFrame:
-    """Chunk pruning with each of ``skips`` in turn, positions counted anew."""
+    """Chunk pruning with each of ``skips`` in turn, places counted anew."""
+    keys = frames.select("run_id", *order, F.col(found).alias("_found"))
     for skip in skips:
-        frames = prune_chunks(frames, skip, order, found)
-    return frames
+        keys = _kept(_placed(keys, skip, order), skip).select("run_id", *order, "_found")
+    return frames.join(keys, ["run_id", *order], "left_semi")
+
 
+def prune_detecting(frames: DataFrame, skip: int, detect: Callable[[DataFrame], DataFrame], order: list[str] | None = None) -> DataFrame:
+    """``prune_chunks`` where ``detect`` gives ``run_id, frame_no, found``: it sees the ends of whole chunks alone."""
+    order = order or ["frame_no"]
+    placed = _placed(frames.select("run_id", *order), skip, order)
+    whole = F.count("*").over(Window.partitionBy("run_id", "_chunk")) == skip
+    ends = placed.withColumn("_whole", whole).filter(F.col("_whole") & at_ends(skip, F.col("_n"))).select("run_id", *order)
+    found = detect(frames.join(ends, ["run_id", *order], "left_semi")).select("run_id", *order, F.col("found").alias("_found"))
+    kept = _kept(placed.join(found, ["run_id", *order], "left"), skip).select("run_id", *order)
+    return frames.join(kept, ["run_id", *order], "left_semi")
 
-def trim(frames: DataFrame, order: list[str], right_most: int = 1200, left_least: int = 40) -> DataFrame:
+
+def trim(frames: DataFrame, order: list[str], right_most: int = 1200, left_least: int = 40, found: DataFrame | None = None) -> DataFrame:
     """Frames from the first whose drop has come in (x2 < right_most) to the last before it goes (x1 > left_least).
 
-    The place in the run is compared as a struct of the order columns, so no
-    run is sorted.  A run without such frames has none left.
+    ``found`` has ``run_id``, the order columns, ``found``, ``x1`` and ``x2``, if
+    ``frames`` itself has not.  The place in the run is compared as a struct of
+    the order columns, so no run is sorted.  A run without such frames has none
+    left.
     """
     at = F.struct(*order)
     head = F.min(F.when(F.col("found") & (F.col("x2") < right_most), at))
     tail = F.max(F.when(F.col("found") & (F.col("x1") > left_least), at))
-    ends = frames.groupBy("run_id").agg(head.alias("_head"), tail.alias("_tail"))
+    ends = (frames if found is None else found).groupBy("run_id").agg(head.alias("_head"), tail.alias("_tail"))
     return frames.join(ends, "run_id").filter((at >= F.col("_head")) & (at <= F.col("_tail"))).drop("_head", "_tail")
-
-
-def endpoint_rows(skip: int, position: Column) -> Column:
-    """Whether a detector has to see the frame at a position: filter by this before running a costly one."""
-    return (position % skip).isin(0, skip - 1)

@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-KEY = ["run_id", "frame_no"]
+from sessile.operators.arrow import KEY, with_kernel
+from sessile.storage import materialize
 
 
 def every_nth_run(runs: DataFrame, n: int = 5) -> DataFrame:
-    """Every n-th run in the order of run_id; the table of runs has a row for each run, not for each frame."""
-    order = Window.orderBy("run_id")
-    return runs.withColumn("_rn", F.row_number().over(order)).filter((F.col("_rn") - 1) % n == 0).drop("_rn")
+    """Every n-th run in the order of run_id.
+
+    Runs are sorted by range over all tasks; each part learns how many runs lie
+    before it from the counts of the parts, a row for each, and numbers its own.
+    """
+    parts = materialize(runs.repartitionByRange("run_id").sortWithinPartitions("run_id").withColumn("_part", F.spark_partition_id()), "runs")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy("run_id")) - 1
+    return parts.withColumn("_at", place).join(starts, "_part").filter((F.col("_start") + F.col("_at")) % n == 0).drop("_part", "_at", "_start")
 
 
 def work_list(runs: DataFrame, status: DataFrame, done: tuple[str, ...] = ("done", "failed")) -> DataFrame:
@@ -37,12 +47,11 @@ def odd_dimensions(videos: DataFrame, width: int = 1280, height: int = 120) -> D
 
 def surface_check(frames: DataFrame, every: int = 4, bright: float = 100.0) -> DataFrame:
     """``run_id, checked, rejected``: of every 4th frame (by position) the mean of the last row, too bright in one rejects the run."""
-    last = F.slice("px", (F.size("px") - F.col("width") + 1).cast("int"), F.col("width").cast("int"))
-    mean = F.aggregate(last, F.lit(0.0), lambda a, v: a + v) / F.col("width")
     order = Window.partitionBy("run_id").orderBy("frame_no")
-    # Only a number of each frame goes through the window.
-    small = frames.select(*KEY, mean.alias("mean")).withColumn("pos", F.row_number().over(order) - 1).filter(F.col("pos") % every == 0)
-    return small.groupBy("run_id").agg(F.count("*").alias("checked"), F.max(F.col("mean") > bright).alias("rejected"))
+    # Keys alone go through the window; the kernel sees the frames that count.
+    seen = frames.select(*KEY).withColumn("pos", F.row_number().over(order) - 1).filter(F.col("pos") % every == 0).select(*KEY)
+    means = with_kernel(frames.select(*KEY, "px", "height", "width").join(seen, KEY, "left_semi"), lambda a: (float(a[-1].mean()),), "mean double", keep=KEY)
+    return means.groupBy("run_id").agg(F.count("*").alias("checked"), F.max(F.coalesce(F.col("mean") > bright, F.lit(False))).alias("rejected"))
 
 
 def index_gaps(frames: DataFrame, index: str) -> DataFrame:
@@ -52,11 +61,25 @@ def index_gaps(frames: DataFrame, index: str) -> DataFrame:
 
 
 def repaired(frames: DataFrame, broken: Column) -> DataFrame:
-    """Frames with each broken one replaced by the mean of its neighbours in the run; null pixels without both."""
+    """Frames with each broken one replaced by the mean of its neighbours in the run; null pixels without both.
+
+    Only keys are windowed; the pixels of neighbours are joined for broken
+    frames alone.
+    """
     order = Window.partitionBy("run_id").orderBy("frame_no")
-    near = frames.withColumns({"_bad": broken, "_a": F.lag("px").over(order), "_b": F.lead("px").over(order)})
-    blend = F.when(F.col("_a").isNotNull() & F.col("_b").isNotNull(), F.zip_with("_a", "_b", lambda a, b: F.floor((a + b) / 2).cast("int")))
-    return near.withColumn("px", F.when(F.col("_bad"), blend).otherwise(F.col("px"))).drop("_bad", "_a", "_b")
+    keys = frames.select(*KEY, F.coalesce(broken, F.lit(False)).alias("_bad")).withColumns({"_a": F.lag("frame_no").over(order), "_b": F.lead("frame_no").over(order)})
+    bad = keys.filter("_bad").drop("_bad")
+    near = lambda c: frames.select(F.col("run_id").alias(f"_run{c}"), F.col("frame_no").alias(f"_no{c}"), F.col("px").alias(f"_px{c}"))
+    for c in ("_a", "_b"):
+        bad = bad.join(near(c), (F.col("run_id") == F.col(f"_run{c}")) & (F.col(c) == F.col(f"_no{c}")), "left")
+
+    def blend(first: pd.Series, second: pd.Series) -> pd.Series:
+        both = [None if a is None or b is None or len(a) != len(b) else ((np.frombuffer(a, np.uint8).astype(np.uint16) + np.frombuffer(b, np.uint8)) // 2).astype(np.uint8).tobytes() for a, b in zip(first, second, strict=True)]
+        return pd.Series(both, dtype=object)
+
+    new = bad.select(*KEY, F.lit(True).alias("_bad"), F.pandas_udf(blend, "binary")("_px_a", "_px_b").alias("_new"))
+    out = frames.join(new, KEY, "left")
+    return out.withColumn("px", F.when(F.col("_bad"), F.col("_new")).otherwise(F.col("px"))).drop("_bad", "_new")
 
 
 def count_lines(files: DataFrame, text: str = "text") -> DataFrame:

@@ -1,71 +1,93 @@
-"""The analysis of cropped frames, from pixels to one measurement of each frame."""
+"""The analysis of frames: levelling, pruning, trimming, detection, crop, measurement, time series.
+
+Stages that several others read are written once to the shared folder; apart
+from that a stage is a step of one plan.
+"""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessile.config import Settings
-from sessile.operators import centers, detect, edges, fit, images, kinematics
+from sessile.operators import centers, detect, edges, fit, images, kinematics, prune, scan
+from sessile.operators.arrow import KEY
+from sessile.storage import discard, materialize
+
+
+def levelled_runs(frames: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+    """Frames with the surface flat and the drop standing on black rows.
+
+    The angle is that of the run's third frame (of the last one in a shorter
+    run), the height of the surface the mean over all frames.
+    """
+    order = Window.partitionBy("run_id").orderBy("frame_no")
+    keys = frames.select(*KEY).withColumns({"_n": F.row_number().over(order), "_all": F.count("*").over(Window.partitionBy("run_id"))})
+    third = keys.filter(F.col("_n") == F.least(F.lit(cfg.angle_frame), F.col("_all"))).select(*KEY)
+    angle = images.surface_line(frames.join(third, KEY, "left_semi"), cfg.surface_share, 1.0, cfg.angle_trials, drop=("px",)).select("run_id", F.coalesce("angle", F.lit(0.0)).alias("angle"))
+    turned = frames.join(materialize(angle, "angles"), "run_id")
+    heights = images.line_heights(turned, cfg.surface_margin, 2.0, cfg.height_trials)
+    baseline = heights.groupBy("run_id").agg(F.avg("line_height").cast("int").alias("baseline"))
+    return images.standing(turned.join(materialize(baseline, "baselines"), "run_id"), cfg.surface_margin).drop("angle", "baseline")
+
 
-FRAME = ["run_id", "frame_no"]
+def with_drops(frames: DataFrame, make: Callable[[], detect.Detector] | None = None, cfg: Settings = Settings()) -> DataFrame:
+    """Frames that show a drop: chunks without one go, coarse to fine, and what lies before it comes in and after it leaves."""
 
+    def found(part: DataFrame) -> DataFrame:
+        return detect.found_drops(part, make, cfg.yolo_conf, cfg.drop_width, cfg.detector_scale, cfg.steep, cfg.steep_wide)
 
-def measured(frames: DataFrame, low: int, high: int, n: int, margin: int, cfg: Settings = Settings()) -> DataFrame:
-    """Angles, contact length and centre of every frame; a frame that can't be measured has an ``error_class``.
+    for skip in cfg.skips:
+        kept = materialize(prune.prune_detecting(frames, skip, found).select(*KEY), "kept")
+        frames = frames.join(kept, KEY, "left_semi")
+    seen = materialize(found(frames), "found")
+    return prune.trim(frames, ["frame_no"], cfg.trim_right, cfg.trim_left, seen)
+
+
+def bounds(frames: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+    """``run_id, frame_no, endpoint, beginning, width``: the drop's bounds, the width guard carried along a run."""
+    steps = detect.frame_steps(frames, cfg.steep, cfg.steep_wide, cfg.profile_scale)
+    return detect.carried_bounds(steps, cfg.drop_width, cfg.width_growth)
+
+
+def measured(frames: DataFrame, low: int, high: int, margin: int, cfg: Settings = Settings(), fits: fit.TwoPass = fit.TwoPass()) -> DataFrame:
+    """Angles, contact length and centre of every frame; a frame that can't be measured has an ``error_class`` and a ``message``.
 
     ``frames`` has run_id, frame_no, width, height, px and the left bound x1.
     """
-    # Six aggregates read the points, which are small; the frames behind them are not.
-    points = edges.edge_points(frames, low, high).persist(StorageLevel.MEMORY_AND_DISK)
-    found = fit.contact_angles(points, n).join(centers.horizontal_center(points, margin), FRAME).join(centers.vertical_center(points, margin), FRAME).join(fit.middle_line(points).drop("slope"), FRAME)
-    rows = frames.select(*FRAME, "x1").join(found, FRAME, "left")
-    error = F.when(F.col("left_point").isNull() & F.col("h_center").isNull(), "NoEdge").when(F.col("adv").isNull() | F.col("rec").isNull(), "NoContactLine")
+    points = materialize(edges.edge_points(frames, low, high), "points")
+    found = fit.two_pass(points, fits).join(centers.horizontal_center(points, margin), KEY).join(centers.vertical_center(points, margin), KEY).join(fit.middle_line(points).drop("slope"), KEY)
+    rows = frames.select(*KEY, "x1").join(found, KEY, "left")
+    error = F.when(F.col("h_center").isNull(), "NoEdge").when(F.col("adv").isNull() | F.col("rec").isNull(), "NoContactLine")
+    said = F.when(F.col("h_center").isNull(), "no pixel above the threshold").otherwise("too few distinct edge points near a contact")
     # The centre counts from the frame's left end, not the crop's.
     rows = rows.withColumn("h_center", F.col("h_center") + cfg.upscale * F.col("x1"))
-    return kinematics.to_cm(rows, cfg).withColumn("error_class", error)
+    return kinematics.to_cm(rows, cfg).withColumn("error_class", error).withColumn("message", F.when(F.col("error_class").isNotNull(), said))
 
 
-def two_pass(points: DataFrame, first: int = 64, cfg: Settings = Settings()) -> DataFrame:
-    """Angles from fits whose points and degree suit the angles of a first pass.
+def cropped(frames: DataFrame, bound: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+    """Inverted cuts around the bounds, enlarged; frames without bounds have null pixels."""
+    key_type = dict(frames.dtypes)["frame_no"]
+    both = frames.join(bound.select("run_id", F.col("frame_no").cast(key_type).alias("frame_no"), "endpoint", "beginning"), KEY, "left")
+    return images.upscaled(images.cropped(both, cfg.crop_margin, cfg.bottom_rows), cfg.upscale)
 
-    ``run_id, frame_no, adv, rec``: the first pass takes the ``first`` nearest
-    points, the second as many as the first angle asks for.
-    """
-    from sessile.functions.columns import fit_window
-
-    rough = fit.contact_angles(points, first).select(*FRAME, fit_window(F.col("adv")).alias("wa"), fit_window(F.col("rec")).alias("wr"))
-    out = None
-    for side, window, angle in (("advancing", "wa", "adv"), ("receding", "wr", "rec")):
-        near = edges.nearest(points, 145, side).join(rough.select(*FRAME, F.col(window).alias("w")), FRAME).filter("w is not null and rank <= w.pixels")
-        fits = None
-        for degree in (2, 3, 4):
-            part = fit.polynomial_fit(near.filter(F.col("w.degree") == degree), "j", "i", degree, 100)
-            fits = part if fits is None else fits.unionByName(part)
-        dy, dx = F.get("ys", F.lit(1)) - F.get("ys", F.lit(0)), F.get("xs", F.lit(1)) - F.get("xs", F.lit(0))
-        turn = F.degrees(F.atan(dy / dx))
-        own = fits.filter("xs is not null").select(*FRAME, (90 - turn if side == "advancing" else 90 + turn).alias(angle))
-        out = own if out is None else out.join(own, FRAME, "full")
-    return out
-
-
-def analysed(raw: DataFrame, cfg: Settings = Settings(), margin: int = 4) -> DataFrame:
-    """From gray frames (run_id, frame_no, width, height, px) to the time series of every run.
-
-    Bounds by column profile with the width carried along a run, the edge
-    guard, crop and inversion, upscaling, measurement, kinematics.
+
+def analysed(raw: DataFrame, cfg: Settings = Settings(), margin: int = 4, make: Callable[[], detect.Detector] | None = None, level: bool = True, fits: fit.TwoPass = fit.TwoPass()) -> tuple[DataFrame, DataFrame]:
+    """From gray frames (run_id, frame_no, width, height, px) to the time series of every run, and the measurements behind it.
+
+    Runs whose surface is out of sight go; frames are levelled, pruned and
+    trimmed; bounds, crop, enlarging and two passes of fits give measurements,
+    of which those with an ``error_class`` are left out of the series.  A
+    ``gap`` marks a row whose next frame isn't the next number.
     """
-    profiled = detect.column_profile(raw)
-    bound = detect.adaptive_bounds(profiled, "vv", cfg.steep, cfg.steep_wide, cfg.drop_width, cfg.width_growth)
-    clear = detect.edge_guard(raw).filter("clear").drop("clear")
-    key_type = dict(raw.dtypes)["frame_no"]
-    crops = clear.join(bound.select("run_id", F.col("frame_no").cast(key_type).alias("frame_no"), "endpoint", "beginning"), FRAME).filter("endpoint < beginning")
-    height = F.col("height") - cfg.bottom_rows
-    x1, x2 = F.greatest(F.lit(0), F.col("endpoint") - cfg.crop_margin), F.least(F.col("width"), F.col("beginning") + cfg.crop_margin)
-    rows = F.transform(F.sequence(F.lit(0), height - 1), lambda y: F.transform(F.slice("px", y * F.col("width") + x1 + 1, x2 - x1), lambda v: 255 - v))
-    # Under new names first: within a lambda, the name of an alias beside it would win over the column's.
-    crops = crops.select(*FRAME, height.alias("_height"), (x2 - x1).alias("_width"), F.flatten(rows).alias("_px"), x1.alias("_x1"))
-    crops = crops.select(*FRAME, *[F.col(f"_{c}").alias(c) for c in ("height", "width", "px", "x1")])
-    done = measured(images.upscaled(crops, cfg.upscale), cfg.mask_low, 255, 64 * cfg.upscale, margin, cfg)
-    return kinematics.kinematics(done.filter("error_class is null"), ["frame_no"], cfg.fps_experiment, index=F.col("frame_no"))
+    rejected = materialize(scan.surface_check(raw, bright=cfg.surface_bright).filter("rejected").select("run_id"), "rejected")
+    frames = raw.join(rejected, "run_id", "left_anti")
+    frames = materialize(levelled_runs(frames, cfg) if level else frames, "levelled")
+    used = materialize(with_drops(frames, make, cfg), "with-drops")
+    discard(frames)
+    crops = materialize(cropped(used, bounds(used, cfg), cfg), "crops")
+    rows = materialize(measured(crops, cfg.mask_low, cfg.mask_high, margin, cfg, fits), "measured")
+    series = kinematics.kinematics(rows.filter("error_class is null"), ["frame_no"], cfg.fps_experiment, index=F.col("frame_no"))
+    return series, rows

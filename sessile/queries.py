@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessile.functions import columns as C
-from sessile.functions import kernels
+from sessile.functions import kernels, network
 from sessile.operators import centers, detect, edges, fit, images, kinematics, prune, scan
+from sessile.operators.arrow import rows_of, with_kernel
 from sessile.plans import sinks
 from sessile.plans.analysis import measured
 from sessile.sources.standins import frames, table, track
@@ -60,6 +62,11 @@ def typed(df: DataFrame, schema: str) -> DataFrame:
     return df.select(*[F.col(n).cast(t).alias(n) for n, t in pairs])
 
 
+def values(out: DataFrame) -> DataFrame:
+    """A row for each pixel: run_id, frame_no, place k, value v."""
+    return rows_of(out, lambda a: (np.arange(a.size), a.ravel()), "k bigint, v bigint")
+
+
 # Scans and checks
 
 
@@ -95,8 +102,8 @@ def s6_dimensions(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"WITH {FRAMES_SQL} SELECT run_id, frame_no, CAST(x AS BIGINT) AS x, CAST(floor(0.299::DOUBLE * px[x + 3] + 0.587::DOUBLE * px[x + 2] + 0.114::DOUBLE * px[x + 1] + 0.5::DOUBLE) AS BIGINT) AS gray FROM f JOIN p USING (run_id, frame_no) WHERE x % 3 = 0 AND x < 63")
 def s12_gray(spark: SparkSession, sf: str) -> DataFrame:
     at = F.explode(F.sequence(F.lit(0), F.lit(60), F.lit(3))).alias("x")
-    bgr = [F.get("px", F.col("x") + k) for k in range(3)]
-    return typed(frames(spark, sf).select("run_id", "frame_no", "px", at).withColumn("gray", C.luma(bgr[2], bgr[1], bgr[0])), "run_id int, frame_no bigint, x bigint, gray bigint")
+    bgr = [F.get("v", F.col("x") + k) for k in range(3)]
+    return typed(frames(spark, sf).select("run_id", "frame_no", "v", at).withColumn("gray", C.luma(bgr[2], bgr[1], bgr[0])), "run_id int, frame_no bigint, x bigint, gray bigint")
 
 
 @query(f"""WITH {FRAMES_SQL}, n AS (
@@ -106,7 +113,7 @@ FROM (SELECT *, unnest(range(64)) AS k FROM n WHERE frame_no % 7 = 3 AND a IS NO
 def s15_neighbor_blend(spark: SparkSession, sf: str) -> DataFrame:
     broken = F.col("frame_no") % 7 == 3
     out = scan.repaired(frames(spark, sf), broken).filter(broken & F.col("px").isNotNull())
-    return typed(out.select("run_id", "frame_no", F.posexplode("px").alias("x", "v")), "run_id int, frame_no bigint, x bigint, v bigint")
+    return typed(values(out).withColumnRenamed("k", "x"), "run_id int, frame_no bigint, x bigint, v bigint")
 
 
 @query(f"""WITH {FRAMES_SQL}, n AS (SELECT run_id, frame_no, row_number() OVER (PARTITION BY run_id ORDER BY frame_no) - 1 AS pos FROM f),
@@ -152,7 +159,7 @@ def b1_line_angle(spark: SparkSession, sf: str) -> DataFrame:
 
 def edges_of_columns(found: DataFrame, low: int) -> DataFrame:
     """Lowest pixel above ``low`` of every column."""
-    y = lambda x: F.array_max(F.filter(F.sequence(F.lit(0), F.col("height") - 1), lambda y: F.get("px", y * F.col("width") + x) > low))
+    y = lambda x: F.array_max(F.filter(F.sequence(F.lit(0), F.col("height") - 1), lambda y: F.get("v", y * F.col("width") + x) > low))
     points = F.filter(F.transform(F.sequence(F.lit(0), F.col("width") - 1), lambda x: F.struct(x.alias("x"), y(x).alias("y"))), lambda p: p["y"].isNotNull())
     return found.select("run_id", "frame_no", F.inline(points))
 
@@ -181,6 +188,29 @@ def t1_profile(spark: SparkSession, sf: str) -> DataFrame:
     return typed(out.withColumn("vv", F.round("v", 6)), "run_id int, frame_no bigint, x bigint, vv double")
 
 
+CLOSE_SQL = """
+r1 AS (SELECT run_id, frame_no, x, y, max(v) OVER (PARTITION BY run_id, frame_no, y ORDER BY x ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS v FROM g),
+r2 AS (SELECT run_id, frame_no, x, y, max(v) OVER (PARTITION BY run_id, frame_no, x ORDER BY y ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS v FROM r1),
+r3 AS (SELECT run_id, frame_no, x, y, min(v) OVER (PARTITION BY run_id, frame_no, y ORDER BY x ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS v FROM r2),
+r4 AS (SELECT run_id, frame_no, x, y, min(v) OVER (PARTITION BY run_id, frame_no, x ORDER BY y ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS v FROM r3)"""
+SQUARE = np.ones((3, 3), dtype=bool)
+
+
+@query(f"""WITH {FRAMES_SQL}, {CLOSE_SQL}, s AS (SELECT g.run_id, g.frame_no, g.x, sum(g.v) AS s, sum(r4.v) AS t FROM g JOIN r4 USING (run_id, frame_no, x, y) GROUP BY ALL)
+SELECT run_id, frame_no, CAST(x AS BIGINT) AS x, round(s / avg(s) OVER w, 6) AS vv, round(t / avg(t) OVER w, 6) AS vv_mor FROM s WINDOW w AS (PARTITION BY run_id, frame_no)""")
+def t1_two_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    out = detect.column_profile(frames(spark, sf), mask=SQUARE).select("run_id", "frame_no", F.posexplode(F.arrays_zip("vv", "vv_mor")).alias("x", "p"))
+    return typed(out.select("run_id", "frame_no", "x", F.round("p.vv", 6).alias("vv"), F.round("p.vv_mor", 6).alias("vv_mor")), "run_id int, frame_no bigint, x bigint, vv double, vv_mor double")
+
+
+@query(f"""WITH {FRAMES_SQL}, h AS (SELECT run_id, frame_no, x, y // 2 AS y, floor(avg(v) + 0.5) AS v FROM g GROUP BY run_id, frame_no, x, y // 2),
+{CLOSE_SQL.replace("FROM g)", "FROM h)")}, s AS (SELECT run_id, frame_no, x, sum(v) AS s FROM r4 GROUP BY ALL)
+SELECT run_id, frame_no, CAST(x AS BIGINT) AS x, round(s / avg(s) OVER (PARTITION BY run_id, frame_no), 6) AS vv FROM s""")
+def t2_closed_profile(spark: SparkSession, sf: str) -> DataFrame:
+    out = detect.closed_profile(frames(spark, sf), 1, 2, SQUARE).select("run_id", "frame_no", F.posexplode("vv").alias("x", "v"))
+    return typed(out.withColumn("vv", F.round("v", 6)), "run_id int, frame_no bigint, x bigint, vv double")
+
+
 STEPS_SQL = """
 d AS (SELECT run_id, frame_no, x, abs(v - lag(v) OVER (PARTITION BY run_id, frame_no ORDER BY x)) AS dv FROM p),
 b AS (
@@ -193,13 +223,25 @@ b AS (
 
 @query(f"WITH {FRAMES_SQL}, {STEPS_SQL} SELECT run_id, frame_no, near AS endpoint, stop AS beginning FROM b")
 def t3_t4_bounds(spark: SparkSession, sf: str) -> DataFrame:
-    return frames(spark, sf).select("run_id", "frame_no", detect.bounds(F.col("px"), 60).alias("b")).select("run_id", "frame_no", "b.*")
+    return detect.steps(frames(spark, sf), "v", "v", 60, 90).select("run_id", "frame_no", F.col("near").alias("endpoint"), F.col("end").alias("beginning"))
 
 
-@query(f"WITH {FRAMES_SQL}, {STEPS_SQL} SELECT run_id, frame_no, CASE WHEN stop - near > 30 THEN far ELSE near END AS endpoint, stop AS beginning FROM b")
+@query(f"""WITH {FRAMES_SQL}, {STEPS_SQL}, {STEPS_SQL.replace("d AS", "d2 AS").replace("b AS", "b2 AS").replace("FROM p)", "FROM (SELECT run_id, frame_no, 63 - x AS x, v FROM p))").replace("FROM d ", "FROM d2 ")}
+SELECT run_id, frame_no, CASE WHEN b2.stop - b.near > 30 THEN b.far ELSE b.near END AS endpoint, b2.stop AS beginning FROM b JOIN b2 USING (run_id, frame_no)""")
 def t5_width_guard(spark: SparkSession, sf: str) -> DataFrame:
-    guarded = detect.guarded_bounds(F.col("px"), F.col("px"), 60, 90, 30)
-    return frames(spark, sf).select("run_id", "frame_no", guarded.alias("b")).select("run_id", "frame_no", "b.*")
+    found = detect.steps(frames(spark, sf).withColumn("turned", F.reverse("v")), "v", "turned", 60, 90)
+    return found.select("run_id", "frame_no", detect.guarded(30).alias("b")).select("run_id", "frame_no", "b.*")
+
+
+@query(f"""WITH {FRAMES_SQL}, d AS (SELECT run_id, frame_no, x, abs(v - lag(v) OVER (PARTITION BY run_id, frame_no ORDER BY x)) AS dv
+  FROM (SELECT run_id, frame_no, x // 2 AS x, floor((sum(v) + 1) / 2) AS v FROM p GROUP BY run_id, frame_no, x // 2))
+SELECT run_id, frame_no, CAST(2 * min(x - 1) FILTER (dv > 60 AND x BETWEEN 10 AND 21) AS INTEGER) AS near, CAST(2 * min(x - 1) FILTER (dv > 90 AND x BETWEEN 10 AND 21) AS INTEGER) AS far,
+  CAST(2 * max(x) FILTER (dv > 60 AND x BETWEEN 11 AND 22) AS INTEGER) AS end FROM d GROUP BY run_id, frame_no""")
+def t6_scaled_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """Steps of profiles shrunk by two, in pixels of the frame."""
+    wide = frames(spark, sf).withColumns({"height": F.lit(1), "width": F.lit(64)})
+    small = values(images.map_pixels(wide, lambda a: kernels.resized(a, 1, 32))).groupBy("run_id", "frame_no").agg(F.sort_array(F.collect_list(F.struct("k", "v"))).alias("kv"))
+    return detect.steps(small.withColumn("v", F.col("kv.v")), "v", "v", 60, 90, 2).select("run_id", "frame_no", "near", "far", "end")
 
 
 @query(f"""WITH RECURSIVE {FRAMES_SQL}, {STEPS_SQL}, o AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY frame_no) AS rn FROM b),
@@ -211,7 +253,7 @@ r AS (
   JOIN o ON o.run_id = w.run_id AND o.rn = w.rn + 1
 ) SELECT run_id, frame_no, endpoint, beginning, width FROM r""")
 def t7_adaptive_fold(spark: SparkSession, sf: str) -> DataFrame:
-    return detect.adaptive_bounds(frames(spark, sf), "px", 60, 90, 30, 1.13)
+    return detect.adaptive_bounds(frames(spark, sf), "v", 60, 90, 30, 1.13)
 
 
 @query(f"""WITH {FRAMES_SQL} SELECT run_id, frame_no,
@@ -260,7 +302,7 @@ def t11_frame_diff(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {FRAMES_SQL} SELECT run_id, frame_no, count(*) AS n, CAST(sum(k * px[k // 2 + 1]) AS BIGINT) AS weighted FROM (SELECT *, unnest(range(128)) AS k FROM f) GROUP BY run_id, frame_no")
 def t15_stretch(spark: SparkSession, sf: str) -> DataFrame:
-    out = frames(spark, sf).withColumn("s", C.stretched(F.col("px"), 130))
+    out = frames(spark, sf).withColumn("s", C.stretched(F.col("v"), 130))
     weighted = F.aggregate(F.transform("s", lambda v, k: (v * k).cast("long")), F.lit(0).cast("long"), lambda a, v: a + v)
     return out.select("run_id", "frame_no", F.size("s").cast("long").alias("n"), weighted.alias("weighted"))
 
@@ -268,8 +310,9 @@ def t15_stretch(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH {FRAMES_SQL}, {STEPS_SQL} SELECT run_id, frame_no, count(*) AS n, CAST(sum(255 - v) AS BIGINT) AS total
 FROM b JOIN p USING (run_id, frame_no) WHERE near < stop AND x >= greatest(0, near - 15) AND x < least(64, stop + 15) GROUP BY run_id, frame_no""")
 def k2_crop(spark: SparkSession, sf: str) -> DataFrame:
-    found = frames(spark, sf).withColumn("b", detect.bounds(F.col("px"), 60)).withColumn("c", C.cropped(F.col("px"), F.col("b.endpoint"), F.col("b.beginning"), 15)).filter("c is not null")
-    return found.select("run_id", "frame_no", F.size("c").cast("long").alias("n"), F.aggregate("c", F.lit(0).cast("long"), lambda a, v: a + v).alias("total"))
+    wide = frames(spark, sf).withColumns({"height": F.lit(1), "width": F.lit(64)})
+    found = detect.steps(wide, "v", "v", 60, 90).withColumns({"endpoint": F.col("near"), "beginning": F.col("end")})
+    return typed(images.totals(images.cropped(found, 15)).select("run_id", "frame_no", F.col("pixels").alias("n"), "total").filter("n is not null"), "run_id int, frame_no bigint, n bigint, total bigint")
 
 
 # Pruning
@@ -302,7 +345,7 @@ def p3_p4_trim(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pixels(out: DataFrame) -> DataFrame:
-    return typed(out.select("run_id", "frame_no", F.posexplode("px").alias("k", "v")), "run_id int, frame_no bigint, k bigint, v bigint")
+    return typed(values(out), "run_id int, frame_no bigint, k bigint, v bigint")
 
 
 @query(f"""WITH {FRAMES_SQL} SELECT run_id, frame_no, CAST(y // 2 * 8 + x AS BIGINT) AS k, CAST(floor(avg(v) + 0.5) AS BIGINT) AS v
@@ -311,13 +354,6 @@ def i1_resize(spark: SparkSession, sf: str) -> DataFrame:
     return pixels(images.map_pixels(frames(spark, sf), lambda a: kernels.resized(a, a.shape[0] // 2, a.shape[1])))
 
 
-CLOSE_SQL = """
-r1 AS (SELECT run_id, frame_no, x, y, max(v) OVER (PARTITION BY run_id, frame_no, y ORDER BY x ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS v FROM g),
-r2 AS (SELECT run_id, frame_no, x, y, max(v) OVER (PARTITION BY run_id, frame_no, x ORDER BY y ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS v FROM r1),
-r3 AS (SELECT run_id, frame_no, x, y, min(v) OVER (PARTITION BY run_id, frame_no, y ORDER BY x ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS v FROM r2),
-r4 AS (SELECT run_id, frame_no, x, y, min(v) OVER (PARTITION BY run_id, frame_no, x ORDER BY y ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS v FROM r3)"""
-
-
 @query(f"WITH {FRAMES_SQL}, {CLOSE_SQL} SELECT run_id, frame_no, CAST(y * 8 + x AS BIGINT) AS k, CAST(v AS BIGINT) AS v FROM r4")
 def i4_rect_close(spark: SparkSession, sf: str) -> DataFrame:
     return pixels(images.closed(frames(spark, sf), 3, "rectangle"))
@@ -325,16 +361,12 @@ def i4_rect_close(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {FRAMES_SQL}, {CLOSE_SQL.replace('max(', 'M(').replace('min(', 'max(').replace('M(', 'min(')} SELECT run_id, frame_no, CAST(y * 8 + x AS BIGINT) AS k, CAST(v AS BIGINT) AS v FROM r4")
 def i5_open(spark: SparkSession, sf: str) -> DataFrame:
-    import numpy as np
-
-    return pixels(images.map_pixels(frames(spark, sf), lambda a: kernels.opened(a, np.ones((3, 3), dtype=bool))))
+    return pixels(images.map_pixels(frames(spark, sf), lambda a: kernels.opened(a, SQUARE)))
 
 
 @query(f"WITH {FRAMES_SQL}, {CLOSE_SQL} SELECT run_id, frame_no, CAST(y * 8 + x AS BIGINT) AS k, CAST(v AS BIGINT) AS v FROM r2")
 def i6_dilate(spark: SparkSession, sf: str) -> DataFrame:
-    import numpy as np
-
-    return pixels(images.map_pixels(frames(spark, sf), lambda a: kernels.dilate(a, np.ones((3, 3), dtype=bool))))
+    return pixels(images.map_pixels(frames(spark, sf), lambda a: kernels.dilate(a, SQUARE)))
 
 
 @query(f"""WITH {FRAMES_SQL}, o AS (SELECT unnest([-1, 0, 1]) AS d), b AS (
@@ -358,12 +390,12 @@ def i13_half_turn(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""WITH {FRAMES_SQL}, b AS (SELECT run_id, frame_no, coalesce(max(y) FILTER (s > 300 AND y >= 1), 1) - 1 AS bottom FROM (SELECT run_id, frame_no, y, sum(v) FILTER (x % 4 = 0) AS s FROM g GROUP BY ALL) GROUP BY ALL),
 k AS (SELECT run_id, frame_no, greatest(0, bottom - 1) AS keep FROM b),
-o AS (SELECT k.*, c FROM k, unnest(range(15)) AS u(c))
-SELECT o.run_id, o.frame_no, CAST(c AS BIGINT) AS y, CAST(CASE WHEN c < 10 - keep THEN 255 * 8 WHEN c >= 10 THEN 0 ELSE s END AS BIGINT) AS total
-FROM o LEFT JOIN (SELECT run_id, frame_no, y, sum(v) AS s FROM g GROUP BY ALL) r ON r.run_id = o.run_id AND r.frame_no = o.frame_no AND r.y = c - (10 - keep)""")
+o AS (SELECT k.*, c FROM k, unnest(range(14)) AS u(c))
+SELECT o.run_id, o.frame_no, CAST(c AS BIGINT) AS y, CAST(CASE WHEN c < 9 - keep THEN 255 * 8 WHEN c >= 9 THEN 0 ELSE s END AS BIGINT) AS total
+FROM o LEFT JOIN (SELECT run_id, frame_no, y, sum(v) AS s FROM g GROUP BY ALL) r ON r.run_id = o.run_id AND r.frame_no = o.frame_no AND r.y = c - (9 - keep)""")
 def i14_b6_unified(spark: SparkSession, sf: str) -> DataFrame:
     found = frames(spark, sf).join(images.bottom_row(frames(spark, sf), every=4, least=300), ["run_id", "frame_no"])
-    out = images.unified(found, F.lit(10)).select("run_id", "frame_no", F.posexplode("px").alias("k", "v"))
+    out = values(images.unified(found, 10))
     out = out.groupBy("run_id", "frame_no", F.floor(F.col("k") / 8).alias("y")).agg(F.sum("v").alias("total"))
     return typed(out, "run_id int, frame_no bigint, y bigint, total bigint")
 
@@ -371,39 +403,143 @@ def i14_b6_unified(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH {FRAMES_SQL} SELECT run_id, frame_no, CAST(y * 8 + x AS BIGINT) AS k,
   round((v - min(v) OVER w) / CAST(max(v) OVER w - min(v) OVER w AS DOUBLE), 6) AS v FROM g WINDOW w AS (PARTITION BY run_id, frame_no)""")
 def i16_minmax(spark: SparkSession, sf: str) -> DataFrame:
-    low, high = F.array_min("px"), F.array_max("px")
-    out = frames(spark, sf).select("run_id", "frame_no", (high - low).alias("span"), low.alias("low"), F.posexplode("px").alias("k", "p"))
-    return typed(out.withColumn("v", F.round((F.col("p") - F.col("low")) / F.col("span"), 6)), "run_id int, frame_no bigint, k bigint, v double")
+    stretched = rows_of(frames(spark, sf), lambda a: (np.arange(a.size), kernels.min_max(a).ravel()), "k bigint, v double")
+    return typed(stretched.withColumn("v", F.round("v", 6)), "run_id int, frame_no bigint, k bigint, v double")
 
 
-@query()
-def i12_t11_largest_change(spark: SparkSession, sf: str) -> DataFrame:
-    from pyspark.sql import Window
+def parts_sql(mask: str, least: int = 1) -> str:
+    """SQL that needs WITH RECURSIVE: ``part``, the pixels of each frame's largest 8-connected part of the relation ``m``."""
+    return f"""m AS ({mask}), reach AS (
+  SELECT run_id, frame_no, x, y, y * 8 + x AS l FROM m
+  UNION SELECT m.run_id, m.frame_no, m.x, m.y, r.l FROM reach r JOIN m ON m.run_id = r.run_id AND m.frame_no = r.frame_no AND abs(m.x - r.x) <= 1 AND abs(m.y - r.y) <= 1
+), comp AS (SELECT run_id, frame_no, x, y, max(l) AS c FROM reach GROUP BY ALL),
+large AS (SELECT run_id, frame_no, arg_max(c, n * 100 + c) AS c FROM (SELECT run_id, frame_no, c, count(*) AS n FROM comp GROUP BY ALL) WHERE n >= {least} GROUP BY ALL),
+part AS (SELECT comp.* FROM comp JOIN large USING (run_id, frame_no, c))"""
+
 
-    before = F.lag("px").over(Window.partitionBy("run_id").orderBy("frame_no"))
-    return images.largest_change(frames(spark, sf).withColumn("before", before), "before", 40, 5).select("run_id", "frame_no", "x1", "x2")
+def window_sql(steps: str, source: str, around: int) -> str:
+    """SQL of erosions (e) and dilations (d) by a square, one after another: w1, w2, ... from ``source``."""
+    out = []
+    for k, step in enumerate(steps):
+        f, before, now = ("min" if step == "e" else "max"), (f"w{k}" if k else source), f"w{k + 1}"
+        for across, part, order, name in ((before, "y", "x", f"{now}x"), (f"{now}x", "x", "y", now)):
+            out.append(f"{name} AS (SELECT run_id, frame_no, x, y, {f}(v) OVER (PARTITION BY run_id, frame_no, {part} ORDER BY {order} ROWS BETWEEN {around} PRECEDING AND {around} FOLLOWING) AS v FROM {across})")
+    return ", ".join(out)
+
+
+BLUR_SQL = """off AS (SELECT unnest([-1, 0, 1]) AS d), dim AS (
+  SELECT g.run_id, g.frame_no, g.x, g.y, floor(sum((2 - abs(a.d)) * (2 - abs(c.d)) * (255 - h.v)) / 16.0 + 0.5) AS v
+  FROM g CROSS JOIN off a CROSS JOIN off c JOIN g h ON h.run_id = g.run_id AND h.frame_no = g.frame_no
+    AND h.x = least(7, greatest(0, g.x + a.d)) AND h.y = least(7, greatest(0, g.y + c.d)) GROUP BY ALL)"""
+CHANGE_SQL = """old AS (SELECT run_id, frame_no, lag(frame_no) OVER (PARTITION BY run_id ORDER BY frame_no) AS before FROM f), apart AS (
+  SELECT g.run_id, g.frame_no, g.x, g.y, CASE WHEN abs(g.v - h.v) > 40 THEN 255 ELSE 0 END AS v
+  FROM g JOIN old USING (run_id, frame_no) JOIN g h ON h.run_id = old.run_id AND h.frame_no = old.before AND h.x = g.x AND h.y = g.y)"""
+
+
+@query(f"""WITH RECURSIVE {FRAMES_SQL}, {CHANGE_SQL}, {window_sql("eddd", "apart", 1)}, {parts_sql("SELECT run_id, frame_no, x, y FROM w4 WHERE v > 0", 5)}
+SELECT old.run_id, old.frame_no, min(x) AS x1, max(x) AS x2 FROM old LEFT JOIN part USING (run_id, frame_no) WHERE before IS NOT NULL GROUP BY ALL""")
+def i12_t11_largest_change(spark: SparkSession, sf: str) -> DataFrame:
+    return detect.largest_change(frames(spark, sf), 40, 5, 3)
 
 
 @query()
 def b1_surface_line(spark: SparkSession, sf: str) -> DataFrame:
-    return images.surface_line(frames(spark, sf), share=1.0).select("run_id", "frame_no", "angle", "line_y")
+    return images.surface_line(frames(spark, sf), 1.0, trials=500).select("run_id", "frame_no", "angle", "line_y")
+
+
+@query()
+def b2_b3_line_heights(spark: SparkSession, sf: str) -> DataFrame:
+    return images.line_heights(images.surface_line(frames(spark, sf), 1.0, trials=500), above=0)
+
+
+@query(f"WITH {FRAMES_SQL}, o AS (SELECT run_id, frame_no, unnest(range(10)) AS y FROM f) SELECT run_id, frame_no, CAST(o.y AS BIGINT) AS y, CAST(coalesce(sum(v), 255 * 8) AS BIGINT) AS total FROM o LEFT JOIN (SELECT run_id, frame_no, y + 2 AS y, v FROM g) USING (run_id, frame_no, y) GROUP BY run_id, frame_no, o.y")
+def s7_pad_top(spark: SparkSession, sf: str) -> DataFrame:
+    out = values(images.padded_top(frames(spark, sf), 10)).groupBy("run_id", "frame_no", F.floor(F.col("k") / 8).alias("y")).agg(F.sum("v").alias("total"))
+    return typed(out, "run_id int, frame_no bigint, y bigint, total bigint")
+
+
+#: Weights of four neighbours at both places between pixels that an enlargement by two asks for.
+CUBIC_SQL = """w AS (SELECT * FROM (VALUES (0, -2, -0.03515625::DOUBLE), (0, -1, 0.26171875), (0, 0, 0.87890625), (0, 1, -0.10546875), (1, -1, -0.10546875), (1, 0, 0.87890625), (1, 1, 0.26171875), (1, 2, -0.03515625)) AS t(half, step, weight))"""
+
+
+@query(f"""WITH {FRAMES_SQL}, {CUBIC_SQL}, c AS (SELECT g.run_id, g.frame_no, 2 * g.x + a.half AS x, 2 * g.y + b.half AS y, sum(a.weight * b.weight * h.v) AS s
+  FROM g CROSS JOIN w a CROSS JOIN w b JOIN g h ON h.run_id = g.run_id AND h.frame_no = g.frame_no AND h.x = least(7, greatest(0, g.x + a.step)) AND h.y = least(7, greatest(0, g.y + b.step)) GROUP BY ALL)
+SELECT run_id, frame_no, CAST(y * 16 + x AS BIGINT) AS k, CAST(least(255, greatest(0, floor(s + 0.5))) AS BIGINT) AS v FROM c""")
+def i2_cubic(spark: SparkSession, sf: str) -> DataFrame:
+    return pixels(images.map_pixels(frames(spark, sf), lambda a: kernels.cubic(a, 16, 16)))
+
+
+@query(f"""WITH {FRAMES_SQL}, c AS (SELECT run_id, frame_no, CAST(k AS BIGINT) AS k, px[3 * k + 1] AS r, px[3 * k + 2] AS gr, px[3 * k + 3] AS b FROM (SELECT *, unnest(range(21)) AS k FROM f)),
+y AS (SELECT *, 0.299::DOUBLE * r + 0.587::DOUBLE * gr + 0.114::DOUBLE * b AS y FROM c)
+SELECT run_id, frame_no, k, CAST(floor(y + 0.5) AS BIGINT) AS y, CAST(least(255, greatest(0, floor((r - y) * 0.713::DOUBLE + 128 + 0.5))) AS BIGINT) AS cr, CAST(least(255, greatest(0, floor((b - y) * 0.564::DOUBLE + 128 + 0.5))) AS BIGINT) AS cb FROM y""")
+def i15_luma_chroma(spark: SparkSession, sf: str) -> DataFrame:
+    return rows_of(frames(spark, sf), lambda a: (np.arange(21), *(c.ravel() for c in kernels.luma_chroma(a.ravel()[:63].reshape(1, 21, 3)))), "k bigint, y bigint, cr bigint, cb bigint")
+
+
+@query(f"""WITH {FRAMES_SQL}, m AS (SELECT *, min(v) OVER w AS low, max(v) OVER w AS high FROM g WINDOW w AS (PARTITION BY run_id, frame_no))
+SELECT run_id, frame_no, 24 AS height, 24 AS width, CAST(sum(9 * v) AS BIGINT) AS total FROM (SELECT run_id, frame_no, floor(CAST(CAST(CAST(v - low AS DOUBLE) / (high - low) AS FLOAT) AS DOUBLE) * 255.0::DOUBLE) AS v FROM m) GROUP BY run_id, frame_no""")
+def r1_r2_network(spark: SparkSession, sf: str) -> DataFrame:
+    """The network under weights that repeat each pixel: three times as high and wide, nine times the sum."""
+    model = images._Once(lambda: network.network(network.plain()))
+    out = images.totals(images.map_pixels(frames(spark, sf), lambda a: images.enlarged(a, lambda x: model(x).astype(float), smooth=False)))
+    return typed(out, "run_id int, frame_no bigint, height int, width int, total bigint")
 
 
 @query()
 def r3_upscale(spark: SparkSession, sf: str) -> DataFrame:
-    return images.upscaled(frames(spark, sf)).select("run_id", "frame_no", "height", "width", F.aggregate("px", F.lit(0).cast("long"), lambda a, v: a + v).alias("total"), "sr_model")
+    return typed(images.totals(images.upscaled(frames(spark, sf))), "run_id int, frame_no bigint, height int, width int, total bigint, sr_model string")
+
+
+class Brightest:
+    """Stands in for a model: a box around the first of the brightest pixels, surer the brighter it is."""
+
+    def detect(self, image: np.ndarray) -> list[tuple[float, float, float, float, float]]:
+        y, x = divmod(int(image.argmax()), image.shape[1])
+        return [(x, y, x + 1, y + 1, float(image.max()) / 255)]
+
+
+@query(f"""WITH {FRAMES_SQL}, b AS (SELECT run_id, frame_no, arg_min(x, y * 8 + x) AS x, arg_min(y, y * 8 + x) AS y, any_value(v) AS v FROM (SELECT *, max(v) OVER (PARTITION BY run_id, frame_no) AS m FROM g) WHERE v = m GROUP BY run_id, frame_no)
+SELECT run_id, frame_no, CAST(x AS DOUBLE) AS x1, CAST(y AS DOUBLE) AS y1, x + 1.0::DOUBLE AS x2, y + 1.0::DOUBLE AS y2, round(v / 255.0::DOUBLE, 6) AS conf FROM b""")
+def t12_detector(spark: SparkSession, sf: str) -> DataFrame:
+    return detect.boxes(frames(spark, sf), Brightest).withColumn("conf", F.round("conf", 6))
+
+
+class Sums:
+    """Emits the sum of the pixels between the bounds, and nothing at the end."""
+
+    def forward(self, key: tuple, image: np.ndarray, endpoint: int, beginning: int) -> list[tuple]:
+        return [(*key, int(image[:, endpoint:beginning].sum()))]
+
+    def finish(self) -> list[tuple]:
+        return []
+
+
+@query(f"WITH {FRAMES_SQL} SELECT run_id, frame_no, CAST(sum(v) AS BIGINT) AS total FROM g WHERE x BETWEEN 2 AND 5 AND frame_no % 3 = 0 GROUP BY run_id, frame_no")
+def t14_emitter(spark: SparkSession, sf: str) -> DataFrame:
+    bounded = frames(spark, sf).withColumns({"endpoint": F.when(F.col("frame_no") % 3 == 0, 2), "beginning": F.lit(6)})
+    return sinks.emitted(bounded, Sums, "run_id int, frame_no bigint, total bigint")
 
 
 @query()
+def k3_ordered_edges(spark: SparkSession, sf: str) -> DataFrame:
+    return edges.ordered_edges(frames(spark, sf).withColumns({"endpoint": F.lit(1), "beginning": F.lit(7)}), 1, 120, 3)
+
+
+@query(f"""WITH RECURSIVE {FRAMES_SQL}, {window_sql("ed", "g", 2)}, {parts_sql("SELECT run_id, frame_no, x, y FROM w2 WHERE v <= 120")}
+SELECT f.run_id, f.frame_no, CAST(count(x) AS INTEGER) AS masked FROM f LEFT JOIN part USING (run_id, frame_no) GROUP BY f.run_id, f.frame_no""")
 def e6_reflection_mask(spark: SparkSession, sf: str) -> DataFrame:
-    out = images.reflection_mask(frames(spark, sf), dark=120)
-    return out.select("run_id", "frame_no", F.size(F.filter("px", lambda v: v == 0)).alias("masked"))
+    return blanks(images.reflection_mask(frames(spark, sf), dark=120), "masked")
 
 
-@query()
+@query(f"""WITH RECURSIVE {FRAMES_SQL}, {BLUR_SQL}, {parts_sql("SELECT run_id, frame_no, x, y FROM dim WHERE v > 125")}
+SELECT g.run_id, g.frame_no, CAST(count(*) FILTER (g.v = 0 OR part.x IS NOT NULL) AS INTEGER) AS blanked
+FROM g LEFT JOIN part ON part.run_id = g.run_id AND part.frame_no = g.frame_no AND part.x = g.x AND part.y = g.y GROUP BY g.run_id, g.frame_no""")
 def e7_boundary_mask(spark: SparkSession, sf: str) -> DataFrame:
-    out = images.boundary_mask(frames(spark, sf), 130)
-    return out.select("run_id", "frame_no", F.size(F.filter("px", lambda v: v == 0)).alias("blanked"))
+    return blanks(images.boundary_mask(frames(spark, sf), 130), "blanked")
+
+
+def blanks(out: DataFrame, name: str) -> DataFrame:
+    return with_kernel(out, lambda a: (int((a == 0).sum()),), f"{name} int", keep=["run_id", "frame_no"])
 
 
 # Edges, fits and angles
@@ -441,14 +577,19 @@ def e4_distance_sort(spark: SparkSession, sf: str) -> DataFrame:
     return edges.by_distance(points(spark, sf))
 
 
-@query()
+@query(f"""WITH RECURSIVE {FRAMES_SQL}, {POINTS}, s AS (SELECT run_id, frame_no, list({{'j': j, 'i': i}}) AS pts FROM e GROUP BY run_id, frame_no), r AS (
+  SELECT run_id, frame_no, 0 AS ord, list_min(pts).i AS i, list_min(pts).j AS j, list_filter(pts, lambda p: p <> list_min(pts)) AS rest FROM s
+  UNION ALL
+  SELECT run_id, frame_no, ord + 1, n.i, n.j, list_filter(rest, lambda p: p.i <> n.i OR p.j <> n.j)
+  FROM (SELECT run_id, frame_no, ord, rest, list_min(list_transform(rest, lambda p: {{'d': (p.i - i) * (p.i - i) + (p.j - j) * (p.j - j), 'j': p.j, 'i': p.i}})) AS n FROM r WHERE len(rest) > 0)
+) SELECT run_id, frame_no, ord, i, j FROM r""")
 def e5_nn_path(spark: SparkSession, sf: str) -> DataFrame:
     return edges.nearest_path(points(spark, sf))
 
 
 @query(f"WITH {FRAMES_SQL} SELECT run_id, frame_no, count(*) AS n, round(regr_slope(v, x), 6) AS slope, round(regr_intercept(v, x), 6) AS intercept FROM p GROUP BY run_id, frame_no")
 def m1_fit1(spark: SparkSession, sf: str) -> DataFrame:
-    out = fit.line_fit(frames(spark, sf).select("run_id", "frame_no", F.posexplode("px").alias("x", "v")), "x", "v")
+    out = fit.line_fit(frames(spark, sf).select("run_id", "frame_no", F.posexplode("v").alias("x", "v")), "x", "v")
     return out.select("run_id", "frame_no", "n", F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"))
 
 
@@ -458,13 +599,16 @@ q AS (SELECT *, n*s2*s4 - n*s3*s3 - s2*s2*s2 AS det FROM s)
 SELECT run_id, frame_no, round((t0*(s2*s4 - s3*s3) + t1*s2*s3 - t2*s2*s2) / det, 6) AS c0,
   round((t0*s2*s3 + t1*(n*s4 - s2*s2) - t2*n*s3) / det, 6) AS c1, round((t2*n*s2 - t0*s2*s2 - t1*n*s3) / det, 6) AS c2 FROM q""")
 def m1_fit2(spark: SparkSession, sf: str) -> DataFrame:
-    out = fit.parabola_fit(frames(spark, sf).select("run_id", "frame_no", F.posexplode("px").alias("x", "v")), "x", "v")
+    out = fit.parabola_fit(frames(spark, sf).select("run_id", "frame_no", F.posexplode("v").alias("x", "v")), "x", "v")
     return out.select("run_id", "frame_no", *[F.round(c, 6).alias(c) for c in ("c0", "c1", "c2")])
 
 
-@query()
+@query(f"""WITH {FRAMES_SQL}, c AS (SELECT run_id, frame_no, x - 31.5::DOUBLE AS u, v FROM p),
+s AS (SELECT run_id, frame_no, 64.0::DOUBLE AS n, sum(u * u) AS s2, sum(u * u * u * u) AS s4, sum(u * u * u * u * u * u) AS s6, sum(v) AS t0, sum(v * u) AS t1, sum(v * u * u) AS t2, sum(v * u * u * u) AS t3 FROM c GROUP BY ALL),
+q AS (SELECT *, (n * t2 - s2 * t0) / (n * s4 - s2 * s2) AS c2, (s2 * t3 - s4 * t1) / (s2 * s6 - s4 * s4) AS c3 FROM s)
+SELECT run_id, frame_no, CAST(k AS INTEGER) AS k, round((t0 - c2 * s2) / n + (t1 - c3 * s4) / s2 * (7 * k - 31.5::DOUBLE) + c2 * (7 * k - 31.5::DOUBLE) ** 2 + c3 * (7 * k - 31.5::DOUBLE) ** 3, 6) AS y FROM (SELECT *, unnest(range(10)) AS k FROM q)""")
 def m1_fit3_sampled(spark: SparkSession, sf: str) -> DataFrame:
-    out = fit.polynomial_fit(frames(spark, sf).select("run_id", "frame_no", F.posexplode("px").alias("x", "v")), "x", "v", 3, 10)
+    out = fit.polynomial_fit(frames(spark, sf).select("run_id", "frame_no", F.posexplode("v").alias("x", "v")), "x", "v", 3, 10)
     return out.select("run_id", "frame_no", F.posexplode("ys").alias("k", "y")).select("run_id", "frame_no", "k", F.round("y", 6).alias("y"))
 
 
@@ -576,23 +720,52 @@ def m18_kinematics(spark: SparkSession, sf: str) -> DataFrame:
 # Whole plans and sinks
 
 
-@query(f"""WITH {ANGLES_SQL}, {H_SQL}, {V_SQL},
+#: Straight lines in both passes, for SQL: six points at first, then by the first angle.
+LINES = fit.TwoPass((6, 1), (6, 1), ((60.0, 4, 1), (105.0, 5, 1), (135.0, 6, 1), (None, 7, 1)))
+
+
+def _pass_sql(name: str, side: str, count: str, source: str) -> str:
+    f = "min" if side == "left" else "max"
+    return f"""{name} AS (SELECT run_id, frame_no, CASE WHEN count(DISTINCT j) > 1 THEN regr_slope(i, j) END AS s, CASE WHEN count(DISTINCT j) > 1 THEN regr_intercept(i, j) + regr_slope(i, j) * min(j) END AS c
+  FROM (SELECT *, row_number() OVER (PARTITION BY run_id, frame_no ORDER BY (i - oi) * (i - oi) + j * j, i, j) AS rank FROM (SELECT *, {f}(i) OVER (PARTITION BY run_id, frame_no) AS oi FROM e)) {source} WHERE rank <= {count} GROUP BY run_id, frame_no)"""
+
+
+def _two_pass_sql() -> str:
+    sides = []
+    for side, sign in (("left", "-"), ("right", "+")):
+        angle = f"90 {sign} degrees(atan(s))"
+        sides.append(_pass_sql(f"{side}1", side, "6", ""))
+        sides.append(f"{side}n AS (SELECT run_id, frame_no, CASE WHEN {angle} <= 60 THEN 4 WHEN {angle} <= 105 THEN 5 WHEN {angle} <= 135 THEN 6 ELSE 7 END AS n FROM {side}1 WHERE s IS NOT NULL)")
+        sides.append(_pass_sql(f"{side}2", side, "n", f"JOIN {side}n USING (run_id, frame_no)"))
+    return ", ".join(sides) + """, angles AS (SELECT run_id, frame_no, 90 - degrees(atan(left2.s)) AS adv, 90 + degrees(atan(right2.s)) AS rec, left2.c AS left_point, right2.c AS right_point
+  FROM (SELECT DISTINCT run_id, frame_no FROM e) LEFT JOIN left2 USING (run_id, frame_no) LEFT JOIN right2 USING (run_id, frame_no))"""
+
+
+@query(f"WITH {FRAMES_SQL}, {POINTS}, {_two_pass_sql()} SELECT run_id, frame_no, round(adv, 4) AS adv, round(rec, 4) AS rec, round(left_point, 4) + 0.0 AS left_point, round(right_point, 4) + 0.0 AS right_point FROM angles")
+def m6_two_pass(spark: SparkSession, sf: str) -> DataFrame:
+    out = fit.two_pass(points(spark, sf), LINES)
+    return out.select("run_id", "frame_no", *[(F.round(c, 4) + 0.0).alias(c) for c in ("adv", "rec", "left_point", "right_point")])
+
+
+@query(f"""WITH {FRAMES_SQL}, {POINTS}, {_two_pass_sql()}, {H_SQL}, {V_SQL},
 x AS (SELECT a.run_id, a.frame_no, adv, rec, (right_point - left_point) * (0.0039062::DOUBLE / 3) AS contact_line_length, (3744 - h_center) * (0.0039062::DOUBLE / 3) AS x_center,
   v_center * (0.0039062::DOUBLE / 3) AS y_center FROM angles a JOIN hc USING (run_id, frame_no) JOIN vc USING (run_id, frame_no)
   WHERE adv IS NOT NULL AND rec IS NOT NULL),
-series AS (SELECT *, row_number() OVER w AS n, lead(x_center) OVER w AS nx FROM x WINDOW w AS (PARTITION BY run_id ORDER BY frame_no))
+series AS (SELECT *, row_number() OVER w AS n, lead(x_center) OVER w AS nx, lead(frame_no) OVER w AS nf FROM x WINDOW w AS (PARTITION BY run_id ORDER BY frame_no))
 SELECT run_id, frame_no, (n - 1) / 4000.0::DOUBLE AS time_s, round(x_center, 5) AS x_center, round(adv, 4) AS adv, round(rec, 4) AS rec, round(contact_line_length, 5) + 0.0 AS contact_line_length,
-  round(y_center, 5) AS y_center, round((nx - x_center) * 4000, 4) + 0.0 AS velocity FROM series WHERE nx IS NOT NULL""")
+  round(y_center, 5) AS y_center, nf - frame_no > 1 AS gap, round((nx - x_center) * 4000, 4) + 0.0 AS velocity FROM series WHERE nx IS NOT NULL""")
 def v1_analysis(spark: SparkSession, sf: str) -> DataFrame:
-    out = kinematics.kinematics(measured(frames(spark, sf).withColumn("x1", F.lit(0)), 110, 255, 6, 1).filter("error_class is null"), ["frame_no"], 4000.0)
+    rows = measured(frames(spark, sf).withColumn("x1", F.lit(0)), 110, 255, 1, fits=LINES)
+    out = kinematics.kinematics(rows.filter("error_class is null"), ["frame_no"], 4000.0, index=F.col("frame_no"))
     digits = {"x_center": 5, "adv": 4, "rec": 4, "contact_line_length": 5, "y_center": 5, "velocity": 4}
-    return out.select("run_id", "frame_no", "time_s", *[(F.round(c, n) + (0.0 if c in ("contact_line_length", "velocity") else F.lit(0.0))).alias(c) for c, n in digits.items()])
+    return out.select("run_id", "frame_no", "time_s", "gap", *[(F.round(c, n) + (0.0 if c in ("contact_line_length", "velocity") else F.lit(0.0))).alias(c) for c, n in digits.items()])
 
 
-@query("SELECT doc_id AS frame_no, 'lookup' AS stage, 'MissingDetection' AS error_class FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+@query("SELECT doc_id AS frame_no, 'lookup' AS stage, 'MissingDetection' AS error_class, 'no detection of document ' || doc_id AS message FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def k10_error_rows(spark: SparkSession, sf: str) -> DataFrame:
     found = m7_lookup(spark, sf).withColumn("error_class", F.when(F.col("missing"), "MissingDetection"))
-    return sinks.errors(found.select(F.lit(0).alias("run_id"), F.col("doc_id").alias("frame_no"), "error_class"), "lookup").select("frame_no", "stage", "error_class")
+    message = F.concat(F.lit("no detection of document "), F.col("doc_id")).alias("message")
+    return sinks.errors(found.select(F.lit(0).alias("run_id"), F.col("doc_id").alias("frame_no"), "error_class", message), "lookup").select("frame_no", "stage", "error_class", "message")
 
 
 @query("""SELECT o_custkey AS run_id, CASE WHEN count(*) FILTER (o_orderstatus = 'F') = count(*) THEN 'failed' WHEN count(*) FILTER (o_orderstatus = 'F') > 0 THEN 'done_with_errors' ELSE 'done' END AS status

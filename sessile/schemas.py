@@ -1,15 +1,6 @@
-"""Schemas of the tables that stages exchange. Every table has the key (run_id, frame_no)."""
+"""Names that files of results have."""
 
-FRAMES = "run_id string, frame_no int, height int, width int, data binary"
-DETECTIONS = "run_id string, frame_no int, endpoint int, beginning int"
-EDGE_POINTS = "run_id string, frame_no int, ord int, x double, y double"
-MEASUREMENT = (
-    "run_id string, frame_no int, adv double, rec double, adv_angle_point double, rec_angle_point double, "
-    "contact_line_length double, x_center double, y_center double, middle_angle_degree double"
-)
-ERRORS = "run_id string, frame_no int, stage string, error_class string, message string"
-RUN_STATUS = "run_id string, status string, finished_at timestamp"
-#: Column names of the result series as files name them.
+#: Columns of the result series as files name them.
 RESULT_NAMES = {
     "frame_no": "file number",
     "time_s": "time (s)",

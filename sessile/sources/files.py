@@ -19,10 +19,18 @@ def frame_number(path: Column) -> Column:
     return F.nullif(F.regexp_extract(name, r"([0-9]+)", 1), F.lit("")).cast("int")
 
 
-def list_frames(spark: SparkSession, root: str, pattern: str = "frame*.png") -> DataFrame:
-    """``run_id, frame_no, path, length`` of ``root/<run>/<folder>/frame_*``; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-    return files.select(_run_of(F.col("path"), 2).alias("run_id"), frame_number(F.col("path")).alias("frame_no"), "path", "length")
+def list_frames(spark: SparkSession, root: str, pattern: str = "frame*.png", other: str = "*.jpg") -> DataFrame:
+    """``run_id, frame_no, path, length`` of ``root/<run>/<folder>/frame_*``; contents are not read.
+
+    Runs without any such file list those of the ``other`` pattern.
+    """
+
+    def found(name: str) -> DataFrame:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", name).load(root)
+        return files.select(_run_of(F.col("path"), 2).alias("run_id"), frame_number(F.col("path")).alias("frame_no"), "path", "length")
+
+    first = found(pattern)
+    return first.unionByName(found(other).join(first.select("run_id").distinct(), "run_id", "left_anti"))
 
 
 def list_videos(spark: SparkSession, root: str) -> DataFrame:

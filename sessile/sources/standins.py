@@ -14,12 +14,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Frames of 8 x 8 gray pixels, row by row in the array ``px``: run_id, frame_no, width, height, px.
-
-    The 64 values of ``px`` serve as a profile, too.
-    """
+    """Frames of 8 x 8 gray pixels, row by row: run_id, frame_no, width, height, px, and the same 64 values as the array ``v``, a profile."""
     gray = F.transform("embedding", lambda e: F.least(F.lit(255), F.greatest(F.lit(0), F.floor((e.cast("double") + 0.5) * 255))).cast("int"))
-    return table(spark, sf_dir, "embeddings").select(F.col("label").alias("run_id"), F.col("vec_id").alias("frame_no"), F.lit(8).alias("width"), F.lit(8).alias("height"), gray.alias("px"))
+    found = table(spark, sf_dir, "embeddings").select(F.col("label").alias("run_id"), F.col("vec_id").alias("frame_no"), F.lit(8).alias("width"), F.lit(8).alias("height"), gray.alias("v"))
+    return found.withColumn("px", F.unhex(F.array_join(F.transform("v", lambda x: F.lpad(F.hex(x), 2, "0")), "")))
 
 
 def track(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,22 +9,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from sessile.functions.columns import left_step, right_step
+from sessile.operators.detect import fold_widths, steps
 
 
 def _fold(width: int, growth: float):
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         now = state.get[0] if state.exists else width
         rows = pd.concat(list(batches)).sort_values("frame_no")
-        out = []
-        for frame_no, near, far, end in rows[["frame_no", "near", "far", "end"]].itertuples(index=False):
-            near, far, end = (None if pd.isna(v) else int(v) for v in (near, far, end))
-            endpoint = far if None not in (near, end) and end - near > now else near
-            out.append((key[0], frame_no, endpoint, end, now))
-            if None not in (endpoint, end):
-                now = int(growth * (end - endpoint) // 1)
+        values = rows[["near", "far", "end"]].astype(float).to_numpy()
+        endpoints, widths, now = fold_widths(values, now, growth)
         state.update((now,))
-        yield pd.DataFrame(out, columns=["run_id", "frame_no", "endpoint", "beginning", "width"]).astype({"endpoint": "Int64", "beginning": "Int64"})
+        whole = lambda v: pd.Series(v, dtype=float).round().astype("Int64")
+        yield pd.DataFrame({"run_id": key[0], "frame_no": rows["frame_no"].to_numpy(), "endpoint": whole(endpoints), "beginning": whole(values[:, 2]), "width": widths})
 
     return run
 
@@ -34,7 +30,7 @@ def stream_bounds(frames: DataFrame, profile: str, steep: float, steep_wide: flo
 
     Frames of a run have to arrive in order between batches; within one they are sorted.
     """
-    found = frames.select("run_id", "frame_no", left_step(F.col(profile), steep).alias("near"), left_step(F.col(profile), steep_wide).alias("far"), right_step(F.col(profile), steep).alias("end"))
+    found = steps(frames, profile, profile, steep, steep_wide).select("run_id", "frame_no", "near", "far", "end")
     types = dict(frames.dtypes)
     schema = f"run_id {types['run_id']}, frame_no {types['frame_no']}, endpoint int, beginning int, width int"
     return found.groupBy("run_id").applyInPandasWithState(_fold(width, growth), schema, "width int", "append", GroupStateTimeout.NoTimeout)
