@@ -11,7 +11,10 @@ from __future__ import annotations
 import html
 import re
 import sys
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,22 +22,20 @@ from pyspark.sql import functions as F
 
 from sessile.llm.words import chunks
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:"[^"]*"|'[^']*'|[^>"'])*+)>"""
-    r"|[^<]+|<",
-    re.S,
-)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/<>]*+)|[^<]+|<", re.S)
+#: What moves a tag on: a quoted value, or its end.
+_STEP = re.compile(r"""=\s*+(?:"[^"]*"|'[^']*')|>""")
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-_HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
 _BLANK = re.compile(r"[ \t\r\n\f]+")
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("script style template noscript head title iframe noembed noframes object audio video canvas svg math datalist".split())
+UNSEEN = frozenset("script style template noscript head title iframe noembed noframes object audio video canvas datalist desc metadata defs annotation annotation-xml".split())
 BLOCK = frozenset(
-    "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section summary table tr ul".split()
+    "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section summary table text tr ul".split()
 )
 #: Blocks with a blank line above and below.
 SPACED = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 hr ol p pre table ul menu".split())
@@ -53,8 +54,10 @@ IMPLIED_END = {
     "body": ({"head"}, {"html"}),
 }
 IN_HEAD = frozenset("base link meta title style script template noscript".split())
-#: Deeper elements are taken as children of the last one, as browsers do.
-DEPTH = 400
+#: What a table is made of, and those of it that hold no text of their own.
+TABLE_PARTS = frozenset("caption colgroup col tbody thead tfoot tr td th".split())
+TABLE_FRAME = frozenset("table tbody thead tfoot tr colgroup".split())
+MOST_COLUMNS, MOST_ROWS = 1000, 65534
 
 
 class Node:
@@ -69,80 +72,166 @@ def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(source)} if source.strip("/ \n\t") else {}
 
 
-def build(source: str) -> Node:
-    """Tree of a page, with the tags that its author left out."""
-    root = Node("html")
-    stack = [root]
-
-    def close(tags: set[str], scope: set[str]) -> None:
-        for at in range(len(stack) - 1, 0, -1):
-            if stack[at].tag in scope:
-                return
-            if stack[at].tag in tags:
-                del stack[at:]
-                return close(tags, scope)
-
-    def open_(tag: str, attrs: dict[str, str]) -> None:
+class _Tags:
+    """Ends of the tags of a page; every stretch of it is searched a few times at most."""
+
+    def __init__(self, source: str) -> None:
+        self.source, self.last, self.dead = source, source.rfind(">"), set()
+
+    def end(self, at: int) -> int:
+        """Place after the tag whose name ends at ``at``; 0 if nothing closes it.
+
+        Quotes of a value hide a ``>``; where they don't pair up, the first
+        ``>`` counts.
+        """
+        if at > self.last:
+            return 0
+        place, seen = at, []
+        while m := _STEP.search(self.source, place):
+            if m[0] == ">":
+                return m.end()
+            place = m.end()
+            if place in self.dead:
+                break
+            seen.append(place)
+        self.dead.update(seen)
+        return self.source.find(">", at) + 1
+
+
+class _Tree:
+    """Elements that are open, and how many of each tag."""
+
+    def __init__(self) -> None:
+        self.root = Node("html")
+        self.stack, self.open = [self.root], Counter({"html": 1})
+
+    @property
+    def top(self) -> Node:
+        return self.stack[-1]
+
+    def cut(self, at: int) -> None:
+        """Close the elements from place ``at`` on."""
+        for node in self.stack[at:]:
+            self.open[node.tag] -= 1
+        del self.stack[at:]
+
+    def place(self, child: Node | str, tag: str | None) -> None:
+        """Add a child; what has no place in a table's frame goes in front of the table."""
+        if self.top.tag in TABLE_FRAME and self.open["table"] and tag not in TABLE_PARTS and tag not in UNSEEN and (tag or str(child).strip()):
+            at = max(k for k, node in enumerate(self.stack) if node.tag == "table")
+            around = self.stack[at - 1].children
+            k = len(around) - 1
+            while k >= 0 and around[k] is not self.stack[at]:
+                k -= 1
+            around.insert(max(k, 0), child)
+        else:
+            self.top.children.append(child)
+
+    def push(self, tag: str, attrs: dict[str, str]) -> None:
+        if tag == "form" and self.top.tag in TABLE_FRAME:
+            return
         node = Node(tag, attrs)
-        stack[-1].children.append(node)
-        if tag not in VOID and len(stack) < DEPTH:
-            stack.append(node)
-
-    def within(tag: str, scope: str) -> bool:
-        for node in reversed(stack):
-            if node.tag in (tag, scope):
-                return node.tag == tag
+        self.place(node, tag)
+        if tag not in VOID:
+            self.stack.append(node)
+            self.open[tag] += 1
+
+    def close(self, tags: set[str], scope: set[str]) -> None:
+        """Close the elements of ``tags`` that are open within the nearest of ``scope``, and what they hold."""
+        lowest = None
+        for at in range(len(self.stack) - 1, 0, -1):
+            if self.stack[at].tag in scope or not any(self.open[t] for t in tags):
+                break
+            if self.stack[at].tag in tags:
+                lowest = at
+        if lowest is not None:
+            self.cut(lowest)
+
+    def within(self, tag: str, scope: str) -> bool:
+        if self.open[tag]:
+            for node in reversed(self.stack):
+                if node.tag in (tag, scope):
+                    return node.tag == tag
         return False
 
-    at, raw_closed = 0, {}
+    def to_frame(self) -> None:
+        """Back to the table's frame, if nothing but stray elements lies between."""
+        if self.open["table"]:
+            for at in range(len(self.stack) - 1, 0, -1):
+                if self.stack[at].tag in TABLE_FRAME:
+                    return self.cut(at + 1)
+                if self.stack[at].tag in ("td", "th", "caption"):
+                    return None
+        return None
+
+
+def build(source: str) -> Node:
+    """Tree of a page, with the tags that its author left out."""
+    tree, tags, at = _Tree(), _Tags(source), 0
+    raw_closed: dict[str, re.Pattern] = {}
     while m := _TOKEN.match(source, at):
         at, name = m.end(), (m["name"] or "").lower()
+        if name and not (end := tags.end(at)):
+            # Never closed: its text is text.
+            name = ""
         if not name:
             if not m[0].startswith(("<!", "<?")):
-                if stack[-1].tag == "head" and m[0].strip():
-                    stack.pop()
-                stack[-1].children.append(html.unescape(m[0]))
-        elif m["end"]:
+                if tree.top.tag == "head" and m[0].strip():
+                    tree.cut(len(tree.stack) - 1)
+                tree.place(html.unescape(m[0]), None)
+            continue
+        attrs, at = source[at : end - 1], end
+        if m["end"]:
             if name == "br":
-                open_("br", {})
-            elif name == "p" and not within("p", ""):
-                open_("p", {})
-                stack.pop()
-            elif name not in ("html", "body"):
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag == name:
-                        del stack[i:]
+                tree.push("br", {})
+            elif name == "p" and not tree.within("p", ""):
+                tree.push("p", {})
+                tree.cut(len(tree.stack) - 1)
+            elif name not in ("html", "body") and tree.open[name]:
+                for i in range(len(tree.stack) - 1, 0, -1):
+                    tag = tree.stack[i].tag
+                    if tag == name:
+                        tree.cut(i)
                         break
                     # A stray end tag doesn't reach out of a cell, and an inline one not out of a block.
-                    if stack[i].tag in ("td", "th") and name not in ("table", "tr", "tbody", "thead", "tfoot") or stack[i].tag in BLOCK and name not in BLOCK and name not in ("td", "th", "tbody", "thead", "tfoot", "select"):
+                    if tag in ("td", "th") and name not in ("table", "tr", "tbody", "thead", "tfoot") or tag in BLOCK and name not in BLOCK and name not in ("td", "th", "tbody", "thead", "tfoot", "select"):
                         break
-        elif name == "html" or (name == "body" and within("body", "")):
-            stack[0].attrs.update(_attributes(m["attrs"]))
-        else:
-            if stack[-1].tag == "head" and name not in IN_HEAD:
-                stack.pop()
-            if name in IMPLIED_END:
-                close(*IMPLIED_END[name])
-            if name in BLOCK and name not in ("option", "li", "dd", "dt") and within("p", "table"):
-                close({"p"}, {"table", "td", "th"})
-            if name in ("td", "th") and not within("tr", "table"):
-                open_("tr", {})
-            open_(name, _attributes(m["attrs"]))
-            if name in RAW and stack[-1].tag == name:
-                key = name
-                if key not in raw_closed:
-                    raw_closed[key] = re.compile(rf"</{name}[\s/>]", re.I)
-                end = raw_closed[key].search(source, at)
-                stop = end.start() if end else len(source)
-                text = source[at:stop]
-                stack[-1].children.append(html.unescape(text) if name in ("textarea", "title") else text)
-                at = stop
-    return root
-
-
-def _visible(node: Node) -> bool:
+            continue
+        if name == "html" or (name == "body" and tree.within("body", "")):
+            tree.root.attrs.update(_attributes(attrs))
+            continue
+        if tree.top.tag == "head" and name not in IN_HEAD:
+            tree.cut(len(tree.stack) - 1)
+        if name in IMPLIED_END:
+            tree.close(*IMPLIED_END[name])
+        if name in TABLE_PARTS:
+            tree.to_frame()
+        if name in BLOCK and name not in ("option", "li", "dd", "dt") and tree.within("p", "table"):
+            tree.close({"p"}, {"table", "td", "th"})
+        if name in ("td", "th") and not tree.within("tr", "table"):
+            tree.push("tr", {})
+        tree.push(name, _attributes(attrs))
+        if name in RAW and tree.top.tag == name:
+            if name not in raw_closed:
+                raw_closed[name] = re.compile(rf"</{name}[\s/>]", re.I)
+            found = raw_closed[name].search(source, at)
+            stop = found.start() if found else len(source)
+            text = source[at:stop]
+            tree.top.children.append(html.unescape(text) if name in ("textarea", "title") else text)
+            at = stop
+    return tree.root
+
+
+def _shown(node: Node) -> bool:
+    """Whether an element takes part in the layout at all."""
     a = node.attrs
-    return not (node.tag in UNSEEN or "hidden" in a or (node.tag == "dialog" and "open" not in a) or (node.tag == "input") or ("style" in a and _HIDDEN_STYLE.search(a["style"])))
+    return not (node.tag in UNSEEN or "hidden" in a or (node.tag == "dialog" and "open" not in a) or (node.tag == "input") or ("style" in a and _NOT_SHOWN.search(a["style"])))
+
+
+def _seen(node: Node, seen: bool) -> bool:
+    """Whether its own text is visible, by its own style or its parent's."""
+    own = _VISIBILITY.findall(node.attrs.get("style", ""))
+    return own[-1].lower() == "visible" if own else seen
 
 
 class _Lines:
@@ -187,89 +276,121 @@ class _Lines:
         return self.done
 
 
-def _table(node: Node) -> list[str]:
-    """Lines of a table: caption, then rows with their cells padded to the columns' widths."""
-    caption: list[str] = []
-    rows: list[list[tuple[str, int]]] = []
+def _span(cell: Node, name: str, most: int) -> int:
+    """A span as HTML reads it: digits, at most ``most``; 1 for anything else. A rowspan of 0 reaches down to the end."""
+    m = re.match(r"\s*([0-9]{1,9})", cell.attrs.get(name, ""))
+    n = int(m[1]) if m else 1
+    return min(n, most) if n else most if name == "rowspan" else 1
+
 
-    def walk(parent: Node) -> None:
+def _table(node: Node, seen: bool) -> list[str]:
+    """Lines of a table: caption, then rows with their cells padded to the columns' widths.
+
+    A cell that spans rows takes its columns in all of them, its text stands in
+    the first.  Columns in which no cell begins have no width.
+    """
+    caption: list[str] = []
+    rows: list[list[tuple[int, int, str]]] = []
+    taken: dict[int, int] = {}
+
+    def add(row: Node, seen: bool) -> None:
+        nonlocal taken
+        cells, column, still = [], 0, {c: n - 1 for c, n in taken.items() if n > 1}
+        for cell in row.children:
+            if isinstance(cell, Node) and cell.tag in ("td", "th") and _shown(cell):
+                while column in taken:
+                    column += 1
+                wide, deep = _span(cell, "colspan", MOST_COLUMNS), _span(cell, "rowspan", MOST_ROWS)
+                cells.append((column, column + wide, " ".join(y for y in (z.strip() for z in layout(cell, _seen(cell, seen))) if y)))
+                if deep > 1:
+                    still.update(dict.fromkeys(range(column, column + wide), deep - 1))
+                column += wide
+        taken = still
+        rows.append(cells)
+
+    def walk(parent: Node, seen: bool) -> None:
+        nonlocal taken
         for x in parent.children:
-            if isinstance(x, str) or not _visible(x):
-                continue
-            if x.tag == "caption":
-                caption.extend(layout(x))
-            elif x.tag == "tr":
-                cells = [c for c in x.children if isinstance(c, Node) and c.tag in ("td", "th") and _visible(c)]
-                spans = [int(s) if (s := c.attrs.get("colspan", "1")).isdecimal() and 0 < int(s) <= 100 else 1 for c in cells]
-                rows.append([(" ".join(y for y in (z.strip() for z in layout(c)) if y), n) for c, n in zip(cells, spans, strict=True)])
-            else:
-                walk(x)
-
-    walk(node)
-    widths: list[int] = []
-    for row in rows:
-        column = 0
-        for text, span in row:
-            widths += [0] * (column + span - len(widths))
-            if span == 1:
-                widths[column] = max(widths[column], len(text))
-            column += span
+            if isinstance(x, Node) and _shown(x):
+                now = _seen(x, seen)
+                if x.tag == "caption":
+                    caption.extend(layout(x, now))
+                elif x.tag == "tr":
+                    add(x, now)
+                else:
+                    taken = {}
+                    walk(x, now)
+
+    walk(node, seen)
+    starts = sorted({first for row in rows for first, _, _ in row})
+    # Among these columns, the first one of each cell and the one after its last.
+    ranked = [[(bisect_left(starts, a), bisect_left(starts, b), text) for a, b, text in row] for row in rows]
+    widths = [0] * len(starts)
+    for row in ranked:
+        for a, b, text in row:
+            if b - a == 1:
+                widths[a] = max(widths[a], len(text))
+    ahead = [0, *accumulate(widths)]
     out = caption
-    for row in rows:
-        line, column = "", 0
-        for text, span in row:
-            width = sum(widths[column : column + span]) + 3 * (span - 1)
-            line += (" | " if column else "") + text.ljust(width)
-            column += span
+    for row in ranked:
+        line, at = "", 0
+        for a, b, text in row:
+            if a > at:
+                line += (" | " if at else "") + " " * (ahead[a] - ahead[at] + 3 * (a - at - 1))
+            line += (" | " if a else "") + text.ljust(ahead[b] - ahead[a] + 3 * (b - a - 1))
+            at = b
         if line.strip(" |"):
             out.append(line.rstrip())
     return out
 
 
-def layout(node: Node) -> list[str]:
+def layout(node: Node, seen: bool = True) -> list[str]:
     """Lines that the inside of ``node`` is seen as."""
     out = _Lines()
 
-    def walk(parent: Node, keep: bool) -> None:
+    def walk(parent: Node, keep: bool, seen: bool) -> None:
         number, shut = 0, parent.tag == "details" and "open" not in parent.attrs
         for x in parent.children:
             if isinstance(x, str):
-                if not shut:
+                if not shut and seen:
                     out.text(x, keep)
                 continue
-            if not _visible(x) or (shut and x.tag != "summary"):
+            if not _shown(x) or (shut and x.tag != "summary"):
                 continue
+            now = _seen(x, seen)
             if x.tag == "br":
-                out.end(keep=True)
+                if seen:
+                    out.end(keep=True)
             elif x.tag == "hr":
                 out.margin()
             elif x.tag in BLOCK:
-                edge = out.margin if x.tag in SPACED and not (x.tag in ("ul", "ol", "menu") and parent.tag == "li") else out.end
+                edge = out.margin if x.tag in SPACED and not (x.tag in ("ul", "ol", "menu") and node.tag == "li") else out.end
                 edge()
                 if x.tag == "table":
-                    for line in _table(x):
+                    for line in _table(x, now):
                         out.text(line, True)
                         out.end()
                 elif x.tag == "li":
                     number += 1
-                    mark = f"{number}. " if parent.tag == "ol" else "- "
-                    for k, line in enumerate(layout(x) or [""]):
+                    mark, lines = f"{number}. " if parent.tag == "ol" else "- ", layout(x, now)
+                    for k, line in enumerate(lines or [""] * now):
                         out.text((mark if k == 0 else " " * len(mark)) + line if line or k == 0 else "", True)
                         out.end(keep=k > 0)
                 elif x.tag in ("blockquote", "dd"):
-                    for line in layout(x):
+                    for line in layout(x, now):
                         out.text("  " + line if line else "", True)
                         out.end(keep=True)
                 else:
-                    walk(x, keep or x.tag == "pre")
+                    walk(x, keep or x.tag == "pre", now)
                 edge()
             elif x.tag in ("td", "th"):
-                out.text(" ", keep)
-                walk(x, keep)
+                if now:
+                    out.text(" ", keep)
+                walk(x, keep, now)
             else:
-                walk(x, keep)
+                walk(x, keep, now)
 
-    walk(node, False)
+    walk(node, False, _seen(node, seen))
     return out.lines()
 
 
@@ -277,7 +398,8 @@ def visible_text(source: str | None) -> str:
     """Text of a page; a null or empty page has none. At most one blank line stands between lines."""
     if not source:
         return ""
-    sys.setrecursionlimit(max(sys.getrecursionlimit(), 10 * DEPTH))
+    # A frame of Python for each open element: as many as the page has tags, at most.
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 1000 + 3 * source.count("<")))
     text = "\n".join(layout(build(source.replace("\r\n", "\n").replace("\r", "\n").replace("\0", ""))))
     return re.sub(r"\n{3,}", "\n\n", text).strip("\n")
 
@@ -290,5 +412,9 @@ def _rendered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
-    """``page_id`` and ``text`` of every row of ``pages``; other columns but ``html`` are not read."""
+    """``page_id`` and ``text`` of every row of ``pages``; other columns but ``html`` are not read.
+
+    A null or empty page has an empty text; null ids stay null, repeated rows
+    are rows of their own, an empty table gives no rows.
+    """
     return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("html").cast("string").alias("html")).mapInArrow(_rendered, "page_id long, text string")
