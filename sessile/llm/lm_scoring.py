@@ -1,13 +1,13 @@
 """Stupid-backoff scores of documents under the n-gram counts of the whole corpus.
 
-Texts are dealt into blocks of some megabytes by hash.  A block asks for the
-corpus counts of its distinct n-grams, dealt by n-gram hash into buckets; a
-bucket adds up the counts of all blocks, which is its part of the n-gram count
-table, and answers each block.  The block then joins the answers to the n-grams
-of its documents and sums scores by document.  An n-gram takes one entry for
-each block however frequent it is, and blocks and buckets grow in number with
-the input, not in size.  Entries travel packed, a binary row for each block and
-bucket.
+Texts are dealt into blocks of some megabytes by hash, and exploded into a row
+for each distinct n-gram of a block: block, hash, count.  Spark deals these rows
+by hash once; grouped by hash they are the n-gram count tables of the corpus, one
+for all orders, and joined to the rows they came from they tell each block what
+the corpus holds of its n-grams.  N-grams that no other block has are left out
+there, as the block knows their count.  A block then sums the scores of its
+documents' words.  Rows grow in proportion to the input; blocks grow in number,
+not in size; an n-gram has one row for each block however frequent it is.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ class Backoff:
     factor: float = 0.4
     leave_out: bool = True
     block_chars: int = 8_000_000
-    order: int = 2
+    order: int = 3
 
 
 def _ngrams(table: pa.Table, order: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
@@ -57,69 +57,32 @@ def _ngrams(table: pa.Table, order: int) -> tuple[list[np.ndarray], np.ndarray,
     return grams, doc, place, n
 
 
-def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    return ((hashes >> np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
-
-
 def _all(grams: list[np.ndarray], place: np.ndarray) -> np.ndarray:
     """The n-grams of a block that lie within a text, one length after another."""
     return np.concatenate([g[place >= k] for k, g in enumerate(grams)])
 
 
-def _keys(found: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct n-grams in the order of (bucket, hash), their counts and buckets."""
-    distinct, n = np.unique(found, return_counts=True)
-    bucket = _bucket(distinct, buckets)
-    by = np.argsort(bucket, kind="stable")
-    return distinct[by], n[by], bucket[by]
-
-
-def _ask(buckets: int, order: int):
+def _exploded(order: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         grams, _, place, _ = _ngrams(table, order)
-        hashes, n, bucket = _keys(_all(grams, place), buckets)
-        starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]][: len(bucket)])
-        ends = np.r_[starts[1:], len(bucket)] if len(starts) else starts
-        return pa.table(
-            {
-                "bucket": pa.array(bucket[starts]),
-                "block": pa.array(np.full(len(starts), key[0].as_py(), dtype=np.int64)),
-                # The bucket is known; of what the hash holds besides, 48 bits travel.
-                "hashes": pa.array([np.ascontiguousarray((hashes[a:b]).view(np.uint8).reshape(-1, 8)[:, :6]).tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary()),
-                "counts": pa.array([n[a:b].astype("<u4").tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary()),
-            }
-        )
+        hashes, n = np.unique(_all(grams, place), return_counts=True)
+        return pa.table({"block": pa.array(np.full(len(hashes), key[0].as_py(), dtype=np.int64)), "hash": pa.array(hashes.view(np.int64)), "n": pa.array(n.astype(np.int64))})
 
     return run
 
 
-def _answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    asked = [np.frombuffer(x, dtype="<u4") for x in table["counts"].to_pylist()]
-    raw = np.frombuffer(b"".join(table["hashes"].to_pylist()), dtype=np.uint8).reshape(-1, 6)
-    hashes = np.zeros((len(raw), 8), dtype=np.uint8)
-    hashes[:, :6] = raw
-    _, at = np.unique(hashes.view(np.uint64).ravel(), return_inverse=True)
-    total = np.zeros(int(at.max()) + 1 if len(at) else 0, dtype=np.uint64)
-    np.add.at(total, at, np.concatenate(asked).astype(np.uint64))
-    found = np.split(total[at], np.cumsum([len(x) for x in asked])[:-1])
-    return pa.table({"block": table["block"], "bucket": table["bucket"], "totals": pa.array([x.astype("<u8").tobytes() for x in found], pa.binary())})
-
-
 def _own(gram: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
     """How often each entry's n-gram stands in the entry's document."""
     _, at, n = np.unique(gram * docs + doc, return_inverse=True, return_counts=True)
     return n[at]
 
 
-def _score(cfg: Backoff, buckets: int, n_corpus: int):
-    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+def _score(cfg: Backoff, n_corpus: int):
+    def run(docs: pa.Table, known: pa.Table) -> pa.Table:
         grams, doc, place, n = _ngrams(docs, cfg.order)
-        hashes, at = np.unique(_all(grams, place), return_inverse=True)
-        order = np.argsort(answers["bucket"].to_numpy())
-        totals = answers["totals"].to_pylist()
-        # Answers come in the order of (bucket, hash).
-        counts = np.empty(len(hashes), dtype=np.int64)
-        counts[np.argsort(_bucket(hashes, buckets), kind="stable")] = np.frombuffer(b"".join(totals[i] for i in order), dtype="<u8")
+        hashes, at, counts = np.unique(_all(grams, place), return_inverse=True, return_counts=True)
+        # What isn't among the known ones stands in this block alone.
+        counts[np.searchsorted(hashes, known["hash"].to_numpy().view(np.uint64))] = known["total"].to_numpy()
 
         def counted(gram: np.ndarray, doc: np.ndarray) -> np.ndarray:
             return counts[gram] - _own(gram, doc, len(n)) if cfg.leave_out else counts[gram]
@@ -166,10 +129,10 @@ def score_documents(docs: DataFrame, cfg: Backoff = Backoff()) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = docs.agg(F.sum(F.length("text")).alias("chars"), F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))).alias("words")).first()
     blocks = max(1, -(-(size["chars"] or 0) // cfg.block_chars))
-    docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)))
-    asked = docs.groupBy("block").applyInArrow(_ask(blocks, cfg.order), "bucket long, block long, hashes binary, counts binary")
-    answers = asked.groupBy("bucket").applyInArrow(_answer, "block long, bucket long, totals binary")
+    # Rows that are alike in id and length are told apart by a number of their own, so that they fill no block.
+    docs = docs.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)))
+    rows = docs.groupBy("block").applyInArrow(_exploded(cfg.order), "block long, hash long, n long").repartition("hash")
+    counts = rows.groupBy("hash").agg(F.sum("n").alias("total"), F.count("*").alias("blocks")).filter("blocks > 1").select(F.col("hash").alias("of"), "total")
+    known = rows.join(counts, F.col("hash") == F.col("of")).select(F.col("block").alias("to_block"), "hash", "total")
     schema = "doc_id long, n_words long, n_bigrams_found long, log_score double, mean_log_score double"
-    return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(cfg, blocks, size["words"] or 0), schema)
-
-
+    return docs.groupBy("block").cogroup(known.groupBy("to_block")).applyInArrow(_score(cfg, size["words"] or 0), schema)

@@ -57,12 +57,20 @@ def brute_scores(rows, cfg):
 def test_backoff_matches_plain_counts(spark, sf, odd_docs, no_docs):
     for df in (spark.read.parquet(f"{sf}/documents.parquet"), odd_docs):
         rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
-        for cfg in (Backoff(block_chars=50_000), Backoff(leave_out=False)):
+        for cfg in (Backoff(block_chars=50_000, order=2), Backoff(leave_out=False, order=2)):
             got = sorted((str(r.doc_id), r.n_words, r.n_bigrams_found, round(r.log_score, 6)) for r in score_documents(df, cfg).collect())
             assert got == brute_scores(rows, cfg)
     assert score_documents(no_docs).collect() == []
 
 
+def test_scores_of_many_alike_rows_and_clashing_names(spark):
+    """A third of the rows alike in id and text, rows without id; they fill many blocks, and columns of any name don't matter."""
+    rows = [(None, "same words in every row of these", "x")] * 300 + [(7, "same words in every row of these", "y")] * 300 + [(i, f"word{i % 9} word{i % 7} same words in some rows", "z") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, hash string").withColumns({c: F.lit(1) for c in ("block", "row", "n", "total", "of", "to_block")})
+    got = score_documents(df, Backoff(block_chars=500)).collect()
+    assert sorted((str(r.doc_id), r.n_words, round(r.log_score, 5)) for r in got) == brute_scores_of_order([r[:2] for r in rows], 3, True)
+
+
 def test_top_k_matches_brute_force(spark):
     rng = np.random.default_rng(3)
     vectors = rng.normal(size=(400, 24)).astype(np.float32)
