@@ -131,7 +131,7 @@ def score_documents(docs: DataFrame, cfg: Backoff = Backoff()) -> DataFrame:
     blocks = max(1, -(-(size["chars"] or 0) // cfg.block_chars))
     # Rows that are alike in id and length are told apart by a number of their own, so that they fill no block.
     docs = docs.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)))
-    rows = docs.groupBy("block").applyInArrow(_exploded(cfg.order), "block long, hash long, n long").repartition("hash")
+    rows = docs.groupBy("block").applyInArrow(_exploded(cfg.order), "block long not null, hash long not null, n long not null").repartition("hash")
     # Both sides read all three columns, so that one exchange serves them.
     counts = rows.groupBy("hash").agg(F.sum("n").alias("total"), F.min("block").alias("low"), F.max("block").alias("high")).filter("low < high").select(F.col("hash").alias("of"), "total")
     known = rows.join(counts, (F.col("hash") == F.col("of")) & (F.col("total") > F.col("n"))).select(F.col("block").alias("to_block"), "hash", "total")
