@@ -43,8 +43,9 @@ class LineDedup:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with the key of a document: its id and the hash of its text."""
-    return docs.withColumns({"__id": F.col("doc_id").cast("long"), "__hash": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    """The text and the key of each document, its id and the hash of its text; all of its columns in ``doc``."""
+    text = F.col("text").cast("string")
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), text.alias("text"), F.col("doc_id").cast("long").alias("__id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("__hash"))
 
 
 def _lines(docs: DataFrame, cfg: LineDedup) -> DataFrame:
@@ -95,7 +96,7 @@ def recurring_lines(docs: DataFrame, cfg: LineDedup = LineDedup()) -> DataFrame:
 
 
 def _without_lines(docs: DataFrame, cfg: LineDedup) -> DataFrame:
-    """``docs`` with ``__left`` (the text without its recurring lines), ``__dropped`` and ``__copies`` (each dropped line stays elsewhere word for word)."""
+    """``_keyed(docs)`` with ``__left`` (the text without its recurring lines), ``__dropped`` and ``__copies`` (each dropped line stays elsewhere word for word)."""
     keyed = _keyed(docs)
     key = ["__key", "__hash"]
     gone = recurring_lines(keyed, cfg).select(F.coalesce(F.col("__id").cast("string"), F.lit("")).alias("__key"), "__hash", "line_no", "copy")
@@ -112,10 +113,11 @@ def dedup_lines(docs: DataFrame, cfg: LineDedup = LineDedup()) -> DataFrame:
 
     The first line of a template, by doc_id, stays.  Rows equal in id and text
     are one document.  A null text stays null and a wordless one as it is;
-    lines without a word are never dropped.  Other columns are kept.
+    lines without a word are never dropped.  Other columns are kept, but for
+    one named dropped_lines.  An empty table gives no rows.
     """
     out = _without_lines(docs, cfg)
-    columns = [F.col("__left").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns if c != "dropped_lines"]
+    columns = [(F.col("__left") if c == "text" else F.col("doc").getField(c)).alias(c) for c in docs.columns if c != "dropped_lines"]
     return out.select(*columns, F.coalesce("__dropped", F.expr("cast(array() as array<int>)")).alias("dropped_lines"))
 
 
@@ -128,4 +130,5 @@ def drop_lines(docs: DataFrame, cfg: LineDedup = LineDedup()) -> DataFrame:
     out = _without_lines(docs, cfg)
     emptied = F.col("__dropped").isNotNull() & ~F.coalesce(F.col("__left"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     out = out.filter(~(emptied & F.col("__copies")))
-    return out.select(*[F.when(emptied, F.col("text")).otherwise(F.col("__left")).alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    text = F.when(emptied, F.col("text")).otherwise(F.col("__left"))
+    return out.select(*[(text if c == "text" else F.col("doc").getField(c)).alias(c) for c in docs.columns])

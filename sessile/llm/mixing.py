@@ -3,7 +3,8 @@
 Every source gets a number of words (its target) and a weight over training
 time t in [0, 1], linear in t.  The integral of the weight is the source's
 cumulative demand; inverting it turns the place of a word in the source's own
-order into a training position.  Positions of all sources range-sort into one
+order into a training position, which is that time t, not the share of all words
+read so far: sources fade in and out at their own rates.  Positions of all sources range-sort into one
 sequence.  A source's order is by hash of the id; places in it are prefix sums
 over (source, bucket) totals and then within buckets, so that no source is
 handled by a single task.
@@ -82,25 +83,29 @@ def plan_mix(docs: DataFrame, cfg: Mix = Mix(), keys: list[str] | None = None) -
     target, so ``taken`` sums up to it (with ``cfg.whole``, to within half of
     the last document) and is at most ``most`` (rounded up) times the size.  Null texts have no words and are never taken; a null
     source is a source; rows with the same id, source and size are
-    interchangeable.  An empty table, or one without words, takes nothing.
+    interchangeable and lie together in their source's order.  An empty table, or one without words, takes nothing.
     """
     keys = keys or []
     sized = docs.select(F.col("doc_id"), *keys, F.col("source").cast("string").alias("source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-    sized = materialize(sized.withColumn("h", F.xxhash64(F.col("doc_id").cast("string"), "size")), "sizes")
-    sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.ceil(F.count("*") / cfg.bucket_docs).alias("buckets"))
+    # A null source is a key of its own.
+    sized = sized.withColumns({"h": F.xxhash64(F.col("doc_id").cast("string"), "size"), "key": F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))})
+    # Rows that are alike become one with their number, however many they are.
+    alike = materialize(sized.groupBy("doc_id", *keys, "source", "key", "size", "h").agg(F.count("*").alias("copies")), "sizes")
+    sources = alike.groupBy("source", "key").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"), F.ceil(F.count("*") / cfg.bucket_docs).alias("buckets"))
     sources = materialize(targets(sources, cfg), "sources")
-    own = sources.withColumnRenamed("source", "s")
-    rows = sized.join(own, sized.source.eqNullSafe(own.s)).drop("s")
+    rows = alike.join(sources.drop("source"), "key")
     # Buckets are ranges of the hash, so that their order is the order of the hash.
     unit = (F.col("h") / F.lit(2.0**64)) + 0.5
     rows = rows.withColumn("bucket", F.least(F.floor(unit * F.col("buckets")), F.col("buckets") - 1))
-    group = ["source", "bucket"]
-    sums = rows.groupBy(*group).agg(F.sum("size").alias("words"))
-    ahead = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("ahead"))
-    within = Window.partitionBy(*group).orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    rows = rows.join(sums, rows.source.eqNullSafe(sums.s) & (rows.bucket == sums.b)).withColumn("place", F.col("ahead") + F.col("inner"))
+    group = ["key", "bucket"]
+    sums = rows.groupBy(*group).agg(F.sum(F.col("size") * F.col("copies")).alias("words"))
+    ahead = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*group, F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("ahead"))
+    within = Window.partitionBy(*group).orderBy("h", "doc_id", "size", *keys).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("inner", F.coalesce(F.sum(F.col("size") * F.col("copies")).over(within), F.lit(0)))
+    # The sums grow with the input: a merge join, on the keys that the window has dealt the rows by.
+    rows = rows.join(sums.hint("merge"), group).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    rows = rows.withColumn("place", F.col("ahead") + F.col("inner") + F.col("copy") * F.col("size"))
     goal = F.round("target").cast("long")
     rounds = F.when(F.col("source_size") > 0, F.floor(goal / F.col("source_size"))).otherwise(F.lit(0))
     rest = goal - rounds * F.col("source_size")
@@ -140,9 +145,13 @@ def mix_documents(docs: DataFrame, cfg: Mix = Mix()) -> DataFrame:
     columns = docs.columns
     # Rows are told apart by all of their columns; equal rows become one, which is read for all of them.
     key = ["__key", "__id"]
-    docs = docs.withColumns({"__key": F.xxhash64(*[F.col(f"`{c}`") for c in columns]), "__id": F.coalesce(F.col("doc_id").cast("string"), F.lit(""))})
-    reads = passes(plan_mix(docs, cfg, key)).select(*key, F.col("pass").alias("__pass"), F.col("words").alias("__words"), F.col("size").alias("__size"), F.col("position").alias("__at"))
-    out = docs.dropDuplicates(key).join(reads, key)
-    cut = F.array_join(F.slice(F.filter(F.split("text", SPACE, -1), lambda w: w != ""), F.lit(1), F.col("__words").cast("int")), " ")
-    out = out.withColumn("text", F.when(F.col("__words") < F.col("__size"), cut).otherwise(F.col("text")))
-    return out.orderBy("__at", "__key", "__pass").select(*columns)
+    hashed = F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) if "map" in t else F.col(f"`{c}`") for c, t in docs.dtypes])
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"), hashed.alias("__key"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id"))
+    named = packed.select(*key, F.col("doc").getField("doc_id").alias("doc_id"), F.col("doc").getField("source").alias("source"), F.col("doc").getField("text").alias("text"))
+    reads = passes(plan_mix(named, cfg, key)).select(*key, F.col("pass").alias("__pass"), F.col("words").alias("__words"), F.col("size").alias("__size"), F.col("position").alias("__at"))
+    out = packed.dropDuplicates(key).join(reads, key)
+    text = F.col("doc").getField("text")
+    cut = F.array_join(F.slice(F.filter(F.split(text, SPACE, -1), lambda w: w != ""), F.lit(1), F.col("__words").cast("int")), " ")
+    text = F.when(F.col("__words") < F.col("__size"), cut).otherwise(text)
+    out = out.orderBy("__at", "__key", "__pass")
+    return out.select(*[(text if c == "text" else F.col("doc").getField(c)).alias(c) for c in columns])

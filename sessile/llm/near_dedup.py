@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sessile.llm.storage import materialize
+from sessile.llm.storage import discard, materialize
 from sessile.llm.words import WordHashes, chunks, hashed_words, mix, texts_of
 
 
@@ -160,7 +160,7 @@ def components(edges: DataFrame) -> DataFrame:
     label; rounds go on until nothing changes.  Labels stay in Spark.
     """
     both = materialize(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("comp")), "labels")
+    labels = written = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("comp")), "labels")
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
         step = labels.join(near, "node").select("node", F.least("comp", "near").alias("next"), "comp")
@@ -168,8 +168,10 @@ def components(edges: DataFrame) -> DataFrame:
         new = step.join(jump, "next").select("node", F.least("next", "beyond").alias("new"), "comp")
         new = materialize(new, "labels")
         changed = new.filter("new <> comp").limit(1).count()
-        labels = new.select("node", F.col("new").alias("comp"))
+        discard(written)
+        written, labels = new, new.select("node", F.col("new").alias("comp"))
         if not changed:
+            discard(both)
             return labels
 
 

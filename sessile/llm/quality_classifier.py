@@ -62,7 +62,7 @@ class QualityModel:
 
 
 def statistics(text: Column) -> Column:
-    """The statistics of a text as an array of doubles; a null text counts as empty."""
+    """The statistics of a text as an array of doubles; a null text counts as empty, of any length all of it is read."""
     text = F.coalesce(text.cast("string"), F.lit(""))
     words = F.filter(F.split(text, SPACE, -1), lambda w: w != "")
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.trim(x) != "")
@@ -177,6 +177,10 @@ def fit_on_labels(stats: DataFrame, labels: DataFrame, params: QualityParams = Q
 
 
 def classify(docs: DataFrame, model: QualityModel, threshold: float = 0.3) -> DataFrame:
-    """``docs`` with ``quality_score`` and ``quality_kept``; columns of these names are replaced."""
+    """``docs`` with ``quality_score`` and ``quality_kept``; columns of these names are replaced.
+
+    A null text scores as an empty one; null ids and repeated rows don't
+    matter; an empty table gives no rows.
+    """
     found = docs.withColumn("quality_score", scored(statistics(docs["text"]), model))
     return found.withColumn("quality_kept", F.col("quality_score") >= threshold)

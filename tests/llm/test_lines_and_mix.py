@@ -1,8 +1,11 @@
 import re
 from collections import Counter
 
+import numpy as np
+from pyspark.sql import functions as F
+
 from sessile.llm.line_dedup import LineDedup, dedup_lines
-from sessile.llm.mixing import Mix, mix_documents, mixed_report
+from sessile.llm.mixing import Mix, mix_documents, mixed_report, passes, plan_mix
 
 
 def test_templates_are_dropped_but_for_the_first(spark):
@@ -163,3 +166,26 @@ def test_whole_documents_are_mixed(spark, sf, odd_docs):
             taken[source] += n * count(text)
         target = expected_targets(sizes)
         assert all(abs(taken[s] - target[s]) <= largest[s] / 2 + 0.51 for s in target)
+
+
+def test_positions_match_the_integrated_schedule(spark, sf):
+    """At its position, a source's schedule has asked for the words before a reading: integrated in small steps."""
+    cfg = Mix(slopes=(-0.9, 0.0, 0.5, 1.0))
+    rows = passes(plan_mix(spark.read.parquet(f"{sf}/documents.parquet"), cfg)).collect()
+    t = np.linspace(0, 1, 20_001)
+    names = sorted({r.source for r in rows}, key=lambda s: s.encode())
+    for r in rows[:400]:
+        slope = cfg.slopes[names.index(r.source) % 4]
+        rate = 1 + slope * (2 * t - 1)
+        asked = np.r_[0, np.cumsum((rate[1:] + rate[:-1]) / 2)] / 20_000
+        share = min(1.0, (r["pass"] * r.source_size + r.place) / r.target)
+        assert r.slope == slope and abs(np.interp(r.position, t, asked) - share) < 1e-5
+
+
+def test_alike_rows_lie_together_and_columns_may_clash(spark):
+    rows = [(7, "a b c", "s", 1)] * 400 + [(None, "a b", None, 2)] * 90 + [(i, "w " * (i % 9), "s", 3) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, `__key` int").withColumns({c: F.lit(1) for c in ("__id", "__words", "__pass", "__hash", "doc", "key", "copies", "copy", "h", "bucket")})
+    check_mix(df)
+    assert mix_documents(df, Mix(whole=True)).columns == df.columns and {r["__key"] for r in mix_documents(df).collect()} <= {1, 2, 3}
+    out = dedup_lines(df)
+    assert out.columns == [*df.columns, "dropped_lines"] and out.count() == df.count() and {(r["__key"], r["__hash"]) for r in out.collect()} == {(1, 1), (2, 1), (3, 1)}

@@ -38,6 +38,38 @@ def test_isotonic_blocks():
     assert list(y) == [0.0, 0.5, 1.0] and list(x) == [1.0, 2.5, 4.0]
 
 
+def test_ridge_and_calibration_match_dense_solutions(spark):
+    """Fourier features, normal equations and isotonic levels against NumPy on all rows at once."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(600, 4)) * [1, 5, 0.2, 3] + [0, 2, 0, -1]
+    y = (np.sin(x[:, 0]) + 0.3 * x[:, 2] + rng.normal(size=600) * 0.3 > 0).astype(int)
+    held = np.arange(600) % 4 == 0
+    rows = [([float(v) for v in a], int(b), bool(c)) for a, b, c in zip(x, y, held, strict=True)]
+    params = qc.QualityParams(features=40, ridge=0.7)
+    model = qc.fit(spark.createDataFrame(rows, "stats array<double>, label int, calibrate boolean").repartition(7), params)
+    assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.scale, x.std(axis=0))
+    z = np.cos(np.clip((x - x.mean(axis=0)) / x.std(axis=0), -6, 6) @ model.omega + model.phase) * np.sqrt(2 / 40)
+    z = np.hstack([z, np.ones((600, 1))])
+    # Ridge as least squares: a row for each weight that is held small, none for the constant.
+    small = np.hstack([np.sqrt(0.7) * np.eye(40), np.zeros((40, 1))])
+    dense = np.linalg.lstsq(np.vstack([z[~held], small]), np.r_[y[~held], np.zeros(40)], rcond=None)[0]
+    raw = z @ dense
+    assert np.allclose(model.raw(x), raw, atol=1e-8)
+    # A Gaussian kernel is what the features' inner products tend to.
+    many = qc.fit(spark.createDataFrame(rows, "stats array<double>, label int, calibrate boolean"), qc.QualityParams(features=1500))
+    f, u = many.fourier(x[:30])[:, :-1], (x[:30] - x.mean(axis=0)) / x.std(axis=0)
+    kernel = np.exp(-((u[:, None] - u[None]) ** 2).sum(axis=2) / (2 * 4))
+    assert abs(f @ f.T - kernel).max() < 0.2
+    cell = np.floor((np.clip(raw[held], qc._LOW, qc._HIGH) - qc._LOW) * (qc._BINS / (qc._HIGH - qc._LOW))).astype(int)
+    cells = np.unique(cell)
+    n, total = (np.array([f(cell == c) for c in cells], float) for f in (lambda m: m.sum(), lambda m: y[held][m].sum()))
+    mean = lambda a, b: total[a : b + 1].sum() / n[a : b + 1].sum()
+    levels = [max(min(mean(a, b) for b in range(i, len(cells))) for a in range(i + 1)) for i in range(len(cells))]
+    at = np.array([raw[held][cell == c].mean() for c in cells])
+    pooled = {level: np.average(at[np.isclose(levels, level)], weights=n[np.isclose(levels, level)]) for level in levels}
+    assert np.allclose(sorted(set(np.round(model.levels, 9))), sorted(set(np.round(levels, 9)))) and np.allclose(sorted(model.knots), sorted(set(np.round(list(pooled.values()), 12))), atol=1e-6)
+
+
 def brute_scores(rows, cfg):
     words = [(t or "").encode().lower().split() for _, t in rows]
     c1, c2 = Counter(w for d in words for w in d), Counter(p for d in words for p in zip(d, d[1:], strict=False))
