@@ -101,7 +101,9 @@ def _without_lines(docs: DataFrame, cfg: LineDedup) -> DataFrame:
     key = ["__key", "__hash"]
     gone = recurring_lines(keyed, cfg).select(F.coalesce(F.col("__id").cast("string"), F.lit("")).alias("__key"), "__hash", "line_no", "copy")
     gone = gone.groupBy(*key).agg(F.collect_set("line_no").alias("__dropped"), F.bool_and("copy").alias("__copies"))
-    out = keyed.withColumn("__key", F.coalesce(F.col("__id").cast("string"), F.lit(""))).join(gone, key, "left")
+    # The text travels once, in ``doc``.
+    whole = keyed.select("doc", "__hash", F.coalesce(F.col("__id").cast("string"), F.lit("")).alias("__key"))
+    out = whole.join(gone, key, "left").withColumn("text", F.col("doc").getField("text").cast("string"))
     lines = F.split(F.col("text").cast("string"), "\n", -1)
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__dropped"))
     text = F.transform(F.array(lines), lambda x: F.array_join(F.transform(stay, lambda i: F.get(x, i)), "\n"))[0]
