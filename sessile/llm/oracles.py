@@ -6,28 +6,32 @@ WITH l AS (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS s, unnest(range(len(string_split(text, chr(10))))) AS n FROM documents)
   WHERE regexp_matches(s, '[^\x20\x09-\x0D]')
 ), t AS (
-  SELECT doc_id, line_no, regexp_extract_all(regexp_replace(s, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), '[^\x20\x09-\x0D]+') AS tokens FROM l
+  SELECT doc_id, line_no, array_to_string(regexp_extract_all(s, '[^\x20\x09-\x0D]+'), ' ') AS exact,
+    regexp_extract_all(regexp_replace(s, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), '[^\x20\x09-\x0D]+') AS tokens FROM l
 ), k AS (
-  SELECT doc_id, line_no, tokens, array_to_string(tokens, ' ') AS body, CAST(len(tokens) AS VARCHAR) || ' ' || array_to_string(tokens[1:3], ' ') AS leaf FROM t
-), deep AS (
-  SELECT * FROM k WHERE leaf IN (SELECT leaf FROM k GROUP BY leaf HAVING count(DISTINCT doc_id) >= 5)
+  SELECT doc_id, line_no, exact, tokens, array_to_string(tokens, ' ') AS body, CAST(len(tokens) AS VARCHAR) || ' ' || array_to_string(tokens[1:3], ' ') AS leaf,
+    len(tokens) AS size, len(list_filter(tokens, lambda x: x <> '<*>')) AS words FROM t
+), reached AS (
+  SELECT leaf, count(DISTINCT doc_id) >= 5 AS deep FROM k GROUP BY leaf
+  HAVING count(DISTINCT doc_id) >= 5 OR (any_value(size) >= 50 AND count(DISTINCT doc_id) >= 2)
 ), bodies AS (
-  SELECT leaf, body, any_value(tokens) AS tokens, count(DISTINCT doc_id) AS docs FROM deep GROUP BY leaf, body
+  SELECT leaf, body, any_value(tokens) AS tokens, count(DISTINCT doc_id) AS docs FROM k JOIN reached USING (leaf) WHERE deep GROUP BY leaf, body
 ), tok AS (
   SELECT leaf, body, docs, unnest(tokens) AS token, unnest(range(len(tokens))) AS pos FROM bodies
 ), common AS (
   SELECT leaf, pos, token FROM tok WHERE token <> '<*>' GROUP BY ALL HAVING sum(docs) >= 5
 ), shape AS (
   SELECT tok.leaf, tok.body, string_agg(CASE WHEN common.token IS NULL THEN '<*>' ELSE tok.token END, ' ' ORDER BY tok.pos) AS shape,
-    count(common.token) AS constants, count(*) FILTER (tok.token <> '<*>') AS words, count(*) AS size
+    count(common.token) AS constants
   FROM tok LEFT JOIN common USING (leaf, pos, token) GROUP BY tok.leaf, tok.body
 ), placed AS (
-  SELECT deep.leaf, doc_id, line_no, CASE WHEN size >= 6 AND constants >= 0.75 * size THEN 'general ' || shape ELSE 'as it is ' || body END AS template
-  FROM deep JOIN shape USING (leaf, body) WHERE words * 2 >= size
+  SELECT k.leaf, doc_id, line_no, size, CASE WHEN words * 2 < size THEN 'exact ' || exact
+    WHEN size >= 6 AND constants >= 0.75 * size THEN 'general ' || shape ELSE 'as it is ' || k.body END AS template
+  FROM k JOIN reached ON k.leaf = reached.leaf LEFT JOIN shape ON k.leaf = shape.leaf AND k.body = shape.body
 ), ranked AS (
   SELECT *, count(DISTINCT doc_id) OVER (PARTITION BY leaf, template) AS docs, row_number() OVER (PARTITION BY leaf, template ORDER BY doc_id, line_no) AS rn FROM placed
 ), gone AS (
-  SELECT doc_id, list(line_no ORDER BY line_no) AS dropped FROM ranked WHERE docs >= 5 AND rn > 1 GROUP BY doc_id
+  SELECT doc_id, list(line_no ORDER BY line_no) AS dropped FROM ranked WHERE (docs >= 5 OR (size >= 50 AND docs >= 2)) AND rn > 1 GROUP BY doc_id
 ), left_over AS (
   SELECT d.doc_id, len(string_split(text, chr(10))) AS n_lines, coalesce(dropped, []) AS dropped,
     array_to_string(list_transform(list_filter(range(len(string_split(text, chr(10)))), lambda i: NOT list_contains(coalesce(dropped, []), i)), lambda i: string_split(text, chr(10))[i + 1]), chr(10)) AS kept
