@@ -12,8 +12,9 @@ full shingle sets confirm each link.
 Hot groups.  Documents with equal sets are one class from the start.  In a
 bucket of a band, a member is first held against one representative; only
 members of buckets that still hold several components are compared further,
-across components.  So a bucket of m copies costs m comparisons, and no link
-between documents that share a bucket is lost.  A map of 4096 bits, of which
+across components, in parts of ``part`` members each that are tasks' keys of
+their own.  So a bucket of m copies costs m comparisons, and no link between
+documents that share a bucket is lost.  A map of 4096 bits, of which
 every element of a set sets one, bounds what two sets can share before they are
 read: each bit that only one of them has stands for an element that the other
 lacks.  The bound leaves out no pair that is similar enough.
@@ -35,7 +36,8 @@ from sessile.llm.words import WordHashes, chunks, hashed_words, mix, texts_of
 
 @dataclass(frozen=True)
 class NearDedup:
-    """Parameters: words of a shingle, per cent of similarity, coordinates, coordinates of a band.
+    """Parameters: words of a shingle, per cent of similarity, coordinates, coordinates of a band, bits of a map,
+    members of a part of a bucket.
 
     With 378 coordinates in bands of 6, a pair at similarity 0.75 shares no
     bucket with probability (1 - 0.75**6)**63 < 4.4e-6, one at 0.3 shares one
@@ -47,6 +49,7 @@ class NearDedup:
     bins: int = 378
     band: int = 6
     map_bits: int = 4096
+    part: int = 2000
 
 
 _SKETCH = "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>"
@@ -218,7 +221,7 @@ def near_duplicates(docs: DataFrame, cfg: NearDedup = NearDedup()) -> DataFrame:
         return materialize(nodes.join(merged, "comp", "left").withColumn("comp", F.coalesce("into", "comp")).drop("into"), "nodes")
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*[F.col(c).alias(name if c == "node" else c if c == "slot" else f"{name}_{c}") for c in df.columns])
+        return df.select(*[F.col(c).alias(name if c == "node" else c if c in ("slot", "part") else f"{name}_{c}") for c in df.columns])
 
     def alike() -> Column:
         def lacking(a: str, b: str) -> Column:
@@ -248,15 +251,19 @@ def near_duplicates(docs: DataFrame, cfg: NearDedup = NearDedup()) -> DataFrame:
     # Last, across the components of a bucket: all pairs but those within the most frequent component.
     member = slots.select("slot", "node").join(nodes, "node")
     sizes = member.groupBy("slot", "comp").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("slot").agg(F.count("*").alias("comps"), F.max(F.struct("n", "comp")).comp.alias("largest")).filter("comps > 1").select("slot", "largest")
-    mixed = materialize(mixed, "mixed")
-    member = member.join(mixed, "slot").select("slot", "node", (F.col("comp") == F.col("largest")).alias("major"))
+    mixed = sizes.groupBy("slot").agg(F.count("*").alias("comps"), F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("members")).filter("comps > 1")
+    # Those outside the most frequent component are dealt to parts, each of which meets the whole bucket.
+    parts = F.ceil((F.col("members") - F.col("top.n")) / F.lit(cfg.part)).cast("int")
+    mixed = materialize(mixed.select("slot", F.col("top.comp").alias("largest"), parts.alias("parts")), "mixed")
+    member = member.join(mixed, "slot").select("slot", "node", (F.col("comp") == F.col("largest")).alias("major"), "parts")
     member = materialize(member, "members")
     # A pair that shares several of these buckets comes out of the least of them alone.
     own = member.groupBy("node").agg(F.collect_list("slot").alias("slots"))
     member = materialize(member.join(own, "node").join(nodes, "node"), "members")
     once = F.array_min(F.array_intersect("x_slots", "y_slots")) == F.col("slot")
-    cross = side(member.filter("not major"), "x").join(side(member, "y"), "slot").filter((F.col("y_major") | (F.col("x") < F.col("y"))) & alike() & once)
+    dealt = member.filter("not major").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    every = member.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cross = side(every, "y").join(side(dealt, "x"), ["slot", "part"]).filter((F.col("y_major") | (F.col("x") < F.col("y"))) & alike() & once)
     last = materialize(pairs_of(cross).join(tested, ["a", "b"], "left_anti"), "pairs")
     nodes = labelled(materialize(_confirmed(last, sets, cfg), "links"))
 

@@ -55,6 +55,20 @@ def test_random_families(spark):
     assert found(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))) == brute(rows)
 
 
+@pytest.mark.parametrize("part", [3, 2000])
+def test_fillings_of_one_template_meet_in_parts(spark, part):
+    """Fillings alike enough to share buckets but not to be linked, among them some that are, in a hot bucket."""
+    rng = random.Random(8)
+    frame, rows = [f"f{i}" for i in range(100)], []
+    for _ in range(40):
+        tail = [f"t{rng.randrange(10**6)}" for _ in range(27)]
+        for _ in range(rng.choice([1, 1, 2, 3])):
+            rows.append((len(rows), " ".join(frame + tail + [f"e{rng.randrange(10**6)}"])))
+    rng.shuffle(rows)
+    got = found(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), NearDedup(part=part)))
+    assert got == brute(rows) and 1 < len({c for _, _, c in got}) < len(rows)
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.select("doc_id", "text").collect()]
     out = near_duplicates(odd_docs)
