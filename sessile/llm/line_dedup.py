@@ -68,7 +68,8 @@ def recurring_lines(docs: DataFrame, cfg: LineDedup = LineDedup()) -> DataFrame:
     # Leaves that few documents reach hold no recurring template.
     leaves = lines.select("leaf", "size", "__id", "__hash").groupBy("leaf").agg(F.count_distinct(doc).alias("docs"), F.first("size").alias("size")).filter(enough)
     leaves = materialize(leaves.select("leaf", (F.col("docs") >= cfg.min_docs).alias("deep")), "leaves")
-    lines = materialize(lines.join(leaves, "leaf"), "lines")
+    # Leaves grow with the input: merged at every size, and split by Spark where one is frequent.
+    lines = materialize(lines.join(leaves.hint("merge"), "leaf"), "lines")
 
     bodies = lines.filter("deep").groupBy("leaf", "body").agg(F.count_distinct(doc).alias("docs"), F.first("masked").alias("masked"))
     tokens = materialize(bodies.select("leaf", "body", "docs", F.posexplode(F.split("masked", " ", -1)).alias("at", "token")), "tokens")
