@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessile.llm import oracles, pii, quality_classifier
+from sessile.llm import oracles, pii, quality_classifier, toxicity
 from sessile.llm.host_rules import quality_rules
 from sessile.llm.html_text import extract_text
 from sessile.llm.line_dedup import dedup_lines
@@ -82,6 +82,15 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = _table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    found = toxicity.classify(_table(spark, sf_dir, "documents"), labels)
+    held_out = quality_classifier.fold(F.col("doc_id")) == 0
+    # Neighbours as id:label:cosine, nearest first.
+    shown = F.array_join(F.transform("evidence", lambda x: F.concat_ws(":", x["doc_id"], x["label"], F.format_number(x["cosine"], 6))), ",")
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), shown.alias("evidence"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_line_dedup,
@@ -94,6 +103,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_html_text,
         op9_host_rules,
         op10_minhash_near_dedup,
+        op11_toxicity,
     ]
     return {f.__name__: f for f in found}
 
