@@ -60,6 +60,30 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS vector
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS vec_id, a.label = c.label AS same,
+    CAST(list_sum(list_transform(range(1, len(a.vector) + 1), lambda i: a.vector[i] * c.vector[i])) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.vector) = len(c.vector)
+  WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), negatives AS (
+  SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT s.same
+    AND 100 * s.score BETWEEN 30 * p.positive_score AND 90 * p.positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 10
+"""
+
 #: Rules of op9 in their order.
 _RULES = ("few_words", "repeats", "symbols", "dup_lines", "word_length")
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessile.llm import oracles, pii, quality_classifier, toxicity
+from sessile.llm import hard_negatives, oracles, pii, quality_classifier, toxicity
 from sessile.llm.host_rules import quality_rules
 from sessile.llm.html_text import extract_text
 from sessile.llm.line_dedup import dedup_lines
@@ -91,6 +91,13 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), shown.alias("evidence"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = rows.select("vec_id", label.alias("label"), hard_negatives.scaled(F.col("embedding")).alias("vector"))
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_line_dedup,
@@ -104,6 +111,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_host_rules,
         op10_minhash_near_dedup,
         op11_toxicity,
+        op13_hard_negatives,
     ]
     return {f.__name__: f for f in found}
 
@@ -115,4 +123,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_topk_search": oracles.TOP_K,
         "op9_host_rules": oracles.HOST_RULES,
         "op10_minhash_near_dedup": oracles.NEAR_DEDUP,
+        "op13_hard_negatives": oracles.HARD_NEGATIVES,
     }
