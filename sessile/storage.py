@@ -30,8 +30,8 @@ def _file_system(spark: SparkSession, path: str):
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back.
+def materialize(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder, in a folder for each value of column ``by``, and read it back.
 
     It cuts the lineage as ``checkpoint()`` does, but computes ``df`` once and
     survives lost executors.  The files go with ``discard``, at the latest when
@@ -39,7 +39,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     place, files = _file_system(spark, path)
     files.deleteOnExit(place)
     out = spark.read.schema(df.schema).parquet(path)
