@@ -314,6 +314,17 @@ def _scored(model: ToxicityModel):
     return run
 
 
+def _frequencies(n_terms: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(n_terms, np.int64)
+        for batch in batches:
+            total += np.bincount(np.asarray(pc.list_flatten(batch["terms"]), dtype=np.int64), minlength=n_terms)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["term", "n"])
+
+    return run
+
+
 def document_vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
     """``doc_id, terms, counts`` of every row of ``docs``."""
     return term_vectors(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), terms)
@@ -332,8 +343,8 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityPar
     terms = select_terms(examples, params)
     vectors = materialize(document_vectors(docs, terms), "vectors")
     df = np.zeros(len(terms))
-    for r in vectors.select(F.explode("terms").alias("term")).groupBy("term").count().collect():
-        df[r["term"]] = r["count"]
+    for r in vectors.select("terms").mapInArrow(_frequencies(len(terms)), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
+        df[r["term"]] = r["n"]
     idf = 1 + np.log((1 + vectors.count()) / (1 + df))
 
     # The sample has a fixed size.  Examples without a term are near to nothing.
