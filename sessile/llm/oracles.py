@@ -84,6 +84,43 @@ WITH v AS (
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 10
 """
 
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL
+), tokens AS MATERIALIZED (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+), grams AS (
+  SELECT lang, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM tokens, range(1, 6) AS lengths(k)
+), f AS MATERIALIZED (
+  SELECT lang, phrase, count(*) AS n, string_split(phrase, ' ') AS w FROM grams GROUP BY ALL HAVING count(*) >= 100
+), total AS (
+  SELECT lang, sum(len(w)) AS n FROM tokens GROUP BY lang
+), inner_ones AS (
+  SELECT DISTINCT lang, n, unnest([array_to_string(w[i:j], ' ')]) AS phrase
+  FROM f, range(1, 6) AS starts(i), range(1, 6) AS ends(j)
+  WHERE i <= j AND j <= len(w) AND j - i + 1 < len(w)
+), kept AS (
+  SELECT f.* FROM f ANTI JOIN inner_ones USING (lang, phrase, n) WHERE len(w) > 1
+), cuts AS (
+  SELECT kept.lang, kept.phrase, kept.n AS a, k, a.n AS l, b.n AS r, total.n AS n,
+    (1000::HUGEINT * kept.n * total.n) // (a.n::HUGEINT * b.n) AS score
+  FROM kept JOIN range(1, 5) AS places(k) ON k < len(kept.w)
+  JOIN f AS a ON a.lang = kept.lang AND a.phrase = array_to_string(kept.w[1:k], ' ')
+  JOIN f AS b ON b.lang = kept.lang AND b.phrase = array_to_string(kept.w[k + 1:], ' ')
+  JOIN total ON total.lang = kept.lang
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+  CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
+
 #: Rules of op9 in their order.
 _RULES = ("few_words", "repeats", "symbols", "dup_lines", "word_length")
 

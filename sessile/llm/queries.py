@@ -16,6 +16,7 @@ from sessile.llm.lm_scoring import Backoff, score_documents
 from sessile.llm.mixing import mixed_report
 from sessile.llm.near_dedup import near_duplicates
 from sessile.llm.packing import Packing, pack_documents
+from sessile.llm.phrases import collocations
 from sessile.llm.storage import materialize
 from sessile.llm.topk_search import scaled, top_k
 
@@ -91,6 +92,10 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), shown.alias("evidence"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -111,6 +116,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_host_rules,
         op10_minhash_near_dedup,
         op11_toxicity,
+        op12_phrases,
         op13_hard_negatives,
     ]
     return {f.__name__: f for f in found}
@@ -123,5 +129,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_topk_search": oracles.TOP_K,
         "op9_host_rules": oracles.HOST_RULES,
         "op10_minhash_near_dedup": oracles.NEAR_DEDUP,
+        "op12_phrases": oracles.COLLOCATIONS,
         "op13_hard_negatives": oracles.HARD_NEGATIVES,
     }
