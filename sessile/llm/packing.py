@@ -1,11 +1,13 @@
 """Packing token sequences by bounded-space online best-fit.
 
 Documents become tokens and are cut into pieces that fit a sequence.  A task
-packs the pieces that reach it, one after another from the longest to the
-shortest, which leaves the fewest sequences part empty: a piece goes to the
-open bin that it leaves the least space in, found in a bitset keyed by free
-space.  The number of open bins is fixed; to open another one, the fullest
-closes.  Pieces are dealt out evenly, whatever they hold, and without their
+packs the pieces that reach it in batches, each from its longest piece to its
+shortest: a piece goes to the open bin that it leaves the least space in, found
+in a bitset keyed by free space.  The number of open bins is fixed; to open
+another one, the fullest closes.  Bins stay open from batch to batch.  A batch
+is small enough that its long pieces find open bins, so that none closes before
+the short ones come; pieces are dealt to batches by hash, so that each has its
+share of short ones.  Pieces are dealt out evenly, whatever they hold, and without their
 tokens are a few dozen bytes, so a task packs very many of them and the few
 bins that it ends with hardly count.
 """
@@ -32,7 +34,8 @@ from sessile.llm.words import chunks
 @dataclass(frozen=True)
 class Packing:
     """Vocabulary: the JSON of ``tokenizers`` and the same one as ranks, with its pattern; end id, sequence
-    length, open bins of a task, pieces of a task, blanks or letters in a row from which the ranks form isn't used."""
+    length, open bins of a task, most pieces of a batch, and most of them over half a sequence, for each open bin,
+    pieces of a task, blanks or letters in a row from which the ranks form isn't used."""
 
     json_path: str
     ranks_path: str
@@ -40,6 +43,8 @@ class Packing:
     end_id: int = 2
     length: int = 1024
     open_bins: int = 1024
+    batch_bins: float = 2.5
+    batch_long: float = 0.9
     task_pieces: int = 400_000
     long_run: int = 2_000
 
@@ -139,12 +144,27 @@ def tokenized_pieces(docs: DataFrame, cfg: Packing, with_ids: bool = False) -> D
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_pieces(cfg, with_ids), schema)
 
 
+def _batches(lengths: np.ndarray, cfg: Packing) -> Iterator[tuple[int, int]]:
+    """Stretches of pieces that aren't too many, nor too many of them long, for the open bins."""
+    most, longs = (max(1, int(cfg.open_bins * x)) for x in (cfg.batch_bins, cfg.batch_long))
+    ahead, a = np.cumsum(2 * lengths > cfg.length), 0
+    while a < len(lengths):
+        before = ahead[a - 1] if a else 0
+        b = min(a + most, max(a + 1, int(np.searchsorted(ahead, before + longs, side="right"))))
+        yield a, min(b, len(lengths))
+        a = b
+
+
 def _packed(cfg: Packing):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = BestFit(cfg.length, cfg.open_bins, TaskContext.get().partitionId() << 40)
         for batch in batches:
-            placed = [bins.place(size) for size in batch["length"].to_pylist()]
-            found = np.array(placed, dtype=np.int64).reshape(-1, 2)
+            lengths = batch["length"].to_numpy()
+            found = np.empty((len(lengths), 2), dtype=np.int64)
+            for a, b in _batches(lengths, cfg):
+                # Equal lengths in the order they come in.
+                order = a + np.argsort(-lengths[a:b], kind="stable")
+                found[order] = [bins.place(n) for n in lengths[order].tolist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found[:, 0]), pa.array(found[:, 1])], names=[*batch.schema.names, "sequence_id", "offset"])
 
     return run
@@ -158,7 +178,7 @@ def pack(pieces: DataFrame, cfg: Packing) -> DataFrame:
     """
     key = ["doc_id", "piece", "ids_crc32"]
     tasks = max(1, -(-pieces.count() // cfg.task_pieces))
-    dealt = pieces.repartition(tasks).sortWithinPartitions(F.desc("length"), F.xxhash64(*key), *key)
+    dealt = pieces.repartition(tasks).sortWithinPartitions(F.xxhash64(*key), *key)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
     return dealt.mapInArrow(_packed(cfg), schema)
 

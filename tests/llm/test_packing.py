@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sessile.llm.packing import BestFit, Encoder, pack_documents
+from sessile.llm.packing import BestFit, Encoder, pack, pack_documents
 from sessile.llm.queries import packing_params
 
 
@@ -118,3 +118,34 @@ def test_few_sequences_and_hot_rows(spark):
 def test_long_runs(spark):
     texts = [" " * 2_000_000, "a" + "\n" * 2_000_000 + "b", "x" * 2_000_000, " \t\n" * 300_000, "7" * 500_000, "-" * 500_000, "word " * 200_000, "\u3000" * 300_000, "\x1c" * 300_000]
     check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4), packing_params())
+
+
+def floor(sizes, length):
+    return max(-(-sum(sizes) // length), sum(2 * s > length for s in sizes))
+
+
+@pytest.mark.parametrize("kind", ["long ones", "mixed", "repeated"])
+def test_few_sequences_where_bins_run_out(spark, kind):
+    """More pieces over half a sequence than there are open bins: not many more sequences than there must be."""
+    rng = np.random.default_rng(1)
+    if kind == "long ones":
+        sizes = np.r_[rng.integers(513, 1024, 20_000), rng.integers(1, 300, 40_000)]
+    elif kind == "mixed":
+        sizes = np.r_[rng.integers(1, 1025, 30_000), np.full(5_000, 1024)]
+    else:
+        sizes = np.r_[np.full(20_000, 600), np.full(20_000, 424)]
+    rows = spark.range(len(sizes)).toPandas().assign(length=rng.permutation(sizes))
+    pieces = spark.createDataFrame(rows.rename(columns={"id": "doc_id"})).select(F.col("doc_id") if kind != "repeated" else F.lit(1).cast("long").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"), "length", F.lit(7).cast("long").alias("ids_crc32"))
+    out = pack(pieces.repartition(4), packing_params()).toPandas()
+    assert sorted(out.length) == sorted(sizes)
+    ends = out.sort_values(["sequence_id", "offset"])
+    first = ends.sequence_id != ends.sequence_id.shift()
+    assert ((ends.offset == 0) == first).all() and (first | (ends.offset == ends.offset.shift() + ends.length.shift())).all() and (ends.offset + ends.length).max() <= 1024
+    least = floor(sizes.tolist(), 1024)
+    assert out.sequence_id.nunique() <= (1.003 if kind != "mixed" else 1.01) * least, (out.sequence_id.nunique(), least)
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_few_sequences_on_whole_tables(spark, sf):
+    out = pack_documents(spark.read.parquet(f"/root/testdata/{sf}/documents.parquet"), packing_params()).select("sequence_id", "length").toPandas()
+    assert out.sequence_id.nunique() <= 1.003 * floor(out.length.tolist(), 1024)
