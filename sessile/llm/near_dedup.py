@@ -52,7 +52,7 @@ class NearDedup:
     part: int = 2000
 
 
-_SKETCH = "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>"
+_SKETCH = "doc_id long, text_hash long, n_shingles long, fp1 long, fp2 long, bands array<long>"
 #: A node's set, and the map of bits that its elements set.
 _SETS = "node long, elements array<long>, bits array<long>"
 
@@ -127,12 +127,13 @@ def _sketch(cfg: NearDedup):
                     yield pa.RecordBatch.from_arrays(
                         [
                             part["doc_id"].cast(pa.int64()),
+                            part["text_hash"],
                             pa.array(lengths),
                             pa.array(_reduce(mix(elements), lengths).view(np.int64)),
                             pa.array(_reduce(mix(elements ^ np.uint64(0xA5A5A5A5A5A5A5A5)), lengths).view(np.int64)),
                             pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(keys).reshape(-1).view(np.int64))),
                         ],
-                        names=["doc_id", "n_shingles", "fp1", "fp2", "bands"],
+                        names=["doc_id", "text_hash", "n_shingles", "fp1", "fp2", "bands"],
                     )
 
     return run
@@ -195,10 +196,10 @@ def near_duplicates(docs: DataFrame, cfg: NearDedup = NearDedup()) -> DataFrame:
     doc_id takes part, and is kept only if nothing in its component has an id.
     An empty table gives no rows.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
     sketch = materialize(docs.mapInArrow(_sketch(cfg), _SKETCH), "sketch")
     key = ["fp1", "fp2", "n_shingles"]
-    classes = sketch.filter("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"))
+    classes = sketch.filter("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "text_hash")).alias("shown"), F.first("bands").alias("bands"))
     classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
     slots = classes.select("node", F.explode("bands").alias("slot"))
@@ -207,8 +208,9 @@ def near_duplicates(docs: DataFrame, cfg: NearDedup = NearDedup()) -> DataFrame:
     slots = materialize(slots.join(shared, "slot"), "slots")
 
     # The sets of all nodes that share a bucket, from the text of a document of the class.
-    needed = slots.select("node").distinct().join(classes.select("node", "first_id", "fp1", "n_shingles"), "node")
-    sets = docs.join(needed, docs.doc_id.eqNullSafe(needed.first_id)).select("node", "fp1", "n_shingles", "text")
+    needed = slots.select("node").distinct().join(classes.select("node", F.col("shown.doc_id").alias("of_id"), F.col("shown.text_hash").alias("of_text"), "fp1", "n_shingles"), "node")
+    # By id and text: an id that many rows share, or the lack of one, brings no other class's texts along.
+    sets = docs.join(needed, docs.doc_id.eqNullSafe(needed.of_id) & (docs.text_hash == needed.of_text)).select("node", "fp1", "n_shingles", "text")
     sets = materialize(sets.mapInArrow(_full_sets(cfg), _SETS).dropDuplicates(["node"]), "sets")
 
     nodes = sets.select("node", F.size("elements").alias("n"), "bits", F.col("node").alias("comp"))

@@ -116,3 +116,20 @@ def test_bit_maps_never_hide_what_is_shared(bits):
             x, y = bit_maps(np.concatenate([a, b]), np.array([len(a), len(b)]), bits)
         lacking = lambda p, q: sum(int(v).bit_count() for v in (p & ~q).view(np.uint64))
         assert min(len(a) - lacking(x, y), len(b) - lacking(y, x)) >= len(np.intersect1d(a, b))
+
+
+@pytest.mark.parametrize("same", [7, None])
+def test_rows_that_share_an_id_or_have_none(spark, same):
+    """Many texts under one id, near copies and others: what is fetched doesn't grow with the square of their number."""
+    rng = random.Random(9)
+    vocab = [f"v{i}" for i in range(300)]
+    base = [rng.choice(vocab) for _ in range(60)]
+    rows = []
+    for k in range(600):
+        w = list(base) if k % 2 else [rng.choice(vocab) for _ in range(60)]
+        w[rng.randrange(60)] = f"x{k}"
+        rows.append((same, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = near_duplicates(df).toPandas()
+    assert len(out) == 600 and (out.n_shingles > 50).all()
+    assert (out.component_id == 7).all() and out.kept.all() if same else out.component_id.isna().all() and out.kept.all()
