@@ -31,6 +31,8 @@ class LineDedup:
     Lines of ``long_tokens`` tokens recur from ``long_docs`` documents on; a
     token takes ``min_docs`` documents to be constant all the same.  With
     ``numbers``, lines of less than half words recur by their unmasked text.
+    ``copy_share`` of a document's words in recurring lines make it a copy,
+    which ``drop_lines`` leaves to a search for near copies.
     """
 
     depth: int = 3
@@ -40,6 +42,7 @@ class LineDedup:
     long_tokens: int = 50
     long_docs: int = 2
     numbers: bool = True
+    copy_share: float = 0.35
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -128,10 +131,16 @@ def drop_lines(docs: DataFrame, cfg: LineDedup = LineDedup()) -> DataFrame:
     """``docs`` without recurring lines and without the documents that these leave no word of.
 
     Such a document goes only if each of its lines equals, word for word, a
-    line that stays; otherwise it keeps its whole text.
+    line that stays; otherwise it keeps its whole text.  So does a document
+    with ``copy_share`` of its words or more in recurring lines: it is a copy
+    of another one rather than a text of its own with lines that recur, and
+    near-duplicate search has to see all of it to tell.
     """
     out = _without_lines(docs, cfg)
-    emptied = F.col("__dropped").isNotNull() & ~F.coalesce(F.col("__left"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    words = lambda c: F.coalesce(F.regexp_count(c, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
+    found = F.col("__dropped").isNotNull()
+    emptied = found & ~F.coalesce(F.col("__left"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    copied = found & (words(F.col("__left")) <= (1 - cfg.copy_share) * words(F.col("text")))
     out = out.filter(~(emptied & F.col("__copies")))
-    text = F.when(emptied, F.col("text")).otherwise(F.col("__left"))
+    text = F.when(emptied | copied, F.col("text")).otherwise(F.col("__left"))
     return out.select(*[(text if c == "text" else F.col("doc").getField(c)).alias(c) for c in docs.columns])

@@ -10,7 +10,9 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from sessile.llm.line_dedup import drop_lines
+from sessile.llm.near_dedup import drop_near_duplicates, near_duplicates
 from sessile.llm.queries import packing_params
+from sessile.llm.storage import materialize
 
 
 def plain_drop_lines(rows):
@@ -23,6 +25,8 @@ def plain_drop_lines(rows):
             if all(own):
                 continue
             left = lines
+        elif own and len("\n".join(left).encode().split()) <= 0.65 * len(text.encode().split()):
+            left = lines
         out[d] = text if text is None else "\n".join(left)
     return out
 
@@ -36,6 +40,20 @@ def test_document_of_a_template_stays_unless_it_is_a_copy(spark):
     assert left == plain_drop_lines(rows) == {d: t for d, t in rows if d not in range(11, 16) and d != 21}
 
 
+def test_near_copies_reach_near_dedup(spark):
+    """Of documents that near dedup drops alone, line dedup cuts down few: both stages together let few survive."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    alone = {r.doc_id for r in near_duplicates(docs).filter("not kept").collect()}
+    assert len(alone) > 50
+    both = {r.doc_id for r in drop_near_duplicates(materialize(drop_lines(docs), "lines")).select("doc_id").collect()}
+    assert len(alone & both) < 5
+    # A passage of two documents still goes from the second one, where the rest is its own.
+    rng = np.random.default_rng(0)
+    passage, own = " ".join(f"p{i}" for i in range(60)), [" ".join(f"v{x}" for x in rng.integers(0, 9999, 150)) for _ in range(2)]
+    out = {r.doc_id: r.text for r in drop_lines(spark.createDataFrame([(1, own[0] + "\n" + passage), (2, own[1] + "\n" + passage)], "doc_id long, text string")).collect()}
+    assert out == {1: own[0] + "\n" + passage, 2: own[1]}
+
+
 def test_run_matches_plain_stages(spark, sf, monkeypatch):
     seen, write = {}, corpus_pipeline.materialize
 
