@@ -118,12 +118,23 @@ class Reached:
         """The first boundary whose map holds each hash; ``_NEVER`` if none does."""
         found = np.full(len(hashes), _NEVER, np.int32)
         for boundary, bits in reversed(self.maps):
-            there = np.ones(len(hashes), bool)
-            for at in places(hashes, len(bits) * 64):
-                there &= (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-            found[there] = boundary
+            found[_held(bits, hashes)] = boundary
         return found
 
+    def ever(self, hashes: np.ndarray) -> np.ndarray:
+        """Whether any map may hold each hash: all maps, folded to the size of the smallest, in one."""
+        if not self.maps:
+            return np.zeros(len(hashes), bool)
+        size = min(len(bits) for _, bits in self.maps)
+        return _held(np.bitwise_or.reduce(np.vstack([bits.reshape(-1, size) for _, bits in self.maps])), hashes)
+
+
+def _held(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    there = np.ones(len(hashes), bool)
+    for at in places(hashes, len(bits) * 64):
+        there &= (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    return there
+
 
 def places(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """The two bits of each hash in a map of ``size`` bits, a power of 2."""
@@ -154,6 +165,12 @@ def count_phrases(lang: str, words: pa.Array, codes: np.ndarray, reached: Reache
         place = np.flatnonzero((a >= 0) & (b >= 0))
         start = np.maximum(since[a[place]], since[b[place]])
         place, start = place[start <= step], start[start <= step]
+        # What has seen its full cycle matters only where longer phrases may grow from it.
+        seen = np.flatnonzero(start <= step - cfg.shards)
+        if len(seen):
+            stay = np.ones(len(place), bool)
+            stay[seen] = reached.ever(longer_hashes(hashes[rank[place[seen]]], of_word[codes[place[seen] + length - 1]]))
+            place, start = place[stay], start[stay]
         if not len(place):
             return
         key = a[place] * len(words) + codes[place + length - 1]
@@ -220,8 +237,8 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def bit_map(phrases: DataFrame, n: int, cfg: Phrases) -> np.ndarray:
-    """The bit map of ``phrases (lang, phrase)``, 16 bits for each of ``n`` but never more than ``cfg`` allows."""
-    size = 1 << min(cfg.map_bits, max(10, (16 * n).bit_length()))
+    """The bit map of ``phrases (lang, phrase)``: 2^20 bits, 16 for each of ``n`` if they are many, never more than ``cfg`` allows."""
+    size = 1 << min(cfg.map_bits, max(20, (16 * n).bit_length()))
     h = F.col("h")
     both = F.array(*[x.bitwiseAND(F.lit(size - 1).cast("long")) for x in (h, F.shiftrightunsigned(h, 32))])
     bits = phrases.select("lang", "phrase").mapInArrow(_hashed, "h long").select(F.explode(both).alias("at"))
@@ -249,10 +266,11 @@ def frequent_phrases(chunks: DataFrame, cfg: Phrases) -> tuple[DataFrame, list[D
         boundary = step + 1
         done = F.col("started") + cfg.shards <= boundary
         enough = F.col("n") >= cfg.least
-        rows = rows.withColumn("reached", F.when(F.col("reached").isNull() & enough, F.lit(boundary)).otherwise(F.col("reached")))
+        first = F.col("reached").isNull() & enough
+        rows = rows.withColumns({"reached": F.when(first, F.lit(boundary)).otherwise(F.col("reached")), "grows": first & (_n_words(F.col("phrase")) < cfg.longest)})
         table = materialize(rows.filter(enough | ~done), f"step-{step}")
         kept.append(table)
-        new = table.filter((F.col("reached") == boundary) & (_n_words(F.col("phrase")) < cfg.longest))
+        new = table.filter("grows")
         if n := new.count():
             reached.maps.append((boundary, bit_map(new, n, cfg)))
             end = max(end, boundary + cfg.shards)
@@ -261,7 +279,7 @@ def frequent_phrases(chunks: DataFrame, cfg: Phrases) -> tuple[DataFrame, list[D
             discard(kept.pop(-2))
         part = table.filter(done).select("lang", "phrase", "n")
         finished = part if step == cfg.shards - 1 else finished.unionByName(part) if step >= cfg.shards else None
-        live, step = table.filter(~done), boundary
+        live, step = table.filter(~done).drop("grows"), boundary
     return finished, kept
 
 

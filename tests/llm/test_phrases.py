@@ -56,7 +56,7 @@ def texts(seed, n):
     return rows + [("en", "one and the same text that stands here very often, word by word")] * 60 + [("de", None), ("de", ""), (None, " \n.")]
 
 
-@pytest.mark.parametrize("cfg", [Phrases(least=12, most=25, chunk_words=100), Phrases(least=5, longest=3, shards=3, chunk_words=50, scan_words=200, slice_bytes=40, map_bits=10), Phrases(least=9, shards=1)])
+@pytest.mark.parametrize("cfg", [Phrases(least=12, most=25, chunk_words=100), Phrases(least=5, longest=3, shards=3, chunk_words=50, scan_words=200, slice_bytes=40, map_bits=8), Phrases(least=9, shards=1)])
 def test_against_brute_force(spark, cfg):
     rows = texts(3, 300)
     docs = spark.createDataFrame(rows, "lang string, text string").withColumns({"n": F.lit("x"), "phrase": F.lit(1), "shard": F.lit(None).cast("int")})
