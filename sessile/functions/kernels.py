@@ -201,14 +201,54 @@ def outline(image: np.ndarray, low: int, high: int = 255) -> tuple[np.ndarray, n
 
 
 def greedy_path(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Order of points from the lowest (ties: leftmost), each time to the nearest one left (ties: lower, then more to the left)."""
+    """Order of points from the lowest (ties: leftmost), each time to the nearest one left (ties: lower, then more to the left).
+
+    Points lie in cells of about two; a search goes over rings of cells until
+    no farther one can hold a nearer point.  Where the next point is many rings
+    away, all points that are left are looked at in one go.
+    """
     by = np.lexsort((i, j))
-    xy = np.stack([i[by], j[by]], axis=1).astype(float)
-    left, at, order = np.ones(len(xy), dtype=bool), 0, []
-    for _ in range(len(xy)):
+    x, y, n = i[by].astype(float), j[by].astype(float), len(by)
+    if not n:
+        return by
+    size = max(1.0, float(np.sqrt(max(1.0, np.ptp(x)) * max(1.0, np.ptp(y)) * 2 / n)))
+    cx, cy = ((x - x.min()) // size).astype(int).tolist(), ((y - y.min()) // size).astype(int).tolist()
+    cells: dict[tuple[int, int], list[int]] = {}
+    for k in range(n):
+        cells.setdefault((cx[k], cy[k]), []).append(k)
+    rings = [[(0, 0)]] + [[(a, b) for a in range(-r, r + 1) for b in range(-r, r + 1) if max(abs(a), abs(b)) == r] for r in range(1, 7)]
+    xs, ys = x.tolist(), y.tolist()
+    low_x, low_y = float(x.min()), float(y.min())
+    rest, gone = np.arange(n), np.zeros(n, bool)
+    order, at = [], 0
+    for left in range(n - 1, -1, -1):
         order.append(at)
-        left[at] = False
-        at = int(np.where(left, ((xy - xy[at]) ** 2).sum(axis=1), np.inf).argmin())
+        gone[at] = True
+        here = cells[cx[at], cy[at]]
+        here.remove(at)
+        if not left:
+            break
+        px, py, col, row = xs[at], ys[at], cx[at], cy[at]
+        # From the point to the nearest side of its cell.
+        inner = min(px - low_x - col * size, (col + 1) * size - (px - low_x), py - low_y - row * size, (row + 1) * size - (py - low_y))
+        best, found, r = np.inf, -1, 0
+        for ring in rings:
+            # What lies in this ring is at least so far away.
+            if r and best < (inner + (r - 1) * size) ** 2:
+                break
+            for a, b in ring:
+                for k in cells.get((col + a, row + b), ()):
+                    d = (xs[k] - px) ** 2 + (ys[k] - py) ** 2
+                    if d < best or (d == best and k < found):
+                        best, found = d, k
+            r += 1
+        else:
+            if best >= (inner + (r - 1) * size) ** 2:
+                if 2 * left < len(rest):
+                    rest = rest[~gone[rest]]
+                d = np.where(gone[rest], np.inf, (x[rest] - px) ** 2 + (y[rest] - py) ** 2)
+                found = int(rest[d.argmin()])
+        at = found
     return by[np.array(order, dtype=int)]
 
 

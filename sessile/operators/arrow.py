@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -75,6 +76,27 @@ def rows_of(frames: DataFrame, kernel: Callable[..., tuple[np.ndarray, ...]], re
     return frames.select(*KEY, "px", "height", "width", *arguments).mapInArrow(run, shape)
 
 
+def of_points(points: DataFrame, kernel: Callable[..., tuple | None], returns: str, x: str = "i", y: str = "j") -> DataFrame:
+    """``run_id, frame_no`` and the columns ``returns``: what ``kernel(xs, ys)`` gives as a tuple for the points of each frame.
+
+    A frame's points come in no order; they are gathered once, and many frames
+    go to Python in a batch.  None gives nulls.
+    """
+    schema: StructType = _parse_datatype_string(returns)
+    names, kinds = schema.names, [to_arrow_type(f.dataType) for f in schema]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = np.cumsum(pc.list_value_length(batch["points"]).to_numpy())
+            xs, ys = (v.to_numpy(zero_copy_only=False) for v in pc.list_flatten(batch["points"]).flatten())
+            rows = [kernel(xs[a:b], ys[a:b]) or [None] * len(names) for a, b in zip(np.r_[0, ends[:-1]], ends, strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in KEY), *(pa.array([r[k] for r in rows], type=t) for k, t in enumerate(kinds))], names=[*KEY, *names])
+
+    shape = StructType([*(points.schema[c] for c in KEY), *schema])
+    packed = points.groupBy(*KEY).agg(F.collect_list(F.struct(F.col(x).alias("x"), F.col(y).alias("y"))).alias("points"))
+    return packed.mapInArrow(run, shape)
+
+
 def on_arrays(kernel: Callable[[np.ndarray], np.ndarray], profile: Column) -> Column:
     """An int of each array of numbers: ``kernel`` takes arrays of one length at a time, as rows, and gives -1 for null."""
 

@@ -1,83 +1,29 @@
-"""Horizontal and vertical centres of a drop from its edge points, as gaps and islands.
-
-Points are dealt by frame once; every window and aggregate below keeps to that.
-"""
+"""Horizontal and vertical centres of a drop, from its frame or from a table of its edge points."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
-
-FRAME = ["run_id", "frame_no"]
-
-
-def _sides(points: DataFrame) -> DataFrame:
-    """Points by frame, with ``left``: whether i is at most the mean i of the top row."""
-    frame = Window.partitionBy(*FRAME)
-    dealt = points.select(*FRAME, "i", "j").repartition(*FRAME).withColumn("top", F.max("j").over(frame))
-    mid = F.floor(F.avg(F.when(F.col("j") == F.col("top"), F.col("i"))).over(frame))
-    return dealt.withColumn("left", F.col("i") <= mid).drop("top")
-
+import numpy as np
+from pyspark.sql import DataFrame
 
-def _extremes(points: DataFrame, part: list[str], line: str, value: str, down: Column, beyond: Column, carry: list[str]) -> DataFrame:
-    """Of each line in each part, where the values that follow without a hole end: column ``end``.
+from sessile.functions import contour, kernels
+from sessile.operators.arrow import KEY, of_points, with_kernel
 
-    They start at the greatest value and go down, or at the least and go up.
-    Distinct values ranked from the start meet the first hole at the least rank
-    k whose value isn't k away from the start; a hole gives its value plus
-    ``beyond``, none the start itself.
-    """
-    key = [*FRAME, *part, line]
-    order = Window.partitionBy(*key).orderBy(F.when(down, -F.col(value)).otherwise(F.col(value)))
-    distinct = points.groupBy(*key, value).agg(*[F.first(c).alias(c) for c in carry])
-    ranked = distinct.withColumns({"k": F.row_number().over(order) - 1, "start": F.first(value).over(order)})
-    due = F.when(down, F.col("start") - F.col("k")).otherwise(F.col("start") + F.col("k"))
-    hole = F.min(F.when(F.col(value) != due, F.col("k")))
-    out = ranked.groupBy(*key).agg(hole.alias("k"), F.first("start").alias("start"), *[F.first(c).alias(c) for c in carry])
-    at = F.when(down, F.col("start") - F.col("k")).otherwise(F.col("start") + F.col("k"))
-    return out.withColumn("end", F.coalesce(at + beyond, F.col("start")).cast("double")).drop("k", "start")
 
-
-def _weighted(rows: DataFrame, a: Column, b: Column, use: Column, name: str) -> DataFrame:
-    """Mean of the middles of a and b, weighted by their distance, of the rows to ``use``; 0 without any weight."""
-    weight = F.when(use, F.abs(a - b))
-    total = F.sum(weight)
-    return rows.groupBy(*FRAME).agg(F.when(total > 0, F.sum(weight * (a + b) / 2) / total).otherwise(0.0).alias(name))
+def horizontal_center(points: DataFrame, margin: int = 4) -> DataFrame:
+    """``run_id, frame_no, h_center`` by ``contour.horizontal_center``."""
+    return of_points(points, lambda i, j: (contour.horizontal_center(i, j, margin),), "h_center double")
 
 
-def horizontal_center(points: DataFrame, margin: int = 4) -> DataFrame:
-    """``run_id, frame_no, h_center``: mean of the middles of the rows, weighted by their widths; 0 without any.
+def vertical_center(points: DataFrame, margin: int = 4) -> DataFrame:
+    """``run_id, frame_no, v_center`` by ``contour.vertical_center``."""
+    return of_points(points, lambda i, j: (contour.vertical_center(i, j, margin),), "v_center double")
 
-    Rows go from 0 to ``margin`` below the top of the left side.  A left
-    extreme starts at the row's greatest i of that side and a hole gives the
-    position before it; a right one mirrors that.
-    """
-    left = F.col("left")
-    sided = _sides(points).withColumn("last", F.max(F.when(left, F.col("j"))).over(Window.partitionBy(*FRAME)) - margin)
-    ends = _extremes(sided, ["left"], "j", "i", left, F.when(left, -1).otherwise(1), ["last"])
-    rows = ends.groupBy(*FRAME, "j").agg(F.max(F.when(left, F.col("end"))).alias("l"), F.max(F.when(~left, F.col("end"))).alias("r"), F.first("last").alias("last"))
-    return _weighted(rows, F.col("r"), F.col("l"), F.col("l").isNotNull() & F.col("r").isNotNull() & F.col("j").between(F.lit(0), F.col("last")), "h_center")
 
+def frame_centers(frames: DataFrame, low: int = 40, high: int = 255, margin: int = 4) -> DataFrame:
+    """``run_id, frame_no, h_center, v_center`` of frames, without a table of points; null where a frame has no outline."""
 
-def vertical_center(points: DataFrame, margin: int = 4) -> DataFrame:
-    """``run_id, frame_no, v_center``: mean of the middles of the columns, weighted by their heights; 0 without any.
+    def kernel(a: np.ndarray) -> tuple:
+        i, j = kernels.outline(a, low, high)
+        return contour.horizontal_center(i, j, margin), contour.vertical_center(i, j, margin)
 
-    Each side splits at its outermost point into an upper and a lower part.
-    Columns below the overhang lie between both parts, the others between the
-    upper part and the ground.
-    """
-    left, up, i = F.col("left"), F.col("up"), F.col("i")
-    side, frame = Window.partitionBy(*FRAME, "left"), Window.partitionBy(*FRAME)
-    sided = _sides(points).withColumn("outer", F.when(left, F.min("i").over(side)).otherwise(F.max("i").over(side)))
-    turn = F.floor(F.avg(F.when(i == F.col("outer"), F.col("j"))).over(side))
-    parts = sided.withColumn("up", F.col("j") > turn).drop("outer")
-    limits = {
-        f"{f.__name__}_{side_}{part_}": f(F.when((left if side_ == "l" else ~left) & (up if part_ == "u" else ~up), i)).over(frame)
-        for f, side_, part_ in ((F.min, "l", "d"), (F.max, "l", "d"), (F.max, "l", "u"), (F.min, "r", "d"), (F.max, "r", "d"), (F.min, "r", "u"))
-    }
-    ends = _extremes(parts.withColumns(limits), ["left", "up"], "i", "j", ~up, F.when(up, -1).otherwise(1), list(limits))
-    rows = ends.groupBy(*FRAME, "left", "i").agg(F.max(F.when(up, F.col("end"))).alias("above"), F.max(F.when(~up, F.col("end"))).alias("below"), *[F.first(c).alias(c) for c in limits])
-    between = F.when(left, (i >= F.col("min_ld") + margin) & (i < F.col("max_ld"))).otherwise((i >= F.col("min_rd")) & (i < F.col("max_rd") - margin)) & F.col("below").isNotNull()
-    ground = F.when(left, (i >= F.col("max_ld")) & (i < F.col("max_lu"))).otherwise((i >= F.col("min_ru")) & (i < F.col("min_rd")))
-    under = F.when(between, F.col("below")).when(ground, 0.0)
-    return _weighted(rows, F.col("above"), under, F.col("above").isNotNull() & under.isNotNull(), "v_center")
+    return with_kernel(frames, kernel, "h_center double, v_center double", keep=KEY)

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessile.functions import kernels
-from sessile.operators.arrow import rows_of
+from sessile.operators.arrow import of_points, rows_of
 
 
 def edge_points(frames: DataFrame, low: int = 40, high: int = 255) -> DataFrame:
@@ -36,19 +35,18 @@ def by_distance(points: DataFrame, ox: int = 0, oy: int = 0) -> DataFrame:
     return points.withColumn("d2", d2.cast("long")).withColumn("ord", F.row_number().over(Window.partitionBy("run_id", "frame_no").orderBy("d2", "i", "j")) - 1)
 
 
-def _path(pdf: pd.DataFrame) -> pd.DataFrame:
-    order = kernels.greedy_path(pdf["i"].to_numpy(), pdf["j"].to_numpy())
-    return pdf.iloc[order].assign(ord=np.arange(len(pdf), dtype=np.int32))[["run_id", "frame_no", "ord", "i", "j"]]
-
-
 def nearest_path(points: DataFrame) -> DataFrame:
     """Points in path order: from the lowest, each time to the nearest one left (ties: lower, then more to the left).
 
     Sequential within a frame, whose edge has some thousand points; parallel over frames.
     """
-    types = dict(points.dtypes)
-    schema = f"run_id {types['run_id']}, frame_no {types['frame_no']}, ord int, i int, j int"
-    return points.select("run_id", "frame_no", "i", "j").groupBy("run_id", "frame_no").applyInPandas(_path, schema)
+
+    def kernel(i: np.ndarray, j: np.ndarray) -> tuple:
+        order = kernels.greedy_path(i, j)
+        return ([{"i": int(a), "j": int(b)} for a, b in zip(i[order], j[order], strict=True)],)
+
+    found = of_points(points, kernel, "path array<struct<i int, j int>>")
+    return found.select("run_id", "frame_no", F.posexplode("path").alias("ord", "p")).select("run_id", "frame_no", "ord", "p.i", "p.j")
 
 
 def ordered_edges(frames: DataFrame, margin: int = 9, low: int = 10, size: int = 5) -> DataFrame:

@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sessile.functions import contour, kernels
 from sessile.functions.columns import advancing_angle, middle_angle, receding_angle
+from sessile.operators.arrow import of_points, with_kernel
 
 FRAME = ["run_id", "frame_no"]
 
@@ -43,25 +44,20 @@ def parabola_fit(points: DataFrame, x: str, y: str, key: list[str] = FRAME) -> D
     )
 
 
-def _sampled(degree: int, n: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, y = pdf["x"].to_numpy(float), pdf["y"].to_numpy(float)
-        key = pdf[FRAME].iloc[:1]
+def polynomial_fit(points: DataFrame, x: str, y: str, degree: int = 3, n: int = 100) -> DataFrame:
+    """``run_id, frame_no, coef, xs, ys``: a fit of any degree around the mean of x, and n samples over the range of x; null for too few distinct x."""
+
+    def kernel(x: np.ndarray, y: np.ndarray) -> tuple | None:
+        order = np.lexsort((y, x))
+        x, y = x[order].astype(float), y[order].astype(float)
         if len(np.unique(x)) <= degree:
-            return key.assign(coef=[None], xs=[None], ys=[None])
+            return None
         shift = x.mean()
         coef = np.polyfit(x - shift, y, degree)
         xs = np.linspace(x.min(), x.max(), n)
-        return key.assign(coef=[coef], xs=[xs], ys=[np.polyval(coef, xs - shift)])
-
-    return run
+        return coef, xs, np.polyval(coef, xs - shift)
 
-
-def polynomial_fit(points: DataFrame, x: str, y: str, degree: int = 3, n: int = 100) -> DataFrame:
-    """``run_id, frame_no, coef, xs, ys``: a fit of any degree around the mean of x, and n samples over the range of x."""
-    types = dict(points.dtypes)
-    schema = f"run_id {types['run_id']}, frame_no {types['frame_no']}, coef array<double>, xs array<double>, ys array<double>"
-    return points.select(*FRAME, F.col(x).alias("x"), F.col(y).alias("y")).groupBy(*FRAME).applyInPandas(_sampled(degree, n), schema)
+    return of_points(points, kernel, "coef array<double>, xs array<double>, ys array<double>", x, y)
 
 
 def contact_angles(points: DataFrame, n: int) -> DataFrame:
@@ -83,9 +79,12 @@ def contact_angles(points: DataFrame, n: int) -> DataFrame:
 
 def middle_line(points: DataFrame) -> DataFrame:
     """``run_id, frame_no, slope, middle_angle_degree`` of the line through the middles of the rows of edge points."""
-    middles = points.groupBy(*FRAME, "j").agg(((F.min("i") + F.max("i")) / 2).alias("mean_i"))
-    slope = line_fit(middles, "mean_i", "j")
-    return slope.select(*FRAME, "slope", middle_angle(-F.col("slope"), F.lit(-1.0)).alias("middle_angle_degree"))
+    return with_middle_angle(of_points(points, lambda i, j: (contour.middle_slope(i, j),), "slope double"))
+
+
+def with_middle_angle(rows: DataFrame) -> DataFrame:
+    """Adds ``middle_angle_degree`` of the line's ``slope``."""
+    return rows.withColumn("middle_angle_degree", middle_angle(-F.col("slope"), F.lit(-1.0)))
 
 
 def extent(points: DataFrame, centers: DataFrame) -> DataFrame:
@@ -157,14 +156,36 @@ def measure(i: np.ndarray, j: np.ndarray, cfg: TwoPass = TwoPass()) -> list[floa
     return [out[0][0], out[1][0], out[0][1], out[1][1]]
 
 
+#: What ``measure`` gives.
+MEASURED = ("adv", "rec", "left_point", "right_point")
+
+
+def _measured(i: np.ndarray, j: np.ndarray, cfg: TwoPass) -> list[float | None]:
+    return [None if np.isnan(v) else v for v in measure(i.astype(float), j.astype(float), cfg)]
+
+
 def two_pass(points: DataFrame, cfg: TwoPass = TwoPass()) -> DataFrame:
     """``run_id, frame_no, adv, rec, left_point, right_point``: angles and contact points of two passes of fits; null where a fit fails."""
-    names = ["adv", "rec", "left_point", "right_point"]
+    return of_points(points, lambda i, j: _measured(i, j, cfg), ", ".join(f"{n} double" for n in MEASURED))
+
+
+def frame_measures(frames: DataFrame, low: int, high: int, margin: int, cfg: TwoPass = TwoPass(), keep: list[str] | None = None) -> DataFrame:
+    """From pixels to adv, rec, both contact points, both centres and the slope of the middle line, in one kernel.
+
+    Columns of ``keep`` stay (by default run and frame).  Nothing but these
+    numbers leaves the kernel; a frame without an outline has nulls alone.
+    """
+
+    def kernel(a: np.ndarray) -> tuple | None:
+        i, j = kernels.outline(a, low, high)
+        if not len(i):
+            return None
+        return (*_measured(i, j, cfg), contour.horizontal_center(i, j, margin), contour.vertical_center(i, j, margin), contour.middle_slope(i, j))
+
+    names = [*MEASURED, "h_center", "v_center", "slope"]
+    return with_middle_angle(with_kernel(frames, kernel, ", ".join(f"{n} double" for n in names), keep=keep or FRAME))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = measure(pdf["i"].to_numpy(float), pdf["j"].to_numpy(float), cfg)
-        return pdf[FRAME].iloc[:1].assign(**{n: [None if np.isnan(v) else v] for n, v in zip(names, found, strict=True)})
 
-    types = dict(points.dtypes)
-    schema = ", ".join([*(f"{c} {types[c]}" for c in FRAME), *(f"{n} double" for n in names)])
-    return points.select(*FRAME, "i", "j").groupBy(*FRAME).applyInPandas(run, schema)
+def frame_angles(frames: DataFrame, low: int, high: int, cfg: TwoPass = TwoPass()) -> DataFrame:
+    """``two_pass`` from pixels, without a table of points."""
+    return with_kernel(frames, lambda a: _measured(*kernels.outline(a, low, high), cfg), ", ".join(f"{n} double" for n in MEASURED), keep=FRAME)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessile.config import Settings
-from sessile.operators import centers, detect, edges, fit, images, kinematics, prune, scan
+from sessile.operators import detect, fit, images, kinematics, prune, scan
 from sessile.operators.arrow import KEY
 from sessile.storage import discard, materialize
 
@@ -57,9 +57,7 @@ def measured(frames: DataFrame, low: int, high: int, margin: int, cfg: Settings
 
     ``frames`` has run_id, frame_no, width, height, px and the left bound x1.
     """
-    points = materialize(edges.edge_points(frames, low, high), "points")
-    found = fit.two_pass(points, fits).join(centers.horizontal_center(points, margin), KEY).join(centers.vertical_center(points, margin), KEY).join(fit.middle_line(points).drop("slope"), KEY)
-    rows = frames.select(*KEY, "x1").join(found, KEY, "left")
+    rows = fit.frame_measures(frames, low, high, margin, fits, [*KEY, "x1"]).drop("slope")
     error = F.when(F.col("h_center").isNull(), "NoEdge").when(F.col("adv").isNull() | F.col("rec").isNull(), "NoContactLine")
     said = F.when(F.col("h_center").isNull(), "no pixel above the threshold").otherwise("too few distinct edge points near a contact")
     # The centre counts from the frame's left end, not the crop's.

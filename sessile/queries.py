@@ -677,12 +677,12 @@ vc AS (SELECT run_id, frame_no, CASE WHEN w > 0 THEN s / w ELSE 0.0 END AS v_cen
 
 @query(f"WITH {FRAMES_SQL}, {POINTS}, {H_SQL} SELECT run_id, frame_no, round(h_center, 4) AS h_center FROM hc")
 def m8_hcenter(spark: SparkSession, sf: str) -> DataFrame:
-    return centers.horizontal_center(points(spark, sf), 1).select("run_id", "frame_no", F.round("h_center", 4).alias("h_center"))
+    return centers.frame_centers(frames(spark, sf), 110, 255, 1).filter("h_center is not null").select("run_id", "frame_no", F.round("h_center", 4).alias("h_center"))
 
 
 @query(f"WITH {FRAMES_SQL}, {POINTS}, {SIDES_SQL}, {V_SQL} SELECT run_id, frame_no, round(v_center, 4) AS v_center FROM vc")
 def m9_vcenter(spark: SparkSession, sf: str) -> DataFrame:
-    return centers.vertical_center(points(spark, sf), 1).select("run_id", "frame_no", F.round("v_center", 4).alias("v_center"))
+    return centers.frame_centers(frames(spark, sf), 110, 255, 1).filter("v_center is not null").select("run_id", "frame_no", F.round("v_center", 4).alias("v_center"))
 
 
 @query(f"""WITH {TRACK_SQL}, c AS (SELECT event_id, x1, CAST(x1 AS DOUBLE) AS left_point, CAST(x2 AS DOUBLE) AS right_point, x_center AS h_center, x_center / 2 AS v_center, 0.0039062::DOUBLE / 3 AS u FROM t)
@@ -743,7 +743,7 @@ def _two_pass_sql() -> str:
 
 @query(f"WITH {FRAMES_SQL}, {POINTS}, {_two_pass_sql()} SELECT run_id, frame_no, round(adv, 4) AS adv, round(rec, 4) AS rec, round(left_point, 4) + 0.0 AS left_point, round(right_point, 4) + 0.0 AS right_point FROM angles")
 def m6_two_pass(spark: SparkSession, sf: str) -> DataFrame:
-    out = fit.two_pass(points(spark, sf), LINES)
+    out = fit.frame_angles(frames(spark, sf), 110, 255, LINES)
     return out.select("run_id", "frame_no", *[(F.round(c, 4) + 0.0).alias(c) for c in ("adv", "rec", "left_point", "right_point")])
 
 
