@@ -10,14 +10,21 @@ def _first_holes(line: np.ndarray, value: np.ndarray, beyond: int) -> tuple[np.n
     least one where none is missing."""
     if not len(line):
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    low, span = int(value.min()), int(value.max() - value.min()) + 1
-    code = np.unique((line - line.min()) * span + value - low)
-    at, value = code // span + line.min(), code % span + low
-    starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    size = np.diff(np.r_[starts, len(at)])
-    k, first = np.arange(len(at)) - np.repeat(starts, size), value[starts]
-    hole = np.minimum.reduceat(np.where(value != np.repeat(first, size) + k, k, len(at)), starts)
-    return at[starts], np.where(hole < len(at), first + hole + beyond, first)
+    base, low = int(line.min()), int(value.min())
+    span = int(value.max()) - low + 1
+    code = (line - base) * span + (value - low)
+    code.sort()
+    code = code[np.concatenate([[True], code[1:] != code[:-1]])]
+    at = code // span
+    starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    value = code - at * span
+    # Along a line without holes a value less its rank stays what it is at first.
+    ahead = value - np.arange(len(at))
+    whole = ahead[starts]
+    own = np.concatenate([starts[1:], [len(at)]]) - starts
+    k = np.where(ahead != np.repeat(whole, own), np.arange(len(at)) - np.repeat(starts, own), len(at))
+    hole, first = np.minimum.reduceat(k, starts), value[starts] + low
+    return at[starts] + base, np.where(hole < len(at), first + hole + beyond, first)
 
 
 def _weighted(a: np.ndarray, b: np.ndarray) -> float:
@@ -43,9 +50,12 @@ def horizontal_center(i: np.ndarray, j: np.ndarray, margin: int = 4) -> float |
     i, j = i.astype(np.int64), j.astype(np.int64)
     left = _left(i, j)
     (rows_l, ends_l), (rows_r, ends_r) = _first_holes(j[left], -i[left], 1), _first_holes(j[~left], i[~left], 1)
-    rows, at_l, at_r = np.intersect1d(rows_l, rows_r, assume_unique=True, return_indices=True)
-    use = (rows >= 0) & (rows <= j[left].max() - margin)
-    return _weighted(ends_r[at_r][use], -ends_l[at_l][use])
+    use = (rows_l >= 0) & (rows_l <= rows_l[-1] - margin)
+    if not len(rows_r):
+        return 0.0
+    at = np.minimum(np.searchsorted(rows_r, rows_l), len(rows_r) - 1)
+    use &= rows_r[at] == rows_l
+    return _weighted(ends_r[at][use], -ends_l[use])
 
 
 def vertical_center(i: np.ndarray, j: np.ndarray, margin: int = 4) -> float | None:

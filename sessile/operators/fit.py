@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import atan, degrees
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -117,41 +118,36 @@ class TwoPass:
     windows: tuple[tuple[float | None, int, int], ...] = WINDOWS
 
 
-def sampled_fit(x: np.ndarray, y: np.ndarray, degree: int, n: int) -> tuple[np.ndarray, np.ndarray] | None:
-    """``n`` places over the range of x and the polynomial there; None for too few distinct x."""
-    if len(np.unique(x)) <= degree or n < 2:
+def contact(i: np.ndarray, j: np.ndarray, left: bool, degree: int) -> tuple[float, float] | None:
+    """Angle and place at one contact: a polynomial gives i as a function of j over the points near it, and its first
+    two of as many samples as there are points give the angle; None for too few distinct j."""
+    n = len(j)
+    if n < 2 or len(set(j.tolist())) <= degree:
         return None
-    shift, span = x.mean(), max(x.max() - x.min(), 1e-12)
-    xs = np.linspace(x.min(), x.max(), n)
-    return xs, np.polyval(np.polyfit((x - shift) / span, y, degree), (xs - shift) / span)
-
-
-def _near(i: np.ndarray, j: np.ndarray, left: bool, n: int) -> tuple[np.ndarray, np.ndarray]:
-    d = (i - (i.min() if left else i.max())) ** 2 + j**2
-    at = np.lexsort((j, i, d))[:n]
-    return i[at], j[at]
-
-
-def contact(i: np.ndarray, j: np.ndarray, left: bool, points: int, degree: int) -> tuple[float, float] | None:
-    """Angle and place at one contact: i as a function of j near it, by the first two samples of the fit."""
-    near_i, near_j = _near(i, j, left, points)
-    fit = sampled_fit(near_j, near_i, degree, points)
-    if fit is None:
-        return None
-    js, is_ = fit
-    turn = float(np.degrees(np.arctan((is_[1] - is_[0]) / (js[1] - js[0]))))
-    return (90 - turn if left else 90 + turn), float(is_[0])
+    low, high = float(j.min()), float(j.max())
+    # Within -1 to 1 the normal equations of low degrees are well conditioned.
+    half = (high - low) / 2 or 1.0
+    x = (j - (low + high) / 2) / half
+    powers = x[:, None] ** np.arange(degree + 1)
+    coef = np.linalg.solve(powers.T @ powers, powers.T @ i)
+    step = (high - low) / (n - 1)
+    first, second = (sum(float(c) * at**k for k, c in enumerate(coef)) for at in (-1.0, -1.0 + step / half))
+    turn = degrees(atan((second - first) / step))
+    return (90 - turn if left else 90 + turn), first
 
 
 def measure(i: np.ndarray, j: np.ndarray, cfg: TwoPass = TwoPass()) -> list[float]:
     """adv, rec, left_point, right_point: the first pass chooses the second one's points and degree by its angle; NaN where a fit fails."""
     out = []
     for left, (points, degree) in ((True, cfg.left), (False, cfg.right)):
-        rough = contact(i, j, left, points, degree) if len(i) else None
         final = None
-        if rough is not None:
-            points, degree = next((p, d) for limit, p, d in cfg.windows if limit is None or rough[0] <= limit)
-            final = contact(i, j, left, points, degree)
+        if len(i):
+            # Both passes take their points from one order, nearest first.
+            by = np.lexsort((j, i, (i - (i.min() if left else i.max())) ** 2 + j**2))
+            rough = contact(i[by[:points]], j[by[:points]], left, degree)
+            if rough is not None:
+                points, degree = next((p, d) for limit, p, d in cfg.windows if limit is None or rough[0] <= limit)
+                final = contact(i[by[:points]], j[by[:points]], left, degree)
         out.append(final or (np.nan, np.nan))
     return [out[0][0], out[1][0], out[0][1], out[1][1]]
 
