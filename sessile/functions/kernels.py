@@ -6,6 +6,8 @@ blur, and white for warps.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 
 
@@ -264,57 +266,74 @@ def unified(image: np.ndarray, target: int, bottom: int, pad_bottom: int = 5) ->
     return np.pad(np.pad(keep, ((max(0, target - 1 - len(keep)), 0), (0, 0)), constant_values=255), ((0, pad_bottom), (0, 0)))
 
 
-def surface_height(image: np.ndarray, seed: int, above: int = 10, residual: float = 2.0, trials: int = 1000) -> int | None:
-    """``above`` rows over the middle of the line through the edges of a frame; None without one."""
+def surface_height(image: np.ndarray, degrees: float, center: tuple[float, float], seed: int, above: int = 10, residual: float = 2.0, trials: int = 1000) -> int | None:
+    """``above`` rows over the middle of the line through the edges of a frame turned about ``center``; None without one.
+
+    The edges are those of the frame as it is; their places are turned, not its pixels.
+    """
     y, x = np.nonzero(edges(image))
-    line = ransac_line(y.astype(float), x.astype(float), seed, residual, trials)
+    t, dx, dy = np.deg2rad(degrees), x - float(center[0]), y - float(center[1])
+    x, y = center[0] + np.cos(t) * dx + np.sin(t) * dy, center[1] - np.sin(t) * dx + np.cos(t) * dy
+    line = ransac_line(y, x, seed, residual, trials)
     if line is None:
         return None
     ends = line[1] + line[0] * float(x.min()), line[1] + line[0] * float(x.max())
     return int((ends[0] + ends[1]) // 2) - above
 
 
-def rotated(image: np.ndarray, degrees: float, center: tuple[float, float]) -> np.ndarray:
-    """Rotation about (x, y), counter-clockwise for positive angles, bilinear."""
-    t, (h, w) = np.deg2rad(degrees), image.shape
+@lru_cache(maxsize=4)
+def _turn(degrees: float, center: tuple[float, float], shape: tuple[int, int]) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+    """Where each pixel of a turned frame comes from in the frame with a rim, and the weights of the four pixels there.
+
+    A run is turned by one angle, so that this is computed once for it.
+    """
+    t, (h, w) = np.deg2rad(degrees), shape
     dx, dy = np.arange(w) - center[0], (np.arange(h) - center[1])[:, None]
-    padded = np.pad(image, 1, constant_values=255).ravel()
     sx = np.clip(center[0] + np.cos(t) * dx - np.sin(t) * dy + 1, 0, w + 0.999)
     sy = np.clip(center[1] + np.sin(t) * dx + np.cos(t) * dy + 1, 0, h + 0.999)
     x0, y0 = sx.astype(np.int32), sy.astype(np.int32)
-    fx, fy, at = sx - x0, sy - y0, y0 * np.int32(w + 2) + x0
-    top = padded[at] * (1 - fx) + padded[at + 1] * fx
-    low = padded[at + (w + 2)] * (1 - fx) + padded[at + (w + 3)] * fx
-    return (top + (low - top) * fy + 0.5).astype(np.uint8)
+    fx, fy = sx - x0, sy - y0
+    weights = (1 - fx) * (1 - fy), fx * (1 - fy), (1 - fx) * fy, fx * fy
+    return y0 * np.int32(w + 2) + x0, tuple(v.astype(np.float32) for v in weights)
+
+
+def rotated(image: np.ndarray, degrees: float, center: tuple[float, float]) -> np.ndarray:
+    """Rotation about (x, y), counter-clockwise for positive angles, bilinear."""
+    at, weights = _turn(float(degrees), (float(center[0]), float(center[1])), image.shape)
+    padded, wide = np.pad(image, 1, constant_values=255).ravel(), image.shape[1] + 2
+    out = np.full(image.shape, 0.5, np.float32)
+    for shift, weight in zip((0, 1, wide, wide + 1), weights, strict=True):
+        out += padded[shift:].take(at) * weight
+    return out.astype(np.uint8)
 
 
 def edges(image: np.ndarray, low: float = 50, high: float = 150) -> np.ndarray:
     """Thin edges: gradient maxima above ``low`` that are connected to one above ``high``."""
-    p = np.pad(image.astype(np.int32), 1, mode="edge")
-    d = lambda dy, dx: p[1 + dy : p.shape[0] - 1 + dy, 1 + dx : p.shape[1] - 1 + dx]
-    gx = (d(-1, 1) + 2 * d(0, 1) + d(1, 1)) - (d(-1, -1) + 2 * d(0, -1) + d(1, -1))
-    gy = (d(1, -1) + 2 * d(1, 0) + d(1, 1)) - (d(-1, -1) + 2 * d(-1, 0) + d(-1, 1))
+    p = np.pad(image.astype(np.int16), 1, mode="edge")
+    down, across = p[:-2] + 2 * p[1:-1] + p[2:], p[:, :-2] + 2 * p[:, 1:-1] + p[:, 2:]
+    gx, gy = down[:, 2:] - down[:, :-2], across[2:] - across[:-2]
     size = np.abs(gx) + np.abs(gy)
-    q = np.pad(size, 1)
     # Only gradients that are steep enough get a direction.
     y, x = np.nonzero(size > low)
-    here = size[y, x]
+    here, q = size[y, x], np.pad(size, 1)
     sector = np.round(np.arctan2(gy[y, x], gx[y, x]) / (np.pi / 4)).astype(int) % 4
     dy, dx = np.array([0, 1, 1, 1])[sector], np.array([1, 1, 0, -1])[sector]
     peak = (here > q[y + 1 - dy, x + 1 - dx]) & (here >= q[y + 1 + dy, x + 1 + dx])
-    weak = np.zeros(size.shape, dtype=bool)
-    weak[y[peak], x[peak]] = True
-    label = components(weak)
-    return weak & np.isin(label, np.unique(label[weak & (size > high)]))
-
-
-def components(mask: np.ndarray) -> np.ndarray:
-    """Labels from 1 of the 8-connected parts of a mask, 0 outside: the place of a part's last pixel."""
-    h, w = mask.shape
-    at = np.flatnonzero(mask)
-    place = np.full((h + 1, w + 2), -1)
-    place[:h, 1 : w + 1][mask] = np.arange(len(at))
+    at = y[peak] * image.shape[1] + x[peak]
+    label = _labels(at, image.shape)
+    strong = np.zeros(len(at), dtype=bool)
+    strong[label[here[peak] > high]] = True
+    found = np.zeros(image.shape, dtype=bool)
+    found.ravel()[at[strong[label]]] = True
+    return found
+
+
+def _labels(at: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+    """For each place (ascending) of a mask the number of the last one of its 8-connected part."""
+    h, w = shape
+    place = np.full((h + 1, w + 2), -1, np.int32)
     y, x = at // w, at % w + 1
+    place[y, x] = np.arange(len(at))
     pairs = [(np.flatnonzero(n >= 0), n[n >= 0]) for n in (place[y, x + 1], place[y + 1, x - 1], place[y + 1, x], place[y + 1, x + 1])]
     a, b = (np.concatenate(p) for p in zip(*pairs, strict=True))
     label = np.arange(len(at))
@@ -325,9 +344,15 @@ def components(mask: np.ndarray) -> np.ndarray:
         np.maximum.at(label, low[open_], high[open_])
         while (label[label] != label).any():
             label = label[label]
-    out = np.zeros(h * w, dtype=np.int64)
-    out[at] = at[label] + 1
-    return out.reshape(h, w)
+    return label
+
+
+def components(mask: np.ndarray) -> np.ndarray:
+    """Labels from 1 of the 8-connected parts of a mask, 0 outside: the place of a part's last pixel."""
+    at = np.flatnonzero(mask)
+    out = np.zeros(mask.size, dtype=np.int64)
+    out[at] = at[_labels(at, mask.shape)] + 1
+    return out.reshape(mask.shape)
 
 
 def largest_component(mask: np.ndarray, least: int = 1) -> np.ndarray:

@@ -129,8 +129,8 @@ def line_heights(frames: DataFrame, above: int = 10, residual: float = 2.0, tria
     """``run_id, frame_no, line_height`` of the surface in frames turned by ``angle`` about their middle, ``above`` rows over the line."""
 
     def kernel(a: np.ndarray, angle: float, seed: str) -> tuple:
-        turned = kernels.rotated(a, 0.0 if angle is None or angle != angle else angle, (a.shape[1] // 2, a.shape[0] // 2))
-        return (kernels.surface_height(turned, zlib.crc32(seed.encode()), above, residual, trials),)
+        turn = 0.0 if angle is None or angle != angle else angle
+        return (kernels.surface_height(a, turn, (a.shape[1] // 2, a.shape[0] // 2), zlib.crc32(seed.encode()), above, residual, trials),)
 
     return with_kernel(frames, kernel, "line_height int", "angle", _seed(), keep=KEY)
 
