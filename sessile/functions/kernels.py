@@ -273,12 +273,17 @@ def surface_height(image: np.ndarray, degrees: float, center: tuple[float, float
     """
     y, x = np.nonzero(edges(image))
     t, dx, dy = np.deg2rad(degrees), x - float(center[0]), y - float(center[1])
-    x, y = center[0] + np.cos(t) * dx + np.sin(t) * dy, center[1] - np.sin(t) * dx + np.cos(t) * dy
-    line = ransac_line(y, x, seed, residual, trials)
+    ends = line_ends(center[0] + np.cos(t) * dx + np.sin(t) * dy, center[1] - np.sin(t) * dx + np.cos(t) * dy, seed, residual, trials)
+    return None if ends is None else int((ends[1] + ends[3]) // 2) - above
+
+
+def line_ends(x: np.ndarray, y: np.ndarray, seed: int, residual: float, trials: int) -> tuple[float, float, float, float] | None:
+    """x and y of both ends of the line that most points are near to; None without one."""
+    line = ransac_line(y.astype(float), x.astype(float), seed, residual, trials)
     if line is None:
         return None
-    ends = line[1] + line[0] * float(x.min()), line[1] + line[0] * float(x.max())
-    return int((ends[0] + ends[1]) // 2) - above
+    low, high = float(x.min()), float(x.max())
+    return low, line[1] + line[0] * low, high, line[1] + line[0] * high
 
 
 @lru_cache(maxsize=4)

@@ -45,21 +45,22 @@ def steps(frames: DataFrame, left: str, right: str, steep: float, steep_wide: fl
     return frames.withColumns({c: v * scale for c, v in found.items()})
 
 
-def frame_steps(frames: DataFrame, steep: float = 0.0025, steep_wide: float = 0.005, sx: int = 1, sy: int = 2, size: int = 13, close_first: bool = True) -> DataFrame:
-    """``run_id, frame_no, near, far, end`` of every frame, from pixels to integers in one kernel.
+def steps_of(a: np.ndarray, steep: float, steep_wide: float, sx: int, sy: int, mask: np.ndarray, close_first: bool) -> tuple[int | None, int | None, int | None]:
+    """``near``, ``far`` and ``end`` of a frame, in pixels; None where there is no step.
 
-    The frame is closed, shrunk and summed; the left steps come from the
-    profile of the frame closed once more, the right one from the profile
+    The frame is closed, if asked, shrunk and summed; the left steps come from
+    the profile of the frame closed once more, the right one from the profile
     before that.
     """
-    mask = kernels.ellipse(size)
+    vv, mor = (v[None] for v in kernels.profiles(kernels.close(a, mask) if close_first else a, sx, sy, mask))
+    found = kernels.first_jump(mor, steep), kernels.first_jump(mor, steep_wide), kernels.last_jump(vv, steep)
+    return tuple(None if v[0] < 0 else int(v[0]) * sx for v in found)
 
-    def kernel(a: np.ndarray) -> tuple:
-        vv, mor = (v[None] for v in kernels.profiles(kernels.close(a, mask) if close_first else a, sx, sy, mask))
-        found = kernels.first_jump(mor, steep), kernels.first_jump(mor, steep_wide), kernels.last_jump(vv, steep)
-        return tuple(None if v[0] < 0 else int(v[0]) * sx for v in found)
 
-    return with_kernel(frames, kernel, "near int, far int, end int", keep=KEY)
+def frame_steps(frames: DataFrame, steep: float = 0.0025, steep_wide: float = 0.005, sx: int = 1, sy: int = 2, size: int = 13, close_first: bool = True) -> DataFrame:
+    """``run_id, frame_no, near, far, end`` of every frame (``steps_of``), from pixels to integers in one kernel."""
+    mask = kernels.ellipse(size)
+    return with_kernel(frames, lambda a: steps_of(a, steep, steep_wide, sx, sy, mask, close_first), "near int, far int, end int", keep=KEY)
 
 
 def guarded(width: Column | int) -> Column:
@@ -190,14 +191,15 @@ def adaptive_bounds(frames: DataFrame, profile: str, steep: float, steep_wide: f
     return carried_bounds(steps(frames, profile, right or profile, steep, steep_wide, scale), width, growth)
 
 
-def edge_guard(frames: DataFrame, rows: tuple[int, int] = (-25, -5), left: tuple[int, int] = (0, 40), right: tuple[int, int] = (-40, -1), least: float = 20.0, keep: list[str] | None = None) -> DataFrame:
-    """Adds ``clear``: neither border region is dark, that is, the drop touches no border. A region without pixels isn't dark."""
+def is_clear(a: np.ndarray, rows: tuple[int, int] = (-25, -5), left: tuple[int, int] = (0, 40), right: tuple[int, int] = (-40, -1), least: float = 20.0) -> bool:
+    """Whether neither border region is dark, that is, the drop touches no border. A region without pixels isn't dark."""
+    means = [kernels.region_mean(a, rows, c) for c in (left, right)]
+    return all(m is None or m >= least for m in means)
 
-    def kernel(a: np.ndarray) -> tuple:
-        means = [kernels.region_mean(a, rows, c) for c in (left, right)]
-        return (all(m is None or m >= least for m in means),)
 
-    return with_kernel(frames, kernel, "clear boolean", keep=keep)
+def edge_guard(frames: DataFrame, rows: tuple[int, int] = (-25, -5), left: tuple[int, int] = (0, 40), right: tuple[int, int] = (-40, -1), least: float = 20.0, keep: list[str] | None = None) -> DataFrame:
+    """Adds ``clear`` (``is_clear``)."""
+    return with_kernel(frames, lambda a: (is_clear(a, rows, left, right, least),), "clear boolean", keep=keep)
 
 
 class Detector(Protocol):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from math import atan, degrees
 
@@ -172,14 +173,24 @@ def frame_measures(frames: DataFrame, low: int, high: int, margin: int, cfg: Two
     numbers leaves the kernel; a frame without an outline has nulls alone.
     """
 
+    measured = outline_measures(low, high, margin, cfg)
+    return with_middle_angle(with_kernel(frames, measured, ", ".join(f"{n} double" for n in OUTLINE), keep=keep or FRAME))
+
+
+#: What ``outline_measures`` gives.
+OUTLINE = (*MEASURED, "h_center", "v_center", "slope")
+
+
+def outline_measures(low: int, high: int, margin: int, cfg: TwoPass) -> Callable[[np.ndarray], tuple | None]:
+    """What measures a frame; None without an outline."""
+
     def kernel(a: np.ndarray) -> tuple | None:
         i, j = kernels.outline(a, low, high)
         if not len(i):
             return None
         return (*_measured(i, j, cfg), contour.horizontal_center(i, j, margin), contour.vertical_center(i, j, margin), contour.middle_slope(i, j))
 
-    names = [*MEASURED, "h_center", "v_center", "slope"]
-    return with_middle_angle(with_kernel(frames, kernel, ", ".join(f"{n} double" for n in names), keep=keep or FRAME))
+    return kernel
 
 
 def frame_angles(frames: DataFrame, low: int, high: int, cfg: TwoPass = TwoPass()) -> DataFrame:

@@ -99,16 +99,33 @@ def linear(times: int = 3) -> Model:
     return lambda image: kernels.resized(np.floor(image * 255 + 0.5).astype(np.uint8), image.shape[0] * times, image.shape[1] * times) / 255.0
 
 
+def enlarger(times: int = 3, make: Callable[[], Model] | None = None) -> Callable[[np.ndarray], np.ndarray]:
+    """What enlarges frames by the model of ``make``, which is made once in each task, or by linear interpolation."""
+    model = _Once(make or (lambda: linear(times)))
+    return lambda a: enlarged(a, model)
+
+
 def upscaled(frames: DataFrame, times: int = 3, make: Callable[[], Model] | None = None, name: str = "network") -> DataFrame:
     """Frames enlarged ``times``, smoothed and closed; ``sr_model`` names the model of ``make``, or "linear" without one."""
-    model = _Once(make or (lambda: linear(times)))
-    return map_pixels(frames, lambda a: enlarged(a, model)).withColumn("sr_model", F.lit("linear" if make is None else name))
+    return map_pixels(frames, enlarger(times, make)).withColumn("sr_model", F.lit("linear" if make is None else name))
 
 
-def _seed(*key: str) -> F.Column:
+def seed(*key: str) -> F.Column:
     return F.concat_ws("/", *(key or KEY))
 
 
+def seed_number(key: str) -> int:
+    return zlib.crc32(key.encode())
+
+
+def surface_of(a: np.ndarray, seed: int, share: float, residual: float, trials: int) -> tuple[float, float] | None:
+    """Angle (degrees) and middle row of the line through the edges of the lowest ``share`` of rows."""
+    top = int(a.shape[0] * (1 - share))
+    y, x = np.nonzero(kernels.edges(kernels.blur(a[top:], 5)))
+    line = kernels.ransac_line(y.astype(float), x.astype(float), seed, residual, trials)
+    return None if line is None else (float(np.degrees(np.arctan(line[0]))), float(top + line[1] + line[0] * (x.min() + x.max()) / 2))
+
+
 def surface_line(frames: DataFrame, share: float = 0.3, residual: float = 1.0, trials: int = 5000, drop: tuple[str, ...] = ()) -> DataFrame:
     """Adds ``angle`` (degrees) and ``line_y`` of the surface, from a line through the edges of the lowest ``share`` of rows.
 
@@ -116,13 +133,7 @@ def surface_line(frames: DataFrame, share: float = 0.3, residual: float = 1.0, t
     there are no edges. Columns of ``drop`` don't come along.
     """
 
-    def kernel(a: np.ndarray, seed: str) -> tuple | None:
-        top = int(a.shape[0] * (1 - share))
-        y, x = np.nonzero(kernels.edges(kernels.blur(a[top:], 5)))
-        line = kernels.ransac_line(y.astype(float), x.astype(float), zlib.crc32(seed.encode()), residual, trials)
-        return None if line is None else (float(np.degrees(np.arctan(line[0]))), float(top + line[1] + line[0] * (x.min() + x.max()) / 2))
-
-    return with_kernel(frames, kernel, "angle double, line_y double", _seed(), keep=[c for c in frames.columns if c not in ("angle", "line_y", *drop)])
+    return with_kernel(frames, lambda a, seed: surface_of(a, seed_number(seed), share, residual, trials), "angle double, line_y double", seed(), keep=[c for c in frames.columns if c not in ("angle", "line_y", *drop)])
 
 
 def line_heights(frames: DataFrame, above: int = 10, residual: float = 2.0, trials: int = 1000) -> DataFrame:
@@ -130,9 +141,9 @@ def line_heights(frames: DataFrame, above: int = 10, residual: float = 2.0, tria
 
     def kernel(a: np.ndarray, angle: float, seed: str) -> tuple:
         turn = 0.0 if angle is None or angle != angle else angle
-        return (kernels.surface_height(a, turn, (a.shape[1] // 2, a.shape[0] // 2), zlib.crc32(seed.encode()), above, residual, trials),)
+        return (kernels.surface_height(a, turn, (a.shape[1] // 2, a.shape[0] // 2), seed_number(seed), above, residual, trials),)
 
-    return with_kernel(frames, kernel, "line_height int", "angle", _seed(), keep=KEY)
+    return with_kernel(frames, kernel, "line_height int", "angle", seed(), keep=KEY)
 
 
 def levelled(frames: DataFrame) -> DataFrame:
@@ -146,20 +157,19 @@ def run_baseline(heights: DataFrame, margin: int = 10) -> DataFrame:
     return heights.join(base, "run_id").withColumn("cut", F.col("baseline") + margin)
 
 
-def standing(frames: DataFrame, margin: int = 10, every: int = 50, least: int = 2) -> DataFrame:
-    """Frames turned by ``angle`` about (middle, ``baseline`` + margin), black from there on, the drop standing on five black rows.
-
-    A frame of a run without ``baseline`` stays as it is but for the black rows.
-    """
+def stood(a: np.ndarray, angle: float | None, baseline: float | None, margin: int = 10, every: int = 50, least: int = 2) -> np.ndarray:
+    """A frame turned by ``angle`` about (middle, ``baseline`` + margin), black from there on, the drop standing on five
+    black rows; without either it stays as it is but for the black rows."""
+    if angle == angle and angle is not None and baseline == baseline and baseline is not None:
+        cut = max(0, int(baseline) + margin)
+        a = kernels.rotated(a, angle, (a.shape[1] // 2, cut))
+        a[cut:] = 0
+    return kernels.unified(a, a.shape[0], kernels.bottom_row(a, every, least))
 
-    def kernel(a: np.ndarray, angle: float, baseline: float) -> np.ndarray:
-        if angle == angle and angle is not None and baseline == baseline and baseline is not None:
-            cut = max(0, int(baseline) + margin)
-            a = kernels.rotated(a, angle, (a.shape[1] // 2, cut)).copy()
-            a[cut:] = 0
-        return kernels.unified(a, a.shape[0], kernels.bottom_row(a, every, least))
 
-    return map_pixels(frames, kernel, "angle", "baseline")
+def standing(frames: DataFrame, margin: int = 10, every: int = 50, least: int = 2) -> DataFrame:
+    """Frames through ``stood`` with their columns ``angle`` and ``baseline``."""
+    return map_pixels(frames, lambda a, angle, baseline: stood(a, angle, baseline, margin, every, least), "angle", "baseline")
 
 
 def bottom_row(frames: DataFrame, every: int = 50, least: int = 2) -> DataFrame:
@@ -172,6 +182,16 @@ def unified(frames: DataFrame, target: int, pad_bottom: int = 5) -> DataFrame:
     return map_pixels(frames, lambda a, bottom: kernels.unified(a, target, int(bottom), pad_bottom), "bottom")
 
 
+def cut_out(a: np.ndarray, left: float | None, right: float | None, margin: int, bottom_rows: int) -> tuple[np.ndarray, int] | None:
+    """The inverted frame from ``margin`` pixels before ``left`` to as many beyond ``right``, without its lowest rows, and
+    where it starts; None where the bounds aren't in order."""
+    if left is None or right is None or not left < right:
+        return None
+    start = max(0, int(left) - margin)
+    cut = 255 - a[: a.shape[0] - bottom_rows, start : max(0, int(right) + margin)]
+    return (cut, start) if cut.size else None
+
+
 def cropped(frames: DataFrame, margin: int = 15, bottom_rows: int = 0) -> DataFrame:
     """Frames cut to ``margin`` pixels beyond ``endpoint`` and ``beginning``, clamped to the frame, inverted; adds their left end ``x1``.
 
@@ -180,11 +200,8 @@ def cropped(frames: DataFrame, margin: int = 15, bottom_rows: int = 0) -> DataFr
     """
 
     def kernel(a: np.ndarray, left: float, right: float) -> tuple | None:
-        if left is None or right is None or not left < right:
-            return None
-        start = max(0, int(left) - margin)
-        cut = 255 - a[: a.shape[0] - bottom_rows, start : max(0, int(right) + margin)]
-        return (*packed(cut), start) if cut.size else None
+        found = cut_out(a, left, right, margin, bottom_rows)
+        return None if found is None else (*packed(found[0]), found[1])
 
     return with_kernel(frames, kernel, f"{PIXELS}, x1 int", "endpoint", "beginning")
 

@@ -1,7 +1,8 @@
 """Dropping frames without a drop: by chunks, coarse to fine, and at both ends of a run.
 
-Only keys and places go through windows; frames are kept by a semi-join with
-the keys that stay.
+Frames that ``frame_no`` orders are kept by ranges of it (``operators.ranges``),
+so that pixels stay where they are.  Rows of another order, which hold no pixels,
+are kept by a semi-join with the keys that stay.
 """
 
 from __future__ import annotations
@@ -11,6 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sessile.operators import ranges
+from sessile.operators.arrow import KEY
+from sessile.storage import materialize
+
 
 def _placed(keys: DataFrame, skip: int, order: list[str]) -> DataFrame:
     """Keys with their place ``_n`` in the run, from 0, and its chunk."""
@@ -35,40 +40,51 @@ def prune_chunks(frames: DataFrame, skip: int, order: list[str], found: str = "f
 
     Places count the frames that are still there; ``run_id`` and ``order`` name a frame.
     """
-    keys = frames.select("run_id", *order, F.col(found).alias("_found"))
-    kept = _kept(_placed(keys, skip, order), skip).select("run_id", *order)
-    return frames.join(kept, ["run_id", *order], "left_semi")
+    return coarse_to_fine(frames, (skip,), order, found)
 
 
 def coarse_to_fine(frames: DataFrame, skips: tuple[int, ...], order: list[str], found: str = "found") -> DataFrame:
     """Chunk pruning with each of ``skips`` in turn, places counted anew."""
+    if order == ["frame_no"]:
+        kept = materialize(ranges.stretches(frames.select(*KEY)), "kept")
+        seen = frames.select(*KEY, F.coalesce(found, F.lit(False)).alias("found"))
+        for skip in skips:
+            kept = materialize(ranges.pruned(kept, skip, seen), "kept")
+        return ranges.within(frames, kept)
     keys = frames.select("run_id", *order, F.col(found).alias("_found"))
     for skip in skips:
         keys = _kept(_placed(keys, skip, order), skip).select("run_id", *order, "_found")
     return frames.join(keys, ["run_id", *order], "left_semi")
 
 
-def prune_detecting(frames: DataFrame, skip: int, detect: Callable[[DataFrame], DataFrame], order: list[str] | None = None) -> DataFrame:
-    """``prune_chunks`` where ``detect`` gives ``run_id, frame_no, found``: it sees the ends of whole chunks alone."""
-    order = order or ["frame_no"]
-    placed = _placed(frames.select("run_id", *order), skip, order)
-    whole = F.count("*").over(Window.partitionBy("run_id", "_chunk")) == skip
-    ends = placed.withColumn("_whole", whole).filter(F.col("_whole") & at_ends(skip, F.col("_n"))).select("run_id", *order)
-    found = detect(frames.join(ends, ["run_id", *order], "left_semi")).select("run_id", *order, F.col("found").alias("_found"))
-    kept = _kept(placed.join(found, ["run_id", *order], "left"), skip).select("run_id", *order)
-    return frames.join(kept, ["run_id", *order], "left_semi")
+def detected_ranges(frames: DataFrame, kept: DataFrame, skip: int, detect: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The ranges that stay of ``kept``; ``detect`` gives ``run_id, frame_no, found`` and sees the ends of whole chunks alone."""
+    ends = ranges.with_places(frames, kept).filter(ranges.at_chunk_ends(skip)).drop("_n", "_all")
+    return materialize(ranges.pruned(kept, skip, materialize(detect(ends).select(*KEY, "found"), "seen")), "kept")
+
+
+def prune_detecting(frames: DataFrame, skip: int, detect: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``prune_chunks`` where ``detect`` looks at the ends of whole chunks alone."""
+    return ranges.within(frames, detected_ranges(frames, materialize(ranges.stretches(frames.select(*KEY)), "kept"), skip, detect))
+
+
+def entered(found: DataFrame, order: list[str], right_most: int = 1200, left_least: int = 40) -> DataFrame:
+    """``run_id, head, tail``: the first row whose drop has come in (x2 < right_most) and the last before it goes (x1 > left_least)."""
+    at = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    head = F.min(F.when(F.col("found") & (F.col("x2") < right_most), at))
+    tail = F.max(F.when(F.col("found") & (F.col("x1") > left_least), at))
+    return found.groupBy("run_id").agg(head.alias("head"), tail.alias("tail"))
 
 
 def trim(frames: DataFrame, order: list[str], right_most: int = 1200, left_least: int = 40, found: DataFrame | None = None) -> DataFrame:
-    """Frames from the first whose drop has come in (x2 < right_most) to the last before it goes (x1 > left_least).
+    """Frames between ``entered``'s head and tail of their run; a run without such frames has none left.
 
     ``found`` has ``run_id``, the order columns, ``found``, ``x1`` and ``x2``, if
-    ``frames`` itself has not.  The place in the run is compared as a struct of
-    the order columns, so no run is sorted.  A run without such frames has none
-    left.
+    ``frames`` itself has not.  No run is sorted.
     """
+    ends = entered(frames if found is None else found, order, right_most, left_least)
+    if order == ["frame_no"]:
+        whole = ends.filter("head is not null and tail is not null").select("run_id", F.col("head").cast("long").alias("low"), F.col("tail").cast("long").alias("high"))
+        return ranges.within(frames, whole.filter("low <= high"))
     at = F.struct(*order)
-    head = F.min(F.when(F.col("found") & (F.col("x2") < right_most), at))
-    tail = F.max(F.when(F.col("found") & (F.col("x1") > left_least), at))
-    ends = (frames if found is None else found).groupBy("run_id").agg(head.alias("_head"), tail.alias("_tail"))
-    return frames.join(ends, "run_id").filter((at >= F.col("_head")) & (at <= F.col("_tail"))).drop("_head", "_tail")
+    return frames.join(ends, "run_id").filter((at >= F.col("head")) & (at <= F.col("tail"))).drop("head", "tail")
