@@ -8,11 +8,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+from sessile.storage import materialize
+
 KEY = ["run_id", "frame_no"]
 
 
@@ -76,6 +78,68 @@ def rows_of(frames: DataFrame, kernel: Callable[..., tuple[np.ndarray, ...]], re
     return frames.select(*KEY, "px", "height", "width", *arguments).mapInArrow(run, shape)
 
 
+def with_neighbours(frames: DataFrame, kernel: Callable, returns: str, *arguments: str | Column, keep: list[str], ahead: bool = False, block: int = 64, most: int = 1_000_000) -> DataFrame:
+    """The columns ``keep`` and those of ``returns``: what ``kernel(row, before, after, *arguments)`` gives as a tuple.
+
+    Each is ``(px, height, width)``; ``before`` is the run's previous frame by
+    number, ``after`` (only if ``ahead``) the next one, None at its ends.  A
+    run's frames are dealt to blocks of ``block`` numbers once; a copy of a
+    block's last frame goes to the run's next block, and of its first to the one
+    before.  Within a block frames pass one after another.  Borders of blocks
+    are a table of keys, which is broadcast up to ``most`` rows.  Rows for which
+    the kernel gives None are left out.
+    """
+    schema: StructType = _parse_datatype_string(returns)
+    names, kinds = schema.names, [to_arrow_type(f.dataType) for f in schema]
+    stay = [c for c in keep if c not in names]
+    extra = [f"_given{k}" for k in range(len(arguments))]
+
+    number = F.floor(F.col("frame_no") / block)
+    order = Window.partitionBy("run_id").orderBy("_block")
+    ends = frames.select(*KEY, number.alias("_block")).groupBy("run_id", "_block").agg(F.min("frame_no").alias("first"), F.max("frame_no").alias("last"))
+    ends = ends.withColumns({"later": F.lead("_block").over(order), "earlier": F.lag("_block").over(order)})
+    borders = ends.select("run_id", F.col("last").alias("frame_no"), F.col("later").alias("to"))
+    if ahead:
+        borders = borders.unionByName(ends.select("run_id", F.col("first").alias("frame_no"), F.col("earlier").alias("to")))
+    borders = materialize(borders.filter("to is not null").groupBy(*KEY).agg(F.collect_list("to").alias("_to")), "borders")
+    borders = borders.select(F.col("run_id").alias("_run"), F.col("frame_no").alias("_no"), "_to")
+    small = borders.count() <= most
+    given = [(F.col(a) if isinstance(a, str) else a).alias(n) for a, n in zip(arguments, extra, strict=True)]
+    needed = list(dict.fromkeys([*KEY, *stay, "px", "height", "width"]))
+    rows = frames.select(*needed, *given).join(F.broadcast(borders) if small else borders.hint("merge"), (F.col("run_id") == F.col("_run")) & (F.col("frame_no") == F.col("_no")), "left")
+    own = F.array(F.struct(number.alias("block"), F.lit(False).alias("copy")))
+    copies = F.transform(F.coalesce("_to", F.array().cast("array<bigint>")), lambda b: F.struct(b.alias("block"), F.lit(True).alias("copy")))
+    dealt = rows.withColumn("_at", F.explode(F.concat(own, copies))).select(*needed, *extra, F.col("_at.block").alias("_block"), F.col("_at.copy").alias("_copy"))
+    dealt = dealt.repartition("run_id", "_block").sortWithinPartitions("run_id", "_block", "frame_no")
+
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        """Rows as (group, whether a copy, picture, arguments, columns that stay)."""
+        for batch in batches:
+            columns = (batch[c].to_pylist() for c in ("run_id", "_block", "_copy", "px", "height", "width", *extra))
+            for k, (run, at, copy, p, h, w, *more) in enumerate(zip(*columns, strict=True)):
+                yield (run, at), copy, (p, h, w), more, batch, k
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def given_out(row: tuple, before: tuple | None, after: tuple | None) -> Iterator[pa.RecordBatch]:
+            group, copy, picture, more, batch, k = row
+            if not copy:
+                out = kernel(picture, before[2] if before and before[0] == group else None, after[2] if after and after[0] == group else None, *more)
+                if out is not None:
+                    new = [pa.array([v], type=kind) for v, kind in zip(out, kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays([*(batch[c].slice(k, 1) for c in stay), *new], names=[*stay, *names])
+
+        before = row = None
+        for after in passing(batches):
+            if row is not None:
+                yield from given_out(row, before, after)
+            before, row = row, after
+        if row is not None:
+            yield from given_out(row, before, None)
+
+    shape = StructType([*(frames.schema[c] for c in stay), *schema])
+    return dealt.mapInArrow(run, shape)
+
+
 def of_points(points: DataFrame, kernel: Callable[..., tuple | None], returns: str, x: str = "i", y: str = "j") -> DataFrame:
     """``run_id, frame_no`` and the columns ``returns``: what ``kernel(xs, ys)`` gives as a tuple for the points of each frame.
 

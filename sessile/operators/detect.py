@@ -8,11 +8,11 @@ from typing import Protocol
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessile.functions import kernels
-from sessile.operators.arrow import KEY, on_arrays, pixels, with_kernel
+from sessile.operators.arrow import KEY, on_arrays, pixels, with_kernel, with_neighbours
 
 
 def column_profile(frames: DataFrame, sx: int = 1, sy: int = 1, mask: np.ndarray | None = None) -> DataFrame:
@@ -256,40 +256,42 @@ def found_drops(frames: DataFrame, make: Callable[[], Detector] | None = None, c
     return fused(model, sums, clear)
 
 
-def _before(frames: DataFrame) -> DataFrame:
-    """Frames with the pixels ``before`` of the run's previous one. Only keys are windowed; pixels are joined by them."""
-    order = Window.partitionBy("run_id").orderBy("frame_no")
-    keys = frames.select(*KEY).withColumn("_last", F.lag("frame_no").over(order)).filter("_last is not null")
-    old = frames.select(F.col("run_id").alias("_run"), F.col("frame_no").alias("_no"), F.col("px").alias("before"))
-    return frames.join(keys, KEY).join(old, (F.col("run_id") == F.col("_run")) & (F.col("_last") == F.col("_no"))).drop("_run", "_no", "_last")
+def _apart(row: tuple, before: tuple | None) -> np.ndarray | None:
+    """How far each pixel is from the previous frame's; None without one of the same size."""
+    a, b = pixels(*row), None if before is None else pixels(*before)
+    return None if a is None or b is None or a.shape != b.shape else np.maximum(a, b) - np.minimum(a, b)
 
 
 def difference_box(frames: DataFrame, threshold: int = 30) -> DataFrame:
-    """``run_id, frame_no, changed, x1, x2, y1, y2``: bounding box of what differs from the run's previous frame; null without one."""
+    """``run_id, frame_no, changed, x1, x2, y1, y2``: bounding box of what differs from the run's previous frame, which the
+    first one lacks; null where there is no picture to compare or nothing differs."""
 
-    def kernel(a: np.ndarray, old: bytes) -> tuple | None:
-        b = pixels(old, *a.shape)
-        if b is None:
+    def kernel(row: tuple, before: tuple | None, _: None) -> tuple | None:
+        if before is None:
             return None
-        apart = np.maximum(a, b) - np.minimum(a, b) > threshold
+        apart = _apart(row, before)
+        if apart is None:
+            return (None,) * 5
+        apart = apart > threshold
         xs, ys = np.flatnonzero(apart.any(axis=0)), np.flatnonzero(apart.any(axis=1))
         return (int(apart.sum()), *([int(xs[0]), int(xs[-1]), int(ys[0]), int(ys[-1])] if len(xs) else [None] * 4))
 
-    names = ["changed", "x1", "x2", "y1", "y2"]
-    return with_kernel(_before(frames), kernel, ", ".join(f"{n} int" for n in names), "before", keep=KEY)
+    return with_neighbours(frames, kernel, "changed int, x1 int, x2 int, y1 int, y2 int", keep=KEY)
 
 
 def largest_change(frames: DataFrame, threshold: int = 30, least: int = 500, size: int = 5) -> DataFrame:
     """``run_id, frame_no, x1, x2`` of the largest part that differs from the run's previous frame, opened and dilated twice; null without one."""
     mask = np.ones((size, size), dtype=bool)
 
-    def kernel(a: np.ndarray, old: bytes) -> tuple | None:
-        b = pixels(old, *a.shape)
-        if b is None:
+    def kernel(row: tuple, before: tuple | None, _: None) -> tuple | None:
+        if before is None:
             return None
-        moved = kernels.opened(kernels.threshold(np.maximum(a, b) - np.minimum(a, b), threshold), mask)
+        apart = _apart(row, before)
+        if apart is None:
+            return None, None
+        moved = kernels.opened(kernels.threshold(apart, threshold), mask)
         part = kernels.largest_component(kernels.dilate(kernels.dilate(moved, mask), mask) > 0, least)
         at = np.flatnonzero(part.any(axis=0))
-        return (int(at[0]), int(at[-1])) if len(at) else None
+        return (int(at[0]), int(at[-1])) if len(at) else (None, None)
 
-    return with_kernel(_before(frames), kernel, "x1 int, x2 int", "before", keep=KEY)
+    return with_neighbours(frames, kernel, "x1 int, x2 int", keep=KEY)

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessile.operators.arrow import KEY, with_kernel
+from sessile.operators import ranges
+from sessile.operators.arrow import KEY, with_kernel, with_neighbours
 from sessile.storage import materialize
 
 
@@ -47,10 +47,8 @@ def odd_dimensions(videos: DataFrame, width: int = 1280, height: int = 120) -> D
 
 def surface_check(frames: DataFrame, every: int = 4, bright: float = 100.0) -> DataFrame:
     """``run_id, checked, rejected``: of every 4th frame (by position) the mean of the last row, too bright in one rejects the run."""
-    order = Window.partitionBy("run_id").orderBy("frame_no")
-    # Keys alone go through the window; the kernel sees the frames that count.
-    seen = frames.select(*KEY).withColumn("pos", F.row_number().over(order) - 1).filter(F.col("pos") % every == 0).select(*KEY)
-    means = with_kernel(frames.select(*KEY, "px", "height", "width").join(seen, KEY, "left_semi"), lambda a: (float(a[-1].mean()),), "mean double", keep=KEY)
+    placed = ranges.with_places(frames.select(*KEY, "px", "height", "width"), materialize(ranges.stretches(frames.select(*KEY)), "runs"))
+    means = with_kernel(placed.filter(F.col("_n") % every == 0), lambda a: (float(a[-1].mean()),), "mean double", keep=KEY)
     return means.groupBy("run_id").agg(F.count("*").alias("checked"), F.max(F.coalesce(F.col("mean") > bright, F.lit(False))).alias("rejected"))
 
 
@@ -61,25 +59,18 @@ def index_gaps(frames: DataFrame, index: str) -> DataFrame:
 
 
 def repaired(frames: DataFrame, broken: Column) -> DataFrame:
-    """Frames with each broken one replaced by the mean of its neighbours in the run; null pixels without both.
-
-    Only keys are windowed; the pixels of neighbours are joined for broken
-    frames alone.
-    """
-    order = Window.partitionBy("run_id").orderBy("frame_no")
-    keys = frames.select(*KEY, F.coalesce(broken, F.lit(False)).alias("_bad")).withColumns({"_a": F.lag("frame_no").over(order), "_b": F.lead("frame_no").over(order)})
-    bad = keys.filter("_bad").drop("_bad")
-    near = lambda c: frames.select(F.col("run_id").alias(f"_run{c}"), F.col("frame_no").alias(f"_no{c}"), F.col("px").alias(f"_px{c}"))
-    for c in ("_a", "_b"):
-        bad = bad.join(near(c), (F.col("run_id") == F.col(f"_run{c}")) & (F.col(c) == F.col(f"_no{c}")), "left")
-
-    def blend(first: pd.Series, second: pd.Series) -> pd.Series:
-        both = [None if a is None or b is None or len(a) != len(b) else ((np.frombuffer(a, np.uint8).astype(np.uint16) + np.frombuffer(b, np.uint8)) // 2).astype(np.uint8).tobytes() for a, b in zip(first, second, strict=True)]
-        return pd.Series(both, dtype=object)
-
-    new = bad.select(*KEY, F.lit(True).alias("_bad"), F.pandas_udf(blend, "binary")("_px_a", "_px_b").alias("_new"))
-    out = frames.join(new, KEY, "left")
-    return out.withColumn("px", F.when(F.col("_bad"), F.col("_new")).otherwise(F.col("px"))).drop("_bad", "_new")
+    """Frames with each broken one replaced by the mean of its neighbours in the run; null pixels without both."""
+
+    def kernel(row: tuple, before: tuple | None, after: tuple | None, bad: bool | None) -> tuple:
+        if not bad:
+            return (row[0],)
+        a, b = (None if x is None else x[0] for x in (before, after))
+        if a is None or b is None or len(a) != len(b):
+            return (None,)
+        return (((np.frombuffer(a, np.uint8).astype(np.uint16) + np.frombuffer(b, np.uint8)) // 2).astype(np.uint8).tobytes(),)
+
+    out = with_neighbours(frames, kernel, "px binary", broken, keep=[c for c in frames.columns if c != "px"], ahead=True)
+    return out.select(*frames.columns)
 
 
 def count_lines(files: DataFrame, text: str = "text") -> DataFrame:

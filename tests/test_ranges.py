@@ -114,3 +114,24 @@ def test_pixels_are_read_three_times(spark, monkeypatch):
     monkeypatch.setattr("sessile.operators.detect.with_kernel", lambda *a, **k: pytest.fail("another look at the pixels"))
     series, _ = analysis.analysed(raw, cfg)
     assert series.count() == 5 and len(kernels) == 3
+
+
+def test_neighbours_across_blocks(spark):
+    """Each frame with the run's previous and next one, whatever the gaps; pixels go through one exchange."""
+    frames = runs(6)
+    rows = [(run, n, bytearray(f"{run}{n:05d}".encode()), k % 7 == 0) for run, ns in frames.items() for k, n in enumerate(ns)]
+    df = materialize(spark.createDataFrame(rows, "run_id string, frame_no int, px binary, odd boolean").withColumns({"height": F.lit(1), "width": F.lit(6)}).repartition(5), "frames")
+
+    def kernel(row, before, after, odd):
+        return None if odd else tuple(None if x is None else bytes(x[0]).decode() for x in (before, row, after))
+
+    def expected(ahead):
+        name = lambda run, ns, k: f"{run}{ns[k]:05d}" if 0 <= k < len(ns) else None
+        return sorted((run, n, name(run, ns, k - 1), name(run, ns, k), name(run, ns, k + 1) if ahead else None) for run, ns in frames.items() for k, n in enumerate(ns) if k % 7)
+
+    for block, most in ((64, 10**6), (1, 10**6), (3, 0), (10**6, 10**6)):
+        out = arrow.with_neighbours(df, kernel, "before string, own string, after string", "odd", keep=arrow.KEY, ahead=True, block=block, most=most)
+        assert sorted(map(tuple, out.collect()), key=repr) == sorted(expected(True), key=repr)
+    back, plan = (arrow.with_neighbours(df, lambda row, before, after, odd: kernel(row, before, None, odd), "before string, own string, after string", "odd", keep=arrow.KEY) for _ in range(2))
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(expected(False), key=repr)
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
