@@ -11,9 +11,9 @@ from __future__ import annotations
 import html
 import re
 import sys
-from bisect import bisect_left
-from collections import Counter
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
 import pyarrow as pa
@@ -58,6 +58,8 @@ IN_HEAD = frozenset("base link meta title style script template noscript".split(
 TABLE_PARTS = frozenset("caption colgroup col tbody thead tfoot tr td th".split())
 TABLE_FRAME = frozenset("table tbody thead tfoot tr colgroup".split())
 MOST_COLUMNS, MOST_ROWS = 1000, 65534
+#: Columns that lines are indented by at most; parts that lie deeper stand there, too.
+MOST_INDENT = 400
 
 
 class Node:
@@ -99,26 +101,39 @@ class _Tags:
 
 
 class _Tree:
-    """Elements that are open, and how many of each tag."""
+    """Elements that are open, and where in the stack those of each tag are, so that nothing is looked for by walking it."""
 
     def __init__(self) -> None:
         self.root = Node("html")
-        self.stack, self.open = [self.root], Counter({"html": 1})
+        self.stack, self.places = [self.root], defaultdict(list, {"html": [0]})
+        #: Where the blocks are, and the cells.
+        self.blocks: list[int] = []
+        self.cells: list[int] = []
 
     @property
     def top(self) -> Node:
         return self.stack[-1]
 
+    def last(self, tag: str) -> int:
+        """Place of the innermost open element of a tag; -1 without one."""
+        found = self.places.get(tag)
+        return found[-1] if found else -1
+
+    def nearest(self, tags: Iterable[str]) -> int:
+        return max(map(self.last, tags), default=-1)
+
     def cut(self, at: int) -> None:
         """Close the elements from place ``at`` on."""
-        for node in self.stack[at:]:
-            self.open[node.tag] -= 1
+        for node in reversed(self.stack[at:]):
+            self.places[node.tag].pop()
         del self.stack[at:]
+        for places in (self.blocks, self.cells):
+            while places and places[-1] >= at:
+                places.pop()
 
     def place(self, child: Node | str, tag: str | None) -> None:
         """Add a child; what has no place in a table's frame goes in front of the table."""
-        if self.top.tag in TABLE_FRAME and self.open["table"] and tag not in TABLE_PARTS and tag not in UNSEEN and (tag or str(child).strip()):
-            at = max(k for k, node in enumerate(self.stack) if node.tag == "table")
+        if self.top.tag in TABLE_FRAME and (at := self.last("table")) >= 0 and tag not in TABLE_PARTS and tag not in UNSEEN and (tag or str(child).strip()):
             around = self.stack[at - 1].children
             k = len(around) - 1
             while k >= 0 and around[k] is not self.stack[at]:
@@ -133,36 +148,42 @@ class _Tree:
         node = Node(tag, attrs)
         self.place(node, tag)
         if tag not in VOID:
+            at = len(self.stack)
             self.stack.append(node)
-            self.open[tag] += 1
+            self.places[tag].append(at)
+            if tag in BLOCK:
+                self.blocks.append(at)
+            if tag in ("td", "th"):
+                self.cells.append(at)
 
     def close(self, tags: set[str], scope: set[str]) -> None:
         """Close the elements of ``tags`` that are open within the nearest of ``scope``, and what they hold."""
-        lowest = None
-        for at in range(len(self.stack) - 1, 0, -1):
-            if self.stack[at].tag in scope or not any(self.open[t] for t in tags):
-                break
-            if self.stack[at].tag in tags:
-                lowest = at
-        if lowest is not None:
-            self.cut(lowest)
+        limit = max(0, self.nearest(scope))
+        inner = [found[k] for t in tags if (found := self.places.get(t)) and (k := bisect_right(found, limit)) < len(found)]
+        if inner:
+            self.cut(min(inner))
 
     def within(self, tag: str, scope: str) -> bool:
-        if self.open[tag]:
-            for node in reversed(self.stack):
-                if node.tag in (tag, scope):
-                    return node.tag == tag
-        return False
+        return self.last(tag) > self.last(scope)
 
     def to_frame(self) -> None:
         """Back to the table's frame, if nothing but stray elements lies between."""
-        if self.open["table"]:
-            for at in range(len(self.stack) - 1, 0, -1):
-                if self.stack[at].tag in TABLE_FRAME:
-                    return self.cut(at + 1)
-                if self.stack[at].tag in ("td", "th", "caption"):
-                    return None
-        return None
+        if self.last("table") >= 0:
+            at = self.nearest(TABLE_FRAME)
+            if at >= max(1, self.nearest(("td", "th", "caption"))):
+                self.cut(at + 1)
+
+    def end(self, name: str) -> None:
+        """Close the innermost element of a name; a stray end tag doesn't reach out of a cell, and an inline one not out of a block."""
+        at = self.last(name)
+        if at > 0:
+            beyond = -1
+            if name not in ("table", "tr", "tbody", "thead", "tfoot") and self.cells:
+                beyond = self.cells[-1]
+            if name not in BLOCK and name not in ("td", "th", "tbody", "thead", "tfoot", "select") and self.blocks:
+                beyond = max(beyond, self.blocks[-1])
+            if at >= beyond:
+                self.cut(at)
 
 
 def build(source: str) -> Node:
@@ -187,15 +208,8 @@ def build(source: str) -> Node:
             elif name == "p" and not tree.within("p", ""):
                 tree.push("p", {})
                 tree.cut(len(tree.stack) - 1)
-            elif name not in ("html", "body") and tree.open[name]:
-                for i in range(len(tree.stack) - 1, 0, -1):
-                    tag = tree.stack[i].tag
-                    if tag == name:
-                        tree.cut(i)
-                        break
-                    # A stray end tag doesn't reach out of a cell, and an inline one not out of a block.
-                    if tag in ("td", "th") and name not in ("table", "tr", "tbody", "thead", "tfoot") or tag in BLOCK and name not in BLOCK and name not in ("td", "th", "tbody", "thead", "tfoot", "select"):
-                        break
+            elif name not in ("html", "body"):
+                tree.end(name)
             continue
         if name == "html" or (name == "body" and tree.within("body", "")):
             tree.root.attrs.update(_attributes(attrs))
@@ -235,11 +249,24 @@ def _seen(node: Node, seen: bool) -> bool:
 
 
 class _Lines:
-    """Text laid out so far: finished lines, the line being written, and the margin due before more."""
+    """Text laid out so far: finished lines, the line being written, and the margin due before more.
 
-    def __init__(self) -> None:
-        self.done: list[str] = []
+    An indented part (a list item, a quotation) writes to the same finished
+    lines as what is around it; its ``mark`` stands before its first line, and
+    as many blanks before the others.
+    """
+
+    def __init__(self, outer: _Lines | None = None, mark: str = "", always: bool = False) -> None:
+        self.outer, self.mark, self.always = outer, mark, always
+        self.done: list[str] = [] if outer is None else outer.done
+        #: Parts, from the outermost on, whose mark is due, and those with a margin due.
+        self.due: list[_Lines] = [] if outer is None else outer.due
+        self.margins: list[_Lines] = [] if outer is None else outer.margins
+        self.base, self.start = len(self.done), 0 if outer is None else outer.indent
+        self.indent = min(MOST_INDENT, self.start + len(mark))
         self.line, self.blank = "", False
+        if always:
+            self.due.append(self)
 
     def text(self, value: str, keep: bool) -> None:
         if keep:
@@ -257,19 +284,51 @@ class _Lines:
 
     def _add(self, value: str) -> None:
         if value:
-            if self.blank and self.done:
-                self.done.append("")
-            self.blank = False
+            if self.blank:
+                self._settle(self)
             self.line += value
 
+    def _settle(self, part: _Lines) -> None:
+        """The margin due in a part: a blank line, if it has a line already."""
+        part.blank = False
+        self.margins.remove(part)
+        if len(self.done) > part.base:
+            self.done.append("")
+
+    def _write(self, line: str) -> None:
+        # A line that is not blank, or has a mark, ends the margins of what is around.
+        within = self.due[-1].outer if self.due and not line else self if line else None
+        if within is not None:
+            for part in [m for m in self.margins if m is not self and m.indent <= within.indent and m.base <= within.base]:
+                self._settle(part)
+        before = ""
+        for part in self.due:
+            before = before.ljust(part.start) + part.mark
+        self.due.clear()
+        self.done.append((before.ljust(self.indent) + line).rstrip())
+
     def end(self, keep: bool = False) -> None:
         if self.line.strip() or keep:
-            self.done.append(self.line.rstrip())
+            self._write(self.line.rstrip())
         self.line = ""
 
     def margin(self) -> None:
         self.end()
-        self.blank = True
+        if not self.blank:
+            self.blank = True
+            self.margins.append(self)
+
+    def close(self, shown: bool) -> None:
+        """The end of an indented part; its mark stands alone where it has no line, if it is ``shown``."""
+        self.end()
+        if self.blank:
+            self.blank = False
+            self.margins.remove(self)
+        if self.due and self.due[-1] is self:
+            if shown:
+                self._write("")
+            else:
+                self.due.pop()
 
     def lines(self) -> list[str]:
         self.end()
@@ -346,9 +405,13 @@ def _table(node: Node, seen: bool) -> list[str]:
 
 def layout(node: Node, seen: bool = True) -> list[str]:
     """Lines that the inside of ``node`` is seen as."""
-    out = _Lines()
 
-    def walk(parent: Node, keep: bool, seen: bool) -> None:
+    def part(x: Node, out: _Lines, mark: str, always: bool, now: bool) -> None:
+        inner = _Lines(out, mark, always)
+        walk(x, False, _seen(x, now), inner, x)
+        inner.close(now)
+
+    def walk(parent: Node, keep: bool, seen: bool, out: _Lines, top: Node) -> None:
         number, shut = 0, parent.tag == "details" and "open" not in parent.attrs
         for x in parent.children:
             if isinstance(x, str):
@@ -364,7 +427,7 @@ def layout(node: Node, seen: bool = True) -> list[str]:
             elif x.tag == "hr":
                 out.margin()
             elif x.tag in BLOCK:
-                edge = out.margin if x.tag in SPACED and not (x.tag in ("ul", "ol", "menu") and node.tag == "li") else out.end
+                edge = out.margin if x.tag in SPACED and not (x.tag in ("ul", "ol", "menu") and top.tag == "li") else out.end
                 edge()
                 if x.tag == "table":
                     for line in _table(x, now):
@@ -372,25 +435,21 @@ def layout(node: Node, seen: bool = True) -> list[str]:
                         out.end()
                 elif x.tag == "li":
                     number += 1
-                    mark, lines = f"{number}. " if parent.tag == "ol" else "- ", layout(x, now)
-                    for k, line in enumerate(lines or [""] * now):
-                        out.text((mark if k == 0 else " " * len(mark)) + line if line or k == 0 else "", True)
-                        out.end(keep=k > 0)
+                    part(x, out, f"{number}. " if parent.tag == "ol" else "- ", True, now)
                 elif x.tag in ("blockquote", "dd"):
-                    for line in layout(x, now):
-                        out.text("  " + line if line else "", True)
-                        out.end(keep=True)
+                    part(x, out, "  ", False, now)
                 else:
-                    walk(x, keep or x.tag == "pre", now)
+                    walk(x, keep or x.tag == "pre", now, out, top)
                 edge()
             elif x.tag in ("td", "th"):
                 if now:
                     out.text(" ", keep)
-                walk(x, keep, now)
+                walk(x, keep, now, out, top)
             else:
-                walk(x, keep, now)
+                walk(x, keep, now, out, top)
 
-    walk(node, False, _seen(node, seen))
+    out = _Lines()
+    walk(node, False, _seen(node, seen), out, node)
     return out.lines()
 
 

@@ -1,8 +1,9 @@
 import re
+import time
 
 import pytest
 
-from sessile.llm.html_text import extract_text, visible_text
+from sessile.llm.html_text import MOST_INDENT, extract_text, visible_text
 
 CASES = [
     (None, ""),
@@ -147,3 +148,20 @@ def test_odd_rows(spark):
     df = spark.createDataFrame([(1, None, "u"), (None, "<p>x", None), (1, "<p>x", "u")], "page_id long, html string, text string")
     assert sorted(map(repr, extract_text(df).collect())) == sorted(["Row(page_id=1, text='')", "Row(page_id=None, text='x')", "Row(page_id=1, text='x')"])
     assert extract_text(df.filter("false")).collect() == []
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<ul><li>x" * 5000, "<ul><li>" * 5000 + "x", "<blockquote>x" * 5000, "<li>" + "<span>" * 4000 + "<dt>" * 4000, "<div>" * 12000 + "<table>" + "x<b>y</b>" * 12000, "<i><div>" + "<span>" * 5000 + "</i>" * 5000],
+    ids=["lists", "marks", "quotations", "terms", "stray", "ends"],
+)
+def test_hostile_pages_take_no_longer_than_their_size(page):
+    start = time.perf_counter()
+    text = visible_text(page)
+    assert time.perf_counter() - start < 2
+    assert text.count("x") == page.count("x") and max(map(len, text.split("\n"))) <= 2 * 5000 + 24000
+
+
+def test_indent_has_a_limit():
+    lines = visible_text("<blockquote>x" * 300).split("\n")
+    assert [len(x) - 1 for x in lines if x] == [min(2 * k, MOST_INDENT) for k in range(1, 301)]
