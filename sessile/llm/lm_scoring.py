@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sessile.llm.storage import materialize
 from sessile.llm.words import WordHashes, chunks, hashed_words, mix, texts_of
 
 
@@ -129,8 +130,9 @@ def score_documents(docs: DataFrame, cfg: Backoff = Backoff()) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = docs.agg(F.sum(F.length("text")).alias("chars"), F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))).alias("words")).first()
     blocks = max(1, -(-(size["chars"] or 0) // cfg.block_chars))
-    # Rows that are alike in id and length are told apart by a number of their own, so that they fill no block.
-    docs = docs.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)))
+    # Rows that are alike are told apart by a number of their own, so that they fill no block.  The dealt table is
+    # written: counts and scores then read the same blocks, however the input came about.
+    docs = materialize(docs.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks))), "dealt")
     rows = docs.groupBy("block").applyInArrow(_exploded(cfg.order), "block long not null, hash long not null, n long not null").repartition("hash")
     # Both sides read all three columns, so that one exchange serves them.
     counts = rows.groupBy("hash").agg(F.sum("n").alias("total"), F.min("block").alias("low"), F.max("block").alias("high")).filter("low < high").select(F.col("hash").alias("of"), "total")

@@ -202,3 +202,21 @@ def test_backoff_of_higher_orders(spark, sf, odd_docs):
         rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
         got = score_documents(df, Backoff(block_chars=50_000, order=order, leave_out=leave_out)).collect()
         assert sorted((str(r.doc_id), r.n_words, round(r.log_score, 5)) for r in got) == brute_scores_of_order(rows, order, leave_out)
+
+
+def test_scores_of_an_input_that_comes_in_another_order_each_time(spark):
+    """Rows out of an aggregate, in an order that no two readings of it share."""
+    import os
+
+    rows = [(i, f"w{i % 11} w{i % 5} w{i % 3} and w{i % 7} again") for i in range(400)]
+
+    def mixed(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            rng = np.random.default_rng(int.from_bytes(os.urandom(4), "big"))
+            yield batch.take(pa.array(rng.permutation(batch.num_rows)))
+
+    grouped = spark.createDataFrame(rows, "doc_id long, text string").repartition(5).groupBy("doc_id").agg(F.first("text").alias("text"))
+    got = score_documents(grouped.mapInArrow(mixed, "doc_id long, text string"), Backoff(block_chars=400)).collect()
+    assert sorted((str(r.doc_id), r.n_words, round(r.log_score, 5)) for r in got) == brute_scores_of_order(rows, 3, True)
