@@ -1,13 +1,15 @@
 """Exact top-k by inner product, pruned with segment statistics from coarse to fine.
 
 Vectors are first turned by an orthogonal basis of decreasing variance, which
-leaves inner products as they are.  A level cuts the turned vectors into
-segments of about equal variance, so that few components that vary much, or
-many that vary little, share one.  With a segment's mean m and deviation s in
-both vectors, their inner product over its n components is at most
-n (m m' + s s'); sums over segments bound the score from above (and the distance
-from below), the tighter the finer.  A level looks at what the former left.
-Survivors of the last level get exact integer scores.
+leaves inner products as they are.  Over a segment of n components with means m
+and deviations s in both vectors, their inner product is at most
+n (m m' + s s'), which for one component is its product.  A level takes the first
+components one by one and the rest as one segment; the next level goes on from
+its sum, a few components further, with the pairs that it left.  So a pair is
+bounded from above (and its distance from below) the tighter the longer it
+stays, and what has been multiplied is not multiplied again.  Which levels pay is
+found on a sample of pairs: those that take fewer multiplications than they
+save, maybe none.  Survivors of the last level get exact integer scores.
 
 Vectors lie in cells by the signs of their leading components, and a cell in
 blocks of fixed size.  A query first searches its own cell, which gives it a
@@ -32,11 +34,14 @@ from sessile.llm.storage import materialize
 
 @dataclass(frozen=True)
 class TopK:
-    """Number of results, segments of each level as a share of the components, candidates (times ``k``) that a level
-    scores for a k-th score, most sign bits of a cell, queries and candidates of a block, queries bounded at a time."""
+    """Number of results, segments of a cell's statistics as a share of the components, steps of which levels are
+    chosen, vectors of the sample that chooses them, candidates (times ``k``) that are scored for a k-th score,
+    most sign bits of a cell, queries and candidates of a block, queries bounded at a time."""
 
     k: int = 20
-    levels: tuple[float, ...] = (1 / 8, 1 / 2, 3 / 4, 7 / 8)
+    segments: float = 1 / 8
+    steps: int = 8
+    sample: int = 4096
     probes: int = 3
     cell_bits: int = 8
     query_block: int = 2048
@@ -64,21 +69,34 @@ def cuts(variance: np.ndarray, segments: int) -> np.ndarray:
 
 
 def signature(vectors: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Means and deviations by segment, each times the root of its length: inner products of these are bounds."""
+    """Means and deviations by segment, each times the root of its length: inner products of these are bounds.
+
+    A segment of one component has no deviation."""
     if not vectors.shape[1]:
-        return np.zeros((len(vectors), 2))
+        return np.zeros((len(vectors), 1))
     size = np.diff(np.r_[starts, vectors.shape[1]])
     mean = np.add.reduceat(vectors, starts, axis=1) / size
     square = np.add.reduceat((vectors - np.repeat(mean, size, axis=1)) ** 2, starts, axis=1)
-    return np.hstack([mean * np.sqrt(size), np.sqrt(square)])
+    return np.hstack([mean * np.sqrt(size), np.sqrt(square[:, size > 1])])
+
+
+def tail(turned: np.ndarray, first: int) -> np.ndarray:
+    """Mean and deviation of the components from ``first`` on, as in ``signature``."""
+    rest = turned[:, first:]
+    if not rest.shape[1]:
+        return np.zeros((len(turned), 2))
+    mean = rest.mean(axis=1)
+    return np.stack([mean * np.sqrt(rest.shape[1]), np.sqrt(((rest - mean[:, None]) ** 2).sum(axis=1))], axis=1)
 
 
 class Index:
-    """What all tasks share: the basis, the segments of each level, the cells and their extremes. Its size is fixed."""
+    """What all tasks share: the basis, the levels, the segments of cells, the cells and their extremes. Its size is fixed."""
 
-    def __init__(self, basis: np.ndarray, variance: np.ndarray, cfg: TopK, bits: int) -> None:
+    def __init__(self, basis: np.ndarray, variance: np.ndarray, cfg: TopK, bits: int, levels: tuple[int, ...] | None = None) -> None:
         n = len(variance)
-        self.basis, self.levels = basis, [cuts(variance, round(n * share)) for share in cfg.levels] if n else [np.zeros(1, int)]
+        self.basis, self.coarse = basis, cuts(variance, round(n * cfg.segments)) if n else np.zeros(1, int)
+        #: Leading components of each level.
+        self.levels = tuple(sorted({round(n * k / cfg.steps) for k in range(2, cfg.steps)} - {0, n})) if levels is None else levels
         self.bits = min(bits, n)
         self.low = self.high = np.empty((0, 0))
         self.cells = np.empty(0, np.int64)
@@ -91,7 +109,7 @@ class Index:
 
     def bounds_of_cells(self, turned: np.ndarray) -> np.ndarray:
         """Most that each query can score in each cell, from the least and greatest statistics of the cell's vectors."""
-        q = signature(turned, self.levels[0])
+        q = signature(turned, self.coarse)
         return np.maximum(q[:, None, :] * self.low[None], q[:, None, :] * self.high[None]).sum(axis=2)
 
 
@@ -99,7 +117,7 @@ def search_block(q_ids: np.ndarray, q: np.ndarray, least: np.ndarray, c_ids: np.
     """For each query the ids and scores of its best candidates in this block, of those that score ``least`` or
     more; best first.  Also the numbers of pairs that each level, and at first all of them, left."""
     turned_q, turned_c = index.turned(q), index.turned(c)
-    of_q, of_c = ([signature(v, s) for s in index.levels] for v in (turned_q, turned_c))
+    of_q, of_c = ([tail(v, level) for level in index.levels] for v in (turned_q, turned_c))
     # Scores are integers; half a unit is far more than what rounding adds to a bound.
     slack = 0.5 + 1e-9 * float(np.linalg.norm(q, axis=1).max(initial=0)) * float(np.linalg.norm(c, axis=1).max(initial=0))
     out, left = [], np.zeros(len(index.levels) + 1, dtype=np.int64)
@@ -108,27 +126,37 @@ def search_block(q_ids: np.ndarray, q: np.ndarray, least: np.ndarray, c_ids: np.
         rows = np.arange(a, min(a + cfg.chunk, len(q)))
         alive = c_ids[None, :] != q_ids[rows, None]
         left[0] += alive.sum()
-        dense = True
-        for level, starts in enumerate(index.levels):
-            means = max(1, len(starts))
-            if dense:
-                guess = of_q[level][rows, :means] @ of_c[level][:, :means].T
-                if len(c) > probe:
-                    # A k-th score, from the candidates that the means alone put first.
+        so_far, done, thin = np.zeros(alive.shape), 0, None
+        for k, level in enumerate(index.levels):
+            if thin is None:
+                so_far += turned_q[rows, done:level] @ turned_c[:, done:level].T
+                guess = so_far + np.outer(of_q[k][rows, 0], of_c[k][:, 0])
+                if k == 0 and len(c) > probe:
+                    # A k-th score, from the candidates that seem best without deviations.
                     best = np.argpartition(np.where(alive, guess, -np.inf), -probe, axis=1)[:, -probe:]
                     exact = np.einsum("qkd,qd->qk", c[best], q[rows]).astype(float)
                     exact = np.where(np.take_along_axis(alive, best, axis=1), exact, -np.inf)
                     least[rows] = np.maximum(least[rows], np.partition(exact, -cfg.k, axis=1)[:, -cfg.k])
-                alive &= guess + of_q[level][rows, means:] @ of_c[level][:, means:].T >= least[rows, None] - slack
-                dense = alive.mean() > 0.25
+                guess += np.outer(of_q[k][rows, 1], of_c[k][:, 1])
+                alive &= guess >= least[rows, None] - slack
+                if alive.mean() < 0.25:
+                    thin = [(at, so_far[i, at]) for i in range(len(rows)) for at in [np.flatnonzero(alive[i])]]
             else:
                 for i, row in enumerate(rows):
-                    at = np.flatnonzero(alive[i])
-                    alive[i, at[of_c[level][at] @ of_q[level][row] < least[row] - slack]] = False
-            left[level + 1] += alive.sum()
+                    at, sums = thin[i]
+                    sums = sums + turned_c[at, done:level] @ turned_q[row, done:level]
+                    keep = sums + of_c[k][at] @ of_q[k][row] >= least[row] - slack
+                    thin[i] = at[keep], sums[keep]
+                alive[:] = False
+                for i, (at, _) in enumerate(thin):
+                    alive[i, at] = True
+            done = level
+            left[k + 1] += alive.sum()
+        # Without a level all pairs get a score: in one product, if it holds whole numbers exactly.
+        whole = (q[rows].astype(float) @ c.T.astype(float)).astype(np.int64) if not index.levels and slack < 1e6 else None
         for i, row in enumerate(rows):
             at = np.flatnonzero(alive[i])
-            scores = c[at] @ q[row]
+            scores = c[at] @ q[row] if whole is None else whole[i, at]
             keep = scores >= least[row]
             at, scores = at[keep], scores[keep]
             order = np.lexsort((c_ids[at], -scores))[: cfg.k]
@@ -166,7 +194,7 @@ def _extremes(index: Index, size: int):
         for pdf in batches:
             if len(pdf):
                 turned = index.turned(np.stack(pdf["vector"].to_numpy()).reshape(len(pdf), size))
-                stats = pd.DataFrame(signature(turned, index.levels[0])).groupby(index.cell_of(turned))
+                stats = pd.DataFrame(signature(turned, index.coarse)).groupby(index.cell_of(turned))
                 low, high = stats.min(), stats.max()
                 yield pd.DataFrame({"cell": low.index.to_numpy(np.int32), "n": stats.size().to_numpy(np.int64), "low": list(low.to_numpy()), "high": list(high.to_numpy())})
 
@@ -182,6 +210,30 @@ def _widest(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"cell": pdf["cell"].iloc[:1], "n": [int(pdf["n"].sum())], "low": [low], "high": [high]})
 
 
+def multiplications(left: list[float], levels: tuple[int, ...], size: int) -> float:
+    """Of a pair, on average: ``left`` is the share of pairs that reach each of ``levels``, and that get a score."""
+    steps = np.diff([0, *levels]) + 2
+    return float(sum(share * step for share, step in zip(left, steps, strict=False)) + left[-1] * size)
+
+
+def chosen_levels(vectors: np.ndarray, index: Index, cfg: TopK) -> tuple[tuple[int, ...], list[float]]:
+    """The levels that take the fewest multiplications on a sample of pairs, and the share of pairs that reaches each
+    and the score; none where they take more than they save."""
+    n, size = len(vectors), vectors.shape[1]
+    every = index.levels
+    asked = vectors[: max(1, n // 20)][:256]
+    ids = np.arange(n)
+    _, left = search_block(ids[: len(asked)], asked, np.full(len(asked), -np.inf), ids, vectors, index, cfg)
+    after = dict(zip(every, left[1:] / max(1, left[0]), strict=True))
+    best, levels, shares = float(size), (), [1.0]
+    for picked in range(1, 1 << len(every)):
+        some = tuple(b for k, b in enumerate(every) if picked >> k & 1)
+        share = [1.0, *(float(after[b]) for b in some)]
+        if (cost := multiplications(share, some, size)) < best:
+            best, levels, shares = cost, some, share
+    return levels, shares
+
+
 def _fit(rows: DataFrame, size: int, n: int, cfg: TopK) -> tuple[Index, dict[int, int]]:
     """The index over all ``rows`` and the number of vectors of each cell; partitions add up what reaches the driver."""
     parts = rows.select("vector").mapInPandas(_moments(size), "i int, part array<double>").groupBy("i").applyInPandas(_added, "i int, part array<double>").orderBy("i").collect()
@@ -190,6 +242,10 @@ def _fit(rows: DataFrame, size: int, n: int, cfg: TopK) -> tuple[Index, dict[int
     variance, basis = np.linalg.eigh(sums[1:, 1:] / max(n, 1) - np.outer(mean, mean)) if size else (np.empty(0), np.empty((0, 0)))
     bits = min(cfg.cell_bits, max(0, int(np.log2(max(1, n / cfg.candidate_block)))))
     index = Index(basis[:, ::-1], np.maximum(variance[::-1], 0), cfg, bits)
+    # A sample of bounded size, the same in every run.
+    drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(cfg.sample).select("vector").toArrow()
+    if size and drawn.num_rows > cfg.k:
+        index.levels, _ = chosen_levels(np.array(drawn["vector"].to_pylist(), dtype=np.int64), index, cfg)
     shape = "cell int, n long, low array<double>, high array<double>"
     cells = rows.select("vector").mapInPandas(_extremes(index, size), shape).groupBy("cell").applyInPandas(_widest, shape).orderBy("cell").collect()
     index.cells = np.array([r["cell"] for r in cells], np.int64)
@@ -197,8 +253,8 @@ def _fit(rows: DataFrame, size: int, n: int, cfg: TopK) -> tuple[Index, dict[int
     return index, {r["cell"]: -(-r["n"] // cfg.candidate_block) for r in cells}
 
 
-def _top_k(rows: DataFrame, size: int, n: int, n_queries: int, cfg: TopK) -> DataFrame:
-    """``top_k`` of the ``n`` vectors of one length, ``n_queries`` of them queries."""
+def _top_k(rows: DataFrame, size: int, n: int, cfg: TopK) -> DataFrame:
+    """``top_k`` of the ``n`` vectors of one length."""
     index, blocks = _fit(rows, size, n, cfg)
     place = lambda count: F.pmod(F.xxhash64("vec_id"), count).cast("int")
     of = lambda v: np.stack(v.to_numpy()).reshape(len(v), size)
@@ -207,12 +263,13 @@ def _top_k(rows: DataFrame, size: int, n: int, n_queries: int, cfg: TopK) -> Dat
     rows = materialize(rows.withColumn("cell", cell("vector")), "vectors")
     candidates = rows.select(F.col("vec_id").alias("c_id"), F.col("vector").alias("c_vector"), F.col("cell").alias("c_cell"), place(n_blocks).alias("c_p"))
     queries = rows.filter("is_query")
-    groups = F.lit(max(1, -(-n_queries // cfg.query_block)))
-
     def searched(asked: DataFrame) -> DataFrame:
-        """Results of the queries in their cells' blocks."""
+        """Results of the queries in their cells' blocks; as many groups of them as the queries that a cell is asked by make."""
+        asked = materialize(asked, "asked")
+        counts = {r["cell"]: -(-r["count"] // cfg.query_block) for r in asked.groupBy("cell").count().collect()}
+        groups = F.element_at(F.create_map(*[F.lit(x) for pair in (counts or {0: 1}).items() for x in pair]), F.col("cell"))
         asked = asked.withColumn("p", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-        pairs = asked.select("vec_id", "vector", "least", "cell", "p", place(groups).alias("g"))
+        pairs = asked.select("vec_id", "vector", "least", "cell", "p", F.pmod(F.xxhash64("vec_id", F.lit(1)), groups).cast("int").alias("g"))
         every = pairs.select(F.col("cell").alias("of_cell"), F.col("p").alias("of_p"), F.col("g").alias("of_g")).distinct()
         dealt = candidates.join(every, (F.col("c_cell") == F.col("of_cell")) & (F.col("c_p") == F.col("of_p"))).select("c_id", "c_vector", "of_cell", "of_p", "of_g")
         found = pairs.groupBy("cell", "p", "g").cogroup(dealt.groupBy("of_cell", "of_p", "of_g"))
@@ -252,7 +309,7 @@ def top_k(vectors: DataFrame, is_query: Column, cfg: TopK = TopK()) -> DataFrame
     lengths = rows.groupBy(F.size("vector").alias("size")).agg(F.count("*").alias("n"), F.count_if("is_query").alias("asked")).filter("asked > 0").collect()
     found = None
     for r in lengths:
-        part = _top_k(rows.filter(F.size("vector") == r["size"]), r["size"], r["n"], r["asked"], cfg)
+        part = _top_k(rows.filter(F.size("vector") == r["size"]), r["size"], r["n"], cfg)
         found = part if found is None else found.unionByName(part)
     if found is None:
         found = rows.select(F.col("vec_id").alias("query_id"), "vec_id", F.lit(0).cast("long").alias("score")).filter(F.lit(False))

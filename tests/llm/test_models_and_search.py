@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sessile.llm import quality_classifier as qc
 from sessile.llm.lm_scoring import Backoff, score_documents
 from sessile.llm.queries import op2_quality_classifier
-from sessile.llm.topk_search import Index, TopK, cuts, scaled, search_block, signature, top_k
+from sessile.llm.topk_search import Index, TopK, chosen_levels, cuts, multiplications, scaled, search_block, signature, tail, top_k
 
 
 def test_held_out_accuracy(spark):
@@ -220,3 +220,27 @@ def test_scores_of_an_input_that_comes_in_another_order_each_time(spark):
     grouped = spark.createDataFrame(rows, "doc_id long, text string").repartition(5).groupBy("doc_id").agg(F.first("text").alias("text"))
     got = score_documents(grouped.mapInArrow(mixed, "doc_id long, text string"), Backoff(block_chars=400)).collect()
     assert sorted((str(r.doc_id), r.n_words, round(r.log_score, 5)) for r in got) == brute_scores_of_order(rows, 3, True)
+
+
+def test_levels_cost_less_than_they_save():
+    """The chosen levels take fewer multiplications a pair than the score alone; vectors that nothing tells apart get none."""
+    rng = np.random.default_rng(2)
+    spread = np.floor(rng.normal(size=(1500, 64)) * 60 * np.exp(-np.arange(64) / 9)).astype(np.int64)
+    alike = np.floor(60 * rng.normal(size=(60, 4))).astype(np.int64)
+    for x, pays in ((spread, True), (alike, False)):
+        size = x.shape[1]
+        variance, basis = np.linalg.eigh(np.cov(x.T.astype(float)))
+        index = Index(basis[:, ::-1], variance[::-1], TopK(), 0)
+        levels, shares = chosen_levels(x, index, TopK())
+        assert len(shares) == len(levels) + 1 and (multiplications(shares, levels, size) < 0.6 * size if pays else multiplications(shares, levels, size) <= size)
+        index.levels, ids = levels, np.arange(len(x))
+        found, left = search_block(ids[:50], x[:50], np.full(50, -np.inf), ids, x, index, TopK())
+        assert len(left) == len(levels) + 1
+        for q, at, scores in found:
+            exact = x @ x[q]
+            order = [c for c in np.lexsort((ids, -exact)) if c != q][:20]
+            assert list(at) == order and list(scores) == list(exact[order])
+    turned = spread.astype(float)
+    for first in (0, 5, 63, 64):
+        bound = turned[:40, :first] @ turned[:, :first].T + tail(turned[:40], first) @ tail(turned, first).T
+        assert (bound >= spread[:40] @ spread.T - 1e-6).all()
