@@ -8,8 +8,9 @@ components one by one and the rest as one segment; the next level goes on from
 its sum, a few components further, with the pairs that it left.  So a pair is
 bounded from above (and its distance from below) the tighter the longer it
 stays, and what has been multiplied is not multiplied again.  Which levels pay is
-found on a sample of pairs: those that take fewer multiplications than they
-save, maybe none.  Survivors of the last level get exact integer scores.
+found on a sample of pairs: those with the fewest multiplications a pair in all;
+one level stays, even where it takes some more than it saves.  Survivors of the
+last level get exact integer scores.
 
 Vectors lie in cells by the signs of their leading components, and a cell in
 blocks of fixed size.  A query first searches its own cell, which gives it a
@@ -152,11 +153,9 @@ def search_block(q_ids: np.ndarray, q: np.ndarray, least: np.ndarray, c_ids: np.
                     alive[i, at] = True
             done = level
             left[k + 1] += alive.sum()
-        # Without a level all pairs get a score: in one product, if it holds whole numbers exactly.
-        whole = (q[rows].astype(float) @ c.T.astype(float)).astype(np.int64) if not index.levels and slack < 1e6 else None
         for i, row in enumerate(rows):
             at = np.flatnonzero(alive[i])
-            scores = c[at] @ q[row] if whole is None else whole[i, at]
+            scores = c[at] @ q[row]
             keep = scores >= least[row]
             at, scores = at[keep], scores[keep]
             order = np.lexsort((c_ids[at], -scores))[: cfg.k]
@@ -217,15 +216,15 @@ def multiplications(left: list[float], levels: tuple[int, ...], size: int) -> fl
 
 
 def chosen_levels(vectors: np.ndarray, index: Index, cfg: TopK) -> tuple[tuple[int, ...], list[float]]:
-    """The levels that take the fewest multiplications on a sample of pairs, and the share of pairs that reaches each
-    and the score; none where they take more than they save."""
+    """The levels, one at least, that take the fewest multiplications on a sample of pairs, and the share of pairs that
+    reaches each and the score."""
     n, size = len(vectors), vectors.shape[1]
     every = index.levels
     asked = vectors[: max(1, n // 20)][:256]
     ids = np.arange(n)
     _, left = search_block(ids[: len(asked)], asked, np.full(len(asked), -np.inf), ids, vectors, index, cfg)
     after = dict(zip(every, left[1:] / max(1, left[0]), strict=True))
-    best, levels, shares = float(size), (), [1.0]
+    best, levels, shares = np.inf, (), [1.0]
     for picked in range(1, 1 << len(every)):
         some = tuple(b for k, b in enumerate(every) if picked >> k & 1)
         share = [1.0, *(float(after[b]) for b in some)]
