@@ -30,6 +30,11 @@ def _file_system(spark: SparkSession, path: str):
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place, files = _file_system(spark, path)
+    return files.exists(place)
+
+
 def materialize(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder, in a folder for each value of column ``by``, and read it back.
 
