@@ -211,18 +211,21 @@ def totals(frames: DataFrame) -> DataFrame:
     return with_kernel(frames, lambda a: (int(a.size), float(a.sum(dtype=np.int64))), "pixels int, total double", keep=[c for c in frames.columns if c != "px"])
 
 
-def decoded(images: DataFrame) -> DataFrame:
-    """Gray frames from rows of Spark's image source: origin, height, width, px. Three channels become luma; bad files are left out."""
+def decoded(images: DataFrame, keep_broken: bool = False) -> DataFrame:
+    """Gray frames from rows of Spark's image source: origin, height, width, px. Three channels become luma; bad files are
+    left out, or have nulls if they are to be kept."""
 
-    def one(data: bytes, n: int) -> bytes:
-        if n == 1:
+    def one(data: bytes | None, n: int) -> bytes | None:
+        if data is None or n == 1:
             return data
         bgr = np.frombuffer(data, dtype=np.uint8).reshape(-1, n)[:, :3].astype(float)
         return np.floor(bgr @ kernels.LUMA[::-1] + 0.5).astype(np.uint8).tobytes()
 
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for data, n in batches:
-            yield pd.Series([one(d, int(c)) for d, c in zip(data, n, strict=True)])
+            yield pd.Series([one(d, int(c)) for d, c in zip(data, n, strict=True)], dtype=object)
 
-    good = images.filter("image.height > 0")
-    return good.select("image.origin", "image.height", "image.width", F.pandas_udf(run, "binary")(F.col("image.data"), F.col("image.nChannels")).alias("px"))
+    good = F.col("image.height") > 0
+    rows = images if keep_broken else images.filter(good)
+    sizes = [F.when(good, F.col(f"image.{c}")).alias(c) for c in ("height", "width")]
+    return rows.select("image.origin", *sizes, F.pandas_udf(run, "binary")(F.when(good, F.col("image.data")), F.col("image.nChannels")).alias("px"))

@@ -10,16 +10,19 @@ from sessile.sources import files
 from sessile.storage import materialize
 
 
-def ingested(spark: SparkSession, root: str, pattern: str = "frame*.png", height: int = 130) -> tuple[DataFrame, DataFrame]:
+def ingested(spark: SparkSession, root: str, pattern: str = "frame*.png", height: int = 130, other: str = "*.jpg") -> tuple[DataFrame, DataFrame]:
     """Gray frames of at least ``height`` rows, below ``root/<run>/<folder>``, and the problems found: run_id, frame_no, problem.
 
+    Runs without any file of the pattern give those of the ``other`` one.
     Problems are files that are no image, gaps in the numbers, and runs whose
     lowest row shows the surface (those have none of their frames in the table).
+    Files are listed and read once; all else comes from the table written then.
     """
-    frames = materialize(images.padded_top(files.read_frames(spark, root, pattern), height), "frames")
-    rejected = scan.surface_check(frames).filter("rejected").select("run_id")
-    rejected = materialize(rejected, "rejected")
-    broken = files.broken_frames(spark, root, pattern).select("run_id", "frame_no", F.lit("no image").alias("problem"))
+    every = materialize(images.padded_top(files.files_as_frames(spark, root, pattern, other), height), "frames")
+    found = files.preferred(every, every.filter("first").select("run_id"))
+    frames = found.filter("px is not null")
+    rejected = materialize(scan.surface_check(frames).filter("rejected").select("run_id"), "rejected")
+    broken = found.filter("px is null").select("run_id", "frame_no", F.lit("no image").alias("problem"))
     gaps = scan.index_gaps(frames, "frame_no").select("run_id", "frame_no", F.concat(F.lit("missing before: "), F.col("missing")).alias("problem"))
     bright = rejected.select("run_id", F.lit(None).cast("int").alias("frame_no"), F.lit("surface in the lowest row").alias("problem"))
     return frames.join(rejected, "run_id", "left_anti"), broken.unionByName(gaps).unionByName(bright)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,11 +41,37 @@ def list_videos(spark: SparkSession, root: str) -> DataFrame:
     return files.select("path", _run_of(F.col("path"), 1).alias("run_id"))
 
 
-def read_frames(spark: SparkSession, root: str, pattern: str = "frame*.png") -> DataFrame:
-    """Gray frames ``run_id, frame_no, height, width, px``; files that can't be decoded are left out."""
-    found = spark.read.format("image").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-    out = decoded(found)
-    return out.select(_run_of(F.col("origin"), 2).alias("run_id"), frame_number(F.col("origin")).alias("frame_no"), "height", "width", "px")
+def _named(path: Column, pattern: str) -> Column:
+    """Whether a file's name fits a pattern of ``*`` and ``?``."""
+    plain = "".join({"*": ".*", "?": "."}.get(c, re.escape(c)) for c in pattern)
+    return F.element_at(F.split(path, "/"), -1).rlike(f"^{plain}$")
+
+
+def files_as_frames(spark: SparkSession, root: str, pattern: str = "frame*.png", other: str = "*.jpg") -> DataFrame:
+    """``run_id, frame_no, first, height, width, px`` of every file of either pattern, from one listing and one reading.
+
+    ``first`` says that the name fits the first pattern.  A file that is no
+    image has null sizes and pixels.
+    """
+    found = spark.read.format("image").option("recursiveFileLookup", "true").option("pathGlobFilter", f"{{{pattern},{other}}}").load(root)
+    return decoded(found, keep_broken=True).select(
+        _run_of(F.col("origin"), 2).alias("run_id"), frame_number(F.col("origin")).alias("frame_no"), _named(F.col("origin"), pattern).alias("first"), "height", "width", "px"
+    )
+
+
+def preferred(rows: DataFrame, runs: DataFrame) -> DataFrame:
+    """Of ``files_as_frames`` those of the first pattern, and all of the other one where a run (one that isn't of ``runs``) has none."""
+    return rows.join(runs.select("run_id", F.lit(True).alias("_has")).distinct(), "run_id", "left").filter(F.col("first") | F.col("_has").isNull()).drop("first", "_has")
+
+
+def read_frames(spark: SparkSession, root: str, pattern: str = "frame*.png", other: str = "*.jpg") -> DataFrame:
+    """Gray frames ``run_id, frame_no, height, width, px``; files that can't be decoded are left out.
+
+    Runs without any file of the pattern give those of the ``other`` one, which
+    a listing of names alone tells beforehand.
+    """
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
+    return preferred(files_as_frames(spark, root, pattern, other), names.select(_run_of(F.col("path"), 2).alias("run_id"))).filter("px is not null")
 
 
 def broken_frames(spark: SparkSession, root: str, pattern: str = "frame*.png") -> DataFrame:

@@ -333,6 +333,24 @@ def test_files_and_sinks(spark, tmp_path):
     assert load_settings(str(tmp_path / "config.yaml")) == Settings(frame_rate=30, yolo_conf=0.5)
 
 
+def test_runs_of_another_extension(spark, tmp_path, monkeypatch):
+    """A run without files of the first pattern gives those of the other; files are read by one listing."""
+    for run, names in {"r1": ["frame_000001.png", "other_000009.gif"], "r2": ["shot_000004.gif", "shot_000006.gif"]}.items():
+        os.makedirs(tmp_path / run / "frames")
+        for name in names:
+            png(tmp_path / run / "frames" / name, np.vstack([cap(60), np.zeros((3, 120), np.uint8)]))
+    (tmp_path / "r2" / "frames" / "shot_000007.gif").write_bytes(b"no image")
+    out = files.read_frames(spark, str(tmp_path), other="*.gif")
+    assert sorted((r.run_id, r.frame_no) for r in out.collect()) == [("r1", 1), ("r2", 4), ("r2", 6)]
+    listings, real = [], files.files_as_frames
+    monkeypatch.setattr(files, "files_as_frames", lambda *a: listings.append(a) or real(*a))
+    for name in ("read_frames", "broken_frames", "list_frames"):
+        monkeypatch.setattr(files, name, lambda *a: pytest.fail("another listing"))
+    table_, problems = ingested(spark, str(tmp_path), height=70, other="*.gif")
+    assert sorted((r.run_id, r.frame_no) for r in table_.collect()) == [("r1", 1), ("r2", 4), ("r2", 6)] and len(listings) == 1
+    assert {tuple(r) for r in problems.collect()} == {("r2", 7, "no image"), ("r2", 6, "missing before: 1")}
+
+
 def test_streams_equal_batches(spark, sf, tmp_path):
     from sessile.sources.standins import frames, track
 
