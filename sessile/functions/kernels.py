@@ -28,8 +28,9 @@ def _shifted(image: np.ndarray, mask: np.ndarray, fill: int, best) -> np.ndarray
     from.
     """
     (h, w), ry, rx = image.shape, mask.shape[0] // 2, mask.shape[1] // 2
-    padded = np.pad(image, ((ry, mask.shape[0] - 1 - ry), (rx, mask.shape[1] - 1 - rx)), constant_values=fill)
-    wide, flat = padded.shape[1], padded.ravel()
+    wide = w + mask.shape[1] - 1
+    padded = np.full((h + mask.shape[0] - 1, wide), fill, dtype=image.dtype)
+    padded[ry : ry + h, rx : rx + w] = image
     out, size = np.full((h, wide), fill, dtype=image.dtype), (h - 1) * wide + w
     todo = []
     for dy, row in enumerate(mask):
@@ -38,13 +39,17 @@ def _shifted(image: np.ndarray, mask: np.ndarray, fill: int, best) -> np.ndarray
             todo.append((len(at), dy * wide + int(at[0])))
         else:
             todo += [(1, dy * wide + int(dx)) for dx in at]
-    result, reach = out.ravel(), 1
-    for n, start in sorted(todo):
-        while reach < n:
-            step = min(reach, n - reach)
-            flat = best(flat[:-step], flat[step:])
+    # Two stretches of memory take turns, so that none is asked for in between.
+    flat, spare, result = padded.ravel(), np.empty(padded.size, image.dtype), out.ravel()[:size]
+    n, reach = padded.size, 1
+    for length, start in sorted(todo):
+        while reach < length:
+            step = min(reach, length - reach)
+            n -= step
+            best(flat[:n], flat[step : step + n], out=spare[:n])
+            flat, spare = spare, flat
             reach += step
-        best(result[:size], flat[start : start + size], out=result[:size])
+        best(result, flat[start : start + size], out=result)
     return np.ascontiguousarray(out[:, :w])
 
 
