@@ -16,6 +16,7 @@ and its count is as exact as any other.  Counts stay in Spark.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -62,8 +63,30 @@ def _slices(text: str, limit: int) -> Iterator[bytes]:
         at = end
 
 
-def _chunk(lang: str, tokens: list[bytes], cfg: Phrases) -> pa.RecordBatch:
-    coded = pa.array(tokens, pa.binary()).dictionary_encode()
+def _together(parts: list[bytes], limit: int) -> Iterator[list[bytes]]:
+    """The parts in order, some ``limit`` bytes at a time."""
+    group, size = [], 0
+    for part in parts:
+        group.append(part)
+        size += len(part)
+        if size >= limit:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def _tokens(parts: list[bytes]) -> pa.Array:
+    """Words and breaks of texts, with a break after each text."""
+    data = b"".join(p + _BREAK for p in parts).replace(_BREAK, b" " + _BREAK + b" ")
+    # The break is no UTF-8; splitting at blanks doesn't mind.
+    text = pa.Array.from_buffers(pa.large_string(), 1, [None, pa.py_buffer(np.array([0, len(data)], np.int64)), pa.py_buffer(data)])
+    words = pc.list_flatten(pc.ascii_split_whitespace(text)).view(pa.large_binary())
+    return words.filter(pc.greater(pc.binary_length(words), 0))
+
+
+def _chunk(lang: str, tokens: list[pa.Array], cfg: Phrases) -> pa.RecordBatch:
+    coded = pa.concat_arrays(tokens).dictionary_encode()
     words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int32)
     if _BREAK in words:
         # Numbers stay as they are, but the break has none.
@@ -79,23 +102,23 @@ def _chunk(lang: str, tokens: list[bytes], cfg: Phrases) -> pa.RecordBatch:
 
 def _coded(cfg: Phrases):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: dict[str, list[bytes]] = {}
-        total = 0
+        waiting: dict[str, list[pa.Array]] = {}
+        sizes: Counter[str] = Counter()
         for batch in batches:
             for part in chunks(batch, "text"):
+                texts: dict[str, list[bytes]] = {}
                 for lang, text in zip(part["lang"].to_pylist(), part["text"].to_pylist(), strict=True):
-                    for raw in _slices(text, cfg.slice_bytes):
-                        tokens = raw.replace(_BREAK, b" " + _BREAK + b" ").split()
-                        own = waiting.setdefault(lang, [])
-                        own += tokens
-                        own.append(_BREAK)
-                        total += len(tokens) + 1
-                        if len(own) >= cfg.chunk_words:
-                            total -= len(own)
+                    texts.setdefault(lang, []).extend(_slices(text, cfg.slice_bytes))
+                for lang, parts in texts.items():
+                    for group in _together(parts, cfg.slice_bytes):
+                        waiting.setdefault(lang, []).append(_tokens(group))
+                        sizes[lang] += len(waiting[lang][-1])
+                        if sizes[lang] >= cfg.chunk_words:
                             yield _chunk(lang, waiting.pop(lang), cfg)
-                        elif total >= 8 * cfg.chunk_words:
-                            yield from (_chunk(k, v, cfg) for k, v in waiting.items())
-                            waiting, total = {}, 0
+                            del sizes[lang]
+                if sizes.total() >= 8 * cfg.chunk_words:
+                    yield from (_chunk(k, v, cfg) for k, v in waiting.items())
+                    waiting, sizes = {}, Counter()
         yield from (_chunk(k, v, cfg) for k, v in waiting.items())
 
     return run
