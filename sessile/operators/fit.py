@@ -147,7 +147,9 @@ def measure(i: np.ndarray, j: np.ndarray, cfg: TwoPass = TwoPass()) -> list[floa
             by = np.lexsort((j, i, (i - (i.min() if left else i.max())) ** 2 + j**2))
             rough = contact(i[by[:points]], j[by[:points]], left, degree)
             if rough is not None:
-                points, degree = next((p, d) for limit, p, d in cfg.windows if limit is None or rough[0] <= limit)
+                # Whole angles stand at limits; what rounding adds to them doesn't count.
+                angle = round(rough[0], 9)
+                points, degree = next((p, d) for limit, p, d in cfg.windows if limit is None or angle <= limit)
                 final = contact(i[by[:points]], j[by[:points]], left, degree)
         out.append(final or (np.nan, np.nan))
     return [out[0][0], out[1][0], out[0][1], out[1][1]]
