@@ -120,21 +120,38 @@ def with_neighbours(frames: DataFrame, kernel: Callable, returns: str, *argument
                 yield (run, at), copy, (p, h, w), more, batch, k
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def given_out(row: tuple, before: tuple | None, after: tuple | None) -> Iterator[pa.RecordBatch]:
-            group, copy, picture, more, batch, k = row
+        held: list[tuple] = []
+        source: pa.RecordBatch | None = None
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            """The results so far of the rows of one batch."""
+            if held:
+                at = pa.array([k for k, _ in held])
+                new = [pa.array([out[i] for _, out in held], type=kind) for i, kind in enumerate(kinds)]
+                held.clear()
+                yield pa.RecordBatch.from_arrays([*(source[c].take(at) for c in stay), *new], names=[*stay, *names])
+
+        def look(row: tuple, before: tuple | None, after: tuple | None) -> None:
+            group, copy, picture, more, _, k = row
             if not copy:
                 out = kernel(picture, before[2] if before and before[0] == group else None, after[2] if after and after[0] == group else None, *more)
                 if out is not None:
-                    new = [pa.array([v], type=kind) for v, kind in zip(out, kinds, strict=True)]
-                    yield pa.RecordBatch.from_arrays([*(batch[c].slice(k, 1) for c in stay), *new], names=[*stay, *names])
+                    held.append((k, out))
 
         before = row = None
         for after in passing(batches):
             if row is not None:
-                yield from given_out(row, before, after)
+                if row[4] is not source:
+                    yield from flushed()
+                    source = row[4]
+                look(row, before, after)
             before, row = row, after
         if row is not None:
-            yield from given_out(row, before, None)
+            if row[4] is not source:
+                yield from flushed()
+                source = row[4]
+            look(row, before, None)
+        yield from flushed()
 
     shape = StructType([*(frames.schema[c] for c in stay), *schema])
     return dealt.mapInArrow(run, shape)
