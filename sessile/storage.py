@@ -35,16 +35,27 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
-def materialize(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+#: Whether the shuffle files of a query go as soon as it has ended.
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, name: str, by: str | None = None, free: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder, in a folder for each value of column ``by``, and read it back.
 
     It cuts the lineage as ``checkpoint()`` does, but computes ``df`` once and
     survives lost executors.  The files go with ``discard``, at the latest when
-    the driver's JVM ends.
+    the driver's JVM ends.  With ``free``, the shuffle files behind ``df`` go once
+    it is written.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    before = spark.conf.get(_FREE)
+    if free:
+        spark.conf.set(_FREE, "true")
+    try:
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
+    finally:
+        spark.conf.set(_FREE, before)
     place, files = _file_system(spark, path)
     files.deleteOnExit(place)
     out = spark.read.schema(df.schema).parquet(path)

@@ -9,6 +9,7 @@ from sessile.llm import quality_classifier as qc
 from sessile.llm.lm_scoring import Backoff, score_documents
 from sessile.llm.queries import op2_quality_classifier
 from sessile.llm.topk_search import Index, TopK, chosen_levels, cuts, multiplications, scaled, search_block, signature, tail, top_k
+from sessile.storage import _FREE
 
 
 def test_held_out_accuracy(spark):
@@ -222,6 +223,32 @@ def test_scores_of_an_input_that_comes_in_another_order_each_time(spark):
     assert sorted((str(r.doc_id), r.n_words, round(r.log_score, 5)) for r in got) == brute_scores_of_order(rows, 3, True)
 
 
+def _shuffle_files(spark):
+    """Names of the shuffle files that a local session has on its disk."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_scores_by_slices_and_parts_free_their_shuffle_files(spark):
+    """Any number of slices and parts gives the same scores, and no shuffle file of counts or scores stays."""
+    import time
+
+    was_on = spark.conf.get(_FREE)
+    before = _shuffle_files(spark)
+    rows = [(i, f"W{i % 11} w{i % 5}\x0bw{i % 3} and\tw{i % 7} again " + "a b c " * (i % 4)) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for cfg in (Backoff(block_chars=400, slices=1, parts=1), Backoff(block_chars=900, slices=7, parts=3)):
+        out = score_documents(df, cfg)
+        got = sorted((str(r.doc_id), r.n_words, round(r.log_score, 5)) for r in out.collect())
+        assert got == brute_scores_of_order(rows, 3, True)
+    for _ in range(50):
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(_FREE) == was_on
+
+
 def test_levels_cost_less_than_they_save():
     """The chosen levels take fewer multiplications a pair than the score alone where something tells vectors apart."""
     rng = np.random.default_rng(2)
